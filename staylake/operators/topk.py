@@ -51,14 +51,25 @@ def champion_first(registry: DataFrame, task: str | None = None, allow_candidate
     return r.orderBy(prio, F.col(created_col).desc(), F.col("model_version").desc()).limit(1)
 
 
-def smallest_accepted(results: DataFrame, full_rmse: Column | float, tolerance: float = 0.01,
-                      size_col: str = "n_features", rmse_col: str = "rmse") -> DataFrame:
-    """Smallest feature set whose RMSE is within ``tolerance`` of the full set's."""
-    lim = (full_rmse if isinstance(full_rmse, Column) else F.lit(full_rmse)) * (1 + tolerance)
-    return results.where(F.col(rmse_col) <= lim).orderBy(F.col(size_col), F.col(rmse_col)).limit(1)
+def smallest_accepted(results: DataFrame, tolerance: float = 0.01, size_col: str = "n_features",
+                      rmse_col: str = "rmse", key: str | None = None) -> DataFrame:
+    """Smallest feature set whose RMSE is within ``tolerance`` of the full
+    (largest) set's RMSE; ties by RMSE then ``key``."""
+    tie = [F.col(key)] if key else []
+    full = (results.orderBy(F.col(size_col).desc(), F.col(rmse_col), *tie).limit(1)
+            .select(F.col(rmse_col).alias("_full_rmse")))
+    lim = F.col("_full_rmse") * F.lit(1 + tolerance)
+    return (results.crossJoin(F.broadcast(full)).where(F.col(rmse_col) <= lim).drop("_full_rmse")
+            .orderBy(F.col(size_col), F.col(rmse_col), *tie).limit(1))
+
+
+def hash_order(key: str, seed: int = 42) -> Column:
+    """Seeded, engine-portable pseudo-random order key: md5 of 'key|seed'."""
+    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
 
 
 def bounded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly min(n, rows) rows chosen by a seeded hash of the key: stable under
-    any partitioning (``sample()`` only gives an expected size)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    any partitioning (``sample()`` only gives an expected size). Planned as a
+    per-partition top-n, so only n rows per partition reach the final merge."""
+    return df.orderBy(hash_order(key, seed), F.col(key)).limit(n)

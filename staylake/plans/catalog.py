@@ -553,3 +553,703 @@ def _modelling_frame(spark, d):
     mart = features.price_model_features(B.bound_part_listings(spark, d))
     m = features.modelling_frame(mart)
     return rnd(m.select("listing_id", "price", "log_price", "property_base_group", "reviews_per_month"), "log_price")
+
+
+# =========================================================== data quality
+
+_ORD_NULLED = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, "
+               "nullif(o_orderpriority, '5-LOW') AS o_orderpriority FROM orders")
+
+
+def _orders_nulled(spark, d):
+    return T(spark, d, "orders").withColumn("o_orderpriority", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")))
+
+
+@register("dq_not_null", f"SELECT * FROM ({_ORD_NULLED}) WHERE o_orderpriority IS NULL")
+def _dq_not_null(spark, d):
+    return quality.check_not_null(_orders_nulled(spark, d), "o_orderpriority")
+
+
+@register("dq_unique", """
+SELECT o_custkey, count(*) AS row_count FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey HAVING count(*) > 1""")
+def _dq_unique(spark, d):
+    return quality.check_unique(T(spark, d, "orders"), "o_custkey")
+
+
+@register("dq_unique_combination", """
+SELECT o_custkey, o_orderstatus, count(*) AS row_count FROM orders GROUP BY 1, 2 HAVING count(*) > 1""")
+def _dq_unique_combination(spark, d):
+    return quality.check_unique_combination(T(spark, d, "orders"), ["o_custkey", "o_orderstatus"])
+
+
+@register("dq_accepted_values", "SELECT * FROM orders WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O')")
+def _dq_accepted_values(spark, d):
+    return quality.check_accepted_values(T(spark, d, "orders"), "o_orderstatus", ["F", "O"])
+
+
+@register("dq_relationships", """
+SELECT o.* FROM orders o WHERE o.o_custkey IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_nationkey <> 3 AND c.c_custkey = o.o_custkey)""")
+def _dq_relationships(spark, d):
+    parent = T(spark, d, "customer").where(F.col("c_nationkey") != 3)
+    return quality.check_relationships(T(spark, d, "orders"), "o_custkey", parent, "c_custkey")
+
+
+@register("dq_positive_or_null", "SELECT * FROM customer WHERE c_acctbal < 0")
+def _dq_positive_or_null(spark, d):
+    return quality.check_positive_or_null(T(spark, d, "customer"), "c_acctbal")
+
+
+@register("dq_non_negative", "SELECT * FROM supplier WHERE s_acctbal IS NOT NULL AND s_acctbal < 0")
+def _dq_non_negative(spark, d):
+    return quality.check_non_negative(T(spark, d, "supplier"), "s_acctbal")
+
+
+@register("dq_between_or_null", """
+SELECT * FROM lineitem WHERE l_discount IS NOT NULL AND (l_discount < 0.0 OR l_discount > 0.05)""")
+def _dq_between(spark, d):
+    return quality.check_between_or_null(T(spark, d, "lineitem"), "l_discount", 0.0, 0.05)
+
+
+@register("dq_greater_than", "SELECT * FROM part WHERE p_size IS NOT NULL AND p_size <= 5")
+def _dq_greater_than(spark, d):
+    return quality.check_greater_than(T(spark, d, "part"), "p_size", 5)
+
+
+@register("dq_less_than_or_equal", """
+SELECT * FROM lineitem WHERE l_tax IS NOT NULL AND l_discount IS NOT NULL AND l_tax > l_discount""")
+def _dq_le(spark, d):
+    return quality.check_less_than_or_equal_or_null(T(spark, d, "lineitem"), "l_tax", "l_discount")
+
+
+@register("dq_not_empty", """
+SELECT 'nation' AS table_name, row_count FROM (SELECT count(*) AS row_count FROM nation) WHERE row_count = 0
+UNION ALL
+SELECT 'nation_far', row_count FROM (SELECT count(*) AS row_count FROM nation WHERE n_regionkey > 100) WHERE row_count = 0""")
+def _dq_not_empty(spark, d):
+    n = T(spark, d, "nation")
+    a = quality.check_not_empty(n).select(F.lit("nation").alias("table_name"), "row_count")
+    b = quality.check_not_empty(n.where(F.col("n_regionkey") > 100)).select(F.lit("nation_far").alias("table_name"), "row_count")
+    return a.unionByName(b)
+
+
+@register("dq_member_exists", f"""
+WITH {B.listing_cte()}, loc AS ({_DIM_LOCATION_SQL})
+SELECT 'NATION_3' AS member, 1 AS missing_member WHERE NOT EXISTS (SELECT 1 FROM loc WHERE city = '{B.CITY}' AND neighbourhood = 'NATION_3')
+UNION ALL
+SELECT 'NATION_7', 1 WHERE NOT EXISTS (SELECT 1 FROM loc WHERE city = '{B.CITY}' AND neighbourhood = 'NATION_7')
+UNION ALL
+SELECT 'UNKNOWN', 1 WHERE NOT EXISTS (SELECT 1 FROM loc WHERE city = '{B.CITY}' AND neighbourhood = 'UNKNOWN')""")
+def _dq_member_exists(spark, d):
+    loc = gold.dim_location(B.bound_listings(spark, d), B.CITY)
+    parts = [quality.check_member_exists(loc, {"city": B.CITY, "neighbourhood": m})
+             .select(F.lit(m).alias("member"), "missing_member") for m in ("NATION_3", "NATION_7", "UNKNOWN")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("dq_row_count_matches", """
+SELECT a.model_row_count, b.compare_row_count FROM (SELECT count(*) AS model_row_count FROM orders) a
+CROSS JOIN (SELECT count(*) AS compare_row_count FROM (SELECT DISTINCT l_orderkey FROM lineitem)) b
+WHERE a.model_row_count <> b.compare_row_count""")
+def _dq_row_count(spark, d):
+    return quality.check_row_count_matches(T(spark, d, "orders"), T(spark, d, "lineitem").select("l_orderkey").distinct())
+
+
+@register("dq_unknown_ratio", f"""
+WITH {B.listing_cte()}, loc AS ({_DIM_LOCATION_SQL}),
+fact AS (SELECT md5('{B.CITY}' || '||' || coalesce(neighbourhood, 'UNKNOWN')) AS location_key FROM listings WHERE host_id IS NOT NULL),
+u AS (SELECT count(*) AS total_rows, sum(CASE WHEN loc.neighbourhood = 'UNKNOWN' THEN 1 ELSE 0 END) AS unknown_rows
+      FROM fact JOIN loc ON fact.location_key = loc.location_key)
+SELECT total_rows, CAST(unknown_rows AS BIGINT) AS unknown_rows,
+  round(coalesce(unknown_rows * 1.0 / nullif(total_rows, 0), 0.0), {R}) AS unknown_ratio, 0.01 AS max_allowed_ratio
+FROM u WHERE coalesce(unknown_rows * 1.0 / nullif(total_rows, 0), 0.0) > 0.01""")
+def _dq_unknown_ratio(spark, d):
+    listings = B.bound_listings(spark, d)
+    fact = gold.fact_listing_current_snapshot(listings, B.CITY)
+    loc = gold.dim_location(listings, B.CITY)
+    return rnd(quality.check_unknown_member_ratio_below(fact, loc, 0.01), "unknown_ratio")
+
+
+_SUITE = [
+    quality.Expectation("not_null", "o_orderkey"),
+    quality.Expectation("not_null", "o_orderpriority"),
+    quality.Expectation("accepted_values", "o_orderstatus", {"values": ["F", "O"]}),
+    quality.Expectation("positive_or_null", "o_totalprice"),
+    quality.Expectation("between_or_null", "o_totalprice", {"min_value": 1000, "max_value": 400000}),
+    quality.Expectation("greater_than", "o_totalprice", {"value": 900}),
+    quality.Expectation("less_than_or_equal_or_null", "o_custkey", {"right_column": "o_orderkey"}),
+    quality.Expectation("unique", "o_orderkey"),
+    quality.Expectation("unique", "o_custkey"),
+    quality.Expectation("unique_combination_of_columns", None, {"columns": ["o_orderkey", "o_custkey"]}),
+    quality.Expectation("relationships", "o_custkey", {"to": "customer", "field": "c_custkey"}),
+    quality.Expectation("not_empty"),
+    quality.Expectation("row_count_matches", None, {"compare_model": "customer"}),
+]
+
+
+@register("dq_suite", """
+WITH o AS (""" + _ORD_NULLED + """), x AS (
+  SELECT 'not_null' AS check_name, 'orders' AS table_name, 'o_orderkey' AS column_name, count(*) FILTER (WHERE o_orderkey IS NULL) AS violations FROM o
+  UNION ALL SELECT 'not_null', 'orders', 'o_orderpriority', count(*) FILTER (WHERE o_orderpriority IS NULL) FROM o
+  UNION ALL SELECT 'accepted_values', 'orders', 'o_orderstatus', count(*) FILTER (WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F','O')) FROM o
+  UNION ALL SELECT 'positive_or_null', 'orders', 'o_totalprice', count(*) FILTER (WHERE o_totalprice < 0) FROM o
+  UNION ALL SELECT 'between_or_null', 'orders', 'o_totalprice', count(*) FILTER (WHERE o_totalprice IS NOT NULL AND (o_totalprice < 1000 OR o_totalprice > 400000)) FROM o
+  UNION ALL SELECT 'greater_than', 'orders', 'o_totalprice', count(*) FILTER (WHERE o_totalprice IS NOT NULL AND o_totalprice <= 900) FROM o
+  UNION ALL SELECT 'less_than_or_equal_or_null', 'orders', 'o_custkey', count(*) FILTER (WHERE o_custkey IS NOT NULL AND o_orderkey IS NOT NULL AND o_custkey > o_orderkey) FROM o
+  UNION ALL SELECT 'unique', 'orders', 'o_orderkey', (SELECT count(*) FROM (SELECT o_orderkey FROM o WHERE o_orderkey IS NOT NULL GROUP BY 1 HAVING count(*) > 1))
+  UNION ALL SELECT 'unique', 'orders', 'o_custkey', (SELECT count(*) FROM (SELECT o_custkey FROM o WHERE o_custkey IS NOT NULL GROUP BY 1 HAVING count(*) > 1))
+  UNION ALL SELECT 'unique_combination_of_columns', 'orders', 'o_orderkey,o_custkey', (SELECT count(*) FROM (SELECT 1 FROM o GROUP BY o_orderkey, o_custkey HAVING count(*) > 1))
+  UNION ALL SELECT 'relationships', 'orders', 'o_custkey', (SELECT count(*) FROM o WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL))
+  UNION ALL SELECT 'not_empty', 'orders', NULL, (SELECT count(*) FROM (SELECT count(*) AS n FROM o) WHERE n = 0)
+  UNION ALL SELECT 'row_count_matches', 'orders', NULL, (SELECT count(*) FROM (SELECT (SELECT count(*) FROM o) AS a, (SELECT count(*) FROM customer) AS b) WHERE a <> b)
+)
+SELECT check_name, table_name, column_name, CAST(violations AS BIGINT) AS violations,
+  CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS status FROM x""")
+def _dq_suite(spark, d):
+    return quality.run_suite("orders", _orders_nulled(spark, d), _SUITE, {"customer": T(spark, d, "customer")})
+
+
+# =========================================================== profiling
+
+_LI_NULLED_ITEMS = ["l_orderkey", "nullif(l_returnflag, 'N') AS returnflag", "nullif(l_linestatus, 'O') AS linestatus",
+                    "nullif(l_tax, 0.0) AS tax", "nullif(l_discount, 0.0) AS discount", "l_quantity", "l_shipdate"]
+_LI_NULLED = "SELECT " + ", ".join(_LI_NULLED_ITEMS) + " FROM lineitem"
+_LI_PROFILE_COLS = ["l_orderkey", "returnflag", "linestatus", "tax", "discount", "l_quantity", "l_shipdate"]
+
+
+def _li_nulled(spark, d):
+    return T(spark, d, "lineitem").selectExpr(*_LI_NULLED_ITEMS)
+
+
+@register("missing_rate", f"""
+WITH b AS ({_LI_NULLED}),
+m AS (SELECT * FROM (SELECT {', '.join(f"avg(CASE WHEN {c} IS NULL{' OR isnan(' + c + ')' if c in ('tax', 'discount', 'l_quantity') else ''} THEN 1.0 ELSE 0.0 END) * 100.0 AS {c}" for c in _LI_PROFILE_COLS)} FROM b)
+      UNPIVOT (missing_rate FOR "column" IN ({', '.join(_LI_PROFILE_COLS)})))
+SELECT "column", round(missing_rate, {R}) AS missing_rate FROM m WHERE missing_rate > 0""")
+def _missing_rate(spark, d):
+    return rnd(profile.missing_rate(_li_nulled(spark, d), _LI_PROFILE_COLS), "missing_rate")
+
+
+_SPARK_TYPES = {"l_orderkey": "bigint", "returnflag": "string", "linestatus": "string", "tax": "double",
+                "discount": "double", "l_quantity": "double", "l_shipdate": "timestamp_ntz"}
+
+
+@register("column_quality", f"""
+WITH b AS ({_LI_NULLED})
+""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{_SPARK_TYPES[c]}' AS dtype, count({c}) AS non_null_count, "
+    f"count(*) - count({c}) AS missing_count, round(round((count(*) - count({c})) * 100.0 / count(*), 2), {R}) AS missing_rate, "
+    f"count(DISTINCT {c}) AS unique_count FROM b" for c in _LI_PROFILE_COLS))
+def _column_quality(spark, d):
+    return rnd(profile.column_quality(_li_nulled(spark, d), _LI_PROFILE_COLS), "missing_rate")
+
+
+_DESC_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("describe", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({c}), {R}) AS mean, round(stddev_samp({c}), {R}) AS std, "
+    f"round(min({c}), {R}) AS min, round(quantile_cont({c}, 0.25), {R}) AS p25, round(quantile_cont({c}, 0.5), {R}) AS p50, "
+    f"round(quantile_cont({c}, 0.75), {R}) AS p75, round(max({c}), {R}) AS max FROM lineitem" for c in _DESC_COLS))
+def _describe(spark, d):
+    return rnd(profile.describe(T(spark, d, "lineitem"), _DESC_COLS))
+
+
+@register("describe_categorical", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", (SELECT count({c}) FROM lineitem) AS count, (SELECT count(DISTINCT {c}) FROM lineitem) AS "unique",
+      top, freq FROM (SELECT CAST({c} AS VARCHAR) AS top, count(*) AS freq FROM lineitem WHERE {c} IS NOT NULL
+      GROUP BY {c} ORDER BY count(*) DESC, {c} ASC LIMIT 1)""" for c in ["l_returnflag", "l_linestatus", "l_linenumber"]))
+def _describe_categorical(spark, d):
+    return profile.describe_categorical(T(spark, d, "lineitem"), ["l_returnflag", "l_linestatus", "l_linenumber"])
+
+
+@register("grouped_summary", f"""
+SELECT l_returnflag, l_linestatus, count(*) AS count, round(avg(l_extendedprice), {R}) AS mean,
+  round(median(l_extendedprice), {R}) AS median FROM lineitem GROUP BY 1, 2""")
+def _grouped_summary(spark, d):
+    return rnd(profile.grouped_summary(T(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice"))
+
+
+_EVENT_LABELS = ["view", "click", "purchase", "signup", "refund"]
+
+
+@register("value_share", f"""
+WITH c AS (SELECT event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY 1),
+t AS (SELECT sum(n) AS total FROM c),
+l AS (SELECT * FROM (VALUES {', '.join(f"({i}, '{v}')" for i, v in enumerate(_EVENT_LABELS))}) AS l(o, event_type))
+SELECT l.event_type, CAST(coalesce(c.n, 0) AS BIGINT) AS count, round(coalesce(c.n * 1.0 / t.total, 0.0), {R}) AS share
+FROM l LEFT JOIN c ON l.event_type = c.event_type CROSS JOIN t""")
+def _value_share(spark, d):
+    return rnd(profile.value_counts(T(spark, d, "events"), "event_type", _EVENT_LABELS), "share")
+
+
+_PRICE_EDGES = [0.0, 1000.0, 20000.0, 50000.0, 80000.0, 1e12]
+_PRICE_LABELS = ["< 1k", "1k-20k", "20k-50k", "50k-80k", "> 80k"]
+
+
+def _cut_sql(x: str) -> str:
+    parts = ["CASE"]
+    for i in range(len(_PRICE_EDGES) - 1):
+        lo, hi = _PRICE_EDGES[i], _PRICE_EDGES[i + 1]
+        op = ">=" if i == 0 else ">"
+        parts.append(f" WHEN {x} {op} {lo} AND {x} <= {hi} THEN '{_PRICE_LABELS[i]}'")
+    return "".join(parts) + " END"
+
+
+@register("cut_bins", f"""
+SELECT {_cut_sql('l_extendedprice')} AS price_segment, count(*) AS n FROM lineitem GROUP BY 1""")
+def _cut_bins(spark, d):
+    li = T(spark, d, "lineitem")
+    return li.groupBy(profile.cut("l_extendedprice", _PRICE_EDGES, _PRICE_LABELS).alias("price_segment")) \
+             .agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("pivot_wide", f"""
+WITH l AS (SELECT l_returnflag, l_linestatus, avg(l_quantity) AS q FROM lineitem GROUP BY 1, 2)
+SELECT l_returnflag, round(max(CASE WHEN l_linestatus = 'F' THEN q END), {R}) AS F,
+  round(max(CASE WHEN l_linestatus = 'O' THEN q END), {R}) AS O FROM l GROUP BY 1""")
+def _pivot_wide(spark, d):
+    long = T(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.avg("l_quantity").alias("q"))
+    return rnd(profile.pivot_wide(long, ["l_returnflag"], "l_linestatus", "q", ["F", "O"]))
+
+
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+_CT_COUNTS = ", ".join("count(*) FILTER (WHERE o_orderpriority = '%s') AS \"%s\"" % (p, p) for p in _PRIORITIES)
+_CT_IN = ", ".join("'%s'" % p for p in _PRIORITIES)
+_CT_OUT = ", ".join('round("%s" * 1.0 / tot, %d) AS "%s"' % (p, R, p) for p in _PRIORITIES)
+
+
+@register("crosstab", f"""
+WITH c AS (SELECT o_orderstatus, {_CT_COUNTS},
+  count(*) FILTER (WHERE o_orderpriority IN ({_CT_IN})) AS tot FROM orders GROUP BY 1)
+SELECT o_orderstatus, {_CT_OUT} FROM c""")
+def _crosstab(spark, d):
+    return rnd(profile.crosstab_normalized(T(spark, d, "orders"), "o_orderstatus", "o_orderpriority", _PRIORITIES))
+
+
+@register("quantiles", f"""
+SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.25), {R}) AS p25,
+  round(quantile_cont(l_extendedprice, 0.5), {R}) AS p50, round(quantile_cont(l_extendedprice, 0.75), {R}) AS p75
+FROM lineitem GROUP BY 1
+UNION ALL
+SELECT NULL, round(quantile_cont(l_extendedprice, 0.25), {R}), round(quantile_cont(l_extendedprice, 0.5), {R}),
+  round(quantile_cont(l_extendedprice, 0.75), {R}) FROM lineitem""")
+def _quantiles(spark, d):
+    li = T(spark, d, "lineitem")
+    g = quantiles(li, "l_extendedprice", [0.25, 0.5, 0.75], ["l_returnflag"], ["p25", "p50", "p75"])
+    a = quantiles(li, "l_extendedprice", [0.25, 0.5, 0.75], [], ["p25", "p50", "p75"]) \
+        .select(F.lit(None).cast("string").alias("l_returnflag"), "p25", "p50", "p75")
+    return rnd(g.unionByName(a))
+
+
+@register("mode_share", f"""
+WITH c AS (SELECT p_type, p_brand, count(*) AS n FROM part WHERE p_brand IS NOT NULL GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY n DESC, p_brand ASC) AS rn FROM c),
+s AS (SELECT p_type, count(*) AS tot FROM part GROUP BY 1)
+SELECT s.p_type, r.p_brand AS mode, round(r.n * 1.0 / s.tot, {R}) AS mode_share
+FROM s LEFT JOIN r ON s.p_type IS NOT DISTINCT FROM r.p_type AND r.rn = 1""")
+def _mode_share(spark, d):
+    return rnd(profile.mode_share(T(spark, d, "part"), ["p_type"], "p_brand"))
+
+
+@register("histogram", f"""
+WITH r AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
+b AS (SELECT CAST(CASE WHEN r.hi = r.lo THEN 0 ELSE least(floor((l_extendedprice - r.lo) / ((r.hi - r.lo) / 10.0)), 9) END AS INTEGER) AS bin
+      FROM lineitem CROSS JOIN r WHERE l_extendedprice IS NOT NULL),
+c AS (SELECT bin, count(*) AS n FROM b GROUP BY 1)
+SELECT CAST(g.bin AS INTEGER) AS bin, round(r.lo + g.bin * ((r.hi - r.lo) / 10.0), {R}) AS lower,
+  round(r.lo + (g.bin + 1) * ((r.hi - r.lo) / 10.0), {R}) AS upper, CAST(coalesce(c.n, 0) AS BIGINT) AS count
+FROM range(10) g(bin) CROSS JOIN r LEFT JOIN c ON c.bin = g.bin""")
+def _histogram(spark, d):
+    return rnd(profile.histogram(T(spark, d, "lineitem"), "l_extendedprice", 10))
+
+
+@register("box_stats", f"""
+WITH q AS (SELECT p_type, quantile_cont(p_retailprice, 0.25) AS q1, quantile_cont(p_retailprice, 0.5) AS median,
+             quantile_cont(p_retailprice, 0.75) AS q3 FROM part WHERE p_retailprice IS NOT NULL GROUP BY 1),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q),
+a AS (SELECT f.p_type, count(*) AS count,
+        min(CASE WHEN p.p_retailprice >= f.lower_fence AND p.p_retailprice <= f.upper_fence THEN p.p_retailprice END) AS whisker_low,
+        max(CASE WHEN p.p_retailprice >= f.lower_fence AND p.p_retailprice <= f.upper_fence THEN p.p_retailprice END) AS whisker_high,
+        count(*) FILTER (WHERE NOT (p.p_retailprice >= f.lower_fence AND p.p_retailprice <= f.upper_fence)) AS outliers
+      FROM part p JOIN f ON p.p_type IS NOT DISTINCT FROM f.p_type WHERE p.p_retailprice IS NOT NULL GROUP BY 1)
+SELECT f.p_type, round(q1, {R}) AS q1, round(median, {R}) AS median, round(q3, {R}) AS q3, round(iqr, {R}) AS iqr,
+  round(lower_fence, {R}) AS lower_fence, round(upper_fence, {R}) AS upper_fence, a.count,
+  round(whisker_low, {R}) AS whisker_low, round(whisker_high, {R}) AS whisker_high, a.outliers
+FROM f JOIN a ON f.p_type IS NOT DISTINCT FROM a.p_type""")
+def _box_stats(spark, d):
+    return rnd(profile.box_stats(T(spark, d, "part"), "p_retailprice", ["p_type"]))
+
+
+@register("co_missing", f"""
+WITH b AS ({_LI_NULLED})
+SELECT count(*) FILTER (WHERE tax IS NULL AND returnflag IS NULL) AS tax_null_and_flag_null,
+  count(*) FILTER (WHERE tax IS NULL AND NOT returnflag IS NULL) AS tax_null_only,
+  count(*) FILTER (WHERE NOT tax IS NULL AND returnflag IS NULL) AS flag_null_only,
+  count(*) FILTER (WHERE NOT tax IS NULL AND NOT returnflag IS NULL) AS neither FROM b""")
+def _co_missing(spark, d):
+    b = _li_nulled(spark, d)
+    return profile.co_missing(b, F.col("tax").isNull(), F.col("returnflag").isNull(), ("tax_null", "flag_null"))
+
+
+# =========================================================== statistics
+
+_CORR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("pearson", " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), {R}) AS pearson FROM lineitem"
+    for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[i + 1:]))
+def _pearson(spark, d):
+    return rnd(stats.pearson_matrix(T(spark, d, "lineitem"), _CORR_COLS))
+
+
+@register("spearman", f"""
+WITH b AS (SELECT l_returnflag, l_quantity AS x, l_extendedprice AS y FROM lineitem WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL),
+r AS (SELECT l_returnflag,
+        rank() OVER (PARTITION BY l_returnflag ORDER BY x) + (count(*) OVER (PARTITION BY l_returnflag, x) - 1) / 2.0 AS rx,
+        rank() OVER (PARTITION BY l_returnflag ORDER BY y) + (count(*) OVER (PARTITION BY l_returnflag, y) - 1) / 2.0 AS ry FROM b)
+SELECT l_returnflag, round(corr(rx, ry), {R}) AS spearman, count(*) AS n FROM r GROUP BY 1""")
+def _spearman(spark, d):
+    return rnd(stats.spearman(T(spark, d, "lineitem"), "l_quantity", "l_extendedprice", ["l_returnflag"]), "spearman")
+
+
+@register("spearman_global", f"""
+WITH b AS (SELECT l_discount AS x, l_extendedprice AS y FROM lineitem WHERE l_discount IS NOT NULL AND l_extendedprice IS NOT NULL),
+r AS (SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx,
+             rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM b)
+SELECT round(corr(rx, ry), {R}) AS spearman, count(*) AS n FROM r""")
+def _spearman_global(spark, d):
+    return rnd(stats.spearman(T(spark, d, "lineitem"), "l_discount", "l_extendedprice"), "spearman")
+
+
+@register("kruskal", f"""
+WITH x AS (SELECT l_linestatus || l_returnflag AS g, l_extendedprice AS v FROM lineitem WHERE l_extendedprice IS NOT NULL),
+keep AS (SELECT g FROM x GROUP BY g HAVING count(*) >= 30),
+k AS (SELECT x.* FROM x JOIN keep USING (g)),
+r AS (SELECT g, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0 AS rk FROM k),
+s AS (SELECT g, sum(rk) AS rs, count(*) AS ng FROM r GROUP BY g),
+t AS (SELECT sum(CAST(c AS DOUBLE) * c * c - c) AS ties FROM (SELECT count(*) AS c FROM k GROUP BY v)),
+agg AS (SELECT sum(rs * rs / ng) AS ssum, sum(ng) AS n, count(*) AS n_groups FROM s)
+SELECT round(CASE WHEN n_groups >= 2 THEN (12.0 / (n * (n + 1)) * ssum - 3.0 * (n + 1)) / (1 - ties / (CAST(n AS DOUBLE) * n * n - n)) END, {R}) AS h,
+  n_groups, CAST(n AS BIGINT) AS n FROM agg CROSS JOIN t""")
+def _kruskal(spark, d):
+    li = T(spark, d, "lineitem").withColumn("g", F.concat("l_linestatus", "l_returnflag"))
+    return rnd(stats.kruskal_wallis(li, "l_extendedprice", "g", 30), "h")
+
+
+# =========================================================== prediction errors
+
+P = 4  # decimals for price-scale values (exp of a log amplifies float noise)
+
+
+def _pred_base(spark, d):
+    """lineitem with log1p(extendedprice) as actual and its (flag, status) group mean as prediction."""
+    li = T(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
+        F.nullif(F.col("l_returnflag"), F.lit("R")).alias("grp"),
+        F.log(F.lit(1.0) + F.col("l_extendedprice")).alias("actual_log"))
+    means = li.groupBy("l_returnflag", "l_linestatus").agg(F.avg("actual_log").alias("predicted_log"))
+    return li.join(means, ["l_returnflag", "l_linestatus"])
+
+
+_PRED_SQL = """pb AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, nullif(l_returnflag, 'R') AS grp,
+    ln(1 + l_extendedprice) AS actual_log,
+    avg(ln(1 + l_extendedprice)) OVER (PARTITION BY l_returnflag, l_linestatus) AS predicted_log FROM lineitem),
+ef AS (
+  SELECT *, exp(actual_log) - 1 AS actual_price, greatest(exp(predicted_log) - 1, 0.0) AS predicted_price FROM pb),
+e AS (
+  SELECT *, actual_price - predicted_price AS residual, abs(actual_price - predicted_price) AS absolute_error,
+    CASE WHEN actual_price > 0 THEN abs(actual_price - predicted_price) / actual_price * 100 END AS percentage_error,
+    CASE WHEN actual_price - predicted_price >= 0 THEN 'underprediction' ELSE 'overprediction' END AS error_direction
+  FROM ef)"""
+
+
+def _errors(spark, d):
+    return errors.error_frame(_pred_base(spark, d), "actual_log", "predicted_log")
+
+
+@register("regression_metrics", f"""
+WITH {_PRED_SQL}
+SELECT count(*) AS n, round(sqrt(avg((actual_log - predicted_log) ^ 2)), {R}) AS rmse,
+  round(avg(abs(actual_log - predicted_log)), {R}) AS mae,
+  round(1 - avg((actual_log - predicted_log) ^ 2) / var_pop(actual_log), {R}) AS r2,
+  round(CASE WHEN count(*) <= 3 THEN NULL ELSE 1 - (1 - (1 - avg((actual_log - predicted_log) ^ 2) / var_pop(actual_log)))
+        * (count(*) - 1) / (count(*) - 2 - 1) END, {R}) AS adjusted_r2 FROM pb""")
+def _regression_metrics(spark, d):
+    return rnd(errors.regression_metrics(_pred_base(spark, d), "actual_log", "predicted_log", 2))
+
+
+@register("error_frame", f"""
+WITH {_PRED_SQL}
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(actual_log, {R}) AS actual_log_price,
+  round(predicted_log, {R}) AS predicted_log_price, round(actual_price, {P}) AS actual_price,
+  round(predicted_price, {P}) AS predicted_price, round(residual, {P}) AS residual,
+  round(absolute_error, {P}) AS absolute_error, round(percentage_error, {P}) AS percentage_error, error_direction FROM e""")
+def _error_frame(spark, d):
+    e = _errors(spark, d).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "actual_log_price",
+                                 "predicted_log_price", "actual_price", "predicted_price", "residual", "absolute_error",
+                                 "percentage_error", "error_direction")
+    e = e.withColumns({c: F.round(c, P) for c in ["actual_price", "predicted_price", "residual", "absolute_error",
+                                                  "percentage_error"]})
+    return rnd(e, "actual_log_price", "predicted_log_price")
+
+
+@register("error_by_group", f"""
+WITH {_PRED_SQL}
+SELECT grp, count(*) AS listing_count, round(avg(absolute_error), {P}) AS mae, round(avg(residual), {P}) AS mean_residual,
+  round(avg(percentage_error), {P}) AS mean_percentage_error FROM e GROUP BY grp""")
+def _error_by_group(spark, d):
+    g = errors.error_by_group(_errors(spark, d), "grp")
+    return g.withColumns({c: F.round(c, P) for c in ["mae", "mean_residual", "mean_percentage_error"]})
+
+
+@register("error_group_extended", f"""
+WITH {_PRED_SQL}
+SELECT l_linestatus, count(*) AS count, round(avg(actual_price), {P}) AS mean_actual,
+  round(avg(predicted_price), {P}) AS mean_predicted, round(avg(abs(actual_price - predicted_price)), {P}) AS mae,
+  round(avg(actual_price - predicted_price), {P}) AS bias,
+  round(avg(abs(actual_price - predicted_price) / greatest(abs(actual_price), 1e-9)), {R}) AS mape,
+  round(sqrt(avg((actual_price - predicted_price) ^ 2)), {P}) AS rmse,
+  round(median(actual_price), {P}) AS median_actual, round(median(predicted_price), {P}) AS median_predicted,
+  round(median(abs(actual_price - predicted_price)), {P}) AS median_ae, count(*) < 30 AS small_sample_flag
+FROM e WHERE l_linestatus IS NOT NULL GROUP BY l_linestatus""")
+def _error_group_extended(spark, d):
+    g = errors.error_by_group_extended(_errors(spark, d), "l_linestatus")
+    g = g.withColumns({c: F.round(c, P) for c in ["mean_actual", "mean_predicted", "mae", "bias", "rmse",
+                                                  "median_actual", "median_predicted", "median_ae"]})
+    return rnd(g, "mape")
+
+
+@register("error_overall", f"""
+WITH {_PRED_SQL}
+SELECT round(avg(actual_log - predicted_log), {R}) AS mean_log_residual,
+  round(avg(CASE WHEN residual < 0 THEN 1.0 ELSE 0.0 END), {R}) AS overprediction_rate,
+  round(avg(CASE WHEN residual > 0 THEN 1.0 ELSE 0.0 END), {R}) AS underprediction_rate FROM e""")
+def _error_overall(spark, d):
+    return rnd(errors.error_overall(_errors(spark, d), "actual_log_price", "predicted_log_price"))
+
+
+_TOP_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@register("top_errors", f"""
+WITH {_PRED_SQL},
+a AS (SELECT 'absolute' AS kind, l_orderkey, l_linenumber, l_partkey, l_suppkey, absolute_error, residual FROM e
+      ORDER BY absolute_error DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 20),
+o AS (SELECT 'over' AS kind, l_orderkey, l_linenumber, l_partkey, l_suppkey, absolute_error, residual FROM e
+      ORDER BY residual ASC, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 20),
+u AS (SELECT 'under' AS kind, l_orderkey, l_linenumber, l_partkey, l_suppkey, absolute_error, residual FROM e
+      ORDER BY residual DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 20)
+SELECT kind, l_orderkey, l_linenumber, l_partkey, l_suppkey, round(absolute_error, {P}) AS absolute_error,
+  round(residual, {P}) AS residual FROM (SELECT * FROM a UNION ALL SELECT * FROM o UNION ALL SELECT * FROM u)""")
+def _top_errors(spark, d):
+    e = _errors(spark, d)
+    cols = _TOP_KEY + ["absolute_error", "residual"]
+    key = [F.col(k) for k in _TOP_KEY]
+    a = topk.top_k(e, [F.col("absolute_error").desc()] + key, 20).select(F.lit("absolute").alias("kind"), *cols)
+    o = topk.top_k(e, [F.col("residual").asc()] + key, 20).select(F.lit("over").alias("kind"), *cols)
+    u = topk.top_k(e, [F.col("residual").desc()] + key, 20).select(F.lit("under").alias("kind"), *cols)
+    out = a.unionByName(o).unionByName(u)
+    return out.withColumns({"absolute_error": F.round("absolute_error", P), "residual": F.round("residual", P)})
+
+
+@register("arg_cases", """
+SELECT * FROM (
+  SELECT 'cheapest' AS case_name, p_partkey FROM part ORDER BY p_retailprice ASC, p_partkey LIMIT 1) UNION ALL
+SELECT * FROM (SELECT 'priciest', p_partkey FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 1) UNION ALL
+SELECT * FROM (SELECT 'smallest', p_partkey FROM part ORDER BY p_size ASC, p_partkey LIMIT 1) UNION ALL
+SELECT * FROM (SELECT 'largest', p_partkey FROM part ORDER BY p_size DESC, p_partkey LIMIT 1)""")
+def _arg_cases(spark, d):
+    return topk.arg_cases(T(spark, d, "part"), {"cheapest": ("min", "p_retailprice"), "priciest": ("max", "p_retailprice"),
+                                                "smallest": ("min", "p_size"), "largest": ("max", "p_size")}, "p_partkey")
+
+
+@register("top_categories", """
+SELECT p.* FROM part p WHERE p.p_brand IN (
+  SELECT p_brand FROM part WHERE p_brand IS NOT NULL GROUP BY p_brand ORDER BY count(*) DESC, p_brand LIMIT 5)""")
+def _top_categories(spark, d):
+    return topk.top_categories(T(spark, d, "part"), "p_brand", 5)
+
+
+_REGISTRY_ITEMS = ["CAST(o_orderkey AS VARCHAR) AS model_version", "o_orderpriority AS model_task",
+                   "CASE o_orderstatus WHEN 'F' THEN 'CHAMPION' WHEN 'O' THEN 'CANDIDATE' ELSE 'ARCHIVED' END AS status",
+                   "o_orderdate AS created_at"]
+
+
+@register("champion_pick", f"""
+WITH r AS (SELECT {', '.join(_REGISTRY_ITEMS)} FROM orders)
+SELECT * FROM (SELECT * FROM r WHERE status IN ('CHAMPION') ORDER BY CASE WHEN status = 'CHAMPION' THEN 0 ELSE 1 END,
+  created_at DESC, model_version DESC LIMIT 1)
+UNION ALL
+SELECT * FROM (SELECT * FROM r WHERE status IN ('CHAMPION', 'CANDIDATE') AND model_task = '2-HIGH'
+  ORDER BY CASE WHEN status = 'CHAMPION' THEN 0 ELSE 1 END, created_at DESC, model_version DESC LIMIT 1)""")
+def _champion_pick(spark, d):
+    reg = T(spark, d, "orders").selectExpr(*[i.replace("VARCHAR", "STRING") for i in _REGISTRY_ITEMS])
+    a = topk.champion_first(reg)
+    b = topk.champion_first(reg, task="2-HIGH", allow_candidate=True)
+    return a.unionByName(b)
+
+
+@register("accepted_set", """
+WITH r AS (SELECT p_partkey, p_size AS n_features, p_retailprice / 1000.0 AS rmse FROM part),
+f AS (SELECT rmse AS full_rmse FROM r ORDER BY n_features DESC, rmse, p_partkey LIMIT 1)
+SELECT p_partkey, n_features, rmse FROM r CROSS JOIN f WHERE rmse <= full_rmse * 1.01
+ORDER BY n_features, rmse, p_partkey LIMIT 1""")
+def _accepted_set(spark, d):
+    r = T(spark, d, "part").select("p_partkey", F.col("p_size").alias("n_features"),
+                                   (F.col("p_retailprice") / 1000.0).alias("rmse"))
+    return topk.smallest_accepted(r, 0.01, key="p_partkey")
+
+
+@register("bounded_sample", """
+SELECT * FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR) || '|42'), o_orderkey LIMIT 100""")
+def _bounded_sample(spark, d):
+    return topk.bounded_sample(T(spark, d, "orders"), "o_orderkey", 100, 42)
+
+
+# =========================================================== joins
+
+@register("one_to_one_join", """
+SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
+def _one_to_one(spark, d):
+    docs = T(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    return joins.one_to_one_left_join(docs, T(spark, d, "labels"), "doc_id")
+
+
+@register("orphan_check", """
+SELECT l.* FROM lineitem l WHERE l.l_orderkey IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderstatus <> 'P' AND o.o_orderkey = l.l_orderkey)""")
+def _orphan_check(spark, d):
+    parent = T(spark, d, "orders").where(F.col("o_orderstatus") != "P")
+    return joins.orphans(T(spark, d, "lineitem"), parent, "l_orderkey", "o_orderkey")
+
+
+@register("coverage_count", """
+SELECT count(*) AS matched_rows FROM lineitem l WHERE EXISTS (
+  SELECT 1 FROM orders o WHERE o.o_orderstatus = 'F' AND o.o_orderkey = l.l_orderkey)""")
+def _coverage(spark, d):
+    parent = T(spark, d, "orders").where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("l_orderkey"))
+    return joins.coverage_count(T(spark, d, "lineitem"), parent, "l_orderkey")
+
+
+# =========================================================== segment profiles and quality
+
+def _emb_flat(spark, d):
+    e = T(spark, d, "embeddings")
+    return e.select("vec_id", "label", "embedding",
+                    *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(7)],
+                    F.when(F.col("embedding")[1] > 0, F.lit("pos")).otherwise(F.lit("neg")).alias("sign1"),
+                    F.when(F.col("embedding")[2] > 0, F.lit("pos")).otherwise(F.lit("neg")).alias("sign2"))
+
+
+_EMB_FLAT_SQL = ("SELECT vec_id, label, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(7))
+                 + ", CASE WHEN embedding[2] > 0 THEN 'pos' ELSE 'neg' END AS sign1"
+                 + ", CASE WHEN embedding[3] > 0 THEN 'pos' ELSE 'neg' END AS sign2 FROM embeddings")
+
+
+def _dominant_sql(col: str) -> str:
+    return (f"(SELECT label, {col} AS dominant_{col} FROM (SELECT label, {col}, row_number() OVER (PARTITION BY label "
+            f"ORDER BY count(*) DESC, {col}) AS rn FROM f GROUP BY label, {col}) WHERE rn = 1)")
+
+
+@register("cluster_profile", f"""
+WITH f AS ({_EMB_FLAT_SQL}),
+b AS (SELECT label, count(*) AS listing_count, round(avg(e0), {R}) AS avg_price,
+        {', '.join(f'round(avg(e{i}), {R}) AS avg_e{i}' for i in range(1, 7))}, round(median(e0), {R}) AS median_price
+      FROM f GROUP BY label)
+SELECT b.*, round(listing_count * 1.0 / sum(listing_count) OVER (), {R}) AS listing_share, d1.dominant_sign1, d2.dominant_sign2
+FROM b JOIN {_dominant_sql('sign1')} d1 USING (label) JOIN {_dominant_sql('sign2')} d2 USING (label)""")
+def _cluster_profile(spark, d):
+    from staylake.ml.segment import segment_profile
+    f = _emb_flat(spark, d)
+    return rnd(segment_profile(f, "label", "e0", [f"e{i}" for i in range(1, 7)], ["sign1", "sign2"]))
+
+
+@register("cluster_quality", f"""
+WITH l AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS dim FROM embeddings),
+c AS (SELECT label, dim, avg(x) AS c FROM l GROUP BY 1, 2),
+g AS (SELECT dim, avg(x) AS g FROM l GROUP BY 1),
+n AS (SELECT label, count(*) AS n_k FROM embeddings GROUP BY 1),
+d AS (SELECT l.vec_id, l.label, sum((x - c) * (x - c)) AS d2 FROM l JOIN c USING (label, dim) GROUP BY 1, 2),
+w AS (SELECT sum(d2) AS inertia, count(*) AS n FROM d),
+s AS (SELECT label, avg(sqrt(d2)) AS s_k FROM d GROUP BY 1),
+bt AS (SELECT sum(b2 * n_k) AS between, count(*) AS k FROM (SELECT label, sum((c - g) * (c - g)) AS b2 FROM c JOIN g USING (dim) GROUP BY 1) JOIN n USING (label)),
+sep AS (SELECT a.label AS a, b.label AS b, sqrt(sum((a.c - b.c) * (a.c - b.c))) AS m FROM c a JOIN c b ON a.dim = b.dim AND a.label <> b.label GROUP BY 1, 2),
+db AS (SELECT avg(r) AS db FROM (SELECT sep.a, max((sa.s_k + sb.s_k) / m) AS r FROM sep JOIN s sa ON sa.label = sep.a JOIN s sb ON sb.label = sep.b GROUP BY 1))
+SELECT round(inertia, {R}) AS inertia, k AS clusters_observed,
+  round(CASE WHEN k >= 2 AND k < n THEN (between / (k - 1)) / (inertia / (n - k)) END, {R}) AS calinski_harabasz,
+  round(CASE WHEN k >= 2 AND k < n THEN db END, {R}) AS davies_bouldin FROM w CROSS JOIN bt CROSS JOIN db""")
+def _cluster_quality(spark, d):
+    from staylake.ml.segment import cluster_quality
+    return rnd(cluster_quality(T(spark, d, "embeddings"), "vec_id", "embedding", "label"))
+
+
+@register("zscore_matrix", f"""
+WITH p AS (SELECT p_type, avg(p_size) AS p_size, avg(p_retailprice) AS p_retailprice FROM part GROUP BY 1),
+s AS (SELECT avg(p_size) AS ms, stddev_pop(p_size) AS ss, avg(p_retailprice) AS mr, stddev_pop(p_retailprice) AS sr FROM p)
+SELECT p_type, round(coalesce((p_size - ms) / CASE WHEN ss = 0 THEN 1.0 ELSE ss END, 0.0), {R}) AS p_size,
+  round(coalesce((p_retailprice - mr) / CASE WHEN sr = 0 THEN 1.0 ELSE sr END, 0.0), {R}) AS p_retailprice FROM p CROSS JOIN s""")
+def _zscore_matrix(spark, d):
+    from staylake.ml.prep import zscore_profile
+    prof = T(spark, d, "part").groupBy("p_type").agg(F.avg("p_size").alias("p_size"), F.avg("p_retailprice").alias("p_retailprice"))
+    return rnd(zscore_profile(prof, ["p_size", "p_retailprice"]))
+
+
+# =========================================================== preparation (M1-M6)
+
+_HASH_SQL = "('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 8))::UBIGINT"
+
+
+@register("hash_split", f"""
+SELECT o_orderkey, ({_HASH_SQL.format(k='o_orderkey')} % 100) < 20 AS is_test,
+  CAST({_HASH_SQL.format(k='o_orderkey')} % 5 AS INTEGER) AS fold FROM orders""")
+def _hash_split(spark, d):
+    from staylake.ml.prep import hash_split, kfold_assign
+    o = T(spark, d, "orders").select("o_orderkey")
+    return kfold_assign(hash_split(o, "o_orderkey"), "o_orderkey")
+
+
+@register("standardise", f"""
+WITH s AS (SELECT avg(p_size) AS ms, stddev_pop(p_size) AS ss, avg(p_retailprice) AS mr, stddev_pop(p_retailprice) AS sr FROM part)
+SELECT p_partkey, round((p_size - ms) / ss, {R}) AS p_size, round((p_retailprice - mr) / sr, {R}) AS p_retailprice
+FROM part CROSS JOIN s""")
+def _standardise(spark, d):
+    from staylake.ml.prep import standardise
+    p = T(spark, d, "part").select("p_partkey", F.col("p_size").cast("double"), "p_retailprice")
+    return rnd(standardise(p, ["p_size", "p_retailprice"]))
+
+
+@register("median_fill", f"""
+WITH b AS (SELECT p_partkey, CAST({_IMPUTE_SRC} AS DOUBLE) AS v FROM part),
+m AS (SELECT median(v) AS mv FROM b WHERE NOT (p_partkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')))
+SELECT p_partkey, round(coalesce(v, mv), {R}) AS v FROM b CROSS JOIN m""")
+def _median_fill(spark, d):
+    from staylake.ml.prep import apply_fill, fit_medians
+    b = T(spark, d, "part").select("p_partkey", F.expr(_IMPUTE_SRC).cast("double").alias("v"))
+    held = T(spark, d, "orders").where(F.col("o_orderstatus") == "P").select(F.col("o_orderkey").alias("p_partkey"))
+    train = b.join(held, "p_partkey", "left_anti")
+    return rnd(apply_fill(b, fit_medians(train, ["v"])), "v")
+
+
+@register("onehot", """
+WITH cats AS (SELECT p_type, row_number() OVER (ORDER BY p_type) - 1 AS idx FROM (SELECT DISTINCT p_type FROM part WHERE p_type <> 'PROMO'))
+SELECT p.p_partkey, p.p_type, CAST(coalesce(c.idx, -1) AS INTEGER) AS hot_index FROM part p LEFT JOIN cats c ON p.p_type = c.p_type""")
+def _onehot(spark, d):
+    from staylake.ml.prep import hot_position, onehot_pipeline
+    p = T(spark, d, "part").select("p_partkey", "p_type")
+    model = onehot_pipeline(["p_type"]).fit(p.where(F.col("p_type") != "PROMO"))
+    return model.transform(p).select("p_partkey", "p_type", hot_position("p_type__oh").alias("hot_index"))
+
+
+@register("infrequent", """
+WITH f AS (SELECT p_name FROM part WHERE p_size <= 40 AND p_name IS NOT NULL GROUP BY 1 HAVING count(*) >= 30)
+SELECT p.p_partkey, CASE WHEN p.p_name IS NULL THEN NULL WHEN f.p_name IS NULL THEN 'infrequent' ELSE p.p_name END AS p_name
+FROM part p LEFT JOIN f ON p.p_name = f.p_name""")
+def _infrequent(spark, d):
+    from staylake.ml.prep import bucket_infrequent
+    p = T(spark, d, "part").select("p_partkey", "p_name", "p_size")
+    return bucket_infrequent(p.where(F.col("p_size") <= 40), p, "p_name", 30).select("p_partkey", "p_name")
