@@ -24,10 +24,13 @@ DEFAULT_K = 3
 DEFAULT_N_INIT = 10
 DEFAULT_SEED = 42
 SEGMENT_NAMES = {
-    "group": "Group / Family Homes",
-    "long_stay": "Long-stay Listings",
-    "standard": "Standard Short-stay Listings",
+    "standard": "Standard short-stay listings",
+    "long_stay": "Long-stay standard apartments",
+    "group": "Large short-stay group homes",
 }
+# The mart columns the segmentation model uses.
+SEGMENT_CATEGORICAL = ["room_type", "property_base_group"]
+SEGMENT_NUMERIC = ["accommodates", "bedrooms", "bathrooms", "beds", "amenities_count", "minimum_nights_log"]
 UNKNOWN_SEGMENT = "Unknown"
 
 
@@ -184,6 +187,45 @@ def pca_2d(df: DataFrame, features_col: str = "features", k: int = 2) -> DataFra
                       *[F.col("_pa")[i].alias(f"pc{i + 1}") for i in range(k)])
 
 
+def feature_pipeline(categorical=SEGMENT_CATEGORICAL, numeric=SEGMENT_NUMERIC):
+    """One-hot categories (unseen -> zeros) + standardised numerics -> ``features``."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer
+    stages = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep", stringOrderType="alphabetAsc")
+              for c in categorical]
+    stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in categorical],
+                                outputCols=[f"{c}__oh" for c in categorical], dropLast=True))
+    stages.append(VectorAssembler(inputCols=list(numeric), outputCol="_num", handleInvalid="error"))
+    stages.append(StandardScaler(inputCol="_num", outputCol="_num_scaled", withMean=True, withStd=True))
+    stages.append(VectorAssembler(inputCols=[f"{c}__oh" for c in categorical] + ["_num_scaled"], outputCol="features"))
+    return Pipeline(stages=stages)
+
+
+def fit_segmentation(mart: DataFrame, k: int = DEFAULT_K, n_init: int = DEFAULT_N_INIT, seed: int = DEFAULT_SEED,
+                     categorical=SEGMENT_CATEGORICAL, numeric=SEGMENT_NUMERIC):
+    """Fit features once, k-means ``n_init`` times on the cached feature vectors;
+    returns one PipelineModel (features + best k-means) for persistence / scoring."""
+    from pyspark.ml import PipelineModel
+    feats = feature_pipeline(categorical, numeric).fit(mart)
+    vectors = feats.transform(mart).select("features")
+    best = fit_kmeans(vectors, k, n_init, seed)
+    return PipelineModel(stages=list(feats.stages) + [best])
+
+
+def segment_assign(model, mart: DataFrame) -> DataFrame:
+    """Apply the fitted feature stages then the k-means stage with distances."""
+    from pyspark.ml import PipelineModel
+    feats = PipelineModel(stages=model.stages[:-1])
+    return assign(model.stages[-1], feats.transform(mart))
+
+
+def centroid_signature(model, mart: DataFrame, accommodates: str = "accommodates",
+                       min_nights_log: str = "minimum_nights_log") -> DataFrame:
+    """Per cluster means of the naming features in original units (k rows)."""
+    a = segment_assign(model, mart)
+    return a.groupBy("cluster_id").agg(F.avg(accommodates).alias(accommodates), F.avg(min_nights_log).alias(min_nights_log))
+
+
 # ---------------------------------------------------------------- profiles
 
 def segment_profile(df: DataFrame, cluster_col: str, price_col: str, feature_cols: Sequence[str],

@@ -197,7 +197,10 @@ def run_suite(table_name: str, df: DataFrame, expectations: Sequence[Expectation
         elif e.kind == "row_count_matches":
             v = check_row_count_matches(df, others[e.params["compare_model"]])
         elif e.kind == "member_exists":
-            v = check_member_exists(df, e.params["conditions"])
+            conds = dict(e.params["conditions"])
+            if "city" in df.columns and "city" not in conds and e.params.get("city"):
+                conds["city"] = e.params["city"]
+            v = check_member_exists(df, conds)
         elif e.kind == "unknown_member_ratio_below":
             v = check_unknown_member_ratio_below(df, others[e.params["dimension"]],
                                                  e.params.get("max_ratio", DEFAULT_MAX_UNKNOWN_RATIO))

@@ -106,7 +106,7 @@ PART_LISTING_BINDING: list[tuple[str, str]] = [
     ("instant_bookable", "p_size > 25"),
     ("host_response_time", "p_type"),
     ("host_response_rate", "CAST(p_size AS DOUBLE) / 50.0"),
-    ("host_acceptance_rate", "CAST(NULL AS DOUBLE)"),
+    ("host_acceptance_rate", "NULLIF(CAST(p_size AS DOUBLE) / 60.0, 0.5)"),
     ("host_is_superhost", "p_size > 40"),
     ("host_listings_count", "p_size"),
     ("host_total_listings_count", "p_size"),

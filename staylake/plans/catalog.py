@@ -1253,3 +1253,143 @@ def _infrequent(spark, d):
     from staylake.ml.prep import bucket_infrequent
     p = T(spark, d, "part").select("p_partkey", "p_name", "p_size")
     return bucket_infrequent(p.where(F.col("p_size") <= 40), p, "p_name", 30).select("p_partkey", "p_name")
+
+
+# =========================================================== models (M7-M29): rows-only checks, no SQL oracle
+
+def _emb_vectors(spark, d):
+    from staylake.ml.segment import as_vector
+    return as_vector(T(spark, d, "embeddings"), "embedding")
+
+
+@register("kmeans_segments")
+def _kmeans_segments(spark, d):
+    """k-means (k=3, best of 3 seeds) on the embeddings, ids named by centroid signature."""
+    from staylake.ml import segment as S
+    v = _emb_vectors(spark, d)
+    model = S.fit_kmeans(v, 3, 3, 42)
+    assigned = S.assign(model, v)
+    cents = S.centroid_table(model).select("cluster_id", F.col("f0").alias("accommodates"),
+                                           F.col("f1").alias("minimum_nights_log"))
+    names = S.name_segments(cents, "accommodates", "minimum_nights_log")
+    return S.attach_names(assigned, names).select("vec_id", "label", "cluster_id", "cluster_name", "distance_to_centroid")
+
+
+@register("segment_mart_model")
+def _segment_mart_model(spark, d):
+    """Segmentation on the cluster mart: one-hot + scaled numerics, k-means, names, profile."""
+    from staylake.ml import segment as S
+    mart = features.cluster_model_features(B.bound_part_listings(spark, d)).cache()
+    model = S.fit_segmentation(mart, 3, 2)
+    names = S.name_segments(S.centroid_signature(model, mart), "accommodates", "minimum_nights_log")
+    assigned = S.attach_names(S.segment_assign(model, mart), names)
+    prof = S.segment_profile(assigned, "cluster_id", "price", S.SEGMENT_NUMERIC, ["room_type", "property_base_group"])
+    return prof.join(names, "cluster_id", "left")
+
+
+@register("elbow")
+def _elbow(spark, d):
+    from staylake.ml.segment import elbow
+    return elbow(_emb_vectors(spark, d), [2, 3, 4, 5, 6])
+
+
+@register("pca")
+def _pca(spark, d):
+    from staylake.ml.segment import pca_2d
+    return pca_2d(_emb_vectors(spark, d).select("vec_id", "label", "features"))
+
+
+@register("centroids")
+def _centroids(spark, d):
+    from staylake.ml import segment as S
+    return S.centroid_table(S.fit_kmeans(_emb_vectors(spark, d), 3, 2, 42))
+
+
+@register("silhouette")
+def _silhouette(spark, d):
+    from staylake.ml.segment import silhouette
+    v = _emb_vectors(spark, d).withColumn("label", F.col("label").cast("double"))
+    s = silhouette(v, "features", "label")
+    c = silhouette(v, "features", "label", "cosine")
+    return spark.createDataFrame([("squaredEuclidean", s), ("cosine", c)], "distance string, silhouette double")
+
+
+def _price_frame(spark, d):
+    return features.modelling_frame(features.price_model_features(B.bound_part_listings(spark, d)))
+
+
+def _price_cfg():
+    from staylake.ml.price import PriceConfig
+    return PriceConfig(params={"maxDepth": 4, "maxIter": 15, "stepSize": 0.1}, n_folds=3)
+
+
+@register("price_model")
+def _price_model(spark, d):
+    from staylake.ml.price import train_evaluate
+    _, metrics, _ = train_evaluate(_price_frame(spark, d), _price_cfg())
+    return metrics
+
+
+@register("price_cv")
+def _price_cv(spark, d):
+    from staylake.ml.price import cross_validate, cv_summary
+    m, _ = cross_validate(_price_frame(spark, d), _price_cfg())
+    return cv_summary(m.withColumn("model", F.lit("gbt")))
+
+
+@register("price_baselines")
+def _price_baselines(spark, d):
+    from staylake.ml.price import baselines
+    return baselines(_price_frame(spark, d), _price_cfg(), params={"gbt": {"maxIter": 10}, "rf": {"numTrees": 10}})
+
+
+@register("price_tuning")
+def _price_tuning(spark, d):
+    from staylake.ml.price import random_search
+    return random_search(_price_frame(spark, d), _price_cfg(), {"maxDepth": [3, 4, 5], "maxIter": [5, 10]}, 2)
+
+
+@register("price_importance")
+def _price_importance(spark, d):
+    from staylake.ml.explain import native_importance
+    from staylake.ml.price import train_evaluate
+    frame = _price_frame(spark, d)
+    cfg = _price_cfg()
+    model, _, _ = train_evaluate(frame, cfg)
+    return native_importance(model, frame, list(cfg.features))
+
+
+@register("price_permutation")
+def _price_permutation(spark, d):
+    from staylake.ml.explain import permutation_importance
+    from staylake.ml.price import train_evaluate
+    frame = _price_frame(spark, d)
+    cfg = _price_cfg()
+    model, _, _ = train_evaluate(frame, cfg)
+    return permutation_importance(model, frame, ["accommodates", "bedrooms", "neighbourhood"], "listing_id",
+                                  n_repeats=2, sample_rows=500)
+
+
+@register("price_pdp")
+def _price_pdp(spark, d):
+    from staylake.ml.explain import partial_dependence
+    from staylake.ml.price import train_evaluate
+    frame = _price_frame(spark, d)
+    model, _, _ = train_evaluate(frame, _price_cfg())
+    return partial_dependence(model, frame, "accommodates", [1, 5, 10, 20, 40], "listing_id", sample_rows=500)
+
+
+@register("model_roundtrip")
+def _model_roundtrip(spark, d):
+    """Train, register, promote, look up the champion, score the whole table, append once."""
+    import uuid as _uuid
+    from staylake.ml import registry as REG
+    from staylake.plans import jobs
+    from staylake.session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark).rstrip("/") + f"/staylake_models_{_uuid.uuid4().hex[:8]}"
+    schema = f"staylake_reg_{_uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{root}/db'")
+    mart = features.price_model_features(B.bound_part_listings(spark, d))
+    version = jobs.run_price_training(spark, mart, root + "/artifacts", schema, _price_cfg())
+    REG.promote(spark, schema, "price_prediction", version)
+    return jobs.run_price_inference(spark, mart, "batch_" + version, schema)
