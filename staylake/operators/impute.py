@@ -8,21 +8,12 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylake.operators.ranks import quantiles
+from staylake.operators.ranks import quantiles, quantiles_wide
 
 
 def group_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str], approx: bool = False) -> DataFrame:
-    """One row per group with the exact median of each column (skew-safe)."""
-    out = None
-    for c in cols:
-        m = quantiles(df, c, [0.5], by, [f"{c}__median"], approx=approx)
-        if out is None:
-            out = m
-        else:
-            l, r = out.alias("_a"), m.alias("_b")
-            cond = reduce(lambda a, b: a & b, [F.col(f"_a.{g}").eqNullSafe(F.col(f"_b.{g}")) for g in by])
-            out = l.join(r, cond, "inner").select("_a.*", F.col(f"_b.{c}__median"))
-    return out
+    """One row per group with the exact median of each column (one skew-safe pass)."""
+    return quantiles_wide(df, cols, [0.5], by, ["median"], approx=approx)
 
 
 def impute_group_median(df: DataFrame, cols: Sequence[str], by: Sequence[str], approx: bool = False) -> DataFrame:
@@ -35,16 +26,13 @@ def impute_group_median(df: DataFrame, cols: Sequence[str], by: Sequence[str], a
     """
     by = list(by)
     gm = group_medians(df, cols, by, approx)
-    glob = None
-    for c in cols:
-        q = quantiles(df, c, [0.5], [], [f"{c}__global"], approx=approx)
-        glob = q if glob is None else glob.crossJoin(q)
+    glob = quantiles_wide(df, cols, [0.5], [], ["global"], approx=approx)
     l, r = df.alias("_rows"), gm.alias("_gm")
     cond = reduce(lambda a, b: a & b, [F.col(f"_rows.{g}").eqNullSafe(F.col(f"_gm.{g}")) for g in by])
-    joined = l.join(r, cond, "left").select("_rows.*", *[F.col(f"_gm.{c}__median") for c in cols])
+    joined = l.join(r, cond, "left").select("_rows.*", *[F.col(f"_gm.{c}_median") for c in cols])
     joined = joined.crossJoin(F.broadcast(glob))
     return joined.select(
-        *[F.coalesce(F.col(c), F.col(f"{c}__median"), F.col(f"{c}__global")).alias(c) if c in cols else F.col(c)
+        *[F.coalesce(F.col(c), F.col(f"{c}_median"), F.col(f"{c}_global")).alias(c) if c in cols else F.col(c)
           for c in df.columns]
     )
 
@@ -55,10 +43,7 @@ def fill_constant(df: DataFrame, cols: Sequence[str], value) -> DataFrame:
 
 def median_fill(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """Exact interpolated-median fill (Spark's ``Imputer`` does not interpolate)."""
-    glob = None
-    for c in cols:
-        q = quantiles(df, c, [0.5], [], [f"{c}__global"], approx=approx)
-        glob = q if glob is None else glob.crossJoin(q)
+    glob = quantiles_wide(df, cols, [0.5], [], ["global"], approx=approx)
     joined = df.crossJoin(F.broadcast(glob))
-    return joined.select(*[F.coalesce(F.col(c), F.col(f"{c}__global")).alias(c) if c in cols else F.col(c)
+    return joined.select(*[F.coalesce(F.col(c), F.col(f"{c}_global")).alias(c) if c in cols else F.col(c)
                            for c in df.columns])

@@ -12,7 +12,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylake.operators.ranks import quantiles
+from staylake.operators.ranks import quantiles, quantiles_wide
 
 
 def _and(conds: Sequence[Column]) -> Column:
@@ -117,16 +117,21 @@ def column_quality(df: DataFrame, cols: Sequence[str] | None = None, approx_dist
 
 def describe(df: DataFrame, cols: Sequence[str], percentiles: Sequence[float] = (0.25, 0.5, 0.75),
              approx: bool = False) -> DataFrame:
-    """pandas-style numeric describe, one row per column (sample std)."""
+    """pandas-style numeric describe, one row per column (sample std): one
+    moments aggregate plus one stacked quantile pass for all columns."""
     names = [f"p{int(round(p * 100)):02d}" for p in percentiles]
-    parts = []
+    aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        moments = df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                         F.min(x).alias("min"), F.max(x).alias("max"))
-        q = quantiles(df, c, percentiles, [], names, approx=approx)
-        parts.append(moments.crossJoin(q).select(F.lit(c).alias("column"), "count", "mean", "std", "min", *names, "max"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        aggs += [F.count(x).alias(f"{c}_count"), F.avg(x).alias(f"{c}_mean"), F.stddev_samp(x).alias(f"{c}_std"),
+                 F.min(x).alias(f"{c}_min"), F.max(x).alias(f"{c}_max")]
+    moments = df.agg(*aggs)
+    q = quantiles_wide(df, cols, percentiles, [], names, approx=approx)
+    wide = moments.crossJoin(q)
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"{c}_count").alias("count"), F.col(f"{c}_mean").alias("mean"),
+                     F.col(f"{c}_std").alias("std"), F.col(f"{c}_min").alias("min"),
+                     *[F.col(f"{c}_{n}").alias(n) for n in names], F.col(f"{c}_max").alias("max")) for c in cols]
+    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def top_value(df: DataFrame, col: str, group_cols: Sequence[str] = ()) -> DataFrame:

@@ -41,17 +41,18 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def value_positions(df: DataFrame, value: str, group_cols: Sequence[str] = (),
-                    num_partitions: int | None = None) -> DataFrame:
-    """Distinct (group..., value) with n_below, n_equal, n_group. NULL values are skipped."""
+def value_counts(df: DataFrame, value: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Rows per distinct (group..., value), NULL values included (map-side combined)."""
     groups = list(group_cols)
-    counts = (
-        df.select(*groups, value)
-        .where(F.col(value).isNotNull())
-        .groupBy(*groups, value)
-        .agg(F.count(F.lit(1)).alias("n_equal"))
-    )
-    ranged = counts.repartitionByRange(_partitions(df, num_partitions), *groups, value).withColumn(
+    return df.select(*groups, value).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n_equal"))
+
+
+def positions_from_counts(counts: DataFrame, value: str, group_cols: Sequence[str] = (),
+                          num_partitions: int | None = None) -> DataFrame:
+    """n_below / n_group for each distinct non-NULL (group..., value) of a counts table."""
+    groups = list(group_cols)
+    counts = counts.where(F.col(value).isNotNull())
+    ranged = counts.repartitionByRange(_partitions(counts, num_partitions), *groups, value).withColumn(
         _PID, F.spark_partition_id()
     )
     before = Window.partitionBy(_PID, *groups).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
@@ -78,6 +79,12 @@ def value_positions(df: DataFrame, value: str, group_cols: Sequence[str] = (),
     )
 
 
+def value_positions(df: DataFrame, value: str, group_cols: Sequence[str] = (),
+                    num_partitions: int | None = None) -> DataFrame:
+    """Distinct (group..., value) with n_below, n_equal, n_group. NULL values are skipped."""
+    return positions_from_counts(value_counts(df, value, group_cols), value, group_cols, num_partitions)
+
+
 def average_rank(positions: DataFrame, name: str = "avg_rank") -> DataFrame:
     """1-based average rank of each distinct value (ties share the mean rank)."""
     return positions.withColumn(name, F.col("n_below") + (F.col("n_equal") + F.lit(1)) / F.lit(2.0))
@@ -111,7 +118,8 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], group_cols: Seq
         aggs = [F.percentile_approx(F.col(value).cast("double"), float(p), accuracy).alias(n)
                 for p, n in zip(probs, names)]
         return df.groupBy(*groups).agg(*aggs) if groups else df.agg(*aggs)
-    pos = value_positions(df, value, groups, num_partitions)
+    counts = value_counts(df, value, groups)
+    pos = positions_from_counts(counts, value, groups, num_partitions)
     n1 = F.col("n_group") - F.lit(1)
     lo_hi = []
     aggs = []
@@ -135,7 +143,7 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], group_cols: Seq
     result = agg.select(*out)
     if groups:
         # groups that exist but have only NULL values still appear, with NULL quantiles
-        keys = df.select(*groups).distinct()
+        keys = counts.select(*groups).distinct()  # from the already aggregated counts
         k, r = keys.alias("_k"), result.alias("_q")
         cond = reduce(lambda a, b: a & b, [F.col(f"_k.{g}").eqNullSafe(F.col(f"_q.{g}")) for g in groups])
         result = k.join(r, cond, "left").select(*[F.col(f"_k.{g}").alias(g) for g in groups],
@@ -146,3 +154,23 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], group_cols: Seq
 def median(df: DataFrame, value: str, group_cols: Sequence[str] = (), name: str = "median",
            approx: bool = False) -> DataFrame:
     return quantiles(df, value, [0.5], group_cols, [name], approx=approx)
+
+
+def quantiles_wide(df: DataFrame, cols: Sequence[str], probs: Sequence[float], group_cols: Sequence[str] = (),
+                   names: Sequence[str] | None = None, approx: bool = False,
+                   num_partitions: int | None = None) -> DataFrame:
+    """Quantiles of several columns in ONE pass: the columns are unpivoted and
+    the column name becomes one more group key. Output columns ``{col}_{name}``."""
+    groups = list(group_cols)
+    names = list(names) if names else [f"q{int(round(p * 100)):02d}" for p in probs]
+    if approx:
+        aggs = [F.percentile_approx(F.col(c).cast("double"), float(p), 10000).alias(f"{c}_{n}")
+                for c in cols for p, n in zip(probs, names)]
+        return df.groupBy(*groups).agg(*aggs) if groups else df.agg(*aggs)
+    stacked = df.select(*groups, *[F.col(c).cast("double").alias(c) for c in cols]) \
+                .unpivot(groups, list(cols), "_sl_column", "_sl_value")
+    long = quantiles(stacked, "_sl_value", probs, groups + ["_sl_column"], names, num_partitions=num_partitions)
+    pivoted = long.groupBy(*groups).pivot("_sl_column", list(cols)).agg(*[F.first(n).alias(n) for n in names])
+    if len(names) == 1:
+        pivoted = pivoted.select(*groups, *[F.col(f"`{c}`").alias(f"{c}_{names[0]}") for c in cols])
+    return pivoted
