@@ -26,6 +26,12 @@ BINARY_TRUE_TOKENS = ("t", "true", "1", "yes")
 # Fixed value: characters that survive money / percent cleaning.
 MONEY_STRIP_PATTERN = r"[^0-9.-]"
 
+# Numeric text (optional sign, digits with optional fraction, optional exponent).
+# Casts are only attempted on text that matches: a failed cast raises and
+# catches an exception per row inside Spark, a regex test does not.
+NUMERIC_TEXT = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+FLOAT_SPECIALS = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan")
+
 # Fixed value: first number in a free-text bathroom description ("1.5 baths").
 BATHROOM_NUMBER_PATTERN = r"[0-9]+(\.[0-9]+)?"
 
@@ -49,7 +55,7 @@ def clean_money(c: ColumnOrName) -> Column:
     ``'$1,234.00'`` -> 1234.0; ``''`` / ``'N/A'`` / ``'1-2'`` -> NULL.
     """
     stripped = F.regexp_replace(as_text(c), MONEY_STRIP_PATTERN, "")
-    return F.nullif(stripped, F.lit("")).try_cast("double")
+    return F.when(stripped.rlike(NUMERIC_TEXT), stripped.try_cast("double"))
 
 
 def clean_percent(c: ColumnOrName) -> Column:
@@ -73,6 +79,12 @@ def to_binary(c: ColumnOrName) -> Column:
     return F.when(token.isin(*BINARY_TRUE_TOKENS), F.lit(1)).otherwise(F.lit(0))
 
 
+def numeric_text_to_double(text: Column) -> Column:
+    """try_cast(text AS double), attempted only on numeric-looking or special (inf / nan) text."""
+    ok = text.rlike(NUMERIC_TEXT) | F.lower(F.trim(text)).isin(*FLOAT_SPECIALS)
+    return F.when(ok, text.try_cast("double"))
+
+
 def safe_cast(c: ColumnOrName, data_type: str) -> Column:
     """NULL-on-failure cast that also accepts integers written as decimals.
 
@@ -82,13 +94,15 @@ def safe_cast(c: ColumnOrName, data_type: str) -> Column:
     keep every digit.
     """
     data_type = data_type.lower()
-    text = as_text(c) if not isinstance(c, Column) or data_type in ("bigint", "int", "integer", "long", "smallint") else c
     if data_type in ("bigint", "long", "int", "integer", "smallint"):
         target = "int" if data_type in ("int", "integer") else ("smallint" if data_type == "smallint" else "bigint")
-        via_decimal = F.round(F.trim(text).try_cast("decimal(38,10)"), 0).try_cast(target)
-        return F.coalesce(F.trim(text).try_cast(target), via_decimal)
+        text = F.trim(as_text(c))
+        as_dec = F.when(text.rlike(NUMERIC_TEXT), text.try_cast("decimal(38,10)"))
+        return F.round(as_dec, 0).try_cast(target)
     if data_type == "date":
         return F.trim(as_text(c)).try_cast("date")
+    if data_type == "double":
+        return numeric_text_to_double(as_text(c))
     return _col(c).try_cast(data_type)
 
 

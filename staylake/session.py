@@ -11,6 +11,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast decisions: planning-time size ESTIMATES only for tiny inputs;
+    # everything else is decided by AQE from the MEASURED shuffle output size.
+    "spark.sql.autoBroadcastJoinThreshold": str(1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
