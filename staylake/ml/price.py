@@ -203,3 +203,49 @@ def running_best(trials: DataFrame, study: str, order: str, metric: str) -> Data
     from pyspark.sql import Window
     w = Window.partitionBy(study).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return trials.withColumn("best_so_far", F.min(metric).over(w))
+
+
+def price_training_check(predictions: DataFrame, metrics: DataFrame, key: str = "listing_id") -> DataFrame:
+    """One row: finite RMSE, non-empty, finite non-negative predictions, keys present, one version."""
+    m = metrics.select(F.col("rmse").alias("_rmse"))
+    p = predictions.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~is_finite("predicted_log_price") | ~is_finite("predicted_price")).alias("non_finite"),
+        F.count_if(F.col("predicted_price") < 0).alias("negative"),
+        F.count_if(F.col(key).isNull()).alias("null_keys"),
+        (F.count_distinct("model_version") if "model_version" in predictions.columns else F.lit(1)).alias("versions"))
+    j = p.crossJoin(m)
+    return j.withColumn("passed", is_finite("_rmse") & (F.col("rows") > 0) & (F.col("non_finite") == 0)
+                        & (F.col("negative") == 0) & (F.col("null_keys") == 0) & (F.col("versions") == 1)) \
+            .withColumnRenamed("_rmse", "rmse")
+
+
+def evaluate_model(model: PipelineModel, df: DataFrame, target: str = TARGET) -> DataFrame:
+    """Score an existing model on labelled rows and return the metric row."""
+    return regression_metrics(predict(model, df, target), target, "predicted_log_price", 0)
+
+
+def refit_best(df: DataFrame, cfg: PriceConfig, trials: DataFrame) -> PipelineModel:
+    """Refit on all given rows with the best trial's parameters (lowest CV RMSE)."""
+    import ast
+    best = trials.orderBy("cv_rmse", "trial").first()
+    params = dict(ast.literal_eval(best["params"]))
+    return build_pipeline(cfg.features, cfg.target, cfg.algorithm, params, cfg.seed).fit(df)
+
+
+def feature_selection(df: DataFrame, cfg: PriceConfig, ranked_features: Sequence[str],
+                      sizes: Sequence[int] = (10, 15, 20, 22, 25), tolerance: float = 0.01) -> tuple[DataFrame, DataFrame]:
+    """CV of the top-k features by importance for each k (plus the full set), then
+    the smallest set whose CV RMSE is within ``tolerance`` of the full set's.
+    Returns (table of (n_features, features, rmse_mean, rmse_std), chosen row)."""
+    from staylake.operators.topk import smallest_accepted
+    ranked = list(ranked_features)
+    ks = sorted({k for k in sizes if k < len(ranked)} | {len(ranked)})
+    rows = []
+    for k in ks:
+        feats = ranked[:k]
+        metrics, _ = cross_validate(df, cfg, features=feats)
+        s = metrics.where(F.col("status") == "ok").agg(F.avg("rmse").alias("m"), F.stddev_samp("rmse").alias("s")).first()
+        rows.append((k, ",".join(feats), s["m"], s["s"]))
+    table = df.sparkSession.createDataFrame(rows, "n_features int, features string, rmse double, rmse_std double")
+    return table, smallest_accepted(table, tolerance)

@@ -243,3 +243,23 @@ def segment_profile(df: DataFrame, cluster_col: str, price_col: str, feature_col
         top = top_value(df, c, [cluster_col]).select(cluster_col, F.col("top").alias(f"dominant_{c}"))
         out = _null_safe_join(out, top, [cluster_col], "left")
     return out
+
+
+def segment_price_summary(df: DataFrame, cluster_col: str, price_col: str, approx: bool = False) -> DataFrame:
+    """p25 / median / p75 / mean price per segment (exact, skew-safe)."""
+    q = quantiles(df, price_col, [0.25, 0.5, 0.75], [cluster_col], ["p25", "median", "p75"], approx=approx)
+    m = df.groupBy(cluster_col).agg(F.avg(price_col).alias("mean"), F.count(F.lit(1)).alias("n"))
+    return _null_safe_join(q, m, [cluster_col])
+
+
+def segmentation_check(assignments: DataFrame, k: int, key: str = "listing_id") -> DataFrame:
+    """One row: rows, duplicate keys, ids outside 0..k-1, NULL names, versions, passed."""
+    r = assignments.agg(
+        F.count(F.lit(1)).alias("rows"),
+        (F.count(key) - F.count_distinct(key)).alias("duplicate_keys"),
+        F.count_if(F.col(key).isNull()).alias("null_keys"),
+        F.count_if(~F.col("cluster_id").between(0, k - 1) | F.col("cluster_id").isNull()).alias("bad_cluster_ids"),
+        F.count_if(F.col("cluster_name").isNull()).alias("null_names"),
+        F.count_distinct("model_version").alias("versions"))
+    return r.withColumn("passed", (F.col("rows") > 0) & (F.col("duplicate_keys") == 0) & (F.col("null_keys") == 0)
+                        & (F.col("bad_cluster_ids") == 0) & (F.col("null_names") == 0) & (F.col("versions") == 1))

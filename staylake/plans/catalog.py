@@ -1393,3 +1393,50 @@ def _model_roundtrip(spark, d):
     version = jobs.run_price_training(spark, mart, root + "/artifacts", schema, _price_cfg())
     REG.promote(spark, schema, "price_prediction", version)
     return jobs.run_price_inference(spark, mart, "batch_" + version, schema)
+
+
+# =========================================================== derived measures (B17, B18), segment prices
+
+@register("derived_rates", f"""
+WITH m AS (SELECT max(l_discount) AS md, max(l_tax) AS mt FROM lineitem)
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+  round(CASE WHEN m.md <= 1 THEN l.l_discount * 100.0 ELSE l.l_discount END, {R}) AS l_discount,
+  round(CASE WHEN m.mt <= 1 THEN l.l_tax * 100.0 ELSE l.l_tax END, {R}) AS l_tax,
+  round(l.l_quantity / 30.0, {R}) AS availability_30_rate,
+  round(datediff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) / 365.25, {R}) AS tenure_years,
+  round(datediff('day', CAST(o.o_orderdate AS DATE), DATE '2026-01-01') / 365.25, {R}) AS tenure_fixed
+FROM lineitem l CROSS JOIN m JOIN orders o ON l.l_orderkey = o.o_orderkey""")
+def _derived_rates(spark, d):
+    from staylake.functions.derived import availability_rates, rescale_fraction_percent, tenure_years
+    li = T(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount", "l_tax",
+                                        F.col("l_quantity").alias("availability_30"), "l_shipdate")
+    o = T(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    x = rescale_fraction_percent(availability_rates(li), ["l_discount", "l_tax"]).join(o, "l_orderkey")
+    out = x.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount", "l_tax", "availability_30_rate",
+                   tenure_years("o_orderdate", "l_shipdate").alias("tenure_years"),
+                   tenure_years("o_orderdate").alias("tenure_fixed"))
+    return rnd(out)
+
+
+@register("segment_price_summary", f"""
+SELECT label, round(quantile_cont(e0, 0.25), {R}) AS p25, round(quantile_cont(e0, 0.5), {R}) AS median,
+  round(quantile_cont(e0, 0.75), {R}) AS p75, round(avg(e0), {R}) AS mean, count(*) AS n
+FROM ({_EMB_FLAT_SQL}) GROUP BY label""")
+def _segment_price_summary(spark, d):
+    from staylake.ml.segment import segment_price_summary
+    return rnd(segment_price_summary(_emb_flat(spark, d), "label", "e0"))
+
+
+@register("price_feature_selection")
+def _price_feature_selection(spark, d):
+    """Top-k feature subsets by importance, CV RMSE each, smallest accepted set."""
+    from staylake.ml.explain import native_importance
+    from staylake.ml.price import feature_selection, train_evaluate
+    frame = _price_frame(spark, d).cache()
+    cfg = _price_cfg()
+    model, _, _ = train_evaluate(frame, cfg)
+    ranked = [r.feature for r in native_importance(model, frame, list(cfg.features)).orderBy("rank").collect()
+              if r.feature in cfg.features]
+    table, chosen = feature_selection(frame, cfg, ranked, (5, 10))
+    return table.join(chosen.select("n_features", F.lit(True).alias("chosen")), "n_features", "left") \
+        .fillna(False, subset=["chosen"])

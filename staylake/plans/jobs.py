@@ -84,6 +84,9 @@ def run_price_training(spark: SparkSession, mart: DataFrame, artifact_root: str,
     frame = features.modelling_frame(mart)
     model, metrics, pred = P.train_evaluate(frame, cfg)
     version = REG.new_version("price")
+    check = P.price_training_check(pred, metrics).first()
+    if not check["passed"]:
+        raise ValueError(f"price training check failed: {check.asDict()}")
     path = f"{artifact_root.rstrip('/')}/{version}"
     REG.save_model(model, path, {"features": list(cfg.features), "target": cfg.target, "algorithm": cfg.algorithm,
                                  "params": cfg.params})
@@ -116,7 +119,14 @@ def run_segmentation(spark: SparkSession, mart: DataFrame, artifact_root: str, s
                            "distance_to_centroid", F.current_timestamp().alias("assigned_at"),
                            F.lit(version).alias("assignment_run_id"))
     pre = f"{schema}." if schema else ""
+    check = S.segmentation_check(rows, k).first()
+    if not check["passed"]:
+        raise ValueError(f"segmentation check failed: {check.asDict()}")
     REG.append_run_once(rows, pre + "gold_listing_segments", "assignment_run_id", "listing_id")
+    prof = S.segment_profile(assigned, "cluster_id", "price", [], []).join(names, "cluster_id", "left")
+    REG.guarded_append(prof.select(F.lit(version).alias("model_version"), "cluster_id", "cluster_name", "listing_count",
+                                   "median_price", "avg_price", "listing_share",
+                                   F.current_timestamp().alias("created_at")), pre + "gold_segment_profiles")
     return version
 
 
