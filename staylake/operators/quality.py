@@ -154,6 +154,22 @@ def check_unknown_member_ratio_below(fact: DataFrame, dim: DataFrame, max_ratio:
     return r.where(F.col("unknown_ratio") > F.col("max_allowed_ratio"))
 
 
+def fused_unique_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Duplicated-value counts for several single-column keys in ONE shuffle:
+    the key columns are stacked as (column, value-as-text) and grouped once."""
+    cols = list(dict.fromkeys(cols))
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in cols])).alias("s")) \
+        .select("s.*").where(F.col("v").isNotNull())
+    dups = stacked.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1) \
+        .groupBy("column_name").agg(F.count(F.lit(1)).alias("violations"))
+    spark = df.sparkSession
+    names = spark.createDataFrame([(c,) for c in cols], "column_name string")
+    return (F.broadcast(names).join(dups, "column_name", "left")
+            .select(F.lit("unique").alias("check_name"), "column_name",
+                    F.coalesce(F.col("violations"), F.lit(0)).cast("bigint").alias("violations")))
+
+
 # ---------------------------------------------------------------- suite
 
 @dataclass
@@ -183,12 +199,13 @@ def run_suite(table_name: str, df: DataFrame, expectations: Sequence[Expectation
         rows = [F.struct(F.lit(e.kind).alias("check_name"), F.lit(e.column).alias("column_name"),
                          F.col(f"v{i}").cast("bigint").alias("violations")) for i, e in enumerate(row_level)]
         results.append(wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
+    uniques = [e for e in expectations if e.kind == "unique"]
+    if uniques:
+        results.append(fused_unique_counts(df, [e.column for e in uniques]))
     for e in expectations:
-        if e.kind in ROW_LEVEL:
+        if e.kind in ROW_LEVEL or e.kind == "unique":
             continue
-        if e.kind == "unique":
-            v = check_unique(df, e.column)
-        elif e.kind == "unique_combination_of_columns":
+        if e.kind == "unique_combination_of_columns":
             v = check_unique_combination(df, e.params["columns"])
         elif e.kind == "relationships":
             v = check_relationships(df, e.column, others[e.params["to"]], e.params["field"])

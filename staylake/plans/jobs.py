@@ -58,14 +58,28 @@ def run_contracts(tables: dict[str, DataFrame], names: list[str] | None = None)
     return reduce(lambda a, b: a.unionByName(b), results)
 
 
+# silver tables joined on listing_id are bucketed alike: the fact joins need no shuffle
+LISTING_BUCKETED = {"silver_listings": None, "silver_calendar": ["calendar_date"], "silver_reviews": ["review_date"]}
+
+
+def default_buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def build_lakehouse(spark: SparkSession, raw_dir: str, city: str = gold.DEFAULT_CITY, dedup_calendar: bool = True,
-                    bronze_schema: str = "bronze", silver_schema: str = "silver", gold_schema: str = "gold") -> DataFrame:
+                    bronze_schema: str = "bronze", silver_schema: str = "silver", gold_schema: str = "gold",
+                    buckets: int | None = None) -> DataFrame:
     """Full refresh. Returns the contract results table (also written to gold.dq_results)."""
     load_bronze(spark, raw_dir, bronze_schema)
     bronze = {t: spark.table(f"{bronze_schema}.bronze_{t}") for t in ("listings", "calendar", "reviews", "neighbourhoods")}
+    n_buckets = buckets or default_buckets(spark)
     written: dict[str, DataFrame] = {}
     for name, df in silver_from_bronze(bronze, dedup_calendar).items():
-        written[name] = spark.table(materialize(df, silver_schema, name))
+        if name in LISTING_BUCKETED:
+            path = materialize(df, silver_schema, name, bucket_by=("listing_id", n_buckets), sort_by=LISTING_BUCKETED[name])
+        else:
+            path = materialize(df, silver_schema, name)
+        written[name] = spark.table(path)
     for name, df in gold_from_silver(written, city).items():
         part = PARTITIONING.get(name)
         if part:

@@ -7,13 +7,22 @@ from pyspark.sql import functions as F
 
 
 def materialize(df: DataFrame, layer: str, name: str, partition_by: list[str] | None = None,
-                mode: str = "overwrite") -> str:
-    """Write a model as ``layer.name`` (Parquet table); facts are partitioned for pruning."""
+                mode: str = "overwrite", bucket_by: tuple[str, int] | None = None,
+                sort_by: list[str] | None = None) -> str:
+    """Write a model as ``layer.name`` (Parquet table).
+
+    Facts are partitioned for pruning; tables that are joined on the same key
+    are bucketed on it with the same bucket count, so later joins read
+    co-located buckets instead of shuffling both sides."""
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     w = df.write.mode(mode).format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        w = w.bucketBy(bucket_by[1], bucket_by[0])
+        if sort_by:
+            w = w.sortBy(*sort_by)
     w.saveAsTable(f"{layer}.{name}")
     return f"{layer}.{name}"
 

@@ -66,3 +66,20 @@ def test_seeded_faults_are_counted(spark, tmp_path):
     assert got[("silver_listings", "relationships", "neighbourhood")] == 1
     assert got[("silver_reviews", "relationships", "listing_id")] == 1
     assert got[("fact_review", "row_count_matches", None)] == 1
+
+
+def test_fact_join_reads_colocated_buckets(spark, clean_build):
+    """silver_calendar and silver_listings are bucketed on listing_id: the fact join shuffles neither side."""
+    _, sfx = clean_build
+    from staylake.plans import gold
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = gold.fact_availability_daily(spark.table(f"s_{sfx}.silver_calendar"), spark.table(f"s_{sfx}.silver_listings"))
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan
+    assert "Exchange hashpartitioning" not in plan, plan
