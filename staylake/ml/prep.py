@@ -112,3 +112,62 @@ def onehot_pipeline(cols: Sequence[str]) -> Pipeline:
 def hot_position(vec_col: str) -> Column:
     """0-based position of the 1.0 in a one-hot vector, -1 for all zeros."""
     return (F.array_position(vector_to_array(F.col(vec_col)), F.lit(1.0)) - 1).cast("int")
+
+
+# ---------------------------------------------------------------- in-pipeline infrequent bucketing (M6)
+
+from pyspark import keyword_only  # noqa: E402
+from pyspark.ml import Estimator, Model  # noqa: E402
+from pyspark.ml.param.shared import HasInputCols, Param, Params, TypeConverters  # noqa: E402
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable  # noqa: E402
+
+# vocabularies above this size belong in a join (``bucket_infrequent``), not in a plan literal
+MAX_VOCAB = 100_000
+
+
+class _InfrequentParams(HasInputCols):
+    minFrequency = Param(Params._dummy(), "minFrequency", "minimum training count of a kept category",
+                         typeConverter=TypeConverters.toInt)
+
+
+class InfrequentBucketer(Estimator, _InfrequentParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Fit: per input column, the categories seen at least ``minFrequency`` times
+    (one distributed group-by). Transform: every other non-NULL value -> 'infrequent'."""
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, minFrequency=MIN_FREQUENCY):
+        super().__init__()
+        self._setDefault(minFrequency=MIN_FREQUENCY)
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset):
+        cols = self.getInputCols()
+        k = self.getOrDefault(self.minFrequency)
+        stacked = dataset.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("s")).select("s.*")
+        frequent = (stacked.where(F.col("v").isNotNull()).groupBy("c", "v").count().where(F.col("count") >= k)
+                    .select("c", "v"))
+        n = frequent.count()
+        if n > MAX_VOCAB:
+            raise ValueError(f"{n} frequent categories; use staylake.ml.prep.bucket_infrequent (join) instead")
+        vocab: dict[str, list[str]] = {c: [] for c in cols}
+        for r in frequent.collect():  # bounded by MAX_VOCAB above
+            vocab[r.c].append(r.v)
+        model = InfrequentBucketerModel(inputCols=cols, vocabulary=[sorted(vocab[c]) for c in cols])
+        return self._copyValues(model)
+
+
+class InfrequentBucketerModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    vocabulary = Param(Params._dummy(), "vocabulary", "frequent categories per input column",
+                       typeConverter=TypeConverters.toList)
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, vocabulary=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset):
+        vocab = dict(zip(self.getInputCols(), self.getOrDefault(self.vocabulary)))
+        return dataset.withColumns({
+            c: F.when(F.col(c).isNull() | F.col(c).isin(*v), F.col(c)).otherwise(F.lit(INFREQUENT_LABEL))
+            for c, v in vocab.items()})

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylake.functions.cleaning import is_finite
-from staylake.ml.prep import UNKNOWN_LABEL, kfold_assign, hash_split
+from staylake.ml.prep import MIN_FREQUENCY, UNKNOWN_LABEL, InfrequentBucketer, hash_split, kfold_assign
 from staylake.operators.errors import regression_metrics
 from staylake.operators.ranks import quantiles
 
@@ -69,7 +69,7 @@ def regressor(algorithm: str, target: str, params: dict | None = None, seed: int
 
 
 def build_pipeline(features: Sequence[str], target: str = TARGET, algorithm: str = "gbt", params: dict | None = None,
-                   seed: int = 42) -> Pipeline:
+                   seed: int = 42, min_frequency: int | None = MIN_FREQUENCY) -> Pipeline:
     numeric, categorical, native = roles(features)
     stages = []
     fills = [f"coalesce(CAST({c} AS STRING), '{UNKNOWN_LABEL}') AS {c}__cat" for c in categorical]
@@ -81,6 +81,8 @@ def build_pipeline(features: Sequence[str], target: str = TARGET, algorithm: str
         stages.append(Imputer(inputCols=num_cols, outputCols=[f"{c}__imp" for c in num_cols], strategy="median"))
         stages.append(VectorAssembler(inputCols=[f"{c}__imp" for c in num_cols], outputCol="_num_vec"))
         stages.append(StandardScaler(inputCol="_num_vec", outputCol="_num_scaled", withMean=True, withStd=True))
+    if categorical and min_frequency:
+        stages.append(InfrequentBucketer(inputCols=[f"{c}__cat" for c in categorical], minFrequency=min_frequency))
     for c in categorical:
         stages.append(StringIndexer(inputCol=f"{c}__cat", outputCol=f"{c}__idx", handleInvalid="keep",
                                     stringOrderType="alphabetAsc"))

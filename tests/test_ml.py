@@ -90,3 +90,16 @@ def test_training_and_inference_jobs(spark, schema, mart):
     assert check.rows == mart.count() and check.non_finite == 0 and check.negative == 0
     with pytest.raises(ValueError):
         jobs.run_price_inference(spark, mart, "batch1", schema)
+
+
+def test_infrequent_bucketer_roundtrip(spark, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+    from staylake.ml.prep import InfrequentBucketer
+    df = spark.createDataFrame([("a",)] * 31 + [("b",)] * 2 + [(None,)], "c string")
+    model = Pipeline(stages=[InfrequentBucketer(inputCols=["c"], minFrequency=30)]).fit(df)
+    out = sorted(set(r.c for r in model.transform(df).collect()), key=str)
+    assert out == ["a", "infrequent", None] or out == [None, "a", "infrequent"]
+    path = str(tmp_path / "m")
+    model.write().save(path)
+    again = PipelineModel.load(path).transform(spark.createDataFrame([("b",), ("a",), ("z",)], "c string"))
+    assert [r.c for r in again.collect()] == ["infrequent", "a", "infrequent"]
