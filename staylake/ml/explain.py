@@ -3,7 +3,7 @@ features, permutation importance and partial dependence on a bounded sample."""
 
 from __future__ import annotations
 
-from functools import reduce
+
 from typing import Sequence
 
 from pyspark.ml import PipelineModel

@@ -12,7 +12,7 @@ import json
 import re
 import uuid
 from datetime import datetime, timezone
-from typing import Sequence
+
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession

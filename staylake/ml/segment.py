@@ -2,7 +2,7 @@
 profiles, naming by centroid signature, assignment of new rows.
 
 Feature rows are never paired with each other: every metric is a sum over
-rows against the k centroids (k x dim numbers, a model-sized table).
+rows against the k centroids (k x dim numbers, model-sized, inlined as literals).
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylake.operators.profile import _null_safe_join, top_value
@@ -34,55 +34,60 @@ SEGMENT_NUMERIC = ["accommodates", "bedrooms", "bathrooms", "beds", "amenities_c
 UNKNOWN_SEGMENT = "Unknown"
 
 
-# ---------------------------------------------------------------- long (row, dim, x) form
-
-def long_form(df: DataFrame, id_col: str, vec_col: str, label_col: str | None = None) -> DataFrame:
-    """(id, [label], dim, x) rows from an array<float|double> or vector column."""
+def _as_array(df: DataFrame, vec_col: str) -> Column:
     dtype = dict(df.dtypes)[vec_col]
-    arr = F.col(vec_col) if dtype.startswith("array") else vector_to_array(F.col(vec_col))
-    cols = [id_col] + ([label_col] if label_col else [])
-    return df.select(*cols, F.posexplode(arr).alias("dim", "x")).withColumn("x", F.col("x").cast("double"))
-
-
-def centroids_long(long: DataFrame, label_col: str) -> DataFrame:
-    """(label, dim, c) per-cluster means, plus n per cluster."""
-    return long.groupBy(label_col, "dim").agg(F.avg("x").alias("c"), F.count(F.lit(1)).alias("n"))
+    return F.col(vec_col).cast("array<double>") if dtype.startswith("array") else vector_to_array(F.col(vec_col))
 
 
 def cluster_quality(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
     """Inertia, clusters observed, Calinski-Harabasz and Davies-Bouldin for given labels.
 
-    CH and DB are NULL when fewer than two clusters are observed or every row is
-    its own cluster. Euclidean distances; all sums are distributed aggregates.
+    Two aggregate passes, no joins and no row pairs: (1) count and mean vector
+    per cluster (Spark ML ``Summarizer``); (2) each row's Euclidean distance to
+    its own centroid, with the k centroids inlined as a literal array (k x dim
+    numbers, model-sized), summed per cluster. CH / DB then need only the k
+    cluster rows. CH and DB are NULL with fewer than two clusters or when every
+    row is its own cluster.
     """
-    long = long_form(df, id_col, vec_col, label_col)
-    cents = centroids_long(long, label_col)
-    sizes = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n_k"))
-    # squared distance of every row to its own centroid
-    d = (long.join(cents.select(label_col, "dim", "c"), [label_col, "dim"])
-         .groupBy(id_col, label_col).agg(F.sum((F.col("x") - F.col("c")) ** 2).alias("d2")))
-    within = d.agg(F.sum("d2").alias("inertia"), F.count(F.lit(1)).alias("n"))
-    scatter = d.groupBy(label_col).agg(F.avg(F.sqrt("d2")).alias("s_k"))
-    overall = long.groupBy("dim").agg(F.avg("x").alias("g"))
-    between = (cents.join(overall, "dim").groupBy(label_col)
-               .agg(F.sum((F.col("c") - F.col("g")) ** 2).alias("b2")).join(sizes, label_col)
-               .agg(F.sum(F.col("b2") * F.col("n_k")).alias("between"), F.count(F.lit(1)).alias("k")))
-    # centroid pairs: k x k rows (k = clusters observed, a model-sized table)
-    ca = cents.select(F.col(label_col).alias("a"), "dim", F.col("c").alias("ca"))
-    cb = cents.select(F.col(label_col).alias("b"), "dim", F.col("c").alias("cb"))
-    sep = (ca.join(cb, "dim").where(F.col("a") != F.col("b")).groupBy("a", "b")
-           .agg(F.sqrt(F.sum((F.col("ca") - F.col("cb")) ** 2)).alias("m")))
-    sa = scatter.select(F.col(label_col).alias("a"), F.col("s_k").alias("sa"))
-    sb = scatter.select(F.col(label_col).alias("b"), F.col("s_k").alias("sb"))
-    db = (sep.join(sa, "a").join(sb, "b").groupBy("a")
-          .agg(F.max((F.col("sa") + F.col("sb")) / F.col("m")).alias("r")).agg(F.avg("r").alias("db")))
-    res = within.crossJoin(between).crossJoin(db)
-    k, n = F.col("k"), F.col("n")
-    valid = (k >= 2) & (k < n)
-    return res.select(
-        F.col("inertia"), k.alias("clusters_observed"),
-        F.when(valid, (F.col("between") / (k - 1)) / (F.col("inertia") / (n - k))).alias("calinski_harabasz"),
-        F.when(valid, F.col("db")).alias("davies_bouldin"))
+    from pyspark.ml.stat import Summarizer
+    spark = df.sparkSession
+    arr = _as_array(df, vec_col)
+    per = (df.select(F.col(label_col).alias("_k"), array_to_vector(arr).alias("_v"))
+           .groupBy("_k").agg(Summarizer.mean(F.col("_v")).alias("_mean"), F.count(F.lit(1)).alias("_n")))
+    rows = per.collect()  # one row per cluster
+    labels = [r["_k"] for r in rows]
+    means = [[float(x) for x in r["_mean"].toArray()] for r in rows]
+    sizes = [int(r["_n"]) for r in rows]
+    pos = {lab: i for i, lab in enumerate(labels)}
+    cents = F.array(*[F.array(*[F.lit(v) for v in m]) for m in means])
+    idx = F.create_map(*[x for lab, i in pos.items() for x in (F.lit(lab), F.lit(i + 1))])
+    own = F.element_at(cents, F.element_at(idx, F.col(label_col)))
+    d2 = F.aggregate(F.zip_with(arr, own, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
+    within = (df.select(F.col(label_col).alias("_k"), d2.alias("_d2"))
+              .groupBy("_k").agg(F.sum("_d2").alias("_w"), F.avg(F.sqrt("_d2")).alias("_s"))).collect()
+    w_by = {r["_k"]: r["_w"] for r in within}
+    s_by = {r["_k"]: r["_s"] for r in within}
+    k, n = len(labels), sum(sizes)
+    inertia = float(sum(w_by.values())) if w_by else None
+    ch = db = None
+    if 2 <= k < n:
+        dim = len(means[0])
+        g = [sum(sizes[i] * means[i][j] for i in range(k)) / n for j in range(dim)]
+        between = sum(sizes[i] * sum((means[i][j] - g[j]) ** 2 for j in range(dim)) for i in range(k))
+        ch = (between / (k - 1)) / (inertia / (n - k)) if inertia else None
+        ratios = []
+        for a in range(k):
+            best = None
+            for b in range(k):
+                if a == b:
+                    continue
+                m = sum((means[a][j] - means[b][j]) ** 2 for j in range(dim)) ** 0.5
+                r = (s_by[labels[a]] + s_by[labels[b]]) / m if m else float("inf")
+                best = r if best is None else max(best, r)
+            ratios.append(best)
+        db = sum(ratios) / k
+    return spark.createDataFrame([(inertia, k, ch, db)],
+                                 "inertia double, clusters_observed bigint, calinski_harabasz double, davies_bouldin double")
 
 
 def silhouette(df: DataFrame, features_col: str, prediction_col: str, distance: str = "squaredEuclidean") -> float:

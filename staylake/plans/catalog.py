@@ -9,11 +9,10 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylake.functions import cleaning as C
-from staylake.functions.keys import date_attributes
 from staylake.functions.rules import (PY_PROPERTY_DEFAULT, PY_PROPERTY_NULL_LABEL, PY_PROPERTY_RULES,
                                       SQL_PROPERTY_DEFAULT, SQL_PROPERTY_EXACT, SQL_PROPERTY_NULL_LABEL,
                                       SQL_PROPERTY_RULES, categorize, property_group_py, property_group_sql,
@@ -1440,3 +1439,18 @@ def _price_feature_selection(spark, d):
     table, chosen = feature_selection(frame, cfg, ranked, (5, 10))
     return table.join(chosen.select("n_features", F.lit(True).alias("chosen")), "n_features", "left") \
         .fillna(False, subset=["chosen"])
+
+
+@register("segmentation_job")
+def _segmentation_job(spark, d):
+    """Fit + name + persist + register the segmentation model, then score the whole mart
+    through the registry (candidate allowed) with an idempotent append."""
+    import uuid as _uuid
+    from staylake.plans import jobs
+    from staylake.session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark).rstrip("/") + f"/staylake_seg_{_uuid.uuid4().hex[:8]}"
+    schema = f"staylake_seg_{_uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{root}/db'")
+    mart = features.cluster_model_features(B.bound_part_listings(spark, d)).cache()
+    version = jobs.run_segmentation(spark, mart, root + "/artifacts", schema, k=3, n_init=2)
+    return jobs.run_segment_inference(spark, mart, "batch_" + version, schema, allow_candidate=True)
