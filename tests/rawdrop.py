@@ -25,7 +25,14 @@ PROPS = ["Entire rental unit", "Private room in condo", "Entire villa", "Room in
 AMENITIES = ['["Wifi", "Kitchen"]', "[]", "{}", "{Wifi,,TV}", '{"a":1}', "not json", ""]
 
 
-def write_drop(folder: str, n_listings: int = 120, seed: int = 42, faults: bool = False) -> dict:
+BIG_ID = "9007199254740993"  # above 2**53
+
+
+def _lid(i: int) -> str:
+    return BIG_ID if i == 8 else str(i)
+
+
+def write_drop(folder: str, n_listings: int = 250, seed: int = 42, faults: bool = False) -> dict:
     rng = random.Random(seed)
     os.makedirs(folder, exist_ok=True)
     listings = []
@@ -50,6 +57,11 @@ def write_drop(folder: str, n_listings: int = 120, seed: int = 42, faults: bool
             **{c: "4.5" for c in LISTING_COLS if c.startswith("review_scores")},
             "reviews_per_month": "0.5", "calculated_host_listings_count": "2", "last_scraped": "2024-06-16",
         })
+    # a listing without neighbourhood (-> UNKNOWN member) and one literally named UNKNOWN (must not duplicate it)
+    listings[5]["neighbourhood_cleansed"] = ""
+    listings[6]["neighbourhood_cleansed"] = "UNKNOWN"
+    # an id above 2**53 written as text must keep every digit
+    listings[7]["id"] = BIG_ID
     # an older duplicate scrape of listing 1 (must lose) and one with a NULL scrape date
     listings.append({**listings[0], "name": "Listing 1 old", "last_scraped": "2024-03-01"})
     listings.append({**listings[1], "name": "Listing 2 undated", "last_scraped": ""})
@@ -65,7 +77,7 @@ def write_drop(folder: str, n_listings: int = 120, seed: int = 42, faults: bool
     cal_rows = []
     for i in range(1, n_listings + 1):
         for day in range(1, 8):
-            cal_rows.append([str(i), f"2024-07-0{day}", rng.choice(["t", "f"]), "$100.00", "", "1", "30"])
+            cal_rows.append([_lid(i), f"2024-07-0{day}", rng.choice(["t", "f"]), "$100.00", "", "1", "30"])
     # duplicate calendar keys with conflicting values; the complete row must win
     cal_rows.append(["1", "2024-07-01", "", "$120.00", "", "", ""])
     with open(os.path.join(folder, "calendar.csv"), "w", newline="") as f:
@@ -74,7 +86,7 @@ def write_drop(folder: str, n_listings: int = 120, seed: int = 42, faults: bool
         w.writerows(cal_rows)
     rev = []
     for r in range(1, 3 * n_listings + 1):
-        rev.append([str(r), str(1 + r % n_listings), "2024-05-01", str(50 + r), f"Guest {r}",
+        rev.append([str(r), _lid(1 + r % n_listings), "2024-05-01", str(50 + r), f"Guest {r}",
                     rng.choice(['Great, "really" great\nwould stay again', "  ", "ok", ""])])
     if faults:
         rev.append([str(10 ** 6), str(10 ** 6), "2024-05-01", "1", "Ghost", "orphan review"])
@@ -85,7 +97,7 @@ def write_drop(folder: str, n_listings: int = 120, seed: int = 42, faults: bool
     with open(os.path.join(folder, "neighbourhoods.csv"), "w", newline="") as f:
         w = csv.writer(f)
         w.writerow(["neighbourhood_group", "neighbourhood"])
-        for nb in NEIGHBOURHOODS + ["bang rak", "  "]:
+        for nb in NEIGHBOURHOODS + ["bang rak", "  ", "UNKNOWN"]:
             w.writerow(["", nb])
     with open(os.path.join(folder, "neighbourhoods.geojson"), "w") as f:
         f.write('{"type": "FeatureCollection", "features": []}')

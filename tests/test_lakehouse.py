@@ -28,7 +28,7 @@ def test_manifest_and_sources(spark, tmp_path):
 def test_multiline_quoted_comments(spark, tmp_path):
     write_drop(str(tmp_path))
     df = read_raw_csv(spark, str(tmp_path / "reviews.csv"))
-    assert df.count() == 360
+    assert df.count() == 750
     assert df.where(F.col("comments").contains('"really"')).count() > 0
 
 
@@ -42,12 +42,13 @@ def test_clean_drop_passes_every_contract(clean_build):
 def test_silver_semantics(spark, clean_build):
     _, sfx = clean_build
     l = spark.table(f"s_{sfx}.silver_listings")
-    assert l.count() == 120
+    assert l.count() == 250
     r1 = l.where("listing_id = 1").first()
     assert r1.listing_name == "Listing 1" and r1.price == 1234.0 or r1.price > 0
-    assert spark.table(f"s_{sfx}.silver_neighbourhoods").count() == 5
+    assert spark.table(f"s_{sfx}.silver_neighbourhoods").count() == 6
+    assert l.where("listing_id = 9007199254740993").count() == 1
     cal = spark.table(f"s_{sfx}.silver_calendar")
-    assert cal.count() == 120 * 7
+    assert cal.count() == 250 * 7
     dup = cal.where("listing_id = 1 AND calendar_date = DATE'2024-07-01'").first()
     assert dup.minimum_nights == 1  # the complete row won over the conflicting sparse one
     loc = spark.table(f"g_{sfx}.dim_location")
