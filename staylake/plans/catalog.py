@@ -358,7 +358,8 @@ def _calendar(spark, d):
     from staylake.operators.dedup import most_complete_per_key
     return most_complete_per_key(cal, ["listing_id", "calendar_date"],
                                  ["is_available", "minimum_nights", "maximum_nights"],
-                                 tie_break=["is_available", "minimum_nights", "maximum_nights"])
+                                 tie_break=["is_available", "minimum_nights", "maximum_nights"],
+                                 cluster_by=["listing_id"])
 
 
 @register("fact_availability", _FACT_AVAIL_SQL)
@@ -405,14 +406,20 @@ def _availability_by_location_year(spark, d):
 
 
 def availability_by_location_year(spark, d):
-    """Flagship: fact rows and unavailable days per neighbourhood and year."""
+    """Flagship: fact rows and unavailable days per neighbourhood and year.
+
+    The fact is aggregated to (location_key, year) BEFORE meeting the location
+    dimension: the large side is never shuffled by location_key, only its
+    partial aggregates are (aggregate push-down below the join, which Catalyst
+    does not do by itself; exact because location_key -> neighbourhood is 1:1).
+    """
     listings = B.bound_listings(spark, d)
     fact = gold.fact_availability_daily(_calendar(spark, d), listings, B.CITY)
-    loc = gold.dim_location(listings, B.CITY)
-    j = fact.join(loc, "location_key")
-    return j.groupBy("neighbourhood", (F.col("calendar_date_key") / 10000).cast("int").alias("year")).agg(
+    per_key = fact.groupBy("location_key", (F.col("calendar_date_key") / 10000).cast("int").alias("year")).agg(
         F.count(F.lit(1)).alias("day_rows"),
         F.sum(F.when(F.col("is_available") == F.lit(False), 1).otherwise(0)).cast("bigint").alias("unavailable_days"))
+    loc = gold.dim_location(listings, B.CITY)
+    return per_key.join(loc, "location_key").select("neighbourhood", "year", "day_rows", "unavailable_days")
 
 
 # =========================================================== rules, JSON counts

@@ -185,3 +185,12 @@ def run_segment_inference(spark: SparkSession, mart: DataFrame, run_id: str, sch
     pre = f"{schema}." if schema else ""
     REG.append_run_once(rows, pre + "gold_listing_segments", "assignment_run_id", "listing_id")
     return rows.groupBy("cluster_id", "cluster_name").agg(F.count(F.lit(1)).alias("listings"))
+
+
+# The four model jobs (retrain / infer for each task); the lakehouse refresh runs before retraining.
+JOBS = {
+    "price_retraining_job": run_price_training,
+    "segmentation_retraining_job": run_segmentation,
+    "price_inference_job": run_price_inference,
+    "segmentation_inference_job": run_segment_inference,
+}

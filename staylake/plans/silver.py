@@ -68,7 +68,8 @@ def silver_listings(bronze: DataFrame) -> DataFrame:
     """One row per listing: the latest scrape, ties broken by listing name."""
     typed = bronze.select(*silver_listings_columns(bronze))
     return latest_per_key(typed, ["listing_id"],
-                          [F.col("last_scraped").desc_nulls_last(), F.col("listing_name").asc_nulls_last()])
+                          [F.col("last_scraped").desc_nulls_last(), F.col("listing_name").asc_nulls_last()],
+                          cluster_by=["listing_id"])
 
 
 def silver_calendar(bronze: DataFrame, dedup: bool = True) -> DataFrame:
@@ -89,8 +90,9 @@ def silver_calendar(bronze: DataFrame, dedup: bool = True) -> DataFrame:
     ).where(F.col("listing_id").isNotNull() & F.col("calendar_date").isNotNull())
     if not dedup:
         return typed
+    # clustered by listing_id: the dedup, the bucketed write and the fact join share one partitioning
     return most_complete_per_key(typed, ["listing_id", "calendar_date"],
-                                 ["is_available", "minimum_nights", "maximum_nights"])
+                                 ["is_available", "minimum_nights", "maximum_nights"], cluster_by=["listing_id"])
 
 
 def silver_reviews(bronze: DataFrame) -> DataFrame:

@@ -103,3 +103,8 @@ def test_infrequent_bucketer_roundtrip(spark, tmp_path):
     model.write().save(path)
     again = PipelineModel.load(path).transform(spark.createDataFrame([("b",), ("a",), ("z",)], "c string"))
     assert [r.c for r in again.collect()] == ["infrequent", "a", "infrequent"]
+
+
+def test_exactly_four_model_jobs():
+    assert set(jobs.JOBS) == {"price_retraining_job", "segmentation_retraining_job", "price_inference_job",
+                              "segmentation_inference_job"}
