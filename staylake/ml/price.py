@@ -200,10 +200,11 @@ def random_search(df: DataFrame, cfg: PriceConfig, space: dict[str, Sequence], n
     return running_best(out.withColumn("study", F.lit("price")), "study", "trial", "cv_rmse")
 
 
-def running_best(trials: DataFrame, study: str, order: str, metric: str) -> DataFrame:
-    """Cumulative minimum of a metric per study (trial tables are small, one window per study)."""
+def running_best(trials: DataFrame, study: str, order: str | Sequence[str], metric: str) -> DataFrame:
+    """Cumulative minimum of a metric per study (one window partition per study)."""
     from pyspark.sql import Window
-    w = Window.partitionBy(study).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = [order] if isinstance(order, str) else list(order)
+    w = Window.partitionBy(study).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return trials.withColumn("best_so_far", F.min(metric).over(w))
 
 

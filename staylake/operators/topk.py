@@ -73,3 +73,13 @@ def bounded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame
     any partitioning (``sample()`` only gives an expected size). Planned as a
     per-partition top-n, so only n rows per partition reach the final merge."""
     return df.orderBy(hash_order(key, seed), F.col(key)).limit(n)
+
+
+def rank_within(df: DataFrame, order: Sequence[Column], partition: Sequence[str], name: str = "rank") -> DataFrame:
+    """1-based row number within each partition group under ``order`` (ties broken by ``order``'s tail).
+
+    Always partitioned: an un-partitioned ranking would put every row in one task."""
+    from pyspark.sql import Window
+    if not partition:
+        raise ValueError("rank_within needs partition columns; rank a bounded frame with top_k instead")
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))

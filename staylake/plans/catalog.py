@@ -1461,3 +1461,64 @@ def _segmentation_job(spark, d):
     mart = features.cluster_model_features(B.bound_part_listings(spark, d)).cache()
     version = jobs.run_segmentation(spark, mart, root + "/artifacts", schema, k=3, n_init=2)
     return jobs.run_segment_inference(spark, mart, "batch_" + version, schema, allow_candidate=True)
+
+
+# =========================================================== validation, ranks, study tables
+
+@register("frame_validation", """
+SELECT count(*) AS rows, count(*) FILTER (WHERE o_custkey IS NULL) AS null_keys,
+  count(o_custkey) - count(DISTINCT o_custkey) AS duplicate_keys,
+  count(*) FILTER (WHERE o_totalprice IS NOT NULL AND (isnan(o_totalprice) OR abs(o_totalprice) = 'inf'::DOUBLE)) AS nonfinite_o_totalprice
+FROM orders""")
+def _frame_validation(spark, d):
+    from staylake.sources.io import validation_counts
+    return validation_counts(T(spark, d, "orders"), "o_custkey", ["o_totalprice"])
+
+
+@register("running_best", f"""
+SELECT o_custkey, o_orderkey, o_orderdate, round(o_totalprice, {R}) AS o_totalprice,
+  round(min(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), {R}) AS best_so_far FROM orders""")
+def _running_best(spark, d):
+    from staylake.ml.price import running_best
+    o = T(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    return rnd(running_best(o, "o_custkey", ["o_orderdate", "o_orderkey"], "o_totalprice"))
+
+
+@register("rank_within_group", """
+SELECT p_partkey, p_type, p_retailprice,
+  row_number() OVER (PARTITION BY p_type ORDER BY p_retailprice DESC, p_partkey) AS rank FROM part""")
+def _rank_within_group(spark, d):
+    p = T(spark, d, "part").select("p_partkey", "p_type", "p_retailprice")
+    return topk.rank_within(p, [F.col("p_retailprice").desc(), F.col("p_partkey")], ["p_type"])
+
+
+_FOLD_ITEMS = ["o_orderpriority AS model", "o_orderkey AS fold", "o_totalprice / 100000.0 AS rmse",
+               "o_totalprice / 200000.0 AS mae", "1.0 - o_totalprice / 600000.0 AS r2",
+               "CASE WHEN o_orderstatus = 'P' THEN 'failed' ELSE 'ok' END AS status"]
+
+
+@register("cv_summary", f"""
+SELECT model, round(avg(rmse), {R}) AS rmse_mean, round(avg(mae), {R}) AS mae_mean, round(avg(r2), {R}) AS r2_mean,
+  round(stddev_samp(rmse), {R}) AS rmse_std, round(stddev_samp(mae), {R}) AS mae_std, round(stddev_samp(r2), {R}) AS r2_std,
+  count(*) AS folds
+FROM (SELECT {', '.join(_FOLD_ITEMS)} FROM orders) WHERE status = 'ok' GROUP BY model""")
+def _cv_summary(spark, d):
+    from staylake.ml.price import cv_summary
+    folds = T(spark, d, "orders").selectExpr(*_FOLD_ITEMS)
+    return rnd(cv_summary(folds))
+
+
+@register("metrics_long", f"""
+WITH {_PRED_SQL},
+m AS (SELECT CAST(count(*) AS DOUBLE) AS n, sqrt(avg((actual_log - predicted_log) ^ 2)) AS rmse,
+        avg(abs(actual_log - predicted_log)) AS mae, 1 - avg((actual_log - predicted_log) ^ 2) / var_pop(actual_log) AS r2,
+        CASE WHEN count(*) <= 3 THEN NULL ELSE 1 - (1 - (1 - avg((actual_log - predicted_log) ^ 2) / var_pop(actual_log)))
+          * (count(*) - 1) / (count(*) - 2 - 1) END AS adjusted_r2 FROM pb)
+SELECT 'group_mean_v1' AS model_version, 'price_prediction' AS model_task, 'test' AS dataset_type, metric_name,
+  round(metric_value, {R}) AS metric_value, CAST(NULL AS DOUBLE) AS metric_std
+FROM m UNPIVOT INCLUDE NULLS (metric_value FOR metric_name IN (n, rmse, mae, r2, adjusted_r2))""")
+def _metrics_long(spark, d):
+    from staylake.ml.registry import metrics_long
+    wide = errors.regression_metrics(_pred_base(spark, d), "actual_log", "predicted_log", 2)
+    return rnd(metrics_long(wide, "group_mean_v1", "price_prediction", "test").drop("evaluated_at"), "metric_value")

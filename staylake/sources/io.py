@@ -33,6 +33,18 @@ def first_existing_table(spark: SparkSession, candidates: Sequence[str]) -> str:
     raise ValueError(f"none of the tables exist: {list(candidates)}")
 
 
+def validation_counts(df: DataFrame, key: str | None = None, finite: Sequence[str] = ()) -> DataFrame:
+    """The one-pass validation aggregate: rows, NULL / duplicate keys, non-finite values per column."""
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    if key:
+        aggs += [F.count_if(F.col(key).isNull()).alias("null_keys"),
+                 (F.count(F.col(key)) - F.count_distinct(key)).alias("duplicate_keys")]
+    for c in finite:
+        x = F.col(c).cast("double")
+        aggs.append(F.count_if(x.isNotNull() & (F.isnan(x) | (F.abs(x) == float("inf")))).alias(f"nonfinite_{c}"))
+    return df.agg(*aggs)
+
+
 def validate_frame(df: DataFrame, required: Sequence[str], key: str | None = None, finite: Sequence[str] = (),
                    min_rows: int = 1) -> dict[str, int]:
     """Driver-side schema checks plus ONE aggregate pass for row count, NULL /
@@ -44,14 +56,7 @@ def validate_frame(df: DataFrame, required: Sequence[str], key: str | None = Non
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"missing required columns: {missing}")
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    if key:
-        aggs += [F.count_if(F.col(key).isNull()).alias("null_keys"),
-                 (F.count(F.col(key)) - F.count_distinct(key)).alias("duplicate_keys")]
-    for c in finite:
-        x = F.col(c).cast("double")
-        aggs.append(F.count_if(x.isNotNull() & (F.isnan(x) | (F.abs(x) == float("inf")))).alias(f"nonfinite_{c}"))
-    res = df.agg(*aggs).first().asDict()
+    res = validation_counts(df, key, finite).first().asDict()
     if res["rows"] < min_rows:
         raise ValueError(f"need at least {min_rows} rows, have {res['rows']}")
     bad = {k: v for k, v in res.items() if k != "rows" and v}
