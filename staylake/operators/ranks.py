@@ -9,9 +9,11 @@ This module computes exact order statistics without either:
    collapses to one row before any shuffle.
 2. ``repartitionByRange(P, group, value)`` - sampled range bounds split a hot
    *group* across many tasks; equal keys always land in the same partition.
-3. Within each range partition a window over ``(partition, group)`` gives the
-   local running count; per-(partition, group) totals form a table of at most
-   ``P + G`` rows whose running sum gives each partition's offset.
+3. The range-partitioned counts are checkpointed with their partition id as a
+   column (range bounds are sampled, so two reads of an un-materialised frame
+   could disagree). Within each partition a window over ``(partition, group)``
+   gives the local running count; per-(partition, group) totals form a table
+   of at most ``P + G`` rows whose running sum gives each partition's offset.
 
 The result is one row per distinct ``(group, value)`` with the number of rows
 strictly below it (``n_below``), its multiplicity (``n_equal``) and the group
@@ -27,6 +29,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from staylake.session import cut_lineage
+
 _PID = "_sl_pid"
 
 
@@ -55,6 +59,12 @@ def positions_from_counts(counts: DataFrame, value: str, group_cols: Sequence[st
     ranged = counts.repartitionByRange(_partitions(counts, num_partitions), *groups, value).withColumn(
         _PID, F.spark_partition_id()
     )
+    # The range bounds come from sampling, and the running counts and the
+    # per-partition totals read this frame twice. Without a single
+    # materialisation the two reads may sample different bounds, so the
+    # partition id is fixed as data by a reliable checkpoint in the shared
+    # checkpoint folder (it also survives executor loss).
+    ranged = cut_lineage(ranged)
     before = Window.partitionBy(_PID, *groups).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_local_below", F.coalesce(F.sum("n_equal").over(before), F.lit(0)))
     totals = ranged.groupBy(_PID, *groups).agg(F.sum("n_equal").alias("_part_total"))
@@ -135,20 +145,19 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], group_cols: Seq
             F.max(h - lo).alias(f"_{n}_frac"),
         ]
         lo_hi.append(n)
-    agg = pos.groupBy(*groups).agg(*aggs) if groups else pos.agg(*aggs)
+    if groups:
+        # groups whose values are all NULL still appear (with NULL quantiles): their
+        # NULL-value count rows join the final aggregate and contribute nothing else
+        empty = counts.where(F.col(value).isNull()).select(
+            *groups, F.col(value), *[F.lit(None).cast("bigint").alias(c) for c in ("n_below", "n_equal", "n_group")])
+        agg = pos.unionByName(empty).groupBy(*groups).agg(*aggs)
+    else:
+        agg = pos.agg(*aggs)
     out = [F.col(g) for g in groups]
     for n in lo_hi:
         lo_v, hi_v, frac = F.col(f"_{n}_lo"), F.col(f"_{n}_hi"), F.col(f"_{n}_frac")
         out.append(F.when(frac == 0, lo_v).otherwise(lo_v + frac * (hi_v - lo_v)).alias(n))
-    result = agg.select(*out)
-    if groups:
-        # groups that exist but have only NULL values still appear, with NULL quantiles
-        keys = counts.select(*groups).distinct()  # from the already aggregated counts
-        k, r = keys.alias("_k"), result.alias("_q")
-        cond = reduce(lambda a, b: a & b, [F.col(f"_k.{g}").eqNullSafe(F.col(f"_q.{g}")) for g in groups])
-        result = k.join(r, cond, "left").select(*[F.col(f"_k.{g}").alias(g) for g in groups],
-                                                 *[F.col(f"_q.{n}") for n in lo_hi])
-    return result
+    return agg.select(*out)
 
 
 def median(df: DataFrame, value: str, group_cols: Sequence[str] = (), name: str = "median",

@@ -117,3 +117,16 @@ def test_quality_suite_fused(spark):
     res = {(r.check_name, r.column_name): r.violations for r in quality.run_suite("t", df, exps).collect()}
     assert res == {("not_null", "cat"): 1, ("accepted_values", "cat"): 1, ("non_negative", "n"): 1,
                    ("unique", "id"): 1, ("not_empty", None): 0}
+
+
+def test_quantiles_stable_over_repeated_uncached_runs(spark):
+    """Range bounds are sampled: the positions must come from ONE materialisation
+    (regression test for two reads disagreeing on partition ids)."""
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    pdf = li.select("l_linestatus", "l_extendedprice", "l_quantity").toPandas()
+    exp = pdf.groupby("l_linestatus")[["l_extendedprice", "l_quantity"]].median()
+    for _ in range(3):
+        got = quantiles_wide(li, ["l_extendedprice", "l_quantity"], [0.5], ["l_linestatus"], ["m"]).collect()
+        for r in got:
+            assert r.l_extendedprice_m == pytest.approx(exp.loc[r.l_linestatus, "l_extendedprice"])
+            assert r.l_quantity_m == pytest.approx(exp.loc[r.l_linestatus, "l_quantity"])
