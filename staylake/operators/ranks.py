@@ -112,6 +112,26 @@ def with_average_rank(df: DataFrame, value: str, group_cols: Sequence[str] = (),
     return l.join(r, cond, "left").select("_rows.*", F.col(f"_ranks.{name}"))
 
 
+def with_average_ranks(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = (),
+                       names: Sequence[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Average ranks of several columns from ONE positions pass (columns stacked
+    as an extra group key), each joined back on its own (group, value)."""
+    groups = list(group_cols)
+    names = list(names) if names else [f"{c}_rank" for c in cols]
+    stacked = df.select(*groups, *[F.col(c).cast("double").alias(c) for c in cols]) \
+                .unpivot(groups, list(cols), "_sl_column", "_sl_value")
+    ranks = average_rank(value_positions(stacked, "_sl_value", groups + ["_sl_column"], num_partitions), "_sl_rank")
+    out = df
+    for c, n in zip(cols, names):
+        r = ranks.where(F.col("_sl_column") == c).select(*[F.col(g).alias(f"_r_{g}") for g in groups],
+                                                          F.col("_sl_value").alias("_r_v"), F.col("_sl_rank").alias(n))
+        cond = F.col(c).cast("double") == F.col("_r_v")
+        for g in groups:
+            cond = cond & F.col(g).eqNullSafe(F.col(f"_r_{g}"))
+        out = out.join(r, cond, "left").drop("_r_v", *[f"_r_{g}" for g in groups])
+    return out
+
+
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], group_cols: Sequence[str] = (),
               names: Sequence[str] | None = None, num_partitions: int | None = None,
               approx: bool = False, accuracy: int = 10000) -> DataFrame:

@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylake.operators.ranks import average_rank, value_positions, with_average_rank
+from staylake.operators.ranks import average_rank, value_positions, with_average_ranks
 
 
 def pearson_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -32,8 +32,7 @@ def spearman(df: DataFrame, x: str, y: str, group_cols: Sequence[str] = ()) -> D
     groups = list(group_cols)
     both = df.select(*groups, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")) \
              .where(F.col("_x").isNotNull() & F.col("_y").isNotNull() & ~F.isnan("_x") & ~F.isnan("_y"))
-    rx = with_average_rank(both, "_x", groups, "_rx")
-    rxy = with_average_rank(rx, "_y", groups, "_ry")
+    rxy = with_average_ranks(both, ["_x", "_y"], groups, ["_rx", "_ry"])
     agg = [F.corr("_rx", "_ry").alias("spearman"), F.count(F.lit(1)).alias("n")]
     return rxy.groupBy(*groups).agg(*agg) if groups else rxy.agg(*agg)
 
