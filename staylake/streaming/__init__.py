@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is batch only: it has no stream source, watermark, window over event time, stateful
+operator or late-data rule (its jobs run on demand). Nothing here is needed to reproduce it; the batch jobs in
+``staylake.plans.jobs`` are idempotent per run id, so they can be triggered incrementally as new drops arrive.
+"""

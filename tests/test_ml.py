@@ -108,3 +108,19 @@ def test_infrequent_bucketer_roundtrip(spark, tmp_path):
 def test_exactly_four_model_jobs():
     assert set(jobs.JOBS) == {"price_retraining_job", "segmentation_retraining_job", "price_inference_job",
                               "segmentation_inference_job"}
+
+
+def test_segmentation_jobs_roundtrip(spark, schema):
+    mart = features.cluster_model_features(B.bound_part_listings(spark, SF)).cache()
+    root = ensure_checkpoint_dir(spark) + f"/seg_jobs_{uuid.uuid4().hex[:8]}"
+    v = jobs.run_segmentation(spark, mart, root, schema, k=3, n_init=2)
+    segs = spark.table(f"{schema}.gold_listing_segments").where(F.col("model_version") == v)
+    assert segs.count() == mart.count()
+    assert S.segmentation_check(segs, 3).first()["passed"]
+    assert set(r.cluster_name for r in segs.select("cluster_name").distinct().collect()) <= set(S.SEGMENT_NAMES.values())
+    prof = spark.table(f"{schema}.gold_segment_profiles").where(F.col("model_version") == v)
+    assert prof.agg(F.sum("listing_count")).first()[0] == mart.count()
+    with pytest.raises(RuntimeError):
+        jobs.run_segment_inference(spark, mart, "batch_seg", schema)  # candidate only, no opt-in
+    counts = jobs.run_segment_inference(spark, mart, "batch_seg", schema, allow_candidate=True)
+    assert counts.agg(F.sum("listings")).first()[0] == mart.count()
