@@ -100,10 +100,9 @@ def bucket_infrequent(train: DataFrame, df: DataFrame, col: str, min_frequency:
 def onehot_pipeline(cols: Sequence[str]) -> Pipeline:
     """Alphabetical index with an extra slot for unseen values, one-hot dropping that
     slot: an unseen category encodes as all zeros (sklearn handle_unknown='ignore')."""
-    stages = []
-    for c in cols:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep",
-                                    stringOrderType="alphabetAsc"))
+    # one multi-column indexer: all vocabularies come from a single pass over the data
+    stages = [StringIndexer(inputCols=list(cols), outputCols=[f"{c}__idx" for c in cols], handleInvalid="keep",
+                            stringOrderType="alphabetAsc")]
     stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in cols], outputCols=[f"{c}__oh" for c in cols],
                                 dropLast=True, handleInvalid="error"))
     return Pipeline(stages=stages)
@@ -147,11 +146,12 @@ class InfrequentBucketer(Estimator, _InfrequentParams, DefaultParamsReadable, De
             F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("s")).select("s.*")
         frequent = (stacked.where(F.col("v").isNotNull()).groupBy("c", "v").count().where(F.col("count") >= k)
                     .select("c", "v"))
-        n = frequent.count()
-        if n > MAX_VOCAB:
-            raise ValueError(f"{n} frequent categories; use staylake.ml.prep.bucket_infrequent (join) instead")
+        # one bounded pass: at most MAX_VOCAB + 1 rows ever reach the driver
+        rows = frequent.limit(MAX_VOCAB + 1).collect()
+        if len(rows) > MAX_VOCAB:
+            raise ValueError(f"over {MAX_VOCAB} frequent categories; use staylake.ml.prep.bucket_infrequent (join)")
         vocab: dict[str, list[str]] = {c: [] for c in cols}
-        for r in frequent.collect():  # bounded by MAX_VOCAB above
+        for r in rows:
             vocab[r.c].append(r.v)
         model = InfrequentBucketerModel(inputCols=cols, vocabulary=[sorted(vocab[c]) for c in cols])
         return self._copyValues(model)

@@ -83,10 +83,11 @@ def build_pipeline(features: Sequence[str], target: str = TARGET, algorithm: str
         stages.append(StandardScaler(inputCol="_num_vec", outputCol="_num_scaled", withMean=True, withStd=True))
     if categorical and min_frequency:
         stages.append(InfrequentBucketer(inputCols=[f"{c}__cat" for c in categorical], minFrequency=min_frequency))
-    for c in categorical:
-        stages.append(StringIndexer(inputCol=f"{c}__cat", outputCol=f"{c}__idx", handleInvalid="keep",
-                                    stringOrderType="alphabetAsc"))
     if categorical:
+        # one multi-column indexer: every vocabulary from a single pass over the training rows
+        stages.append(StringIndexer(inputCols=[f"{c}__cat" for c in categorical],
+                                    outputCols=[f"{c}__idx" for c in categorical], handleInvalid="keep",
+                                    stringOrderType="alphabetAsc"))
         stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in categorical],
                                     outputCols=[f"{c}__oh" for c in categorical], dropLast=True))
     parts = (["_num_scaled"] if num_cols else []) + [f"{c}__oh" for c in categorical] + [f"{c}__missing" for c in native]

@@ -196,8 +196,8 @@ def feature_pipeline(categorical=SEGMENT_CATEGORICAL, numeric=SEGMENT_NUMERIC):
     """One-hot categories (unseen -> zeros) + standardised numerics -> ``features``."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer
-    stages = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep", stringOrderType="alphabetAsc")
-              for c in categorical]
+    stages = [StringIndexer(inputCols=list(categorical), outputCols=[f"{c}__idx" for c in categorical],
+                            handleInvalid="keep", stringOrderType="alphabetAsc")]
     stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in categorical],
                                 outputCols=[f"{c}__oh" for c in categorical], dropLast=True))
     stages.append(VectorAssembler(inputCols=list(numeric), outputCol="_num", handleInvalid="error"))
