@@ -105,6 +105,24 @@ def test_infrequent_bucketer_roundtrip(spark, tmp_path):
     assert [r.c for r in again.collect()] == ["infrequent", "a", "infrequent"]
 
 
+def test_infrequent_bucketer_vocabulary_bound(spark, monkeypatch):
+    from staylake.ml import prep
+    from staylake.ml.prep import InfrequentBucketer
+    df = spark.createDataFrame([(str(i % 3),) for i in range(12)], "c string")
+    monkeypatch.setattr(prep, "MAX_VOCAB", 2)
+    with pytest.raises(ValueError):
+        InfrequentBucketer(inputCols=["c"], minFrequency=1).fit(df)
+    monkeypatch.setattr(prep, "MAX_VOCAB", 3)
+    assert InfrequentBucketer(inputCols=["c"], minFrequency=1).fit(df).getOrDefault("vocabulary") == [["0", "1", "2"]]
+
+
+def test_price_pipeline_one_indexer_for_all_categories():
+    from pyspark.ml.feature import StringIndexer
+    from staylake.ml.price import CATEGORICAL_FEATURES, build_pipeline
+    idx = [s for s in build_pipeline(CFG.features).getStages() if isinstance(s, StringIndexer)]
+    assert len(idx) == 1 and len(idx[0].getInputCols()) == len(CATEGORICAL_FEATURES & set(CFG.features))
+
+
 def test_exactly_four_model_jobs():
     assert set(jobs.JOBS) == {"price_retraining_job", "segmentation_retraining_job", "price_inference_job",
                               "segmentation_inference_job"}
