@@ -130,12 +130,15 @@ def train_evaluate(df: DataFrame, cfg: PriceConfig) -> tuple[PipelineModel, Data
 
 
 def cross_validate(df: DataFrame, cfg: PriceConfig, algorithm: str | None = None, params: dict | None = None,
-                   features: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                   features: Sequence[str] | None = None, folds: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """K-fold CV on the given (training) rows with preprocessing fitted per fold.
 
     Returns (per-fold metrics, out-of-fold predictions). A failing fold is
-    recorded with status 'failed' instead of aborting the study."""
-    folds = kfold_assign(df, cfg.key, cfg.n_folds).cache()
+    recorded with status 'failed' instead of aborting the study. Studies that
+    run many CVs pass ``folds`` (``kfold_assign`` output, cached once by the
+    caller and released when the study ends) so the training rows are held
+    once, not once per trial."""
+    folds = folds if folds is not None else kfold_assign(df, cfg.key, cfg.n_folds).cache()
     feats = list(features or cfg.features)
     metric_parts, preds = [], []
     for k in range(cfg.n_folds):
@@ -192,11 +195,16 @@ def random_search(df: DataFrame, cfg: PriceConfig, space: dict[str, Sequence], n
     """Seeded random search scored by train-only CV RMSE; one row per trial."""
     rng = random.Random(cfg.seed)
     rows = []
-    for t in range(n_trials):
-        params = {k: rng.choice(list(v)) for k, v in space.items()}
-        metrics, _ = cross_validate(df, cfg, params=params)
-        s = metrics.where(F.col("status") == "ok").agg(F.avg("rmse").alias("cv_rmse"), F.stddev_samp("rmse").alias("cv_rmse_std")).first()
-        rows.append((t, str(sorted(params.items())), s["cv_rmse"], s["cv_rmse_std"]))
+    folds = kfold_assign(df, cfg.key, cfg.n_folds).cache()
+    try:
+        for t in range(n_trials):
+            params = {k: rng.choice(list(v)) for k, v in space.items()}
+            metrics, _ = cross_validate(df, cfg, params=params, folds=folds)
+            s = metrics.where(F.col("status") == "ok").agg(F.avg("rmse").alias("cv_rmse"),
+                                                           F.stddev_samp("rmse").alias("cv_rmse_std")).first()
+            rows.append((t, str(sorted(params.items())), s["cv_rmse"], s["cv_rmse_std"]))
+    finally:
+        folds.unpersist()
     out = df.sparkSession.createDataFrame(rows, "trial int, params string, cv_rmse double, cv_rmse_std double")
     return running_best(out.withColumn("study", F.lit("price")), "study", "trial", "cv_rmse")
 
@@ -246,10 +254,14 @@ def feature_selection(df: DataFrame, cfg: PriceConfig, ranked_features: Sequence
     ranked = list(ranked_features)
     ks = sorted({k for k in sizes if k < len(ranked)} | {len(ranked)})
     rows = []
-    for k in ks:
-        feats = ranked[:k]
-        metrics, _ = cross_validate(df, cfg, features=feats)
-        s = metrics.where(F.col("status") == "ok").agg(F.avg("rmse").alias("m"), F.stddev_samp("rmse").alias("s")).first()
-        rows.append((k, ",".join(feats), s["m"], s["s"]))
+    folds = kfold_assign(df, cfg.key, cfg.n_folds).cache()
+    try:
+        for k in ks:
+            feats = ranked[:k]
+            metrics, _ = cross_validate(df, cfg, features=feats, folds=folds)
+            s = metrics.where(F.col("status") == "ok").agg(F.avg("rmse").alias("m"), F.stddev_samp("rmse").alias("s")).first()
+            rows.append((k, ",".join(feats), s["m"], s["s"]))
+    finally:
+        folds.unpersist()
     table = df.sparkSession.createDataFrame(rows, "n_features int, features string, rmse double, rmse_std double")
     return table, smallest_accepted(table, tolerance)
