@@ -188,7 +188,11 @@ def baselines(df: DataFrame, cfg: PriceConfig, algorithms: Sequence[str] = ("med
         rows.append(regression_metrics(pred, cfg.target, "predicted_log_price", 0)
                     .select(F.lit(algo).alias("model"), "n", "rmse", "mae", "r2"))
     from functools import reduce
-    return reduce(lambda a, b: a.unionByName(b), rows)
+    table = reduce(lambda a, b: a.unionByName(b), rows)
+    # one metric row per family is materialised, then the cached split is released
+    out = df.sparkSession.createDataFrame(table.collect(), table.schema)
+    split.unpersist()
+    return out
 
 
 def random_search(df: DataFrame, cfg: PriceConfig, space: dict[str, Sequence], n_trials: int = 4) -> DataFrame:
