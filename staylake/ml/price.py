@@ -114,12 +114,14 @@ def check_predictions(pred: DataFrame, key: str = "listing_id") -> DataFrame:
         (F.count(F.lit(1)) - F.count_distinct(key)).alias("duplicate_keys"))
 
 
-def train_evaluate(df: DataFrame, cfg: PriceConfig) -> tuple[PipelineModel, DataFrame, DataFrame]:
+def train_evaluate(df: DataFrame, cfg: PriceConfig,
+                   split: DataFrame | None = None) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Hash hold-out split, fit on train, evaluate on test.
 
     Returns (model, metrics one row, test predictions). The frame is cached once
-    for the iterative fit."""
-    split = hash_split(df, cfg.key, cfg.test_percent).cache()
+    for the iterative fit; a job that consumes the results passes ``split``
+    (``hash_split`` output it cached itself) and releases it when done."""
+    split = split if split is not None else hash_split(df, cfg.key, cfg.test_percent).cache()
     train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
     model = build_pipeline(cfg.features, cfg.target, cfg.algorithm, cfg.params, cfg.seed).fit(train)
     pred = predict(model, test, cfg.target)

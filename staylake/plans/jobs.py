@@ -96,7 +96,16 @@ def run_price_training(spark: SparkSession, mart: DataFrame, artifact_root: str,
     """Prepare -> split -> fit -> evaluate -> persist -> records -> hold-out predictions."""
     cfg = cfg or P.PriceConfig()
     frame = features.modelling_frame(mart)
-    model, metrics, pred = P.train_evaluate(frame, cfg)
+    split = P.hash_split(frame, cfg.key, cfg.test_percent).cache()
+    try:
+        return _price_training_steps(spark, frame, split, artifact_root, schema, cfg)
+    finally:
+        split.unpersist()  # every result below is written before the split is released
+
+
+def _price_training_steps(spark: SparkSession, frame: DataFrame, split: DataFrame, artifact_root: str,
+                          schema: str | None, cfg: P.PriceConfig) -> str:
+    model, metrics, pred = P.train_evaluate(frame, cfg, split=split)
     version = REG.new_version("price")
     check = P.price_training_check(pred, metrics).first()
     if not check["passed"]:
