@@ -130,3 +130,12 @@ def test_quantiles_stable_over_repeated_uncached_runs(spark):
         for r in got:
             assert r.l_extendedprice_m == pytest.approx(exp.loc[r.l_linestatus, "l_extendedprice"])
             assert r.l_quantity_m == pytest.approx(exp.loc[r.l_linestatus, "l_quantity"])
+
+
+def test_describe_categorical_edges(spark):
+    from staylake.operators.profile import describe_categorical
+    df = spark.createDataFrame([("b", 10, None), ("a", 9, None), ("b", 9, None), ("a", 10, None), (None, 2, None)],
+                               "s string, n int, z string")
+    got = {r.column: (r["count"], r.unique, r.top, r.freq) for r in describe_categorical(df, ["s", "n", "z"]).collect()}
+    # ties go to the smallest value in the column's own order (9 < 10 numerically, not as text)
+    assert got == {"s": (4, 2, "a", 2), "n": (5, 3, "9", 2), "z": (0, 0, None, None)}
