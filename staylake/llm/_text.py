@@ -21,6 +21,7 @@ _powers: dict[str, np.ndarray] = {}
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _DIGIT = LOWER.astype(np.uint64) + np.uint64(1)
+_RAW_DIGIT = np.arange(1, 257, dtype=np.uint64)
 
 #: Word bytes of ``[^\x20\x09-\x0D]+``.
 NOT_SPACE = np.ones(256, dtype=bool)
@@ -77,7 +78,13 @@ def _spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> Iterat
 
 def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every lower-cased (A-Z) word of every row, in order, and the number of words per row."""
-    hashes, starts = [], []
+    h, s, _ = word_spans(data, offsets, is_word)
+    return h, np.diff(np.searchsorted(s, offsets))
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first byte and end of every lower-cased (A-Z) word of all rows."""
+    hashes, starts, ends = [], [], []
     for lo, hi in _spans(data, offsets, is_word):
         part = data[lo:hi]
         breaks = offsets[np.searchsorted(offsets, lo, "right"): np.searchsorted(offsets, hi, "left")] - lo
@@ -96,9 +103,23 @@ def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[n
         np.cumsum(_DIGIT[part] * up[: len(part)], out=total[1:])
         hashes.append(mix((total[e] - total[s]) * down[s]))
         starts.append(s + lo)
-    h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-    s = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-    return h, np.diff(np.searchsorted(s, offsets))
+        ends.append(e + lo)
+    join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
+    return join(hashes, np.uint64), join(starts, np.int64), join(ends, np.int64)
+
+
+def span_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Hashes of the exact bytes of ascending, adjoining spans; memory follows SEGMENT and the longest span."""
+    out, at = [], 0
+    while at < len(s):
+        to = max(at + 1, int(np.searchsorted(e, s[at] + SEGMENT, "right")))
+        lo, hi = int(s[at]), int(e[to - 1])
+        up, down = _power_tables(hi - lo + 1)
+        total = np.zeros(hi - lo + 1, dtype=np.uint64)
+        np.cumsum(_RAW_DIGIT[data[lo:hi]] * up[: hi - lo], out=total[1:])
+        out.append(mix((total[e[at:to] - lo] - total[s[at:to] - lo]) * down[s[at:to] - lo]))
+        at = to
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
