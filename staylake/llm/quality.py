@@ -55,15 +55,19 @@ def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, strides
 
 
-def convolve(net: Network, x: np.ndarray) -> np.ndarray:
-    """Largest response of every filter in every stride."""
+def convolve(net: Network, x: np.ndarray, strides: np.ndarray) -> np.ndarray:
+    """Largest response of every filter in every stride, over the windows that lie inside one row."""
     out = np.empty((len(x) // STRIDE, FILTERS), dtype=np.float32)
     padded = np.concatenate([x, np.zeros(WIDTH - 1, dtype=x.dtype)])
+    row_ends = np.cumsum(strides) * STRIDE
     for lo in range(0, len(x), _PIECE):
         n = min(_PIECE, len(x) - lo)
         r = net.filters[0].take(padded[lo: lo + n], axis=0)
         for k in range(1, WIDTH):
             r += net.filters[k].take(padded[lo + k: lo + k + n], axis=0)
+        ends = row_ends[(row_ends > lo) & (row_ends <= lo + n)] - lo
+        for k in range(1, WIDTH):
+            r[ends - k] = -np.inf
         out[lo // STRIDE: (lo + n) // STRIDE] = r.reshape(-1, STRIDE, FILTERS).max(1)
     return out
 
@@ -73,7 +77,7 @@ def features(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     x, strides = symbols(data, offsets)
     if not len(strides):
         return np.zeros((0, 2 * FILTERS), dtype=np.float32)
-    peak = convolve(net, x)
+    peak = convolve(net, x, strides)
     chunk = np.maximum(np.maximum(peak[:-1], peak[1:]) + net.bias, 0)
     start = np.cumsum(strides) - strides
     real = np.ones(len(chunk), dtype=bool)
@@ -159,13 +163,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, strides = symbols(*X.utf8(X.column(batch, "text")))
-            x = np.concatenate([x, np.zeros(WIDTH - 1, x.dtype)])
             first = np.cumsum(strides) - strides
             ids, out = X.column(batch, "doc_id").to_pylist(), []
             for d, a, n in zip(ids, first.tolist(), (strides - 1).tolist(), strict=True):
                 rng = np.random.Generator(np.random.PCG64(d & 0x7FFFFFFF))
-                at = rng.choice(n, min(n, CHUNKS_PER_DOCUMENT), replace=False) + a
-                out.append(b"".join(x[k * STRIDE: k * STRIDE + CHUNK + WIDTH - 1].tobytes() for k in np.sort(at).tolist()))
+                row = np.concatenate([x[a * STRIDE: (a + n + 1) * STRIDE], np.zeros(WIDTH - 1, x.dtype)])
+                at = np.sort(rng.choice(n, min(n, CHUNKS_PER_DOCUMENT), replace=False))
+                out.append(b"".join(row[k * STRIDE: k * STRIDE + CHUNK + WIDTH - 1].tobytes() for k in at.tolist()))
             yield pa.record_batch({"doc_id": X.column(batch, "doc_id"), "label": X.column(batch, "label"), "windows": pa.array(out, pa.binary())})
 
     rows = sample.mapInArrow(cut, "doc_id long, label int, windows binary").groupBy("doc_id").agg(F.min("label").alias("label"), F.min("windows").alias("windows")).orderBy("doc_id").collect()
