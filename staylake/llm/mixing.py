@@ -54,7 +54,7 @@ def source_targets(sizes: DataFrame, cycle: tuple[int, ...], max_copies: int) ->
 def _rank(frame: DataFrame) -> DataFrame:
     """Adds ``rank``: random odds / inclusion odds, mapped from (0, inf) to (0, 1)."""
     u, p = F.col("u"), F.col("chance")
-    odds = (u / (1 - u)) / (p / (1 - p))
+    odds = F.try_divide(u / (1 - u), p / (1 - p))  # null where nothing is drawn
     return frame.withColumn("rank", odds / (1 + odds)).withColumn("class", F.floor(F.col("rank") * RANK_CLASSES).cast("int"))
 
 
@@ -89,7 +89,7 @@ def mix_sources(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), max_copies:
     targets = scratch.write(source_targets(sized, cycle, max_copies), "targets")
     scale = sized.groupBy("source").agg(F.sum(F.col("importance") * F.col("size")).alias("mass"))
     plan = targets.alias("t").join(scale.alias("s"), F.col("t.source").eqNullSafe(F.col("s.source"))).select("t.*", "mass")
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    whole = F.when(F.col("source_size") > 0, F.floor(F.try_divide("target", "source_size"))).otherwise(F.lit(0)).cast("long")
     plan = plan.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
     plan = scratch.write(plan.withColumnRenamed("source", "of"), "plan")
     n_sources = plan.count()
@@ -97,7 +97,7 @@ def mix_sources(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), max_copies:
     def with_plan(frame: DataFrame, plan: DataFrame) -> DataFrame:
         return frame.join(small_side(plan, n_sources), F.col("source").eqNullSafe(F.col("of")))
 
-    chance = F.least(F.col("rest") * F.col("importance") / F.col("mass"), F.lit(1 - 1e-12))
+    chance = F.coalesce(F.least(F.try_divide(F.col("rest") * F.col("importance"), F.col("mass")), F.lit(1 - 1e-12)), F.lit(0.0))
     ranked = _rank(with_plan(sized, plan.where("rest > 0")).withColumn("chance", chance))
     classes = ranked.groupBy("of", "class").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
     up_to = F.sum("words").over(Window.partitionBy("of").orderBy("class"))
