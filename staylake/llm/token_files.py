@@ -4,7 +4,7 @@ Documents are tokenized in ascending doc_id order; their ids, each document clos
 one stream that is cut into sequences of a fixed length. A file holds the stream of one range of
 documents as record batches with two fixed-size-list columns, ``ids`` and ``mask`` (false on the
 padding of the file's last sequence). Batches have the same number of sequences, so sequence k of
-a file is row k % ROWS of batch k // ROWS and can be read from a memory map without a copy. A
+a file is row k % rows of batch k // rows and can be read from a memory map without a copy. A
 second Arrow file beside it tells where its documents start.
 """
 
@@ -115,8 +115,9 @@ def encode_rows(enc: Encoder, data: np.ndarray, offsets: np.ndarray) -> Iterator
 class _Files:
     """Writes one task's stream; names are unique, so another attempt of the task never meets them."""
 
-    def __init__(self, root: str, id_type: np.dtype, length: int):
+    def __init__(self, root: str, id_type: np.dtype, length: int, rows: int):
         self.store, path = pafs.FileSystem.from_uri(root)
+        self.rows = rows
         self.name, self.length = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}", length
         self.store.create_dir(path, recursive=True)
         self.type = pa.from_numpy_dtype(id_type)
@@ -141,7 +142,7 @@ class _Files:
         self.n_docs += len(counts)
         self.held.append(ids)
         self.size += len(ids)
-        step = ROWS * self.length
+        step = self.rows * self.length
         if self.size >= step:
             every = np.concatenate(self.held)
             for lo in range(0, len(every) - step + 1, step):
@@ -156,7 +157,7 @@ class _Files:
             x.close()
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, length: int = SEQUENCE) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, length: int = SEQUENCE, rows: int = ROWS) -> DataFrame:
     """Writes the files below ``folder`` (a path or URI that executors share) and returns their manifest.
 
     ``docs`` needs doc_id and text; other columns are ignored. Manifest: part (files ascend in
@@ -176,7 +177,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, length:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            files = files or _Files(folder, enc.id_type, length)
+            files = files or _Files(folder, enc.id_type, length, rows)
             for lo, hi, ids, counts in encode_rows(enc, *X.utf8(X.column(batch, "text"))):
                 ends = np.cumsum(counts)
                 files.add(X.column(batch, "doc_id").slice(lo, hi - lo), np.insert(ids, ends, END_ID), counts + 1)
@@ -199,10 +200,11 @@ def open_sequences(root: str, name: str) -> tuple[pa.ipc.RecordBatchFileReader,
 
 def sequence(reader: pa.ipc.RecordBatchFileReader, k: int) -> tuple[np.ndarray, pa.Array]:
     """Ids and mask of the k-th sequence of a part: a view of the file, not a copy."""
-    batch = reader.get_batch(k // ROWS)
+    rows = reader.get_batch(0).num_rows  # of all batches but the last
+    batch = reader.get_batch(k // rows)
     ids, mask = batch.column(0), batch.column(1)
     n = ids.type.list_size
-    return ids.values.slice(k % ROWS * n, n).to_numpy(zero_copy_only=True), mask.values.slice(k % ROWS * n, n)
+    return ids.values.slice(k % rows * n, n).to_numpy(zero_copy_only=True), mask.values.slice(k % rows * n, n)
 
 
 def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
