@@ -141,7 +141,7 @@ def shingles(h: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.
     many = np.where(counts >= n, counts - n + 1, (counts > 0).astype(counts.dtype))
     if not len(h):
         return np.zeros(0, np.uint64), many
-    factor = [np.uint64((2 * i + 3) * 0xD6E8FEB86659FD93 & (1 << 64) - 1) for i in range(n)]
+    factor = [np.uint64(pow(0xD6E8FEB86659FD93, i + 1, 1 << 64)) for i in range(n)]  # powers: no small sums of them agree
     out = np.zeros(len(h), dtype=np.uint64)
     for i in range(n):
         out[: len(h) - i] += h[i:] * factor[i]
@@ -177,5 +177,16 @@ def set_keys(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return mix(row_sums(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), counts) + counts.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
+def slices(batches: Iterator[pa.RecordBatch], name: str = "text", limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of text (a longer text is a batch of its own)."""
+    for batch in batches:
+        _, offsets = utf8(column(batch, name))
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))

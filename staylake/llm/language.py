@@ -132,7 +132,7 @@ def learn_prototypes(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAG
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in X.slices(batches):
             langs = X.column(batch, "lang").to_pylist()
             for lo, hi, v, _ in _vectors(X.column(batch, "text").to_pylist()):
                 v = _unit(v.astype(np.float64))
@@ -161,7 +161,7 @@ def identify(docs: DataFrame, langs: list[str], prototypes: np.ndarray, extra: C
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in X.slices(batches):
             names, scores = [], []
             for _, _, v, has in _vectors(X.column(batch, "text").to_pylist()):
                 if langs:

@@ -65,7 +65,7 @@ def token_frequencies(docs: DataFrame) -> dict[int, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(tokens), dtype=np.int64)
-        for batch in batches:
+        for batch in X.slices(batches):
             h, _ = X.words(*X.utf8(X.column(batch, "text")), X.ALNUM)
             at = np.minimum(np.searchsorted(tokens, h), len(tokens) - 1)
             total += np.bincount(at[tokens[at] == h], minlength=len(tokens))
@@ -131,7 +131,7 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Matcher(frequencies, threshold)
-        for batch in batches:
+        for batch in X.slices(batches):
             data, offsets = X.utf8(X.column(batch, "text"))
             line_offsets, n_lines = X.lines(data, offsets)
             h, line_words = X.words(data, line_offsets, X.ALNUM)

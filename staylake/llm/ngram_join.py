@@ -36,7 +36,7 @@ def document_keys(docs: DataFrame, n: int) -> DataFrame:
     """doc_id, n_shingles and the 64-bit key of the shingle set (null if empty) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in X.slices(batches):
             _, counts, keys = _document_sets(batch, n)
             yield pa.record_batch({"doc_id": X.column(batch, "doc_id").cast(pa.int64()), "n_shingles": pa.array(counts.astype(np.int64)), "key": pa.array(keys, mask=counts == 0)})
 
@@ -67,7 +67,7 @@ def _column_blocks(docs: DataFrame, n: int, blocks: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size, seen = 0, set()
-        for batch in batches:
+        for batch in X.slices(batches):
             h, counts, keys = _document_sets(batch, n)
             _, first = np.unique(keys, return_index=True)
             fresh = np.zeros(len(keys), dtype=bool)

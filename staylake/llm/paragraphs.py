@@ -69,7 +69,7 @@ def paragraph_table(docs: DataFrame, n: int, min_words: int, bands: int, rows: i
     """doc_id, line, n_words, key of every long enough paragraph, and its band hashes where a batch has it first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in X.slices(batches):
             h, counts, row, line, key = _paragraphs(batch, min_words)
             _, first = np.unique(key, return_index=True)
             lead = np.zeros(len(key), dtype=bool)
@@ -97,7 +97,7 @@ def _shingle_sets(docs: DataFrame, keys: DataFrame, n: int, min_words: int) -> D
     """key, n, tokens of the wanted paragraph classes, from the documents that hold their first paragraph."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in X.slices(batches):
             h, counts, _, _, key = _paragraphs(batch, min_words)
             _, first = np.unique(key, return_index=True)
             lead = np.zeros(len(key), dtype=bool)
