@@ -79,6 +79,10 @@ def to_binary(c: ColumnOrName) -> Column:
     return F.when(token.isin(*BINARY_TRUE_TOKENS), F.lit(1)).otherwise(F.lit(0))
 
 
+# a full year-month-day, alone or followed by a time: a bare year or month is no date
+DATE_TEXT = r"^\d{1,6}-\d{1,2}-\d{1,2}([ T].*)?$"
+
+
 def numeric_text_to_double(text: Column) -> Column:
     """try_cast(text AS double), attempted only on numeric-looking or special (inf / nan) text."""
     ok = text.rlike(NUMERIC_TEXT) | F.lower(F.trim(text)).isin(*FLOAT_SPECIALS)
@@ -100,7 +104,8 @@ def safe_cast(c: ColumnOrName, data_type: str) -> Column:
         as_dec = F.when(text.rlike(NUMERIC_TEXT), text.try_cast("decimal(38,10)"))
         return F.round(as_dec, 0).try_cast(target)
     if data_type == "date":
-        return F.trim(as_text(c)).try_cast("date")
+        text = F.trim(as_text(c))
+        return F.when(text.rlike(DATE_TEXT), text.try_cast("date"))
     if data_type == "double":
         return numeric_text_to_double(as_text(c))
     return _col(c).try_cast(data_type)

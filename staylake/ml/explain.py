@@ -1,90 +1,96 @@
-"""Model explanation on the cluster: native importances rolled up to raw
-features, permutation importance and partial dependence on a bounded sample."""
+"""Model explanation on the cluster: native importances summed to the raw
+features, permutation importance and partial dependence over all rows."""
 
 from __future__ import annotations
 
-
 from typing import Sequence
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoderModel, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylake.ml.price import predict
-from staylake.operators.topk import bounded_sample, hash_order
+from staylake.operators.topk import hash_order
 
-# Sample bound and repeats of permutation importance.
-SAMPLE_ROWS = 1000
+# Fixed value: repeats of permutation importance.
 N_REPEATS = 10
-
-
-def encoded_feature_names(model: PipelineModel, df: DataFrame) -> list[str]:
-    """Names of the assembled feature vector slots, from the ML attribute metadata."""
-    out = model.transform(df.limit(1))
-    meta = out.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
+# rows that are shuffled among each other in one task
+SHUFFLE_ROWS = 100_000
+
+
+def slot_features(model: PipelineModel) -> list[str]:
+    """The raw feature behind every slot of the assembled vector, from the stages' own input lists."""
+    assemblers = [s for s in model.stages if isinstance(s, VectorAssembler)]
+    numeric = [c.removesuffix("__num__imp") for c in assemblers[0].getInputCols()] if len(assemblers) > 1 else []
+    width = {}
+    for stage in model.stages:
+        if isinstance(stage, OneHotEncoderModel):
+            width = {c: n - 1 for c, n in zip(stage.getOutputCols(), stage.categorySizes)}  # the last slot is dropped
     slots = []
-    for group in meta.values():
-        slots += [(a["idx"], a["name"]) for a in group]
-    return [n for _, n in sorted(slots)]
-
-
-def raw_feature_of(encoded: str, raw: Sequence[str]) -> str:
-    """Longest raw feature name that prefixes the encoded slot name."""
-    cands = [r for r in raw if encoded.startswith(r)]
-    return max(cands, key=len) if cands else encoded
+    for part in assemblers[-1].getInputCols():
+        if part in width:
+            slots += [part.removesuffix("__oh")] * width[part]
+        else:
+            slots += numeric if part == "_num_scaled" else [part.removesuffix("__missing")]
+    return slots
 
 
 def native_importance(model: PipelineModel, df: DataFrame, raw_features: Sequence[str]) -> DataFrame:
-    """(feature, importance, rank): tree importances summed from encoded slots to raw features."""
+    """(feature, importance, rank): importances of the vector slots summed per raw feature; one row for each."""
     est = model.stages[-1]
-    imp = est.featureImportances.toArray() if hasattr(est, "featureImportances") else abs(est.coefficients.toArray())
-    names = encoded_feature_names(model, df)
-    spark = df.sparkSession
-    slots = spark.createDataFrame([(n, raw_feature_of(n, raw_features), float(v)) for n, v in zip(names, imp)],
-                                  "encoded string, feature string, importance double")
-    rolled = slots.groupBy("feature").agg(F.sum("importance").alias("importance"))
-    w = Window.partitionBy(F.lit(1)).orderBy(F.col("importance").desc(), F.col("feature"))
-    return rolled.withColumn("rank", F.row_number().over(w))
+    weights = est.featureImportances.toArray() if hasattr(est, "featureImportances") else abs(est.coefficients.toArray())
+    total = dict.fromkeys(raw_features, 0.0)
+    for name, w in zip(slot_features(model), weights, strict=True):
+        total[name] += float(w)
+    ranked = sorted(total.items(), key=lambda x: (-x[1], x[0]))
+    rows = [(name, w, k) for k, (name, w) in enumerate(ranked, 1)]
+    return df.sparkSession.createDataFrame(rows, "feature string, importance double, rank int")
 
 
 def _rmse(pred: DataFrame, target: str) -> float:
     return pred.agg(F.sqrt(F.avg((F.col(target) - F.col("predicted_log_price")) ** 2))).first()[0]
 
 
-def permute_column(sample: DataFrame, key: str, col: str, seed: int) -> DataFrame:
-    """The sample with ``col`` shuffled: rows numbered by key order and by a
-    seeded hash order, and joined position to position (bounded sample only)."""
-    w_key = Window.partitionBy(F.lit(1)).orderBy(key)
-    w_hash = Window.partitionBy(F.lit(1)).orderBy(hash_order(key, seed), key)
-    base = sample.drop(col).withColumn("_pos", F.row_number().over(w_key))
-    donor = sample.select(F.col(col), F.row_number().over(w_hash).alias("_pos"))
-    return base.join(donor, "_pos").drop("_pos")
+def shuffled_columns(df: DataFrame, key: str, cols: Sequence[str], seed: int, rows: int) -> DataFrame:
+    """``df`` with ``_donor``: the columns of another row, every row giving once.
+
+    Rows are dealt into random groups of about SHUFFLE_ROWS and each takes the values of the next
+    row in a seeded hash order of its group, the last those of the first.
+    """
+    groups = max(1, -(-rows // SHUFFLE_ROWS))
+    group = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(groups))
+    order = Window.partitionBy("_group").orderBy(hash_order(key, seed), F.col(key))
+    donor = F.struct(*cols)
+    first = F.first(donor).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return df.withColumn("_group", group).withColumn("_donor", F.coalesce(F.lead(donor).over(order), first)).drop("_group")
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str], key: str,
-                           target: str = "log_price", n_repeats: int = N_REPEATS, sample_rows: int = SAMPLE_ROWS,
-                           seed: int = 42) -> DataFrame:
-    """Mean / std RMSE increase when one feature is shuffled, on at most ``sample_rows`` rows."""
-    sample = bounded_sample(df, key, sample_rows, seed).cache()
-    base = _rmse(predict(model, sample, target), target)
-    rows = []
-    for f in features:
-        for r in range(n_repeats):
-            perm = permute_column(sample, key, f, seed + 1000 * r + 1)
-            rows.append((f, r, _rmse(predict(model, perm, target), target) - base))
-    sample.unpersist()
-    res = df.sparkSession.createDataFrame(rows, "feature string, repeat int, increase double")
+                           target: str = "log_price", n_repeats: int = N_REPEATS, seed: int = 42) -> DataFrame:
+    """Mean / std RMSE increase when one feature is shuffled over all rows; every repeat scores all features in one job."""
+    features = list(features)
+    needed = list(dict.fromkeys([key, target, *features, *[c for c in df.columns if c in set(slot_features(model))]]))
+    rows = df.select(*needed).cache()
+    base = _rmse(predict(model, rows, target), target)
+    n, found = rows.count(), []
+    for r in range(n_repeats):
+        donors = shuffled_columns(rows, key, features, seed + 1000 * r + 1, n)
+        each = donors.withColumn("_feature", F.explode(F.array(*map(F.lit, features))))
+        mixed = each.select("_feature", *[F.when(F.col("_feature") == c, F.col(f"_donor.{c}")).otherwise(F.col(c)).alias(c) if c in features else F.col(c)
+                                          for c in needed])
+        error = predict(model, mixed, target).groupBy("_feature").agg(F.sqrt(F.avg((F.col(target) - F.col("predicted_log_price")) ** 2)).alias("rmse"))
+        found += [(x["_feature"], r, x["rmse"] - base) for x in error.collect()]
+    rows.unpersist()
+    res = df.sparkSession.createDataFrame(found, "feature string, repeat int, increase double")
     return res.groupBy("feature").agg(F.avg("increase").alias("importance_mean"),
                                       F.stddev_pop("increase").alias("importance_std")).orderBy(F.col("importance_mean").desc())
 
 
-def partial_dependence(model: PipelineModel, df: DataFrame, feature: str, grid: Sequence[float], key: str,
-                       target: str = "log_price", sample_rows: int = SAMPLE_ROWS, seed: int = 42) -> DataFrame:
-    """Average predicted log price with ``feature`` set to each grid value over a bounded sample."""
-    sample = bounded_sample(df, key, sample_rows, seed)
-    spark = df.sparkSession
-    g = spark.createDataFrame([(float(v),) for v in grid], "grid_value double")
-    # grid (len(grid) rows) x sample (<= sample_rows rows): both sides bounded
-    expanded = sample.drop(feature).crossJoin(F.broadcast(g)).withColumn(feature, F.col("grid_value"))
+def partial_dependence(model: PipelineModel, df: DataFrame, feature: str, grid: Sequence[float],
+                       target: str = "log_price") -> DataFrame:
+    """Average predicted log price over all rows with ``feature`` set to each grid value."""
+    values = F.explode(F.array(*[F.lit(float(v)) for v in grid]))
+    expanded = df.drop(feature).withColumn("grid_value", values).withColumn(feature, F.col("grid_value"))
     pred = predict(model, expanded, target)
     return pred.groupBy("grid_value").agg(F.avg("predicted_log_price").alias("avg_predicted_log_price")).orderBy("grid_value")

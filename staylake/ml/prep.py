@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylake.operators.ranks import quantiles
+from staylake.session import cut_lineage
 
 # Hold-out share, folds, seed, rare-category threshold, fill label.
 TEST_PERCENT = 20
@@ -118,21 +119,22 @@ def hot_position(vec_col: str) -> Column:
 from pyspark import keyword_only  # noqa: E402
 from pyspark.ml import Estimator, Model  # noqa: E402
 from pyspark.ml.param.shared import HasInputCols, Param, Params, TypeConverters  # noqa: E402
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable  # noqa: E402
+from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,  # noqa: E402
+                             MLReadable, MLReader, MLWritable, MLWriter)
 
-# vocabularies above this size belong in a join (``bucket_infrequent``), not in a plan literal
-MAX_VOCAB = 100_000
+# a vocabulary of up to this many values is applied as a literal list, a larger one by a join; same result
+LITERAL_VALUES = 1000
+# ... and is sent to every task only up to this many values
+BROADCAST_VALUES = 100_000
 
 
-class _InfrequentParams(HasInputCols):
+class InfrequentBucketer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Fit: per input column, the categories seen at least ``minFrequency`` times
+    (one distributed group-by, kept as a table). Transform: every other non-NULL value -> 'infrequent'."""
+
     minFrequency = Param(Params._dummy(), "minFrequency", "minimum training count of a kept category",
                          typeConverter=TypeConverters.toInt)
 
-
-class InfrequentBucketer(Estimator, _InfrequentParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Fit: per input column, the categories seen at least ``minFrequency`` times
-    (one distributed group-by). Transform: every other non-NULL value -> 'infrequent'."""
-
     @keyword_only
     def __init__(self, *, inputCols=None, minFrequency=MIN_FREQUENCY):
         super().__init__()
@@ -141,33 +143,64 @@ class InfrequentBucketer(Estimator, _InfrequentParams, DefaultParamsReadable, De
 
     def _fit(self, dataset):
         cols = self.getInputCols()
-        k = self.getOrDefault(self.minFrequency)
         stacked = dataset.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("s")).select("s.*")
-        frequent = (stacked.where(F.col("v").isNotNull()).groupBy("c", "v").count().where(F.col("count") >= k)
-                    .select("c", "v"))
-        # one bounded pass: at most MAX_VOCAB + 1 rows ever reach the driver
-        rows = frequent.limit(MAX_VOCAB + 1).collect()
-        if len(rows) > MAX_VOCAB:
-            raise ValueError(f"over {MAX_VOCAB} frequent categories; use staylake.ml.prep.bucket_infrequent (join)")
-        vocab: dict[str, list[str]] = {c: [] for c in cols}
-        for r in rows:
-            vocab[r.c].append(r.v)
-        model = InfrequentBucketerModel(inputCols=cols, vocabulary=[sorted(vocab[c]) for c in cols])
-        return self._copyValues(model)
-
-
-class InfrequentBucketerModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
-    vocabulary = Param(Params._dummy(), "vocabulary", "frequent categories per input column",
-                       typeConverter=TypeConverters.toList)
+        frequent = (stacked.where(F.col("v").isNotNull()).groupBy("c", "v").count()
+                    .where(F.col("count") >= self.getOrDefault(self.minFrequency)).select("c", "v"))
+        model = InfrequentBucketerModel(inputCols=cols)
+        return self._copyValues(model).with_vocabulary(cut_lineage(frequent))
+
+
+class InfrequentBucketerModel(Model, HasInputCols, MLReadable, MLWritable):
+    """Holds the frequent categories as a table (c, v), saved as Parquet beside the parameters."""
 
     @keyword_only
-    def __init__(self, *, inputCols=None, vocabulary=None):
+    def __init__(self, *, inputCols=None):
         super().__init__()
         self._set(**self._input_kwargs)
 
+    def with_vocabulary(self, vocabulary: DataFrame) -> "InfrequentBucketerModel":
+        self.vocabulary, self.size = vocabulary, vocabulary.count()
+        self.literal = vocabulary.collect() if self.size <= LITERAL_VALUES else None
+        return self
+
     def _transform(self, dataset):
-        vocab = dict(zip(self.getInputCols(), self.getOrDefault(self.vocabulary)))
-        return dataset.withColumns({
-            c: F.when(F.col(c).isNull() | F.col(c).isin(*v), F.col(c)).otherwise(F.lit(INFREQUENT_LABEL))
-            for c, v in vocab.items()})
+        cols = self.getInputCols()
+        if self.literal is not None:
+            kept = {c: [r["v"] for r in self.literal if r["c"] == c] for c in cols}
+            return dataset.withColumns({
+                c: F.when(F.col(c).isNull() | F.col(c).isin(*v), F.col(c)).otherwise(F.lit(INFREQUENT_LABEL))
+                for c, v in kept.items()})
+        for c in cols:
+            known = self.vocabulary.where(F.col("c") == c).select(F.col("v").alias("_known"))
+            known = F.broadcast(known) if self.size <= BROADCAST_VALUES else known
+            joined = dataset.join(known, dataset[c] == known["_known"], "left")
+            keep = F.col(c).isNull() | F.col("_known").isNotNull()
+            dataset = joined.withColumn(c, F.when(keep, F.col(c)).otherwise(F.lit(INFREQUENT_LABEL))).drop("_known")
+        return dataset
+
+    def write(self):
+        return _BucketerWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _BucketerReader()
+
+
+class _BucketerWriter(MLWriter):
+    def __init__(self, model: InfrequentBucketerModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
+        self.model.vocabulary.write.parquet(path.rstrip("/") + "/vocabulary")
+
+
+class _BucketerReader(MLReader):
+    def load(self, path: str) -> InfrequentBucketerModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = InfrequentBucketerModel()
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        return model.with_vocabulary(self.sparkSession.read.parquet(path.rstrip("/") + "/vocabulary"))

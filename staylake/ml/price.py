@@ -14,6 +14,7 @@ import random
 from dataclasses import dataclass, field
 from typing import Sequence
 
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -52,9 +53,17 @@ class PriceConfig:
     n_folds: int = 5
 
 
+ROLE_OF = {c: role for role, names in (("numeric", NUMERIC_FEATURES), ("category", CATEGORICAL_FEATURES),
+                                      ("native", NATIVE_MISSING_FEATURES)) for c in names}
+
+
 def roles(features: Sequence[str]) -> tuple[list[str], list[str], list[str]]:
-    s = set(features)
-    return sorted(s & NUMERIC_FEATURES), sorted(s & CATEGORICAL_FEATURES), sorted(s & NATIVE_MISSING_FEATURES)
+    """(numeric, categorical, natively missing) features in name order; names without a role are left out."""
+    by_role: dict[str, list[str]] = {"numeric": [], "category": [], "native": []}
+    for name in sorted(set(features)):
+        if name in ROLE_OF:
+            by_role[ROLE_OF[name]].append(name)
+    return by_role["numeric"], by_role["category"], by_role["native"]
 
 
 def regressor(algorithm: str, target: str, params: dict | None = None, seed: int = 42):
@@ -97,7 +106,7 @@ def build_pipeline(features: Sequence[str], target: str = TARGET, algorithm: str
 
 
 def predict(model: PipelineModel, df: DataFrame, target: str = TARGET) -> DataFrame:
-    """predicted_log_price and predicted_price = max(expm1(log), 0); non-finite -> error column."""
+    """Adds predicted_log_price and predicted_price = max(expm1(log), 0)."""
     out = model.transform(df).withColumnRenamed("prediction", "predicted_log_price")
     out = out.withColumn("predicted_price", F.greatest(F.expm1("predicted_log_price"), F.lit(0.0)))
     keep = list(df.columns) + ["predicted_log_price", "predicted_price"]
@@ -125,9 +134,7 @@ def train_evaluate(df: DataFrame, cfg: PriceConfig,
     train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
     model = build_pipeline(cfg.features, cfg.target, cfg.algorithm, cfg.params, cfg.seed).fit(train)
     pred = predict(model, test, cfg.target)
-    n_features = len(model.stages[-1].featureImportances) if hasattr(model.stages[-1], "featureImportances") else \
-        model.stages[-1].numFeatures
-    metrics = regression_metrics(pred, cfg.target, "predicted_log_price", n_features)
+    metrics = regression_metrics(pred, cfg.target, "predicted_log_price", model.stages[-1].numFeatures)
     return model, metrics, pred
 
 
@@ -135,14 +142,14 @@ def cross_validate(df: DataFrame, cfg: PriceConfig, algorithm: str | None = None
                    features: Sequence[str] | None = None, folds: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """K-fold CV on the given (training) rows with preprocessing fitted per fold.
 
-    Returns (per-fold metrics, out-of-fold predictions). A failing fold is
-    recorded with status 'failed' instead of aborting the study. Studies that
+    Returns (per-fold metrics, out-of-fold predictions). A fold whose data
+    cannot be fitted is recorded with status 'failed'; if none can, it raises. Studies that
     run many CVs pass ``folds`` (``kfold_assign`` output, cached once by the
     caller and released when the study ends) so the training rows are held
     once, not once per trial."""
     folds = folds if folds is not None else kfold_assign(df, cfg.key, cfg.n_folds).cache()
     feats = list(features or cfg.features)
-    metric_parts, preds = [], []
+    metric_parts, preds, failures = [], [], []
     for k in range(cfg.n_folds):
         train, valid = folds.where(F.col("fold") != k), folds.where(F.col("fold") == k)
         try:
@@ -151,13 +158,16 @@ def cross_validate(df: DataFrame, cfg: PriceConfig, algorithm: str | None = None
             m = regression_metrics(p, cfg.target, "predicted_log_price", 0).select(
                 F.lit(k + 1).alias("fold"), "n", "rmse", "mae", "r2", F.lit("ok").alias("status"))
             preds.append(p.select(cfg.key, F.lit(k + 1).alias("fold"), cfg.target, "predicted_log_price"))
-        except Exception:  # noqa: BLE001 - a failed fold is data, not a crash
+        except (IllegalArgumentException, AnalysisException) as e:  # what a fold's data can cause; anything else ends the study
+            failures.append(f"fold {k + 1}: {e}")
             m = folds.sparkSession.createDataFrame([(k + 1, 0, None, None, None, "failed")],
                                                    "fold int, n bigint, rmse double, mae double, r2 double, status string")
         metric_parts.append(m)
     from functools import reduce
+    if not preds:
+        raise RuntimeError("no fold could be fitted: " + "; ".join(failures))
     metrics = reduce(lambda a, b: a.unionByName(b), metric_parts)
-    oof = reduce(lambda a, b: a.unionByName(b), preds) if preds else None
+    oof = reduce(lambda a, b: a.unionByName(b), preds)
     return metrics, oof
 
 
@@ -240,7 +250,7 @@ def price_training_check(predictions: DataFrame, metrics: DataFrame, key: str =
 
 def evaluate_model(model: PipelineModel, df: DataFrame, target: str = TARGET) -> DataFrame:
     """Score an existing model on labelled rows and return the metric row."""
-    return regression_metrics(predict(model, df, target), target, "predicted_log_price", 0)
+    return regression_metrics(predict(model, df, target), target, "predicted_log_price", model.stages[-1].numFeatures)
 
 
 def refit_best(df: DataFrame, cfg: PriceConfig, trials: DataFrame) -> PipelineModel:

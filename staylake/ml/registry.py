@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from staylake.operators.topk import champion_first
 
 # Registry statuses.
-CHAMPION, CANDIDATE = "CHAMPION", "CANDIDATE"
+CHAMPION, CANDIDATE, RETIRED = "CHAMPION", "CANDIDATE", "RETIRED"
 
 RESULT_TABLES: dict[str, str] = {
     "gold_ml_training_runs": "run_id string, model_version string, model_task string, training_mode string, "
@@ -41,7 +41,8 @@ RESULT_TABLES: dict[str, str] = {
                              "median_price double, avg_price double, listing_share double, created_at timestamp",
 }
 
-_IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
+# a table name is one or two plain words; anything that would need quoting is refused
+_PLAIN_WORD = re.compile(r"[A-Za-z_]\w*", re.ASCII)
 
 
 def now() -> datetime:
@@ -53,8 +54,9 @@ def new_version(task: str) -> str:
 
 
 def safe_name(table: str) -> str:
-    if not _IDENT.match(table):
-        raise ValueError(f"unsafe table name: {table!r}")
+    parts = table.split(".")
+    if len(parts) > 2 or not all(_PLAIN_WORD.fullmatch(p) for p in parts):
+        raise ValueError(f"{table!r} is not a plain [schema.]table name")
     return table
 
 
@@ -76,7 +78,7 @@ def guarded_append(df: DataFrame, table: str) -> int:
     """Append by column name; refuse an empty frame. Returns the appended row count."""
     safe_name(table)
     if df.isEmpty():
-        raise ValueError(f"refusing to append an empty frame to {table}")
+        raise ValueError(f"{table}: there are no rows to write")
     target = df.sparkSession.table(table).columns
     extra = [c for c in df.columns if c not in target]
     if extra:
@@ -152,16 +154,19 @@ def record_training(spark: SparkSession, schema: str | None, model_version: str,
 
 
 def promote(spark: SparkSession, schema: str | None, model_task: str, model_version: str) -> None:
-    """Explicit manual promotion: append a CHAMPION status row for an existing version."""
+    """Explicit manual promotion: one append makes an existing version the CHAMPION and retires the task's old one."""
     pre = f"{schema}." if schema else ""
     reg = spark.table(pre + "gold_ml_model_registry")
     row = reg.where((F.col("model_version") == model_version) & (F.col("model_task") == model_task)).limit(1).collect()
     if not row:
         raise ValueError(f"unknown model version {model_version} for {model_task}")
     r = row[0]
-    champ = spark.createDataFrame([(r.model_version, r.model_task, r.model_name, r.artifact_path, CHAMPION, now())],
-                                  RESULT_TABLES["gold_ml_model_registry"])
-    guarded_append(champ, pre + "gold_ml_model_registry")
+    old = current_status(reg).where((F.col("model_task") == model_task) & (F.col("status") == CHAMPION)
+                                    & (F.col("model_version") != model_version)).collect()
+    ts = now()
+    rows = [(x.model_version, x.model_task, x.model_name, x.artifact_path, RETIRED, ts) for x in old]
+    rows.append((r.model_version, r.model_task, r.model_name, r.artifact_path, CHAMPION, ts))
+    guarded_append(spark.createDataFrame(rows, RESULT_TABLES["gold_ml_model_registry"]).coalesce(1), pre + "gold_ml_model_registry")
 
 
 def current_status(registry: DataFrame) -> DataFrame:
@@ -185,6 +190,6 @@ def lookup_model(spark: SparkSession, schema: str | None, model_task: str, allow
         raise RuntimeError(f"more than one CHAMPION for {bad[0].model_task}")
     pick = champion_first(reg, model_task, allow_candidate).collect()  # at most one row
     if not pick:
-        raise RuntimeError(f"No CHAMPION model is registered for {model_task}"
-                           + ("" if allow_candidate else "; candidate fallback is disabled"))
+        wanted = "champion or candidate" if allow_candidate else "champion"
+        raise RuntimeError(f"{model_task}: the registry has no {wanted}")
     return pick[0]

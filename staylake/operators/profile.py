@@ -105,7 +105,7 @@ def column_quality(df: DataFrame, cols: Sequence[str] | None = None, approx_dist
     rows = [
         F.struct(F.lit(c).alias("column"), F.lit(dtypes[c]).alias("dtype"),
                  F.col(f"nn_{i}").alias("non_null_count"), (F.col("_n") - F.col(f"nn_{i}")).alias("missing_count"),
-                 F.round((F.col("_n") - F.col(f"nn_{i}")) / F.col("_n") * F.lit(100.0), 2).alias("missing_rate"),
+                 F.round(F.try_divide(F.col("_n") - F.col(f"nn_{i}"), F.col("_n")) * F.lit(100.0), 2).alias("missing_rate"),
                  F.col(f"nd_{i}").alias("unique_count"))
         for i, c in enumerate(cols)
     ]
@@ -214,12 +214,10 @@ def pivot_wide(df: DataFrame, row: Sequence[str], col: str, value: str, values:
 
 
 def crosstab_normalized(df: DataFrame, row: str, col: str, values: Sequence) -> DataFrame:
-    """Row-normalised contingency table; a missing combination is 0."""
-    counts = df.groupBy(row).pivot(col, list(values)).agg(F.count(F.lit(1)))
-    names = [str(v) for v in values]
-    filled = counts.fillna(0, subset=names)
-    total = reduce(lambda a, b: a + b, [F.col(n) for n in names])
-    return filled.select(row, *[(F.col(n) / total).alias(n) for n in names])
+    """Share of each listed value in ALL rows of the row group; values not listed count in the
+    denominator only, a missing combination is 0."""
+    shares = [(F.count_if(F.col(col).eqNullSafe(F.lit(v))) / F.count(F.lit(1))).alias(str(v)) for v in values]
+    return df.groupBy(row).agg(*shares)
 
 
 def mode_share(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
@@ -232,8 +230,9 @@ def mode_share(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
-    """Equal-width histogram between min and max (last bin closed), every bin listed."""
+    """Equal-width histogram between min and max of the finite values (last bin closed), every bin listed."""
     x = F.col(col).cast("double")
+    df = df.where(x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rng = df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     idx = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
@@ -257,7 +256,8 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), approx: bool =
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lower_fence", F.col("q1") - F.lit(1.5) * F.col("iqr")) \
          .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * F.col("iqr"))
-    rows = _null_safe_join(df.select(*by, F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull()), q, by)
+    rows = df.select(*by, F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull())
+    rows = _null_safe_join(rows, q, by) if by else rows.crossJoin(F.broadcast(q))  # q is one row without groups
     inside = (F.col(value) >= F.col("lower_fence")) & (F.col(value) <= F.col("upper_fence"))
     agg = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("count"),

@@ -46,7 +46,8 @@ def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def kruskal_wallis(df: DataFrame, value: str, group: str, min_group_size: int = 30) -> DataFrame:
     """Tie-corrected Kruskal-Wallis H over groups with at least ``min_group_size`` values.
 
-    Returns one row (h, n_groups, n); h is NULL with fewer than two groups.
+    Returns one row (h, n_groups, n); h is NULL with fewer than two groups and
+    when all values are equal (no order to test).
     Rank sums per group come from distinct (group, value) counts joined to the
     global average rank of each distinct value, so the hot-value case is one row.
     """
@@ -62,9 +63,9 @@ def kruskal_wallis(df: DataFrame, value: str, group: str, min_group_size: int =
     ties = pos.agg(F.sum(F.col("n_equal").cast("double") ** 3 - F.col("n_equal")).alias("_t"))
     n = F.col("n").cast("double")
     h_raw = F.lit(12.0) / (n * (n + 1)) * F.col("_s") - F.lit(3.0) * (n + 1)
-    corr = F.lit(1.0) - F.col("_t") / (n * n * n - n)
+    corr = F.lit(1.0) - F.try_divide(F.col("_t"), n * n * n - n)
     return terms.crossJoin(ties).select(
-        F.when(F.col("n_groups") >= 2, h_raw / corr).alias("h"), "n_groups", F.col("n").cast("bigint").alias("n"))
+        F.when(F.col("n_groups") >= 2, F.try_divide(h_raw, corr)).alias("h"), "n_groups", F.col("n").cast("bigint").alias("n"))
 
 
 def chi2_sf(x: float, dof: int) -> float:

@@ -113,13 +113,13 @@ PART_LISTING_BINDING: list[tuple[str, str]] = [
     ("calculated_host_listings_count", "p_size"),
     ("number_of_reviews", "p_size - 10"),
     ("number_of_reviews_ltm", "p_size - 20"),
-    ("reviews_per_month", "p_retailprice / 1000.0"),
+    ("reviews_per_month", "CAST((p_partkey * 7) % 50 AS DOUBLE) / 10.0"),
     ("review_scores_rating", "NULLIF(CAST(p_size AS DOUBLE), 20.0)"),
     ("review_scores_accuracy", "CAST(NULL AS DOUBLE)"),
     ("review_scores_cleanliness", "CAST(NULL AS DOUBLE)"),
     ("review_scores_checkin", "CAST(NULL AS DOUBLE)"),
     ("review_scores_communication", "CAST(NULL AS DOUBLE)"),
-    ("review_scores_location", "p_retailprice / 100.0"),
+    ("review_scores_location", "NULLIF(CAST((p_partkey * 13) % 11 AS DOUBLE) / 2.0, 0.0)"),
     ("review_scores_value", "CAST(NULL AS DOUBLE)"),
     ("amenities", "CASE p_type WHEN 'ECONOMY' THEN NULL WHEN 'PROMO' THEN '{}' "
                   "WHEN 'SMALL' THEN '{' || replace(p_name, ' ', ',,') || '}' "

@@ -1270,10 +1270,10 @@ def _emb_vectors(spark, d):
 
 @register("kmeans_segments")
 def _kmeans_segments(spark, d):
-    """k-means (k=3, best of 3 seeds) on the embeddings, ids named by centroid signature."""
+    """k-means (k=3, best of 10 seeds) on the embeddings, ids named by centroid signature."""
     from staylake.ml import segment as S
     v = _emb_vectors(spark, d)
-    model = S.fit_kmeans(v, 3, 3, 42)
+    model = S.fit_kmeans(v)
     assigned = S.assign(model, v)
     cents = S.centroid_table(model).select("cluster_id", F.col("f0").alias("accommodates"),
                                            F.col("f1").alias("minimum_nights_log"))
@@ -1286,7 +1286,7 @@ def _segment_mart_model(spark, d):
     """Segmentation on the cluster mart: one-hot + scaled numerics, k-means, names, profile."""
     from staylake.ml import segment as S
     mart = features.cluster_model_features(B.bound_part_listings(spark, d)).cache()
-    model = S.fit_segmentation(mart, 3, 2)
+    model = S.fit_segmentation(mart)
     names = S.name_segments(S.centroid_signature(model, mart), "accommodates", "minimum_nights_log")
     assigned = S.attach_names(S.segment_assign(model, mart), names)
     prof = S.segment_profile(assigned, "cluster_id", "price", S.SEGMENT_NUMERIC, ["room_type", "property_base_group"])
@@ -1308,7 +1308,7 @@ def _pca(spark, d):
 @register("centroids")
 def _centroids(spark, d):
     from staylake.ml import segment as S
-    return S.centroid_table(S.fit_kmeans(_emb_vectors(spark, d), 3, 2, 42))
+    return S.centroid_table(S.fit_kmeans(_emb_vectors(spark, d)))
 
 
 @register("silhouette")
@@ -1326,7 +1326,7 @@ def _price_frame(spark, d):
 
 def _price_cfg():
     from staylake.ml.price import PriceConfig
-    return PriceConfig(params={"maxDepth": 4, "maxIter": 15, "stepSize": 0.1}, n_folds=3)
+    return PriceConfig(params={"maxDepth": 4, "maxIter": 15, "stepSize": 0.1})
 
 
 @register("price_model")
@@ -1372,8 +1372,7 @@ def _price_permutation(spark, d):
     frame = _price_frame(spark, d)
     cfg = _price_cfg()
     model, _, _ = train_evaluate(frame, cfg)
-    return permutation_importance(model, frame, ["accommodates", "bedrooms", "neighbourhood"], "listing_id",
-                                  n_repeats=2, sample_rows=500)
+    return permutation_importance(model, frame, list(cfg.features), "listing_id")
 
 
 @register("price_pdp")
@@ -1382,7 +1381,7 @@ def _price_pdp(spark, d):
     from staylake.ml.price import train_evaluate
     frame = _price_frame(spark, d)
     model, _, _ = train_evaluate(frame, _price_cfg())
-    return partial_dependence(model, frame, "accommodates", [1, 5, 10, 20, 40], "listing_id", sample_rows=500)
+    return partial_dependence(model, frame, "accommodates", [1, 5, 10, 20, 40])
 
 
 @register("model_roundtrip")
@@ -1441,9 +1440,8 @@ def _price_feature_selection(spark, d):
     frame = _price_frame(spark, d).cache()
     cfg = _price_cfg()
     model, _, _ = train_evaluate(frame, cfg)
-    ranked = [r.feature for r in native_importance(model, frame, list(cfg.features)).orderBy("rank").collect()
-              if r.feature in cfg.features]
-    table, chosen = feature_selection(frame, cfg, ranked, (5, 10))
+    ranked = [r.feature for r in native_importance(model, frame, list(cfg.features)).orderBy("rank").collect()]
+    table, chosen = feature_selection(frame, cfg, ranked, (5, 10, 15))
     return table.join(chosen.select("n_features", F.lit(True).alias("chosen")), "n_features", "left") \
         .fillna(False, subset=["chosen"])
 
@@ -1459,7 +1457,7 @@ def _segmentation_job(spark, d):
     schema = f"staylake_seg_{_uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{root}/db'")
     mart = features.cluster_model_features(B.bound_part_listings(spark, d)).cache()
-    version = jobs.run_segmentation(spark, mart, root + "/artifacts", schema, k=3, n_init=2)
+    version = jobs.run_segmentation(spark, mart, root + "/artifacts", schema)
     return jobs.run_segment_inference(spark, mart, "batch_" + version, schema, allow_candidate=True)
 
 

@@ -105,15 +105,58 @@ def test_infrequent_bucketer_roundtrip(spark, tmp_path):
     assert [r.c for r in again.collect()] == ["infrequent", "a", "infrequent"]
 
 
-def test_infrequent_bucketer_vocabulary_bound(spark, monkeypatch):
+def test_infrequent_bucketer_literal_and_join_agree(spark, monkeypatch, tmp_path):
     from staylake.ml import prep
+    df = spark.range(300).select((F.col("id") % 7).cast("string").alias("c"), F.when(F.col("id") < 250, "x").otherwise(F.col("id").cast("string")).alias("d"))
+    one = prep.InfrequentBucketer(inputCols=["c", "d"], minFrequency=43).fit(df)
+    expected = sorted(map(tuple, one.transform(df).collect()))
+    assert {r[0] for r in expected} == {"0", "1", "2", "3", "4", "5", "infrequent"} and {r[1] for r in expected} == {"x", "infrequent"}
+    for limit in (0, 1000):
+        monkeypatch.setattr(prep, "BROADCAST_VALUES", limit)
+        monkeypatch.setattr(prep, "LITERAL_VALUES", 2)
+        one.write().save(str(tmp_path / f"m{limit}"))
+        again = prep.InfrequentBucketerModel.load(str(tmp_path / f"m{limit}"))
+        assert again.literal is None
+        assert sorted(map(tuple, again.transform(df).collect())) == expected
+
+
+def test_more_categories_than_any_literal_list(spark):
     from staylake.ml.prep import InfrequentBucketer
-    df = spark.createDataFrame([(str(i % 3),) for i in range(12)], "c string")
-    monkeypatch.setattr(prep, "MAX_VOCAB", 2)
-    with pytest.raises(ValueError):
-        InfrequentBucketer(inputCols=["c"], minFrequency=1).fit(df)
-    monkeypatch.setattr(prep, "MAX_VOCAB", 3)
-    assert InfrequentBucketer(inputCols=["c"], minFrequency=1).fit(df).getOrDefault("vocabulary") == [["0", "1", "2"]]
+    df = spark.range(240_000).select((F.col("id") % 120_000).cast("string").alias("c"))
+    out = InfrequentBucketer(inputCols=["c"], minFrequency=2).fit(df).transform(df)
+    assert out.where(F.col("c") == "infrequent").count() == 0 and out.count() == 240_000
+
+
+def test_importances_have_the_raw_features(spark, mart):
+    from staylake.ml.explain import native_importance, permutation_importance
+    frame = features.modelling_frame(mart)
+    model, _, _ = train_evaluate(frame, CFG)
+    rows = native_importance(model, frame, list(CFG.features)).collect()
+    assert {r.feature for r in rows} == set(CFG.features) and sorted(r["rank"] for r in rows) == list(range(1, 16))
+    assert abs(sum(r.importance for r in rows) - 1) < 1e-9
+    assert max(r.importance for r in rows) < 0.98  # no feature is the target in disguise
+    perm = permutation_importance(model, frame, ["accommodates", "neighbourhood"], "listing_id", n_repeats=2).collect()
+    assert {r.feature for r in perm} == {"accommodates", "neighbourhood"}
+
+
+def test_shuffled_columns_is_a_permutation(spark, monkeypatch):
+    from staylake.ml import explain
+    monkeypatch.setattr(explain, "SHUFFLE_ROWS", 30)
+    df = spark.range(200).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"))
+    out = explain.shuffled_columns(df, "k", ["v"], 1, 200).select("k", "v", F.col("_donor.v").alias("w")).collect()
+    assert sorted(r.w for r in out) == sorted(r.v for r in out)
+    assert sum(r.v != r.w for r in out) > 150
+
+
+def test_second_promotion_retires_the_first(spark, schema):
+    REG.ensure_tables(spark, schema)
+    for v in ("v1", "v2"):
+        REG.record_training(spark, schema, v, "price_prediction", "gbt", f"/nowhere/{v}",
+                            REG.metric_records(spark, {"rmse": 1.0}, v, "price_prediction", "test"))
+        REG.promote(spark, schema, "price_prediction", v)
+    assert REG.lookup_model(spark, schema, "price_prediction").model_version == "v2"
+    REG.promote(spark, schema, "price_prediction", "v1")
+    assert REG.lookup_model(spark, schema, "price_prediction").model_version == "v1"
 
 
 def test_price_pipeline_one_indexer_for_all_categories():
