@@ -1,18 +1,24 @@
-"""Substring dedup: paragraphs that repeat, within or across documents.
+"""Substring dedup: paragraphs that repeat, within or across documents, and passages inside them.
 
 A paragraph is a line of the text. Paragraphs with equal words are one class; MinHash signatures of
 the classes' word shingles are cut into bands tuned for high recall, classes that collide in a band
 form candidate clusters, exact Jaccard similarity (blocks of set rows, ``_graph``) keeps the true
 links, and every component of linked paragraphs keeps its first paragraph and loses the others.
+
+A passage that is only part of a longer line leaves its line's similarity low. So the lines that
+stay are covered once more by runs of PASSAGE_WORDS words that start at the minima of the runs'
+hashes (the same minima wherever the passage stands): a MinHash of every neighbourhood of a line.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from staylake.llm import _text as X
 from staylake.llm._graph import as_batches, components, verify_clusters
@@ -21,6 +27,9 @@ from staylake.llm._scratch import Scratch, small_side
 #: Shorter paragraphs (headings, notices, single sentences) are left alone.
 MIN_WORDS = 20
 RECALL, FALSE_AT, FALSE_RATE = 0.998, 0.3, 0.1
+#: Words of a run, and starts (a power of two) of which the smallest hash is taken: any shared passage of at least
+#: PASSAGE_WORDS + NEIGHBOURS - 1 words holds a run that is taken in both places.
+PASSAGE_WORDS, NEIGHBOURS = 25, 16
 
 
 def tune_bands(threshold: float, recall: float = RECALL) -> tuple[int, int]:
@@ -153,17 +162,132 @@ def repeated_paragraphs(docs: DataFrame, n: int = 5, percent: int = 80, min_word
     return out.select("doc_id", "line", "n_words", kept_doc.alias("kept_doc_id"), F.col("kept.line").alias("kept_line"), "copies").withColumn("removed", ~stays)
 
 
+def _minima(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Which values are the smallest of some NEIGHBOURS consecutive values of their row (of the whole row, if shorter)."""
+    place = X.within(counts)
+    at = place + np.repeat(np.arange(len(counts)) * (NEIGHBOURS - 1) + np.cumsum(counts) - counts, counts)
+    low = np.full(len(h) + NEIGHBOURS * (len(counts) + 1), np.iinfo(np.uint64).max, dtype=np.uint64)
+    low[at] = h
+    step = 1
+    while step < NEIGHBOURS:
+        low[:-step] = np.minimum(low[:-step], low[step:])
+        step *= 2
+    starts = at[(place == 0) | (place + NEIGHBOURS <= np.repeat(counts, counts))]
+    high = np.zeros_like(low)
+    high[starts] = low[starts]
+    step = 1
+    while step < NEIGHBOURS:
+        high[step:] = np.maximum(high[step:], high[:-step])
+        step *= 2
+    return high[at] == h
+
+
+def passage_table(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, line, first_word, key (hash of ``words`` words) of the runs taken from every line."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in X.slices(batches):
+            data, offsets = X.utf8(X.column(batch, "text"))
+            line_offsets, n_lines = X.lines(data, offsets)
+            h, counts = X.words(data, line_offsets, X.NOT_SPACE)
+            long = counts >= words
+            key, many = X.shingles(h[np.repeat(long, counts)], counts[long], words)
+            taken = _minima(key, many)
+            of = np.repeat(np.flatnonzero(long), many)[taken]
+            row, line = np.repeat(np.arange(batch.num_rows), n_lines)[of], X.within(n_lines)[of]
+            yield from pa.table({
+                "doc_id": X.column(batch, "doc_id").take(pa.array(row)), "line": line.astype(np.int32),
+                "first_word": X.within(many)[taken].astype(np.int32), "key": key[taken].view(np.int64)}).to_batches(max_chunksize=50_000)
+
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    return known.mapInArrow(run, "doc_id long, line int, first_word int, key long")
+
+
+def repeated_passages(docs: DataFrame, lines: DataFrame, words: int = PASSAGE_WORDS) -> DataFrame:
+    """Passages of lines that other documents have too: doc_id, line, first_word, n_words, kept_doc_id, kept_line, copies, removed.
+
+    ``docs`` needs doc_id and text; ``lines`` is ``repeated_paragraphs(docs)``, whose removed lines
+    are left out. A passage consists of overlapping runs of ``words`` equal words (letters A-Z
+    lower-cased) that stand in at least two documents; every passage of ``words`` + NEIGHBOURS - 1
+    words or more is found, its ends may be missed by less than NEIGHBOURS words. Of each run the
+    first place by (doc_id, line, first_word) stays and the others are removed; ``copies`` is the
+    largest number of places of a run, kept_doc_id and kept_line are the smallest place that its runs keep.
+    Words beside a passage decide which of its outermost runs are taken, so a run that its first
+    document does not take can have its first place in a later one; every word keeps one place.
+
+    Runs that only one document repeats are no passages. Null and empty texts have no runs, and
+    rows without doc_id take no part. Rows repeated under one doc_id are one document. An empty
+    table gives an empty result.
+    """
+    scratch = Scratch(docs.sparkSession)
+    table = scratch.write(passage_table(docs, words), "runs")
+    across = [F.min("doc_id").alias("low"), F.max("doc_id").alias("high")]
+    shared = table.groupBy("key").agg(*across).where("low < high").select("key")
+    gone = lines.where("removed and doc_id is not null").select("doc_id", "line")
+    hits = table.join(shared, "key", "left_semi").join(gone, ["doc_id", "line"], "left_anti")
+    hits = scratch.write(hits.select("doc_id", "line", "first_word", "key").distinct(), "shared")
+    scratch.drop("runs")
+    place = F.struct("doc_id", "line", "first_word")
+    firsts = hits.groupBy("key").agg(*across, F.min(place).alias("kept"), F.count("*").alias("copies")).where("low < high").drop("low", "high")
+    runs = hits.join(firsts, "key").withColumn("removed", place != F.col("kept"))
+    in_line = Window.partitionBy("doc_id", "line", "removed").orderBy("first_word")
+    apart = F.col("first_word") > F.lag("first_word").over(in_line) + words
+    runs = runs.withColumn("apart", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("part", F.sum("apart").over(in_line.rowsBetween(Window.unboundedPreceding, 0)))
+    first = F.min("first_word")
+    passages = runs.groupBy("doc_id", "line", "removed", "part").agg(
+        first.alias("first_word"), (F.max("first_word") - first + words).alias("n_words"), F.min("kept").alias("kept"), F.max("copies").alias("copies"))
+    return passages.select("doc_id", "line", "first_word", "n_words", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.line").alias("kept_line"), "copies", "removed")
+
+
+def repeats(docs: DataFrame) -> DataFrame:
+    """Repeated paragraphs (from word 0 of their line) and the repeated passages of the lines that stay."""
+    lines = repeated_paragraphs(docs)
+    return lines.withColumn("first_word", F.lit(0)).unionByName(repeated_passages(docs, lines))
+
+
+def _cut(text: str, gone: list) -> str:
+    """The text without the given (line, first_word, n_words); a line that loses all words goes, one that loses some has single blanks."""
+    spans: dict[int, list] = {}
+    for line, first, n in gone:
+        spans.setdefault(line, []).append((first, first + n))
+    out = []
+    for i, line in enumerate(text.split("\n")):
+        if i in spans:
+            words = re.findall(r"[^\x20\x09-\x0D]+", line)
+            keep = np.ones(len(words), dtype=bool)
+            for a, b in spans[i]:
+                keep[a:b] = False
+            if not keep.any():
+                continue
+            line = " ".join(w for w, k in zip(words, keep.tolist(), strict=True) if k)
+        out.append(line)
+    return "\n".join(out)
+
+
+def _without(text: Column, gone: Column) -> Column:
+    @F.pandas_udf("string")
+    def cut(text: pd.Series, gone: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else _cut(t, [(g["line"], g["first_word"], g["n_words"]) for g in s]) for t, s in zip(text, gone, strict=True)], dtype=object)
+
+    return cut(text, gone)
+
+
 def remove_lines(docs: DataFrame, repeats: DataFrame) -> DataFrame:
-    """``docs`` without the removed paragraphs of ``repeats``; a document that keeps nothing goes.
+    """``docs`` without the removed paragraphs, and passages, of ``repeats``; a document that keeps nothing goes.
 
-    All columns stay; a column n_chars follows the new text. Documents without repeats, null texts
-    and null doc_ids are returned as they are.
+    ``repeats`` comes from ``repeated_paragraphs`` or from ``repeats``. All columns stay; a column
+    n_chars follows the new text. Documents without repeats, null texts and null doc_ids are
+    returned as they are.
     """
     scratch = Scratch(docs.sparkSession)
-    gone = repeats.where("removed and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line").alias("_gone"))
-    gone = scratch.write(gone, "gone")
-    kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), i))
-    cut = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    out = docs.join(small_side(gone, gone.count()), docs["doc_id"] == F.col("_id"), "left").withColumn("text", cut)
-    out = out.where("_gone is null or trim(BOTH ' \\t\\n' FROM text) <> ''").drop("_id", "_gone")
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+    if "first_word" not in repeats.columns:
+        repeats = repeats.withColumn("first_word", F.lit(0))
+    spans = F.collect_set(F.struct("line", "first_word", "n_words")).alias("_gone")
+    gone = scratch.write(repeats.where("removed and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(spans), "gone")
+    size = gone.agg(F.sum(F.size("_gone"))).first()[0] or 0
+    out = docs.select(F.struct("*").alias("_doc")).join(small_side(gone, size), F.col("_doc.doc_id") == F.col("_id"), "left")
+    before = F.col("_doc").getField("text")
+    after = F.when(F.col("_gone").isNull(), before).otherwise(_without(F.when(F.col("_gone").isNotNull(), before), F.col("_gone")))
+    out = out.select("_doc", "_gone", after.alias("_text")).where("_gone is null or trim(BOTH ' \\t\\n' FROM _text) <> ''")
+    changed = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
+    return out.select(*[changed.get(c, F.col("_doc").getField(c)).alias(c) for c in docs.columns])

@@ -62,7 +62,7 @@ def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+    return paragraphs.repeats(table(spark, sf_dir, "documents"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

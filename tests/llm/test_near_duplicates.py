@@ -117,6 +117,75 @@ def test_remove_lines(make_docs, spark):
     assert paragraphs.remove_lines(empty, paragraphs.repeated_paragraphs(empty)).count() == 0
 
 
+def runs_of(text, n):
+    """(line, first word, words) of every run of n words inside a line."""
+    for i, line in enumerate((text or "").split("\n")):
+        w = re.findall(WORD, line.encode().lower())
+        for k in range(len(w) - n + 1):
+            yield i, k, tuple(w[k:k + n])
+
+
+def shared_runs(rows, n):
+    """Runs of n words inside a line that two documents have."""
+    docs = defaultdict(set)
+    for doc, text in rows:
+        for _, _, run in runs_of(text, n):
+            docs[run].add(doc)
+    return {run for run, ids in docs.items() if len(ids) > 1}
+
+
+def passage_corpus():
+    rng = random.Random(3)
+    words = lambda n: [f"x{rng.randint(0, 10 ** 7)}" for _ in range(n)]
+    passages = [words(n) for n in (40, 51, 60, 300)]
+    rows = []
+    for d in range(60):
+        p = passages[d % 4]
+        before, after = (words(len(p) // 3 + rng.randint(0, 70)) for _ in range(2))  # too much for a link of the whole lines
+        rows.append((d, "\n".join([" ".join(words(30)), " ".join(before + [w.upper() for w in p] + after), "end"])))
+    rows += [(60 + d, " ".join(words(120))) for d in range(10)]
+    return rows, passages
+
+
+def test_passages_inside_longer_lines(make_docs):
+    rows, passages = passage_corpus()
+    docs = make_docs(rows)
+    got = paragraphs.repeats(docs).collect()
+    assert {r["doc_id"] for r in got} == set(range(60))
+    assert all(r["removed"] is False for r in got if r["doc_id"] < 4)
+    exact = shared_runs(rows, paragraphs.PASSAGE_WORDS)
+    have = {(d, i, k): run for d, t in rows for i, k, run in runs_of(t, paragraphs.PASSAGE_WORDS)}
+    found, cut = defaultdict(set), defaultdict(set)
+    for r in got:
+        assert r["line"] == 1 and r["kept_doc_id"] % 4 == r["doc_id"] % 4 and 1 < r["copies"] <= 15
+        assert all(have[r["doc_id"], 1, k] in exact for k in range(r["first_word"], r["first_word"] + r["n_words"] - paragraphs.PASSAGE_WORDS + 1))
+        for words in (found, cut) if r["removed"] else (found,):
+            words[r["doc_id"]] |= set(range(r["first_word"], r["first_word"] + r["n_words"]))
+    assert all(len(passages[d % 4]) - 2 * (paragraphs.NEIGHBOURS - 1) <= len(found[d]) <= len(passages[d % 4]) for d in range(60))
+    assert {d for d in range(4, 60) if any(r["removed"] and r["doc_id"] == d and r["kept_doc_id"] == d % 4 and r["copies"] == 15 for r in got)} == set(range(4, 60))
+    out = {r["doc_id"]: r["text"] for r in paragraphs.remove_lines(docs, paragraphs.repeats(docs)).collect()}
+    assert not shared_runs(out.items(), 40) and len(out) == len(rows)
+    assert all(out[d] == t for d, t in rows if d < 4 or d >= 60)
+    for d, t in rows[4:60]:
+        lines = t.split("\n")
+        lines[1] = " ".join(w for k, w in enumerate(lines[1].split()) if k not in cut[d])
+        assert out[d] == "\n".join(lines)
+
+
+def test_passages_of_odd_rows(make_docs, spark):
+    p = " ".join(f"p{k}" for k in range(60))
+    rows = [(1, "a b " + p), (1, "a b " + p), (2, p + " c d"), (None, "e " + p + " f"), (3, None), (4, ""), (5, "z " * 200), (6, p + " " + " ".join(f"q{k}" for k in range(40)) + " " + p)]
+    docs = make_docs(rows)
+    got = {(r["doc_id"], r["line"], r["removed"]) for r in paragraphs.repeated_passages(docs, paragraphs.repeated_paragraphs(docs)).collect()}
+    line_level = {(r["doc_id"], r["line"]) for r in paragraphs.repeated_paragraphs(docs).where("removed").collect()}
+    assert got == {(1, 0, False), (6, 0, True)} | ({(2, 0, True)} if (2, 0) not in line_level else set())
+    clash = docs.selectExpr("*", "doc_id AS _id", "text AS _gone", "1 AS _cut", "2 AS _text", "3 AS _doc")
+    out = paragraphs.remove_lines(clash, paragraphs.repeats(clash))
+    assert out.columns == clash.columns and {r["doc_id"] for r in out.collect()} >= {1, None, 3, 4, 5, 6}
+    empty = docs.where("doc_id > 100")
+    assert paragraphs.repeats(empty).count() == 0
+
+
 def test_band_tuning():
     for threshold in (0.7, 0.8, 0.9):
         bands, rows = paragraphs.tune_bands(threshold)
