@@ -24,6 +24,7 @@ from staylake.operators.topk import champion_first
 # Registry statuses.
 CHAMPION, CANDIDATE, RETIRED = "CHAMPION", "CANDIDATE", "RETIRED"
 
+# The result tables' columns.
 RESULT_TABLES: dict[str, str] = {
     "gold_ml_training_runs": "run_id string, model_version string, model_task string, training_mode string, "
                              "model_name string, started_at timestamp, status string",
@@ -38,7 +39,10 @@ RESULT_TABLES: dict[str, str] = {
     "gold_listing_segments": "listing_id bigint, model_version string, cluster_id int, cluster_name string, "
                              "distance_to_centroid double, assigned_at timestamp, assignment_run_id string",
     "gold_segment_profiles": "model_version string, cluster_id int, cluster_name string, listing_count bigint, "
-                             "median_price double, avg_price double, listing_share double, created_at timestamp",
+                             "median_price double, avg_price double, listing_share double, "
+                             "accommodates_mean double, bedrooms_mean double, bathrooms_mean double, beds_mean double, "
+                             "amenities_count_mean double, minimum_nights_log_mean double, dominant_room_type string, "
+                             "dominant_property_base_group string, created_at timestamp",
 }
 
 # a table name is one or two plain words; anything that would need quoting is refused

@@ -114,8 +114,6 @@ def _price_training_steps(spark: SparkSession, frame: DataFrame, split: DataFram
     REG.save_model(model, path, {"features": list(cfg.features), "target": cfg.target, "algorithm": cfg.algorithm,
                                  "params": cfg.params})
     REG.ensure_tables(spark, schema)
-    REG.record_training(spark, schema, version, "price_prediction", f"spark_{cfg.algorithm}", path,
-                        REG.metrics_long(metrics, version, "price_prediction", "test"))
     errs = error_frame(pred, cfg.target, "predicted_log_price")
     rows = errs.select(F.lit(version).alias("model_version"), "listing_id", "actual_price", "predicted_price",
                        "actual_log_price", "predicted_log_price", "residual", "absolute_error",
@@ -123,9 +121,20 @@ def _price_training_steps(spark: SparkSession, frame: DataFrame, split: DataFram
                        F.lit("holdout").alias("prediction_type"), F.current_timestamp().alias("predicted_at"))
     pre = f"{schema}." if schema else ""
     REG.append_run_once(rows, pre + "gold_price_predictions", "prediction_run_id", "listing_id")
+    REG.record_training(spark, schema, version, "price_prediction", f"spark_{cfg.algorithm}", path,
+                        REG.metrics_long(metrics, version, "price_prediction", "test"))
     return version
 
 
+PROFILE_CATEGORIES = ["room_type", "property_base_group"]
+
+
+def _segment_rows(assigned: DataFrame, version: str, run_id: str) -> DataFrame:
+    return assigned.select("listing_id", F.lit(version).alias("model_version"), "cluster_id", "cluster_name",
+                           "distance_to_centroid", F.current_timestamp().alias("assigned_at"),
+                           F.lit(run_id).alias("assignment_run_id"))
+
+
 def run_segmentation(spark: SparkSession, mart: DataFrame, artifact_root: str, schema: str | None = None,
                      k: int = S.DEFAULT_K, n_init: int = S.DEFAULT_N_INIT) -> str:
     model = S.fit_segmentation(mart, k, n_init)
@@ -134,28 +143,32 @@ def run_segmentation(spark: SparkSession, mart: DataFrame, artifact_root: str, s
     path = f"{artifact_root.rstrip('/')}/{version}"
     REG.save_model(model, path, {"k": k, "names": {r.cluster_id: r.cluster_name for r in names.collect()}})
     assigned = S.attach_names(S.segment_assign(model, mart), names)
-    quality = S.cluster_quality(assigned, "listing_id", "features", "cluster_id")
-    REG.ensure_tables(spark, schema)
-    REG.record_training(spark, schema, version, "listing_segmentation", "spark_kmeans", path,
-                        REG.metrics_long(quality, version, "listing_segmentation", "train"))
-    rows = assigned.select("listing_id", F.lit(version).alias("model_version"), "cluster_id", "cluster_name",
-                           "distance_to_centroid", F.current_timestamp().alias("assigned_at"),
-                           F.lit(version).alias("assignment_run_id"))
-    pre = f"{schema}." if schema else ""
+    rows = _segment_rows(assigned, version, version)
     check = S.segmentation_check(rows, k).first()
     if not check["passed"]:
         raise ValueError(f"segmentation check failed: {check.asDict()}")
+    quality = S.cluster_quality(assigned, "listing_id", "features", "cluster_id")
+    REG.ensure_tables(spark, schema)
+    pre = f"{schema}." if schema else ""
     REG.append_run_once(rows, pre + "gold_listing_segments", "assignment_run_id", "listing_id")
-    prof = S.segment_profile(assigned, "cluster_id", "price", [], []).join(names, "cluster_id", "left")
+    prof = S.segment_profile(assigned, "cluster_id", "price", S.SEGMENT_NUMERIC, PROFILE_CATEGORIES).join(names, "cluster_id", "left")
     REG.guarded_append(prof.select(F.lit(version).alias("model_version"), "cluster_id", "cluster_name", "listing_count",
                                    "median_price", "avg_price", "listing_share",
+                                   *[F.col(f"avg_{c}").alias(f"{c}_mean") for c in S.SEGMENT_NUMERIC],
+                                   *[f"dominant_{c}" for c in PROFILE_CATEGORIES],
                                    F.current_timestamp().alias("created_at")), pre + "gold_segment_profiles")
+    REG.record_training(spark, schema, version, "listing_segmentation", "spark_kmeans", path,
+                        REG.metrics_long(quality, version, "listing_segmentation", "train"))
     return version
 
 
 def run_price_inference(spark: SparkSession, mart: DataFrame, run_id: str, schema: str | None = None,
                         allow_candidate: bool = False) -> DataFrame:
-    """Champion lookup -> load -> score the whole table -> check -> idempotent append."""
+    """Champion lookup -> load -> score the whole table -> check -> idempotent append.
+
+    A listing that the modelling frame leaves out (no positive price) would have no prediction, so
+    such a table is refused. Batch rows carry predictions only: actuals and residuals are NULL.
+    """
     reg = REG.lookup_model(spark, schema, "price_prediction", allow_candidate)
     model, meta = REG.load_model(reg.artifact_path)
     frame = features.modelling_frame(mart)
@@ -164,13 +177,13 @@ def run_price_inference(spark: SparkSession, mart: DataFrame, run_id: str, schem
         raise ValueError(f"missing required features: {missing}")
     pred = P.predict(model, frame, meta["target"])
     check = P.check_predictions(pred).first()
+    expected = mart.count()
+    if not expected or check["rows"] != expected:
+        raise ValueError(f"batch prediction check failed: {check['rows']} of {expected} listings scored")
     if check["non_finite"] or check["negative"] or check["null_keys"] or check["duplicate_keys"]:
         raise ValueError(f"batch prediction check failed: {check.asDict()}")
     rows = pred.select(F.lit(reg.model_version).alias("model_version"), "listing_id",
-                       F.col("price").alias("actual_price"), "predicted_price",
-                       F.col(meta["target"]).alias("actual_log_price"), "predicted_log_price",
-                       (F.col("price") - F.col("predicted_price")).alias("residual"),
-                       F.abs(F.col("price") - F.col("predicted_price")).alias("absolute_error"),
+                       "predicted_price", "predicted_log_price",
                        F.current_timestamp().alias("prediction_date"), F.lit(run_id).alias("prediction_run_id"),
                        F.lit("batch").alias("prediction_type"), F.current_timestamp().alias("predicted_at"))
     pre = f"{schema}." if schema else ""
@@ -186,11 +199,15 @@ def run_segment_inference(spark: SparkSession, mart: DataFrame, run_id: str, sch
                           allow_candidate: bool = False) -> DataFrame:
     reg = REG.lookup_model(spark, schema, "listing_segmentation", allow_candidate)
     model, meta = REG.load_model(reg.artifact_path)
+    missing = [c for c in S.SEGMENT_NUMERIC + S.SEGMENT_CATEGORICAL if c not in mart.columns]
+    if missing:
+        raise ValueError(f"missing required features: {missing}")
     names = spark.createDataFrame([(int(k), v) for k, v in meta["names"].items()], "cluster_id int, cluster_name string")
     assigned = S.attach_names(S.segment_assign(model, mart), names)
-    rows = assigned.select("listing_id", F.lit(reg.model_version).alias("model_version"), "cluster_id", "cluster_name",
-                           "distance_to_centroid", F.current_timestamp().alias("assigned_at"),
-                           F.lit(run_id).alias("assignment_run_id"))
+    rows = _segment_rows(assigned, reg.model_version, run_id)
+    check = S.segmentation_check(rows, int(meta["k"])).first()
+    if not check["passed"] or check["rows"] != mart.count():
+        raise ValueError(f"segment assignment check failed: {check.asDict()}")
     pre = f"{schema}." if schema else ""
     REG.append_run_once(rows, pre + "gold_listing_segments", "assignment_run_id", "listing_id")
     return rows.groupBy("cluster_id", "cluster_name").agg(F.count(F.lit(1)).alias("listings"))

@@ -88,8 +88,25 @@ def test_training_and_inference_jobs(spark, schema, mart):
     REG.promote(spark, schema, "price_prediction", v)
     check = jobs.run_price_inference(spark, mart, "batch1", schema).first()
     assert check.rows == mart.count() and check.non_finite == 0 and check.negative == 0
+    rows = spark.table(f"{schema}.gold_price_predictions").where("prediction_run_id = 'batch1'")
+    assert rows.where("actual_price is not null or residual is not null or predicted_price is null").count() == 0
     with pytest.raises(ValueError):
         jobs.run_price_inference(spark, mart, "batch1", schema)
+    unpriced = mart.withColumn("price", F.when(F.col("listing_id") % 2 == 0, F.col("price")))
+    with pytest.raises(ValueError, match="listings scored"):
+        jobs.run_price_inference(spark, unpriced, "batch2", schema)
+
+
+def test_rejected_segmentation_is_not_registered(spark, schema, monkeypatch):
+    mart = features.cluster_model_features(B.bound_part_listings(spark, SF))
+    root = ensure_checkpoint_dir(spark) + f"/seg_rejected_{uuid.uuid4().hex[:8]}"
+    REG.ensure_tables(spark, schema)
+    before = spark.table(f"{schema}.gold_ml_model_registry").count()
+    check = S.segmentation_check
+    monkeypatch.setattr(S, "segmentation_check", lambda rows, k: check(rows, k).withColumn("passed", F.lit(False)))
+    with pytest.raises(ValueError):
+        jobs.run_segmentation(spark, mart, root, schema, k=3, n_init=1)
+    assert spark.table(f"{schema}.gold_ml_model_registry").count() == before
 
 
 def test_infrequent_bucketer_roundtrip(spark, tmp_path):
@@ -181,6 +198,9 @@ def test_segmentation_jobs_roundtrip(spark, schema):
     assert set(r.cluster_name for r in segs.select("cluster_name").distinct().collect()) <= set(S.SEGMENT_NAMES.values())
     prof = spark.table(f"{schema}.gold_segment_profiles").where(F.col("model_version") == v)
     assert prof.agg(F.sum("listing_count")).first()[0] == mart.count()
+    means = {r.cluster_id: r.m for r in segs.join(mart, "listing_id").groupBy("cluster_id").agg(F.avg("beds").alias("m")).collect()}
+    assert len(prof.columns) == 16 and {r.cluster_id: round(r.beds_mean, 9) for r in prof.collect()} == {c: round(m, 9) for c, m in means.items()}
+    assert prof.where("dominant_room_type is null or dominant_property_base_group is null").count() == 0
     with pytest.raises(RuntimeError):
         jobs.run_segment_inference(spark, mart, "batch_seg", schema)  # candidate only, no opt-in
     counts = jobs.run_segment_inference(spark, mart, "batch_seg", schema, allow_candidate=True)
