@@ -153,6 +153,17 @@ def resolve_column(df: DataFrame, name: str, default=None, required: bool = True
     raise ValueError(f"Required source column '{name}' not found; have {df.columns}")
 
 
+def strict_json(text: Column) -> Column:
+    """Whether text can be one strict JSON value. Spark's JSON functions also take single-quoted
+    strings and ignore what follows the first value; with its strings emptied, strict JSON has no
+    single quote, balanced brackets, and only a comma or another closing bracket after a closing one."""
+    bare = F.regexp_replace(text, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', '""')
+    count = lambda mark: F.length(bare) - F.length(F.replace(bare, F.lit(mark), F.lit("")))
+    nested = bare.rlike(r"^\s*[\[{]") & bare.rlike(r"[\]}]\s*$") & ~bare.rlike(r"[\]}]\s*[^\s,\]}]")
+    scalar = bare.rlike(r'^\s*(?:""|-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null)\s*$')
+    return ~bare.contains("'") & ((nested & (count("[") == count("]")) & (count("{") == count("}"))) | scalar)
+
+
 def count_json_items(c: ColumnOrName, on_invalid: str = "null") -> Column:
     """Number of items in a list held as text (amenities).
 
@@ -163,10 +174,11 @@ def count_json_items(c: ColumnOrName, on_invalid: str = "null") -> Column:
     brackets and count non-blank comma-separated pieces (``{Wifi,,TV}`` -> 2).
     """
     text = as_text(c)
-    arr_len = F.json_array_length(text)
+    strict = strict_json(text)
+    arr_len = F.when(strict, F.json_array_length(text))
     trimmed = F.trim(text)
     # valid JSON that is not an array (an object, a scalar) counts 0 items
-    other_json = arr_len.isNull() & F.get_json_object(text, "$").isNotNull()
+    other_json = strict & arr_len.isNull() & F.get_json_object(text, "$").isNotNull()
     if on_invalid == "null":
         return (
             F.when(text.isNull(), F.lit(None).cast("int"))

@@ -135,14 +135,13 @@ def unknown_member_ratio(fact: DataFrame, dim: DataFrame, key: str = "location_k
                          member_col: str = "neighbourhood", unknown: str = UNKNOWN_MEMBER) -> DataFrame:
     """(total_rows, unknown_rows, unknown_ratio) of fact rows pointing at the unknown member.
 
-    The fact side is never shuffled for this: only the dimension keys that are
-    the unknown member (a handful of rows) are needed, and every fact row is
-    matched by an inner join that Spark plans against the dimension.
+    The fact is counted per key first (combined before the shuffle, so a hot key is one row a
+    task), and only these counts meet the dimension.
     """
     d = dim.select(F.col(key).alias("_k"), (F.col(member_col) == F.lit(unknown)).alias("_is_unknown"))
-    j = fact.select(F.col(key).alias("_k")).join(d, "_k", "inner")
-    usage = j.agg(F.count(F.lit(1)).alias("total_rows"),
-                  F.coalesce(F.sum(F.col("_is_unknown").cast("long")), F.lit(0)).alias("unknown_rows"))
+    j = fact.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_c")).join(d, "_k", "inner")
+    usage = j.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("total_rows"),
+                  F.coalesce(F.sum(F.when(F.col("_is_unknown"), F.col("_c"))), F.lit(0)).alias("unknown_rows"))
     return usage.withColumn(
         "unknown_ratio",
         F.coalesce(F.col("unknown_rows") * F.lit(1.0) / F.nullif(F.col("total_rows"), F.lit(0)), F.lit(0.0)))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from staylake.functions.cleaning import safe_cast
+from staylake.functions.cleaning import count_json_items, safe_cast
 from staylake.operators import profile
 from staylake.operators.errors import error_frame, regression_metrics
 from staylake.operators.stats import kruskal_wallis
@@ -53,3 +53,11 @@ def test_error_frame_columns(spark):
     got = {r.id: r for r in error_frame(df, "y", "p").collect()}
     assert got[1].error_direction == "underprediction" and got[1].residual > 0
     assert got[2].predicted_price == 0.0 and got[2].percentage_error is None
+
+
+def test_only_strict_json_counts_as_json(spark):
+    cases = {"['a','b, c']": (None, 3), '["a"] x': (None, 1), '{"a":1} zz': (None, 1), '["a", "it\'s", "x]y"]': (3, 3),
+             '[["a"], {"b": [1, 2]}, "q\\"r"]': (3, 3), '[1, 2] [3]': (None, 2), '{"a": 1}': (0, 0), "[]": (0, 0), "12": (0, 0), "12 x": (None, 1), None: (None, 0)}
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    got = {r.t: (r.a, r.b) for r in df.select("t", count_json_items("t", "null").alias("a"), count_json_items("t", "split").alias("b")).collect()}
+    assert got == cases
