@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylake.operators.ranks import average_rank, value_positions, with_average_ranks
+from staylake.operators.ranks import average_rank, positions_from_counts, with_average_ranks
 
 
 def pearson_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -52,10 +52,11 @@ def kruskal_wallis(df: DataFrame, value: str, group: str, min_group_size: int =
     global average rank of each distinct value, so the hot-value case is one row.
     """
     x = df.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    sizes = x.groupBy("_g").agg(F.count(F.lit(1)).alias("_ng")).where(F.col("_ng") >= min_group_size)
-    kept = x.join(sizes.select("_g"), "_g", "left_semi")
-    gv = kept.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    pos = average_rank(value_positions(kept, "_v"), "_rank")  # global ranks of distinct values
+    counted = x.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))  # everything below reads these counts, no rows
+    sizes = counted.groupBy("_g").agg(F.sum("_c").alias("_ng")).where(F.col("_ng") >= min_group_size)
+    gv = counted.join(sizes.select("_g"), "_g", "left_semi")
+    values = gv.groupBy("_v").agg(F.sum("_c").alias("n_equal"))
+    pos = average_rank(positions_from_counts(values, "_v"), "_rank")  # global ranks of distinct values
     rank_sums = gv.join(pos.select("_v", "_rank"), "_v").groupBy("_g").agg(
         F.sum(F.col("_c") * F.col("_rank")).alias("_R"), F.sum("_c").alias("_ng"))
     terms = rank_sums.agg(F.sum(F.col("_R") * F.col("_R") / F.col("_ng")).alias("_s"),
