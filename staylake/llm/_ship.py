@@ -11,15 +11,19 @@ from pyspark.sql import SparkSession
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
-#: Rows of an Arrow batch, where the session has Spark's own default: texts are long, and a batch is held on both sides.
-BATCH_ROWS, _SPARK_ROWS = "2000", "10000"
+#: Rows and bytes of an Arrow batch (value, Spark's own default that it replaces): texts are long, and a batch is held on both sides.
+BATCH = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("2000", "10000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("2097152b", "67108864b"),
+}
 
 
 def ship(spark: SparkSession) -> None:
     """Adds the package to the session's Python files once (the workers fetch it from the driver)."""
     sc = spark.sparkContext
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == _SPARK_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    for name, (value, default) in BATCH.items():
+        if spark.conf.get(name, default) == default:
+            spark.conf.set(name, value)
     if getattr(sc, "_staylake_shipped", False):
         return
     path = os.path.join(tempfile.mkdtemp(prefix="staylake-"), "staylake.zip")

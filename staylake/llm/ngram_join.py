@@ -21,8 +21,8 @@ from staylake.llm import _text as X
 from staylake.llm._graph import as_batches, components, verify_clusters
 from staylake.llm._scratch import Scratch
 
-#: Matrix entries that one task holds at a time, in the first pass and in a column block.
-ENTRIES = 1_500_000
+#: Matrix entries of a column block, entries that a task gathers before it cuts them into blocks, and rows of a result batch.
+ENTRIES, GATHERED, RESULT_ROWS = 1_500_000, 500_000, 50_000
 _LOW48 = np.uint64((1 << 48) - 1)
 
 
@@ -76,7 +76,7 @@ def _column_blocks(docs: DataFrame, n: int, blocks: int) -> DataFrame:
                 seen.update(keys[fresh].tolist())
             held.append((h[np.repeat(fresh, counts)], counts[fresh], keys[fresh]))
             size += len(held[-1][0])
-            if size >= ENTRIES:
+            if size >= GATHERED:
                 yield from cut(*(np.concatenate(x) for x in zip(*held, strict=True))).to_batches(max_chunksize=64)
                 held, size = [], 0
         if size:
@@ -107,7 +107,8 @@ def _shared_entries(cells: DataFrame) -> DataFrame:
         some = df > 1
         doc, h = doc[some], h[some]
         block = np.uint64(int(table.column("block")[0].as_py()) & 0xFFFF) << np.uint64(48)
-        return pa.table({"key": keys[doc], "n": sizes[doc], "token": (h | block).view(np.int64), "df": df[some].astype(np.int32)})
+        out = pa.table({"key": keys[doc], "n": sizes[doc], "token": (h | block).view(np.int64), "df": df[some].astype(np.int32)})
+        return pa.Table.from_batches(out.to_batches(max_chunksize=RESULT_ROWS), out.schema)  # sent batch by batch
 
     return cells.groupBy("block").applyInArrow(run, "key long, n int, token long, df int")
 
