@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from staylake.llm._scratch import Scratch
 
 ROWS_PER_BLOCK = 1024
-COLUMNS_PER_BLOCK = 4096
+COLUMNS_PER_BLOCK = 1024
 
 
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
@@ -177,7 +177,7 @@ def set_keys(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return mix(row_sums(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), counts) + counts.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
-def slices(batches: Iterator[pa.RecordBatch], name: str = "text", limit: int = SEGMENT) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], name: str = "text", limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of text (a longer text is a batch of its own)."""
     for batch in batches:
         _, offsets = utf8(column(batch, name))

@@ -89,7 +89,12 @@ def _shared_entries(cells: DataFrame) -> DataFrame:
     """key, n, token and df of all entries in columns that more than one set has."""
 
     def run(table: pa.Table) -> pa.Table:
-        gather = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind)
+        def gather(name: str, kind: type) -> np.ndarray:
+            column = pa.concat_arrays(table.column(name).chunks)
+            _, offsets, data = column.buffers()
+            at = np.frombuffer(offsets, dtype=np.int32)[column.offset: column.offset + len(column) + 1]
+            return np.frombuffer(data, dtype=np.uint8)[at[0]: at[-1]].view(kind)
+
         keys, sizes, per_doc = gather("keys", np.int64), gather("sizes", np.int32), gather("per_doc", np.int32)
         raw = np.zeros((int(per_doc.sum()), 8), dtype=np.uint8)
         raw[:, :6] = gather("hashes", np.uint8).reshape(-1, 6)
@@ -98,16 +103,19 @@ def _shared_entries(cells: DataFrame) -> DataFrame:
         once = np.zeros(len(keys), dtype=bool)
         once[first] = True
         keep = np.repeat(once, per_doc)
-        doc, h = np.repeat(np.arange(len(keys)), per_doc)[keep], h[keep]
+        h = h[keep]
+        del raw
         order = np.argsort(h, kind="stable")
-        doc, h = doc[order], h[order]
+        h = h[order]
+        doc = np.repeat(np.arange(len(keys), dtype=np.int32), np.where(once, per_doc, 0))[order]
+        del order, keep
         start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
-        df = np.diff(np.r_[start, len(h)])
+        df = np.diff(np.r_[start, len(h)]).astype(np.int32)
         df = np.repeat(df, df)
         some = df > 1
         doc, h = doc[some], h[some]
         block = np.uint64(int(table.column("block")[0].as_py()) & 0xFFFF) << np.uint64(48)
-        out = pa.table({"key": keys[doc], "n": sizes[doc], "token": (h | block).view(np.int64), "df": df[some].astype(np.int32)})
+        out = pa.table({"key": keys[doc], "n": sizes[doc], "token": (h | block).view(np.int64), "df": df[some]})
         return pa.Table.from_batches(out.to_batches(max_chunksize=RESULT_ROWS), out.schema)  # sent batch by batch
 
     return cells.groupBy("block").applyInArrow(run, "key long, n int, token long, df int")

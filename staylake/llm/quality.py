@@ -210,8 +210,8 @@ def score(docs: DataFrame, net: Network | float) -> DataFrame:
                 continue
             out, at = [], 0
             sizes = np.diff(X.utf8(column)[1])
-            while at < len(column):  # runs of rows of about 1 MB
-                end = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), 1 << 20)))
+            while at < len(column):  # runs of rows of about SEGMENT bytes
+                end = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), X.SEGMENT)))
                 out.append(probability(net, features(net, *X.utf8(column.slice(at, end - at)))))
                 at = end
             yield pa.array(np.concatenate(out) if out else np.zeros(0))
