@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylake.operators.ranks import quantiles, quantiles_wide
+from staylake.operators.ranks import value_counts as counts_by_value
 
 
 def _and(conds: Sequence[Column]) -> Column:
@@ -256,20 +257,18 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), approx: bool =
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lower_fence", F.col("q1") - F.lit(1.5) * F.col("iqr")) \
          .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * F.col("iqr"))
-    rows = df.select(*by, F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull())
-    rows = _null_safe_join(rows, q, by) if by else rows.crossJoin(F.broadcast(q))  # q is one row without groups
+    # whiskers and outliers come from the distinct values and their counts, not from the rows
+    counts = counts_by_value(df.select(*by, F.col(value).cast("double").alias(value)), value, by).where(F.col(value).isNotNull())
+    counts = _null_safe_join(counts, q, by) if by else counts.crossJoin(F.broadcast(q))  # q is one row without groups
     inside = (F.col(value) >= F.col("lower_fence")) & (F.col(value) <= F.col("upper_fence"))
-    agg = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("count"),
+    agg = counts.groupBy(*by).agg(
+        F.sum("n_equal").alias("count"),
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),
         F.max(F.when(inside, F.col(value))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"),
-    ) if by else rows.agg(
-        F.count(F.lit(1)).alias("count"),
-        F.min(F.when(inside, F.col(value))).alias("whisker_low"),
-        F.max(F.when(inside, F.col(value))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"),
+        F.sum(F.when(inside, 0).otherwise(F.col("n_equal"))).alias("outliers"),
     )
+    if not by:  # an empty table still has counts
+        agg = agg.withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("count", "outliers")})
     if by:
         return _null_safe_join(q, agg, by)
     return q.crossJoin(agg)

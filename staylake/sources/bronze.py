@@ -15,6 +15,8 @@ SOURCE_CANDIDATES: dict[str, tuple[str, ...]] = {
     "reviews": ("reviews.csv", "reviews.csv.gz"),
     "neighbourhoods": ("neighbourhoods.csv",),
 }
+# The tables with free text, whose fields can hold line breaks.
+FREE_TEXT_TABLES = ("listings", "reviews")
 REQUIRED_FILES = ("listings.csv", "calendar.csv", "reviews.csv", "neighbourhoods.csv", "neighbourhoods.geojson")
 
 
@@ -48,18 +50,21 @@ def resolve_sources(spark: SparkSession, raw_dir: str,
     return found
 
 
-def header_columns(spark: SparkSession, path: str) -> list[str]:
+def header_columns(spark: SparkSession, path: str, multi_line: bool = True) -> list[str]:
     """Column names from the header line only."""
-    return spark.read.option("header", True).option("multiLine", True).csv(path).columns
+    return spark.read.option("header", True).option("multiLine", multi_line).csv(path).columns
 
 
-def read_raw_csv(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """All-text read (no inference): quoted multi-line fields with doubled quotes.
-    multi-line and gzip input cannot be split, so the rows are spread right after the read."""
-    cols = header_columns(spark, path)
+def read_raw_csv(spark: SparkSession, path: str, partitions: int | None = None, multi_line: bool = True) -> DataFrame:
+    """All-text read (no inference): quoted fields with doubled quotes, over several lines if ``multi_line``.
+    multi-line and gzip input cannot be split, so the rows are spread right after the read; other
+    input is split by Spark itself."""
+    cols = header_columns(spark, path, multi_line)
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", True).option("quote", '"')
+    df = (spark.read.schema(schema).option("header", True).option("multiLine", multi_line).option("quote", '"')
           .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+    if not multi_line and not path.endswith(".gz"):
+        return df
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return df.repartition(n)
 
@@ -71,7 +76,7 @@ def load_bronze(spark: SparkSession, raw_dir: str, schema: str = "bronze") -> di
     counts = {}
     for table, path in resolve_sources(spark, raw_dir).items():
         obs = Observation(f"load_{table}")
-        df = read_raw_csv(spark, path).observe(obs, F.count(F.lit(1)).alias("rows"))
+        df = read_raw_csv(spark, path, multi_line=table in FREE_TEXT_TABLES).observe(obs, F.count(F.lit(1)).alias("rows"))
         df.write.mode("overwrite").saveAsTable(f"{schema}.bronze_{table}")
         counts[table] = obs.get["rows"]
     return counts

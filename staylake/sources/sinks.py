@@ -13,9 +13,16 @@ def materialize(df: DataFrame, layer: str, name: str, partition_by: list[str] |
 
     Facts are partitioned for pruning; tables that are joined on the same key
     are bucketed on it with the same bucket count, so later joins read
-    co-located buckets instead of shuffling both sides."""
+    co-located buckets instead of shuffling both sides. Rows are brought together
+    before the write, so a table has one file per bucket, or per partition value
+    as many as its size needs (adaptive execution splits large values), and not
+    one per task and value."""
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+    if bucket_by:
+        df = df.repartition(bucket_by[1], bucket_by[0])
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
