@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylake.operators.topk import champion_first
+from staylake.session import cut_lineage
 
 # Registry statuses.
 CHAMPION, CANDIDATE, RETIRED = "CHAMPION", "CANDIDATE", "RETIRED"
@@ -96,7 +97,10 @@ def guarded_append(df: DataFrame, table: str) -> int:
 
 
 def append_run_once(df: DataFrame, table: str, run_col: str, key: str) -> int:
-    """Idempotent run append: reject duplicate (run, key) rows in the batch and any run id already written."""
+    """Idempotent run append: reject duplicate (run, key) rows in the batch and any run id already written.
+
+    The batch is computed once: the checks and the insert read its checkpoint."""
+    df = cut_lineage(df)
     dup = df.groupBy(run_col, key).count().where(F.col("count") > 1).limit(1).count()
     if dup:
         raise ValueError(f"batch has duplicate ({run_col}, {key}) rows")
