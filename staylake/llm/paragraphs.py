@@ -5,9 +5,11 @@ the classes' word shingles are cut into bands tuned for high recall, classes tha
 form candidate clusters, exact Jaccard similarity (blocks of set rows, ``_graph``) keeps the true
 links, and every component of linked paragraphs keeps its first paragraph and loses the others.
 
-A passage that is only part of a longer line leaves its line's similarity low. So the lines that
-stay are covered once more by runs of PASSAGE_WORDS words that start at the minima of the runs'
-hashes (the same minima wherever the passage stands): a MinHash of every neighbourhood of a line.
+A passage that is only part of a longer line leaves its line's similarity low, and one that is
+wrapped over short lines fills no paragraph. So what stays is covered once more by runs of
+PASSAGE_WORDS words, taken over the whole document's words and inside every line, that start at the
+minima of the runs' hashes (the same minima wherever the passage stands): a MinHash of every
+neighbourhood of a text.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from staylake.llm import _text as X
 from staylake.llm._graph import as_batches, components, verify_clusters
 from staylake.llm._scratch import Scratch, small_side
 
-#: Shorter paragraphs (headings, notices, single sentences) are left alone.
+#: Shorter paragraphs (headings, notices, single sentences) are found only as parts of a repeated passage.
 MIN_WORDS = 20
 RECALL, FALSE_AT, FALSE_RATE = 0.998, 0.3, 0.1
 #: Words of a run, and starts (a power of two) of which the smallest hash is taken: any shared passage of at least
@@ -182,36 +184,56 @@ def _minima(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return high[at] == h
 
 
-def passage_table(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, line, first_word, key (hash of ``words`` words) of the runs taken from every line."""
+def passage_table(docs: DataFrame, words: int, across_lines: bool = True) -> DataFrame:
+    """doc_id, line, first_word (of its first word), key (hash of ``words`` words) and parts of the runs taken from every document (``across_lines``) and every line.
+
+    parts are the pieces of lines that a run over several lines consists of (null for a run inside one line).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in X.slices(batches):
             data, offsets = X.utf8(X.column(batch, "text"))
             line_offsets, n_lines = X.lines(data, offsets)
-            h, counts = X.words(data, line_offsets, X.NOT_SPACE)
+            h, line_words = X.words(data, line_offsets, X.NOT_SPACE)
+            line_row, line_number = np.repeat(np.arange(batch.num_rows), n_lines), X.within(n_lines)
+            line_first, line_of = np.cumsum(line_words) - line_words, np.repeat(np.arange(len(line_words)), line_words)
+            counts = np.bincount(line_row, weights=line_words, minlength=batch.num_rows).astype(np.int64)
             long = counts >= words
             key, many = X.shingles(h[np.repeat(long, counts)], counts[long], words)
-            taken = _minima(key, many)
-            of = np.repeat(np.flatnonzero(long), many)[taken]
-            row, line = np.repeat(np.arange(batch.num_rows), n_lines)[of], X.within(n_lines)[of]
+            at = np.repeat((np.cumsum(counts) - counts)[long], many) + X.within(many)
+            taken = _minima(key, many) if across_lines else np.zeros(len(key), dtype=bool)
+            inside = line_of[at] == line_of[at + words - 1]
+            taken[inside] |= _minima(key[inside], line_words[line_words >= words] - words + 1)
+            at, key = at[taken], key[taken]
+            line, last = line_of[at], line_of[at + words - 1]
+            filled = np.cumsum(line_words > 0) - 1  # number of a line among those with words
+            pieces = np.where(line < last, filled[last] - filled[line] + 1, 0)
+            piece_line = np.flatnonzero(line_words)[np.repeat(filled[line], pieces) + X.within(pieces)]
+            run_start = np.repeat(at, pieces)
+            start = np.maximum(run_start, line_first[piece_line])
+            n = np.minimum(run_start + words, line_first[piece_line] + line_words[piece_line]) - start
+            parts = pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in (line_number[piece_line], start - line_first[piece_line], n)], ["line", "first_word", "n_words"])
+            ends = pa.array(np.concatenate([[0], np.cumsum(pieces)]).astype(np.int32))
             yield from pa.table({
-                "doc_id": X.column(batch, "doc_id").take(pa.array(row)), "line": line.astype(np.int32),
-                "first_word": X.within(many)[taken].astype(np.int32), "key": key[taken].view(np.int64)}).to_batches(max_chunksize=50_000)
+                "doc_id": X.column(batch, "doc_id").take(pa.array(line_row[line])), "line": line_number[line].astype(np.int32),
+                "first_word": (at - line_first[line]).astype(np.int32), "key": key.view(np.int64),
+                "parts": pa.ListArray.from_arrays(ends, parts, mask=pa.array(pieces == 0))}).to_batches(max_chunksize=50_000)
 
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    return known.mapInArrow(run, "doc_id long, line int, first_word int, key long")
+    return known.mapInArrow(run, "doc_id long, line int, first_word int, key long, parts array<struct<line:int,first_word:int,n_words:int>>")
 
 
-def repeated_passages(docs: DataFrame, lines: DataFrame, words: int = PASSAGE_WORDS) -> DataFrame:
-    """Passages of lines that other documents have too: doc_id, line, first_word, n_words, kept_doc_id, kept_line, copies, removed.
+def repeated_passages(docs: DataFrame, lines: DataFrame, words: int = PASSAGE_WORDS, across_lines: bool = True) -> DataFrame:
+    """Passages that other documents have too, by line: doc_id, line, first_word, n_words, kept_doc_id, kept_line, copies, removed.
 
     ``docs`` needs doc_id and text; ``lines`` is ``repeated_paragraphs(docs)``, whose removed lines
     are left out. A passage consists of overlapping runs of ``words`` equal words (letters A-Z
-    lower-cased) that stand in at least two documents; every passage of ``words`` + NEIGHBOURS - 1
-    words or more is found, its ends may be missed by less than NEIGHBOURS words. Of each run the
-    first place by (doc_id, line, first_word) stays and the others are removed; ``copies`` is the
-    largest number of places of a run, kept_doc_id and kept_line are the smallest place that its runs keep.
+    lower-cased) that stand in at least two documents, wherever their lines end (only inside lines without ``across_lines``); every passage of
+    ``words`` + NEIGHBOURS - 1 words or more is found, its ends may be missed by less than
+    NEIGHBOURS words. A passage over several lines has a row for its part of each line. Of each run the
+    first place by (doc_id, line, first_word) that meets no removed line stays, and later ones are
+    removed; ``copies`` is the largest number of places of a run, kept_doc_id and kept_line are the
+    smallest place (where the run begins) that its runs keep.
     Words beside a passage decide which of its outermost runs are taken, so a run that its first
     document does not take can have its first place in a later one; every word keeps one place.
 
@@ -220,29 +242,35 @@ def repeated_passages(docs: DataFrame, lines: DataFrame, words: int = PASSAGE_WO
     table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession)
-    table = scratch.write(passage_table(docs, words), "runs")
-    across = [F.min("doc_id").alias("low"), F.max("doc_id").alias("high")]
-    shared = table.groupBy("key").agg(*across).where("low < high").select("key")
-    gone = lines.where("removed and doc_id is not null").select("doc_id", "line")
-    hits = table.join(shared, "key", "left_semi").join(gone, ["doc_id", "line"], "left_anti")
-    hits = scratch.write(hits.select("doc_id", "line", "first_word", "key").distinct(), "shared")
+    table = scratch.write(passage_table(docs, words, across_lines), "runs")
+    shared = table.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("key")
+    gone = lines.where("removed and doc_id is not null").select("doc_id", F.col("line").alias("in_line")).distinct().withColumn("gone", F.lit(True))
+    whole = F.array(F.struct("line", "first_word", F.lit(words).alias("n_words")))
+    pieces = table.join(shared, "key", "left_semi").withColumn("part", F.explode(F.coalesce("parts", whole))).drop("parts").withColumn("in_line", F.col("part.line"))
+    pieces = pieces.join(gone, ["doc_id", "in_line"], "left")
+    hits = pieces.groupBy("doc_id", "line", "first_word", "key").agg(F.max("gone").alias("touched"), F.collect_set(F.when(F.col("gone").isNull(), F.col("part"))).alias("parts"))
+    hits = scratch.write(hits.where(F.size("parts") > 0), "shared")
     scratch.drop("runs")
     place = F.struct("doc_id", "line", "first_word")
-    firsts = hits.groupBy("key").agg(*across, F.min(place).alias("kept"), F.count("*").alias("copies")).where("low < high").drop("low", "high")
-    runs = hits.join(firsts, "key").withColumn("removed", place != F.col("kept"))
-    in_line = Window.partitionBy("doc_id", "line", "removed").orderBy("first_word")
-    apart = F.col("first_word") > F.lag("first_word").over(in_line) + words
-    runs = runs.withColumn("apart", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("part", F.sum("apart").over(in_line.rowsBetween(Window.unboundedPreceding, 0)))
+    firsts = hits.groupBy("key").agg(F.min(F.when(F.col("touched").isNull(), place)).alias("kept"), F.max("doc_id").alias("high"), F.count("*").alias("copies"))
+    firsts = firsts.where(F.col("high") > F.col("kept.doc_id")).drop("high")
+    # a word goes only for the sake of an earlier place, so one of its places always stays
+    runs = hits.join(firsts, "key").where(place >= F.col("kept")).withColumn("removed", place != F.col("kept"))
+    parts = runs.select("doc_id", F.explode("parts").alias("part"), "kept", "copies", "removed").select("doc_id", "part.*", "kept", "copies", "removed")
+    in_line = Window.partitionBy("doc_id", "line", "removed").orderBy("first_word", "n_words")
+    end = F.col("first_word") + F.col("n_words")
+    apart = F.col("first_word") > F.max(end).over(in_line.rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.withColumn("apart", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("part", F.sum("apart").over(in_line.rowsBetween(Window.unboundedPreceding, 0)))
     first = F.min("first_word")
-    passages = runs.groupBy("doc_id", "line", "removed", "part").agg(
-        first.alias("first_word"), (F.max("first_word") - first + words).alias("n_words"), F.min("kept").alias("kept"), F.max("copies").alias("copies"))
+    passages = parts.groupBy("doc_id", "line", "removed", "part").agg(
+        first.alias("first_word"), (F.max(end) - first).alias("n_words"), F.min("kept").alias("kept"), F.max("copies").alias("copies"))
     return passages.select("doc_id", "line", "first_word", "n_words", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.line").alias("kept_line"), "copies", "removed")
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """Repeated paragraphs (from word 0 of their line) and the repeated passages of the lines that stay."""
+def repeats(docs: DataFrame, across_lines: bool = True) -> DataFrame:
+    """Repeated paragraphs (from word 0 of their line) and the repeated passages of what stays."""
     lines = repeated_paragraphs(docs)
-    return lines.withColumn("first_word", F.lit(0)).unionByName(repeated_passages(docs, lines))
+    return lines.withColumn("first_word", F.lit(0)).unionByName(repeated_passages(docs, lines, across_lines=across_lines))
 
 
 def _cut(text: str, gone: list) -> str:

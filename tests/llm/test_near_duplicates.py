@@ -172,6 +172,45 @@ def test_passages_inside_longer_lines(make_docs):
         assert out[d] == "\n".join(lines)
 
 
+def wrapped(words, at):
+    """The words in lines of ``at`` words."""
+    return "\n".join(" ".join(words[k:k + at]) for k in range(0, len(words), at))
+
+
+def test_passages_over_short_lines(make_docs):
+    rng = random.Random(12)
+    words = lambda n: [f"y{rng.randint(0, 10 ** 7)}" for _ in range(n)]
+    passage = words(90)
+    rows = [(d, wrapped(words(rng.randint(0, 30)) + passage + words(rng.randint(0, 30)), 5 + d)) for d in range(12)] + [(20 + d, wrapped(words(90), 9)) for d in range(4)]
+    docs = make_docs(rows)
+    got = paragraphs.repeats(docs).collect()
+    assert {r["doc_id"] for r in got if r["removed"]} == set(range(1, 12)) and all(r["kept_doc_id"] == 0 for r in got if r["copies"] == 12)
+    found = defaultdict(set)
+    for r in got:
+        here = dict(rows)[r["doc_id"]].split("\n")[r["line"]].split()[r["first_word"]:r["first_word"] + r["n_words"]]
+        assert len(here) == r["n_words"] and set(here) <= set(passage)
+        found[r["doc_id"]] |= set(here)
+    assert all(len(found[d]) >= 90 - 2 * (paragraphs.NEIGHBOURS - 1) for d in range(12))
+    out = {r["doc_id"]: (r["text"] or "").split() for r in paragraphs.remove_lines(docs, paragraphs.repeats(docs)).collect()}
+    assert not shared_runs([(d, " ".join(w)) for d, w in out.items()], 40)
+    assert all(out[d] == t.split() for d, t in rows if d == 0 or d >= 20)
+    assert set(passage) <= set(out[0]) and all(set(t.split()) - set(passage) <= set(out.get(d, ())) for d, t in rows)
+
+
+def test_passages_beside_removed_lines_keep_one_place(make_docs):
+    rng = random.Random(13)
+    words = lambda n: [f"z{rng.randint(0, 10 ** 7)}" for _ in range(n)]
+    line, short, other = words(30), [words(12) for _ in range(5)], words(30)
+    body = lambda *parts: "\n".join(" ".join(p) for p in parts)
+    near = [*line[:-1], "changed"]
+    rows = [(1, body(line, words(9))), (2, body(words(8), near, *short, words(7))), (3, body(*short[:3], line, *short[3:])), (4, body(other, line, *short, other)), (5, body(*short, near))]
+    docs = make_docs(rows)
+    out = {r["doc_id"]: (r["text"] or "").split() for r in paragraphs.remove_lines(docs, paragraphs.repeats(docs)).collect()}
+    left = set().union(*out.values())
+    assert {w for p in short for w in p} | set(line) | set(other) <= left
+    assert not shared_runs([(d, " ".join(w)) for d, w in out.items()], 40)
+
+
 def test_passages_of_odd_rows(make_docs, spark):
     p = " ".join(f"p{k}" for k in range(60))
     rows = [(1, "a b " + p), (1, "a b " + p), (2, p + " c d"), (None, "e " + p + " f"), (3, None), (4, ""), (5, "z " * 200), (6, p + " " + " ".join(f"q{k}" for k in range(40)) + " " + p)]
