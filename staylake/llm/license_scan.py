@@ -4,8 +4,9 @@ A template's distinct tokens are ordered by how often the whole corpus has them,
 block can contain a template to the threshold only if it has one of the template's first
 |T| - need + 1 tokens (prefix filter), has need words (length filter) and, at the first token they
 share, enough tokens are left on both sides (positional filter). Blocks that pass are verified
-exactly. Blocks are the lines of a text; a line longer than WINDOW words is cut into windows that
-overlap by half, so every run of WINDOW / 2 words lies in some block.
+exactly. Blocks are the lines of a text, a line longer than WINDOW words in windows that overlap by
+half, and such windows of the whole text, wherever its lines end: every run of WINDOW / 2 words,
+also of a notice wrapped over several lines, lies in some block.
 """
 
 from __future__ import annotations
@@ -113,6 +114,19 @@ class Matcher:
         return found
 
 
+def windows(firsts: np.ndarray, sizes: np.ndarray, hits: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(first word of the span, start and end in it) of every window that holds a hit: WINDOW words each, overlapping by half."""
+    half = WINDOW // 2
+    span = np.searchsorted(firsts, hits, "right") - 1
+    at, n = hits - firsts[span], sizes[span]
+    last = np.maximum(0, -(-(n - WINDOW) // half))  # number of the span's last window
+    late = np.minimum(at // half, last)
+    early = np.clip((at - WINDOW) // half + 1, 0, late)
+    for i, k in np.unique(np.concatenate([np.stack([span, x], axis=1) for x in (early, late)]), axis=0).tolist():
+        a, lo = int(firsts[i]), k * half
+        yield a, lo, min(lo + WINDOW, int(sizes[i]))
+
+
 def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks of every row.
 
@@ -160,13 +174,14 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             blocks: list[list] = [[] for _ in range(rows)]
             place = np.minimum(np.searchsorted(m.tokens, h), len(m.tokens) - 1)
             known = m.tokens[place] == h
-            line_first = np.cumsum(line_words) - line_words
             hits = np.flatnonzero(known & m.trigger[place])
-            for line in np.unique(np.searchsorted(line_first, hits, "right") - 1).tolist():
-                a, n = int(line_first[line]), int(line_words[line])
-                r = int(line_row[line])
-                for lo in range(0, max(1, n - WINDOW // 2), WINDOW // 2):
-                    hi = min(lo + WINDOW, n)
+            seen: set[tuple[int, int]] = set()
+            for firsts, sizes in ((np.cumsum(line_words) - line_words, line_words), (first_of, n_words)):  # lines, then whole texts
+                for a, lo, hi in windows(firsts, sizes, hits):
+                    if (a + lo, a + hi) in seen:
+                        continue
+                    seen.add((a + lo, a + hi))
+                    r = int(row[a + lo])
                     here = slice(a + lo, a + hi)
                     ranks = np.unique(m.rank[place[here][known[here]]])
                     for label, c in m.block(ranks, hi - lo):

@@ -1,7 +1,9 @@
 import re
+import textwrap
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from staylake.llm import language, license_scan, quality, queries
@@ -97,6 +99,17 @@ def test_license_scan_matches_brute_force(spark, make_docs):
     assert license_scan.scan(make_docs(rows).where("doc_id < 0")).count() == 0
 
 
+@pytest.mark.parametrize("width", [30, 72, 80])
+def test_wrapped_templates_are_found(make_docs, width):
+    filler = " ".join(f"w{k}" for k in range(100))
+    rows = [(2 * k + (before != ""), "\n".join(textwrap.wrap(f"{before} {t} {filler}", width))) for k, (_, t) in enumerate(license_scan.TEMPLATES) for before in ("", filler)]
+    got = {r["doc_id"]: r for r in license_scan.scan(make_docs(rows)).collect()}
+    for d, text in rows:
+        label, template = license_scan.TEMPLATES[d // 2]
+        assert label in got[d]["labels"].split(",") and got[d]["score"] == 1.0, text
+        assert any(b["label"] == label and b["containment"] == 1.0 for b in got[d]["blocks"])
+
+
 def test_quality_held_out(spark):
     labels = queries.table(spark, SF_MID, "labels").select("doc_id", "quality")
     rows = queries.op5_quality(spark, SF_MID).join(labels, "doc_id").where("held_out").collect()
