@@ -53,7 +53,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     folder = Scratch(spark).path("tokens")
-    manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), folder, public_tokenizers.path(TOKENIZER))
+    manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), folder, public_tokenizers.path(TOKENIZER), special_as_text=False)
     return token_files.read_documents(manifest, folder)
 
 

@@ -28,8 +28,10 @@ SEQUENCE = 1024
 ROWS = 64
 #: Pieces whose ids a worker remembers; beyond it the memory starts anew.
 REMEMBERED = 1_500_000
+#: Ids that a worker remembers.
+POOL = 1 << 26
 _CHUNK = 1 << 21
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
 class Encoder:
@@ -38,13 +40,16 @@ class Encoder:
     Texts are cut only where byte-level pre-tokenization always starts a new token: before a single
     space between two visible characters, around a single newline between them, and before ASCII
     punctuation that follows an ASCII letter or digit. Pieces are then independent of each other.
+    With ``special_as_text`` the strings of special tokens are ordinary text; without it the
+    tokenizer stays as loaded, and a text that holds an added token's string is one piece.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.added = [] if special_as_text else [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.id_type = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.forget()
 
@@ -71,13 +76,28 @@ class Encoder:
         start[offsets[:-1][offsets[:-1] < n]] = True
         return np.flatnonzero(start)
 
+    def holds_added(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which rows hold the string of an added token."""
+        raw, out = data.tobytes(), np.zeros(len(offsets) - 1, dtype=bool)
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                row = int(np.searchsorted(offsets, at, "right")) - 1
+                inside = at + len(token) <= offsets[row + 1]
+                out[row] |= inside
+                at = raw.find(token, int(offsets[row + 1]) if inside else at + 1)
+        return out
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows and their number per row."""
         s = self.cuts(data, offsets)
+        if self.added and len(s):
+            row = np.searchsorted(offsets, s, "right") - 1
+            s = s[~self.holds_added(data, offsets)[row] | (s == offsets[row])]
         e = np.append(s[1:], len(data)) if len(s) else s
         h = X.span_hashes(data, s, e)
         distinct, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.known) + len(distinct) > REMEMBERED:
+        if len(self.known) + len(distinct) > REMEMBERED or len(self.pool) > POOL:
             self.forget()
         at = np.minimum(np.searchsorted(self.known, distinct), max(0, len(self.known) - 1))
         new = np.flatnonzero(self.known[at] != distinct) if len(self.known) else np.arange(len(distinct))
@@ -97,10 +117,10 @@ class Encoder:
         return ids, np.diff(until[np.searchsorted(s, offsets)])
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, special_as_text: bool = True) -> Encoder:
+    if (path, special_as_text) not in _encoders:
+        _encoders[path, special_as_text] = Encoder(path, special_as_text)
+    return _encoders[path, special_as_text]
 
 
 def encode_rows(enc: Encoder, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -157,14 +177,15 @@ class _Files:
             x.close()
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, length: int = SEQUENCE, rows: int = ROWS) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, length: int = SEQUENCE, rows: int = ROWS, special_as_text: bool = True) -> DataFrame:
     """Writes the files below ``folder`` (a path or URI that executors share) and returns their manifest.
 
     ``docs`` needs doc_id and text; other columns are ignored. Manifest: part (files ascend in
     doc_id with it), name, n_ids, n_docs, first_id (ids of all documents in files before).
 
     Null and empty texts are END_ID alone. Null doc_ids come first. Repeated ids are ordered by the
-    hash of their text; whole ties are equal rows. A very long text is encoded whole. An empty table
+    hash of their text; whole ties are equal rows. A very long text is encoded whole. Without
+    ``special_as_text`` the ids are those of the tokenizer as loaded, special tokens included. An empty table
     has an empty manifest. A repeated task writes files of other names, and only those of the
     attempt that succeeded are in the manifest.
     """
@@ -173,7 +194,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, length:
     ordered = keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, files = encoder(tokenizer_file), None
+        enc, files = encoder(tokenizer_file, special_as_text), None
         for batch in batches:
             if not batch.num_rows:
                 continue

@@ -140,6 +140,26 @@ def test_pieces_give_the_library_ids(tokenizer_file):
             assert ids[a:b].tolist() == plain.encode(t or "", add_special_tokens=False).ids, repr(t)
 
 
+def test_op7_gives_the_ids_of_the_tokenizer_as_loaded(spark, tmp_path, make_docs, tokenizer_file):
+    import random
+
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_file)
+    rng = random.Random(7)
+    pool = ["<|endoftext|>", "<|endoftext", "|>", " ", "\n", "a", "Z9", ".", "é", "🙂"]
+    texts = [*TRICKY, "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "<|endof", "text|> x"] + ["".join(rng.choice(pool) for _ in range(rng.randint(0, 20))) for _ in range(500)]
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert want[len(TRICKY)] == [64, 220, 50256, 275]
+    enc = token_files.Encoder(tokenizer_file, special_as_text=False)
+    for _ in range(2):
+        ids, counts = enc.encode(*token_files.X.utf8(pa.array(texts)))
+        assert [ids[b - n:b].tolist() for n, b in zip(counts, np.cumsum(counts), strict=True)] == want
+    make_docs(list(enumerate(texts))).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in queries.op7_token_files(spark, str(tmp_path)).collect()}
+    assert got == {k: (len(x) + 1, zlib.crc32(np.array([*x, token_files.END_ID], "<u4").tobytes())) for k, x in enumerate(want)}
+
+
 @pytest.mark.parametrize("rows_per_batch", [64, 2])
 def test_files_round_trip(spark, make_docs, tokenizer_file, rows_per_batch):
     from tokenizers import Tokenizer
