@@ -4,6 +4,7 @@ A table is a fast pseudo-rotation of the unit vectors (random signs and a Hadama
 times over); a vector's cell is its nearest signed axis. A query looks into the cells of its
 nearest axes in every table. All vectors of those cells are candidates; their cosines are computed
 exactly, in double precision, where they lie, and only each cell's best travel on.
+Queries that find fewer than they ask for are compared with all vectors, block by block.
 """
 
 from __future__ import annotations
@@ -90,12 +91,13 @@ def search(vectors: DataFrame, id_name: str, vector_name: str, asks: Column, k:
     """The k nearest found other vectors of each asking row by cosine: query_id, rank, vec_id, score.
 
     ``asks`` is a condition on the id column; every usable row is indexed. Nearest first, ties to the
-    smaller id; scores are exact. Measured recall at the defaults is in the README.
+    smaller id; scores are exact. A query that the probes give fewer than k gets its exact answer from
+    all vectors. Measured recall at the defaults is in the README.
 
     Null vectors, vectors with null or non-finite components, zero vectors and rows without id take
     no part. Only vectors of the query's length are candidates. Equal vectors are indexed once, with
     their k + 1 smallest ids, so a vector of very many rows costs no more than others; repeated rows
-    of one id count once. Tables with fewer candidates give all they find; empty ones nothing.
+    of one id count once. Tables with fewer candidates give all of them; empty ones nothing.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark)
@@ -136,11 +138,24 @@ def search(vectors: DataFrame, id_name: str, vector_name: str, asks: Column, k:
         join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
         return pa.table({"query": join(q_out, np.int64), "key": join(k_out, np.int64), "score": join(s_out, np.float64)})
 
-    part = [*place, "part"]
-    near = index.groupBy(*part).cogroup(probed.groupBy(*part)).applyInArrow(rerank, "query long, key long, score double").groupBy("query", "key").agg(F.max("score").alias("score"))
-    near = near.join(known.select("key", "ids"), "key").select("query", "score", F.explode("ids").alias("vec_id"))
-    order = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id"))
-    near = near.withColumn("r", order).where(F.col("r") <= want).drop("r")
-    found = asked.join(near, asked["key"] == near["query"]).where("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return found.withColumn("rank", order).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def nearest(index: DataFrame, probed: DataFrame, place: list[str], asked: DataFrame) -> DataFrame:
+        near = index.groupBy(*place).cogroup(probed.groupBy(*place)).applyInArrow(rerank, "query long, key long, score double").groupBy("query", "key").agg(F.max("score").alias("score"))
+        near = near.join(known.select("key", "ids"), "key").select("query", "score", F.explode("ids").alias("vec_id"))
+        order = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id"))
+        near = near.withColumn("r", order).where(F.col("r") <= want).drop("r")
+        found = asked.join(near, asked["key"] == near["query"]).where("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+        return found.withColumn("rank", order).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    found = scratch.write(nearest(index, probed, [*place, "part"], asked), "found")
+    full = found.where(F.col("rank") == k).select("query_id")
+    few = scratch.write(asked.join(full, "query_id", "left_anti"), "few")
+    if few.isEmpty():
+        return found
+    blocks = known.select("key", "v", F.size("v").alias("dim"))
+    n_blocks = blocks.groupBy("dim").agg(F.ceil(F.count("*") / PART_VECTORS).cast("int").alias("parts"))
+    blocks = blocks.join(n_blocks, "dim")
+    asking = blocks.join(few.select("key").distinct(), "key", "left_semi").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    asking = asking.select("part", *[F.col(c).alias(c) for c in ("dim", "key", "v")])  # columns of their own beside those of blocks
+    blocks = blocks.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")).drop("parts")
+    return found.join(few, "query_id", "left_anti").unionByName(nearest(blocks, asking, ["dim", "part"], few))

@@ -90,6 +90,21 @@ def test_vector_edges(spark):
     assert ann.search(table.where("vec_id > 100"), "vec_id", "embedding", F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_few_spread_vectors_are_all_found(spark, monkeypatch):
+    monkeypatch.setattr(ann, "PART_VECTORS", 3)
+    v = np.random.default_rng(5).normal(size=(4, 64)).astype(np.float32)
+    rows = [(k, x) for k, x in enumerate([v[0], -v[0], v[1], -v[1]])]  # fewer than k others
+    rows += [(100, np.append(v[2], 1)), *((101 + k, np.append(v[2] * (k + 2), k + 2)) for k in range(3)), *((110 + k, np.append(-v[2] + v[3] * k / 100, -1)) for k in range(9))]  # another length, few near, the others opposite
+    table = spark.createDataFrame([(k, x.tolist()) for k, x in rows], "vec_id long, embedding array<float>")
+    asks = [0, 100]
+    got = ann.search(table, "vec_id", "embedding", F.col("vec_id").isin(asks), k=5).collect()
+    for q, a in rows:
+        if q in asks:
+            others = sorted((-float(ann.exact_cosines(a[None].astype(float), b[None].astype(float))[0]), k) for k, b in rows if k != q and len(b) == len(a))[:5]
+            assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == [k for _, k in others]
+            assert np.allclose(sorted(-r["score"] for r in got if r["query_id"] == q), [s for s, _ in others], rtol=0, atol=1e-12)
+
+
 def test_many_equal_vectors_tie_by_id(spark):
     table = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(120)] + [(200, [2.0, 1.0])], "vec_id long, embedding array<float>")
     got = ann.search(table, "vec_id", "embedding", F.col("vec_id") % 50 == 0, tables=4, probes=4).collect()
