@@ -27,3 +27,31 @@ SELECT z.doc_id, z.size, z.source_size, z.target,
 FROM z LEFT JOIN w ON z.doc_id IS NOT DISTINCT FROM w.doc_id AND z.source IS NOT DISTINCT FROM w.source AND z.size = w.size
 LEFT JOIN x ON z.source IS NOT DISTINCT FROM x.source
 """
+
+OP11_LINE_DEDUP = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+e AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+k AS (SELECT r, doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM e),
+f AS (SELECT key, min(doc_id) AS low FROM k WHERE length(key) >= 10 GROUP BY key),
+m AS (SELECT k.r, k.doc_id, k.pos, k.line, f.key IS NOT NULL AND k.doc_id IS DISTINCT FROM f.low AS gone FROM k LEFT JOIN f ON k.key = f.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r, doc_id
+"""
+
+OP12_HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 10
+"""

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from staylake.llm import ann, hamming, language, license_scan, mixing, ngram_join, oracles, packing, paragraphs, quality, token_files
+from staylake.llm import (ann, hamming, hard_negatives, language, license_scan, line_dedup, mixing, ngram_join, oracles, packing,
+                          paragraphs, quality, token_files, whitening)
 from staylake.llm._scratch import Scratch
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -70,6 +71,24 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "_mix.size", "_mix.source_size", "_mix.target", (F.col("_mix.copies") * F.col("_mix.size")).alias("taken"), "source", "_mix.copies")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.kept_texts(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v, label = F.col("embedding").cast("array<double>"), F.col("label").cast("long")
+    finite = ~F.exists(v, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
+    rows = table(spark, sf_dir, "embeddings").where(finite & label.isNotNull())
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = rows.select(F.col("vec_id").alias("id"), moved.alias("label"), F.transform(v, lambda c: F.floor(c * 256.0).cast("long")).alias("x"))
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
@@ -81,8 +100,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vectors": op8_vectors,
     "op9_paragraphs": op9_paragraphs,
     "op10_mixing": op10_mixing,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
     "op10_mixing": oracles.OP10_MIXING,
+    "op11_line_dedup": oracles.OP11_LINE_DEDUP,
+    "op12_hard_negatives": oracles.OP12_HARD_NEGATIVES,
 }
