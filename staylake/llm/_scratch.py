@@ -43,3 +43,11 @@ BROADCAST_IDS = 1_000_000
 def small_side(ids: DataFrame, rows: int) -> DataFrame:
     """Marks a table of ids for a broadcast join only if its counted size allows it."""
     return F.broadcast(ids) if rows <= BROADCAST_IDS else ids
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it if a column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

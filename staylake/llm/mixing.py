@@ -3,15 +3,20 @@
 Every source gets a word target. Whole copies that its target holds for certain go to each of its
 documents; the rest of the target is a fixed-size sample without replacement with unequal
 inclusion probabilities: documents are ranked by their random odds divided by their inclusion
-odds, and the lowest ranks are taken as long as their words fit; one more document, the one whose
-size comes nearest to the words still missing, closes the gap.
+odds, and in this order every document whose words still fit is taken. One more document, the one
+whose size comes nearest to the words still missing, closes the gap. Documents whose share of the
+rest is a whole copy or more are taken for certain, and what they leave is shared again.
+
+The order is never walked row by row. Words are summed by rank class; only the class in which the
+words run out is ordered, up to the document that no longer fits. The next round goes on behind it
+with the documents that fit into what is left, until none does.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from staylake.llm._scratch import Scratch, small_side
+from staylake.llm._scratch import Scratch, free_name, small_side
 
 #: Rank classes in which the cut is first looked for; only one class of a source is ever ordered row by row.
 RANK_CLASSES = 4096
@@ -63,64 +68,127 @@ def row_id(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(-(1 << 63)).cast("long"))
 
 
-def below_cut(id_name: str) -> Column:
-    """Whether a row ranks at or before its source's cut."""
-    here = F.struct(F.col("rank"), F.col(id_name).alias("id"), F.col("size"))
-    within = (F.col("class") == F.col("cut_class")) & F.col("last.rank").isNotNull() & (here <= F.col("last"))
-    return F.coalesce((F.col("class") < F.col("cut_class")) | within, F.lit(False))
-
+def fitting_rounds(ranked: DataFrame, gaps: DataFrame, n_sources: int, scratch: Scratch) -> DataFrame:
+    """of, rounds, gap: which stretches of the rank order each source takes, and the words still missing then.
 
-def mix_sources(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), max_copies: int = 3, seed: int = 0, importance: Column | None = None) -> DataFrame:
-    """All columns of ``docs`` plus ``_mix``: struct(size, source_size, target, copies).
-
-    ``docs`` needs doc_id, text, source; its other columns, whatever they are called, are kept.
-    ``importance`` (positive, 1 by default) makes a document likelier within its source.
+    ``ranked``: source, rank, class, id, size; ``gaps``: of, gap (one row per source). A stretch
+    (gap, after, upto) takes the documents of 1 to ``gap`` words that rank behind ``after`` (null:
+    from the start) and not behind ``upto`` (null: to the end). Rows that agree in rank, id and size
+    are taken together or not at all.
+    """
+    place = "struct<rank:double,id:bigint,size:bigint>"
+    form = f"array<struct<gap:bigint,after:{place},upto:{place}>>"
+    state = gaps.select("of", F.col("gap").cast("long").alias("gap"), F.lit(None).cast(place).alias("after"), F.array().cast(form).alias("rounds"), (F.col("gap") > 0).alias("open"))
+    state, step = scratch.write(state, "round-0"), 0
+    here = F.struct("rank", "id", "size")
+    while not state.where("open").isEmpty():
+        now = state.where("open").select("of", "gap", "after")
+        fitting = ranked.join(small_side(now, n_sources), F.col("source").eqNullSafe(F.col("of"))).where((F.col("size") > 0) & (F.col("size") <= F.col("gap")) & (F.col("after").isNull() | (here > F.col("after"))))
+        classes = fitting.groupBy("of", "class").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"))
+        classes = classes.withColumn("until", F.sum("words").over(Window.partitionBy("of").orderBy("class")))
+        full = F.col("until") > F.col("gap")
+        classes = scratch.write(classes.groupBy("of").agg(F.max("until").alias("total"), F.min_by(F.struct("class", (F.col("until") - F.col("words")).alias("before")), F.when(full, F.col("class"))).alias("cut")), f"classes-{step}")
+        cuts = classes.where("cut is not null").select(F.col("of").alias("cut_of"), "cut")
+        steps = fitting.join(small_side(cuts, n_sources), F.col("of").eqNullSafe(F.col("cut_of")) & (F.col("class") == F.col("cut.class")))
+        steps = steps.groupBy("of", "rank", "id", "size").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"), F.first("cut.before").alias("before"))
+        steps = steps.withColumn("until", F.col("before") + F.sum("words").over(Window.partitionBy("of").orderBy("rank", "id", "size")))
+        stops = steps.where(F.col("until") > F.col("gap")).groupBy("of").agg(F.min(F.struct("rank", "id", "size", (F.col("until") - F.col("words")).alias("taken"))).alias("stop"))
+        took = classes.join(stops.withColumnRenamed("of", "stop_of"), F.col("of").eqNullSafe(F.col("stop_of")), "left").select(F.col("of").alias("took_of"), F.coalesce("stop.taken", "total").alias("taken"), F.when(F.col("stop").isNotNull(), F.struct("stop.rank", "stop.id", "stop.size")).alias("stop"))
+        joined = state.join(took, F.col("of").eqNullSafe(F.col("took_of")) & F.col("open"), "left")
+        went = F.struct(F.col("gap"), F.col("after"), F.col("stop").cast(place).alias("upto"))
+        left = F.col("gap") - F.coalesce("taken", F.lit(0))
+        state = scratch.write(joined.select("of", left.alias("gap"), F.coalesce(F.col("stop").cast(place), F.col("after")).alias("after"),
+                                            F.when(F.col("taken").isNull(), F.col("rounds")).otherwise(F.concat("rounds", F.array(went).cast(form))).alias("rounds"),
+                                            (F.col("stop").isNotNull() & (left > 0)).alias("open")), f"round-{step + 1}")
+        scratch.drop(f"round-{step}", f"classes-{step}")
+        step += 1
+    return state.select("of", "rounds", "gap")
+
+
+def fits_a_round() -> Column:
+    """Whether the row (rank, id, size) lies in a stretch of its source's ``rounds``."""
+    here = F.struct("rank", "id", "size")
+    inside = lambda r: (F.col("size") <= r["gap"]) & (r["after"].isNull() | (here > r["after"])) & (r["upto"].isNull() | (here < r["upto"]))
+    return F.coalesce((F.col("size") > 0) & F.exists("rounds", inside), F.lit(False))
+
+
+def _shared_again(sized: DataFrame, plan: DataFrame, n_sources: int, scratch: Scratch) -> DataFrame:
+    """``plan`` (of, rest, ...) with ``spare``, ``mass`` and ``sure_from``.
+
+    A document whose share rest * importance / mass is 1 or more is certain: its words leave the
+    rest, its mass the mass, and the others share again, until no more become certain. Those of
+    importance ``sure_from`` or more are certain (null: none).
+    """
+    state, step = plan.withColumn("sure_from", F.lit(None).cast("double")).withColumn("spare", F.col("rest")), 0
+    while True:
+        rows = sized.select("source", "size", "importance").join(small_side(state, n_sources), F.col("source").eqNullSafe(F.col("of")))
+        free = F.col("sure_from").isNull() | (F.col("importance") < F.col("sure_from"))
+        mass = rows.groupBy("of").agg(F.sum(F.when(free, F.col("importance") * F.col("size"))).alias("free_mass"), F.sum(F.when(~free, F.col("size"))).alias("sure_words"), F.max(F.when(free & (F.col("size") > 0), F.col("importance"))).alias("most"))
+        joined = state.drop("spare", "mass").join(mass.withColumnRenamed("of", "mass_of"), F.col("of").eqNullSafe(F.col("mass_of")), "left").drop("mass_of")
+        joined = joined.withColumn("spare", F.greatest(F.col("rest") - F.coalesce("sure_words", F.lit(0)), F.lit(0.0))).withColumnRenamed("free_mass", "mass")
+        sure = F.coalesce(F.try_divide(F.col("spare") * F.col("most"), F.col("mass")) >= 1, F.lit(False)) & (F.col("spare") > 0)
+        # all of an importance of mass / spare or more become certain together
+        state = scratch.write(joined.withColumn("more", sure).withColumn("sure_from", F.when(F.col("more"), F.try_divide("mass", "spare")).otherwise(F.col("sure_from"))).drop("sure_words", "most"), f"shares-{step}")
+        if state.where("more").isEmpty():
+            return state.drop("more")
+        state, step = state.drop("more"), step + 1
+
+
+def mix_sources(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), max_copies: int = 3, seed: int = 0, importance: Column | None = None, name: str = "_mix") -> DataFrame:
+    """All columns of ``docs`` plus, last, ``name``: struct(size, source_size, target, copies).
+
+    ``docs`` needs doc_id, text, source; its other columns, whatever they are called, are kept, so
+    ``name`` must be none of them (``_scratch.free_name`` gives one; a ValueError says so).
+    ``importance`` (positive, 1 by default) makes a document likelier within its source; documents
+    that it makes certain come first in their source, by the same rank, as far as they fit.
 
     A null text has size 0, and so has an empty one; null is a source of its own. Rows that agree
-    in doc_id and size are taken or left together. Sources of size 0 have target 0. Documents of a
-    source whose rest is 0 get only their certain copies. An empty table stays empty. The result
-    depends on ids, sizes, sources and the seed alone, so reruns and retried tasks agree.
+    in doc_id and size are taken or left together. Sources of size 0 have target 0. Documents of
+    size 0, and those of a source whose rest is 0, get only their certain copies. An empty table stays
+    empty. The result depends on ids, sizes, sources and the seed alone, so reruns and retried tasks
+    agree. A source misses its target by less than half of its smallest document left out.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
+    if free_name(docs, name) != name:
+        raise ValueError(f"the table has a column {name}")
     size, unit = word_count(F.col("text")), random_unit(F.col("doc_id"), seed)
     weight = (F.lit(1.0) if importance is None else importance).cast("double")
     sized = scratch.write(docs.select("doc_id", "source", size.alias("size"), unit.alias("u"), weight.alias("importance")), "sized")
     targets = scratch.write(source_targets(sized, cycle, max_copies), "targets")
-    scale = sized.groupBy("source").agg(F.sum(F.col("importance") * F.col("size")).alias("mass"))
-    plan = targets.alias("t").join(scale.alias("s"), F.col("t.source").eqNullSafe(F.col("s.source"))).select("t.*", "mass")
     whole = F.when(F.col("source_size") > 0, F.floor(F.try_divide("target", "source_size"))).otherwise(F.lit(0)).cast("long")
-    plan = plan.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    plan = scratch.write(plan.withColumnRenamed("source", "of"), "plan")
-    n_sources = plan.count()
+    plan = targets.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")).withColumnRenamed("source", "of")
+    n_sources = targets.count()
+    if importance is None:  # then every share is below 1, and the mass is the size
+        plan = plan.withColumn("mass", F.col("source_size").cast("double")).withColumn("spare", F.col("rest")).withColumn("sure_from", F.lit(None).cast("double"))
+        plan = scratch.write(plan, "plan")
+    else:
+        plan = scratch.write(_shared_again(sized, plan, n_sources, scratch), "plan")
 
     def with_plan(frame: DataFrame, plan: DataFrame) -> DataFrame:
         return frame.join(small_side(plan, n_sources), F.col("source").eqNullSafe(F.col("of")))
 
-    chance = F.coalesce(F.least(F.try_divide(F.col("rest") * F.col("importance"), F.col("mass")), F.lit(1 - 1e-12)), F.lit(0.0))
-    ranked = _rank(with_plan(sized, plan.where("rest > 0")).withColumn("chance", chance))
-    classes = ranked.groupBy("of", "class").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
-    up_to = F.sum("words").over(Window.partitionBy("of").orderBy("class"))
-    classes = classes.withColumn("until", up_to).where("until >= rest").groupBy("of").agg(F.min_by(F.struct("class", (F.col("until") - F.col("words")).alias("before")), "class").alias("cut"))
-    at_cut = with_plan(ranked.select("source", "rank", "class", "doc_id", "size", "rest"), classes).where(F.col("class") == F.col("cut.class"))
-    steps = at_cut.groupBy("of", "rank", "doc_id", "size").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"), F.first("cut.before").alias("before"))
-    until = F.col("before") + F.sum("words").over(Window.partitionBy("of").orderBy("rank", F.col("doc_id").asc_nulls_first(), "size"))
-    fits = steps.withColumn("until", until).where("until <= rest").groupBy("of").agg(F.max(F.struct("rank", row_id("doc_id").alias("id"), "size", "until")).alias("last"))
-    cuts = classes.alias("c").join(fits.alias("f"), F.col("c.of").eqNullSafe(F.col("f.of")), "left").select(
-        F.col("c.of").alias("cut_of"), F.col("cut.class").alias("cut_class"), F.struct("last.rank", "last.id", "last.size").alias("last"), F.coalesce("last.until", "cut.before").alias("words"))
-    decided = plan.join(cuts, F.col("of").eqNullSafe(F.col("cut_of")), "left").select("of", "source_size", "target", "whole", "rest", "mass", "cut_class", "last", (F.col("rest") - F.col("words")).alias("gap"))
-    decided = scratch.write(decided, "decided")
-    left_over = _rank(with_plan(sized, decided.where("gap > 0")).withColumn("chance", chance)).select("*", row_id("doc_id").alias("id")).where(~below_cut("id"))
+    sure = F.coalesce(F.col("importance") >= F.col("sure_from"), F.lit(False))
+    chance = F.coalesce(F.least(F.try_divide(F.col("spare") * F.col("importance"), F.col("mass")), F.lit(1 - 1e-12)), F.lit(0.0))
+
+    def ranked(frame: DataFrame) -> DataFrame:
+        """Certain documents first, each part by its random odds over its inclusion odds."""
+        out = _rank(frame.withColumn("chance", F.when(sure, F.lit(0.5)).otherwise(chance)))
+        return out.withColumn("rank", F.col("rank") + F.when(sure, F.lit(-1.0)).otherwise(F.lit(0.0))).withColumn("class", F.floor(F.col("rank") * RANK_CLASSES).cast("int")).withColumn("id", row_id("doc_id"))
+
+    order = ranked(with_plan(sized, plan.where("rest > 0"))).select("source", "rank", "class", "id", "size")
+    rounds = fitting_rounds(order, plan.where("rest > 0").select("of", F.floor("rest").alias("gap")), n_sources, scratch)
+    missing = plan.select(F.col("of").alias("plan_of"), "rest").join(rounds.select("of", "rounds", F.col("gap").alias("left")), F.col("plan_of").eqNullSafe(F.col("of")))
+    missing = missing.select("of", "rounds", (F.col("left") + F.col("rest") - F.floor("rest")).alias("gap"))
+    over = with_plan(order, missing.where("gap > 0")).where(~fits_a_round())
     miss = F.abs(F.col("gap") - F.col("size"))
-    closer = left_over.where(miss < F.col("gap")).groupBy("of").agg(F.min(F.struct(miss.alias("miss"), "rank", "id", "size")).alias("x"))
-    closer = closer.select(F.col("of").alias("x_of"), F.struct("x.rank", "x.id", "x.size").alias("closer"))
-    decided = scratch.write(decided.join(closer, F.col("of").eqNullSafe(F.col("x_of")), "left").drop("x_of"), "closed")
+    closer = over.where(miss < F.col("gap")).groupBy("of").agg(F.min(F.struct(miss.alias("miss"), "rank", "id", "size")).alias("x")).select(F.col("of").alias("x_of"), F.struct("x.rank", "x.id", "x.size").alias("closer"))
+    filled = missing.join(closer, F.col("of").eqNullSafe(F.col("x_of")), "left").select(F.col("of").alias("r_of"), "rounds", "closer")
+    decided = scratch.write(plan.join(filled, F.col("of").eqNullSafe(F.col("r_of")), "left").drop("r_of"), "decided")
     rows = decided.select(F.struct("*").alias("_plan"))
-    out = docs.select(F.struct("*").alias("_doc"), size.alias("size"), unit.alias("u"), weight.alias("importance"))
+    out = docs.select(F.struct("*").alias("_doc"), F.col("doc_id").alias("doc_id"), size.alias("size"), unit.alias("u"), weight.alias("importance"))
     out = out.join(small_side(rows, n_sources), F.col("_doc.source").eqNullSafe(F.col("_plan.of")))
-    out = out.select("_doc", "size", "u", "importance", "_plan.*").withColumn("chance", chance)
-    out = _rank(out)
-    out = out.withColumn("id", row_id("_doc.doc_id"))
-    taken = (F.col("rest") > 0) & (below_cut("id") | F.coalesce(F.struct("rank", "id", "size") == F.col("closer"), F.lit(False)))
+    out = ranked(out.select("_doc", "doc_id", "size", "u", "importance", "_plan.*"))
+    taken = (F.col("rest") > 0) & (fits_a_round() | F.coalesce(F.struct("rank", "id", "size") == F.col("closer"), F.lit(False)))
     copies = F.col("whole") + F.coalesce(taken, F.lit(False)).cast("long")
-    return out.select("_doc.*", F.struct("size", "source_size", "target", copies.alias("copies")).alias("_mix"))
+    return out.select("_doc.*", F.struct("size", "source_size", "target", copies.alias("copies")).alias(name))

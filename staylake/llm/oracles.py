@@ -16,16 +16,18 @@ p AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size)
 r AS (SELECT *, target - whole * source_size AS rest FROM p),
 q AS (SELECT d.*, r.source_size, r.target, r.whole, r.rest, least(r.rest * CAST(1 AS DOUBLE) / CAST(r.source_size AS DOUBLE), CAST(1 AS DOUBLE) - CAST(1e-12 AS DOUBLE)) AS chance FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
 z AS (SELECT *, (u / (1 - u)) / (chance / (1 - chance)) AS odds FROM q),
-w AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY odds / (1 + odds), coalesce(doc_id, -9223372036854775808), size) AS until FROM z WHERE rest > 0),
-base AS (SELECT source, any_value(rest) - coalesce(max(until) FILTER (WHERE until <= rest), 0) AS gap FROM w GROUP BY source),
-x AS (SELECT w.source, min(row(abs(b.gap - w.size), w.odds / (1 + w.odds), coalesce(w.doc_id, -9223372036854775808), w.size)) AS c
-      FROM w JOIN base b ON w.source IS NOT DISTINCT FROM b.source WHERE w.until > w.rest AND b.gap > 0 AND abs(b.gap - w.size) < b.gap GROUP BY w.source)
-SELECT z.doc_id, z.size, z.source_size, z.target,
-       CAST((z.whole + CASE WHEN z.rest > 0 AND (w.until <= w.rest OR coalesce(row(x.c[2], x.c[3], x.c[4]) = row(w.odds / (1 + w.odds), coalesce(w.doc_id, -9223372036854775808), w.size), false)) THEN 1 ELSE 0 END) * z.size AS BIGINT) AS taken,
-       z.source,
-       CAST(z.whole + CASE WHEN z.rest > 0 AND (w.until <= w.rest OR coalesce(row(x.c[2], x.c[3], x.c[4]) = row(w.odds / (1 + w.odds), coalesce(w.doc_id, -9223372036854775808), w.size), false)) THEN 1 ELSE 0 END AS BIGINT) AS copies
-FROM z LEFT JOIN w ON z.doc_id IS NOT DISTINCT FROM w.doc_id AND z.source IS NOT DISTINCT FROM w.source AND z.size = w.size
-LEFT JOIN x ON z.source IS NOT DISTINCT FROM x.source
+g AS (SELECT source, odds / (1 + odds) AS rank, coalesce(doc_id, -9223372036854775808) AS id, size, CAST(sum(size) AS BIGINT) AS words, any_value(rest) AS rest
+      FROM z WHERE rest > 0 AND size > 0 GROUP BY ALL),
+o2 AS (SELECT source, any_value(rest) AS rest, list([words] ORDER BY rank, id, size) AS words FROM g GROUP BY source),
+-- the words still missing before each document of the order and after the last: what fits is taken
+gaps AS (SELECT source, rest, list_reduce(words, lambda a, w: list_append(a, CASE WHEN w[1] <= a[-1] THEN a[-1] - w[1] ELSE a[-1] END), [CAST(floor(rest) AS BIGINT)]) AS left_over FROM o2),
+w AS (SELECT g.*, gaps.left_over[row_number() OVER (PARTITION BY g.source ORDER BY g.rank, g.id, g.size)] >= g.words AS fits, gaps.left_over[-1] + gaps.rest - floor(gaps.rest) AS gap
+      FROM g JOIN gaps ON g.source IS NOT DISTINCT FROM gaps.source),
+x AS (SELECT source, min(row(abs(gap - size), rank, id, size)) AS c FROM w WHERE NOT fits AND gap > 0 AND abs(gap - size) < gap GROUP BY source),
+k AS (SELECT z.*, CAST(z.whole + CASE WHEN coalesce(w.fits, false) OR coalesce(row(x.c[2], x.c[3], x.c[4]) = row(w.rank, w.id, w.size), false) THEN 1 ELSE 0 END AS BIGINT) AS copies
+      FROM z LEFT JOIN w ON z.source IS NOT DISTINCT FROM w.source AND coalesce(z.doc_id, -9223372036854775808) = w.id AND z.size = w.size AND z.rest > 0
+      LEFT JOIN x ON z.source IS NOT DISTINCT FROM x.source)
+SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, source, copies FROM k
 """
 
 OP11_LINE_DEDUP = r"""

@@ -297,7 +297,7 @@ def _without(text: Column, gone: Column) -> Column:
     def cut(text: pd.Series, gone: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else _cut(t, [(g["line"], g["first_word"], g["n_words"]) for g in s]) for t, s in zip(text, gone, strict=True)], dtype=object)
 
-    return cut(text, gone)
+    return cut.asNondeterministic()(text, gone)  # a filter on its result must not run it a second time, in workers of its own
 
 
 def remove_lines(docs: DataFrame, repeats: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from staylake.llm import _text as X
-from staylake.llm._scratch import Scratch
+from staylake.llm._scratch import Scratch, free_name
 from staylake.llm._ship import ship
 
 FILTERS, WIDTH, CHUNK = 16, 5, 256
@@ -194,14 +194,18 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     return Network(filters, bias, center, scale, dense, offset)
 
 
-def score(docs: DataFrame, net: Network | float) -> DataFrame:
-    """All columns of ``docs`` and ``_quality``, the probability of label 1, from the whole text alone.
+def score(docs: DataFrame, net: Network | float, name: str = "_quality") -> DataFrame:
+    """All columns of ``docs`` and, last, ``name``, the probability of label 1, from the whole text alone.
 
-    ``docs`` needs text; all its columns are kept. Null and empty texts are scored as a document of
+    ``docs`` needs text; all its columns are kept, so ``name`` must be none of them (``_scratch.free_name``
+    gives one; a ValueError says so). Null and empty texts are scored as a document of
     padding. A very long text is convolved piece by piece and pooled as a whole. Repeated rows get
     equal scores. An empty table gives an empty result.
     """
 
+    if free_name(docs, name) != name:
+        raise ValueError(f"the table has a column {name}")
+
     @F.arrow_udf("double")
     def probabilities(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
@@ -216,7 +220,7 @@ def score(docs: DataFrame, net: Network | float) -> DataFrame:
                 at = end
             yield pa.array(np.concatenate(out) if out else np.zeros(0))
 
-    return docs.withColumn("_quality", probabilities(F.col("text")))
+    return docs.withColumn(name, probabilities(F.col("text")))
 
 
 def held_out(doc_id: Column) -> Column:

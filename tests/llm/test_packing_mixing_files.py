@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import re
 import zlib
@@ -192,3 +193,62 @@ def test_files_round_trip(spark, make_docs, tokenizer_file, rows_per_batch):
 def test_word_count(spark, make_docs):
     got = make_docs(list(enumerate(EDGE_TEXTS))).select("text", mixing.word_count(F.col("text")).alias("n")).collect()
     assert all(r["n"] == len(re.findall(rb"[^\x20\x09-\x0D]+", (r["text"] or "").encode())) for r in got)
+
+
+def unit(doc_id, seed):
+    return (int(hashlib.md5(f"{seed}:{doc_id}".encode()).hexdigest()[:12], 16) + 0.5) / (1 << 48)
+
+
+def greedy(rows, rest):
+    """Words that a walk in the given order takes, document by document, and the nearest document's that closes the gap."""
+    gap = rest
+    left = []
+    for size in rows:
+        if 0 < size <= gap:
+            gap -= size
+        else:
+            left.append(size)
+    close = [s for s in left if abs(gap - s) < gap]
+    return rest - gap + (min(close, key=lambda s: abs(gap - s)) if close else 0)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_sources_with_one_very_long_document_meet_their_targets(make_docs, seed):
+    """The long document holds half of the words of its source; the sources' target is half of theirs."""
+    word = lambda n: "w " * n
+    rows = [(k, word(300), "a") for k in range(400)] + [(400, word(120_000), "a")]
+    rows += [(1000 + k, word(300), "b") for k in range(800)] + [(2000 + k, word(1 + k % 37 * 40), "c") for k in range(300)] + [(3000, word(90_000), "c")]
+    mixed = mixing.mix_sources(make_docs(rows), cycle=(1, 3, 2), seed=seed).select("doc_id", "source", "_mix.*").collect()
+    by = defaultdict(list)
+    for r in mixed:
+        by[r["source"]].append(r)
+    for of in by.values():
+        taken = sum(r["copies"] * r["size"] for r in of)
+        certain = int(of[0]["target"] // of[0]["source_size"])
+        left = [r["size"] for r in of if r["copies"] == certain]
+        assert abs(taken - of[0]["target"]) <= max(0.02 * of[0]["target"], min(left, default=0) / 2 + 1)
+        order = sorted(of, key=lambda r: (unit(r["doc_id"], seed), r["doc_id"]))  # equal chances: the rank order is that of the units
+        assert taken - certain * of[0]["source_size"] == greedy([r["size"] for r in order], of[0]["target"] - certain * of[0]["source_size"])
+
+
+def test_importance_makes_documents_certain_and_shares_the_rest_again(make_docs):
+    """Documents whose share is a copy or more are always taken; the others' chances add up to what is left."""
+    rows = [(k, "w " * 100, "a") for k in range(200)] + [(1000 + k, "w " * 100, "b") for k in range(600)]
+    docs = make_docs(rows)
+    weight = F.when(F.col("doc_id") % 20 == 0, 1000.0).when(F.col("doc_id") % 2 == 0, 3.0).otherwise(1.0)
+    often = Counter()
+    for seed in range(12):
+        mixed = mixing.mix_sources(docs, cycle=(1, 9), seed=seed, importance=weight).select("doc_id", "source", "_mix.*").collect()
+        a = [r for r in mixed if r["source"] == "a"]
+        rest = a[0]["target"]  # 8,000 of 20,000 words: below one copy
+        assert rest < a[0]["source_size"] and abs(sum(r["copies"] * r["size"] for r in a) - rest) <= 50
+        assert all(r["copies"] == 1 for r in a if r["doc_id"] % 20 == 0)
+        often.update(("even" if r["doc_id"] % 2 == 0 else "odd") for r in a if r["copies"] and r["doc_id"] % 20)
+    assert 1.8 <= (often["even"] / 90) / (often["odd"] / 100) <= 3.6  # shares 3 to 1 of 70 documents, less near certainty
+
+
+def test_mixing_refuses_a_taken_name(make_docs):
+    docs = make_docs([(1, "a b", "s")]).withColumn("_mix", F.lit(1))
+    with pytest.raises(ValueError):
+        mixing.mix_sources(docs)
+    assert mixing.mix_sources(docs, name="_more").columns == [*docs.columns, "_more"]

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from staylake.llm import queries
@@ -48,27 +49,49 @@ def test_one_document_of_each_group_stays(stages):
     assert after.subtract(before).count() == 0
 
 
-def test_repeated_paragraphs_are_cut(stages):
+def test_repeated_paragraphs_and_passages_are_cut(stages):
+    """Paragraphs as brute force has them; else only words of runs that two documents share, over newlines too, go."""
     _, before, after = stages[2]
     rows = sorted((r["doc_id"], r["text"]) for r in before.collect())
     gone = {p for p, (kept, _) in paragraph_components(rows, 5, 80, 20).items() if p != kept}
-    expected = {}
-    for d, t in rows:
-        lines = [line for i, line in enumerate(t.split("\n")) if (d, i) not in gone]
-        if "".join(lines).strip() or (d, 0) not in gone:
-            expected[d] = "\n".join(lines)
+    one_line = [(d, " ".join(t.split("\n"))) for d, t in rows]
+    shared = shared_runs(one_line, 25)
     got = {r["doc_id"]: r for r in after.collect()}
-    lines_only = shared_runs(expected.items(), 25)
-    clean = {d for d, t in expected.items() if not any(run in lines_only for _, _, run in runs_of(t, 25))}
-    assert {d: got[d]["text"] for d in clean} == {d: expected[d] for d in clean}
-    assert set(got) <= set(expected) and not shared_runs([(d, r["text"]) for d, r in got.items()], 40)
-    for d in set(expected) - clean:  # what is cut further stands in runs that another document has
-        in_runs = {(i, k + j) for i, k, run in runs_of(expected[d], 25) if run in lines_only for j in range(25)}
-        rest = Counter(w for i, line in enumerate(expected[d].split("\n")) for k, w in enumerate(re.findall(WORD, line.encode())) if (i, k) not in in_runs)
-        assert not rest - Counter(re.findall(WORD, (got[d]["text"] if d in got else "").encode()))
+    assert set(got) <= {d for d, _ in rows}
+    untouched = 0
+    for (d, t), (_, flat) in zip(rows, one_line, strict=True):
+        lines = t.split("\n")
+        in_gone = [i for i, line in enumerate(lines) for _ in re.findall(WORD, line.encode()) if (d, i) in gone]
+        words = [(i, w) for i, line in enumerate(lines) for w in re.findall(WORD, line.encode())]
+        in_runs = {k + j for _, k, run in runs_of(flat, 25) if run in shared for j in range(25)}
+        text = got[d]["text"] if d in got else ""
+        if not in_runs and not in_gone:
+            assert text == t
+            untouched += 1
+        stay = Counter(w for k, (i, w) in enumerate(words) if k not in in_runs and (d, i) not in gone)
+        left = Counter(re.findall(WORD, text.encode()))
+        assert not stay - left and not left - Counter(w for i, w in words if (d, i) not in gone)
+    assert untouched >= 0.3 * len(rows)
+    assert not shared_runs([(d, " ".join(r["text"].split("\n"))) for d, r in got.items()], 50)
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES[:4]])
+def test_stages_with_odd_rows_and_clashing_columns(spark, make_docs, stage):
+    """Null and empty texts, null ids and sources, repeated rows, columns called like the operators' own, an empty table."""
+    text = "the quick brown fox jumps over the lazy dog and runs away from the farm where nobody lives any more"
+    rows = [(1, text, "a"), (1, text, "a"), (2, None, None), (3, "", "a"), (None, text + " now", None), (4, "x " * 3000, "b"), (5, f"{text}\n\n{text}", "b")]
+    names = ["_quality", "_mix", "_doc", "_copy", "_id", "_gone", "_text", "rank", "size", "of", "label", "rounds", "id"]
+    docs = make_docs(rows).select("*", *[F.lit(k).alias(c) for k, c in enumerate(names)])
+    out = stage(spark, docs, SF)
+    assert out.columns == docs.columns
+    kept = out.collect()
+    assert kept and all(r[c] == k for r in kept for k, c in enumerate(names))
+    assert {r["doc_id"] for r in kept} <= {r[0] for r in rows}
+    empty = stage(spark, docs.where("doc_id > 100"), SF)
+    assert empty.columns == docs.columns and empty.collect() == []
+
+
 def test_mixture_repeats_whole_documents(stages):
     _, before, after = stages[3]
     assert after.subtract(before).count() == 0
