@@ -11,17 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from staylake.llm import mixing, ngram_join, packing, paragraphs, quality
-from staylake.llm._scratch import Scratch, small_side
+from staylake.llm._scratch import Scratch, free_name, small_side
 
 #: Documents at or above this probability of good quality stay.
 QUALITY = 0.3
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the byte-level network, fitted on ``labels``, rejects."""
+    """Drops the documents that the byte-level network, fitted on ``labels``, rejects.
+
+    Null and empty texts are scored as padding and may go; repeated rows share their fate. All columns
+    stay, whatever their names. An empty table stays empty.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~quality.held_out(F.col("doc_id")))
     net = quality.fit(docs, labels.select("doc_id", F.col("quality").alias("label")))
-    return quality.score(docs, net).where(F.col("_quality") >= QUALITY).drop("_quality")
+    name = free_name(docs, "_quality")
+    return quality.score(docs, net, name).where(F.col(name) >= QUALITY).select(docs.columns)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,18 +48,30 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts repeated paragraphs and passages inside lines but for their first place (passages over several lines stay: README, Open)."""
-    return paragraphs.remove_lines(docs, paragraphs.repeats(docs, across_lines=False))
+    """Cuts repeated paragraphs and passages, wherever their lines end, but for their first place; a document that keeps no word goes.
+
+    Null and empty texts, and rows without doc_id, stay as they are. Rows repeated under one doc_id are
+    one document and are cut alike. All columns stay; n_chars follows the text.
+    """
+    return paragraphs.remove_lines(docs, paragraphs.repeats(docs))
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixes the sources to their weights: a document is returned once for each copy that the mix takes."""
-    mixed = mixing.mix_sources(docs).where("_mix.copies > 0")
-    return mixed.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_mix.copies"))).alias("_copy")).drop("_copy")
+    """Mixes the sources to their weights: a document is returned once for each copy that the mix takes.
+
+    Texts without words have no size: they stay with their source's certain copies only. Null is a
+    source of its own; repeated rows are taken or left together. All columns stay, whatever their names.
+    """
+    name = free_name(docs, "_mix")
+    mixed = mixing.mix_sources(docs, name=name).where(F.col(name).getField("copies") > 0)
+    return mixed.withColumn(name, F.explode(F.sequence(F.lit(1), F.col(name).getField("copies").cast("int")))).select(docs.columns)
 
 
 def length_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Buckets and token-budget batches of the mixed documents."""
+    """Buckets and token-budget batches of the mixed documents.
+
+    Every row gets a slot: a null text counts as length 0, and copies are rows of their own.
+    """
     return packing.pack(docs, mixing.word_count(F.col("text")))
 
 
