@@ -12,7 +12,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylake.operators.ranks import quantiles, quantiles_wide
+from staylake.operators.ranks import is_value, quantiles, quantiles_wide
 from staylake.operators.ranks import value_counts as counts_by_value
 
 
@@ -251,14 +251,14 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), approx: bool = False) -> DataFrame:
     """Five numbers with 1.5 IQR fences: q1, median, q3, whiskers (most extreme
-    points inside the fences), outlier count, per group."""
+    points inside the fences), outlier count, per group. NaN and NULL are no values."""
     by = list(by)
     q = quantiles(df, value, [0.25, 0.5, 0.75], by, ["q1", "median", "q3"], approx=approx)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lower_fence", F.col("q1") - F.lit(1.5) * F.col("iqr")) \
          .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * F.col("iqr"))
     # whiskers and outliers come from the distinct values and their counts, not from the rows
-    counts = counts_by_value(df.select(*by, F.col(value).cast("double").alias(value)), value, by).where(F.col(value).isNotNull())
+    counts = counts_by_value(df.select(*by, F.col(value).cast("double").alias(value)), value, by).where(is_value(F.col(value)))
     counts = _null_safe_join(counts, q, by) if by else counts.crossJoin(F.broadcast(q))  # q is one row without groups
     inside = (F.col(value) >= F.col("lower_fence")) & (F.col(value) <= F.col("upper_fence"))
     agg = counts.groupBy(*by).agg(

@@ -1,12 +1,18 @@
-"""Sort / limit / arg-min-max selections. All bounded by k (driver-visible sizes)."""
+"""Sort / limit / arg-min-max selections bounded by k, and row numbers inside groups of any size."""
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from staylake.session import cut_lineage
+
+#: (shard, group) rows up to this many are sent to every task.
+BROADCAST_STARTS = 100_000
+
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """k rows under ``order`` (planned as TakeOrderedAndProject: per-partition top-k, then merge)."""
@@ -78,8 +84,24 @@ def bounded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame
 def rank_within(df: DataFrame, order: Sequence[Column], partition: Sequence[str], name: str = "rank") -> DataFrame:
     """1-based row number within each partition group under ``order`` (ties broken by ``order``'s tail).
 
-    Always partitioned: an un-partitioned ranking would put every row in one task."""
-    from pyspark.sql import Window
+    Rows are range-partitioned and sorted by (partition, order), so a huge group is spread over many
+    shards and no task orders it as a whole. A row's number is its place in the shard, less where its
+    group starts there, plus the group's rows in earlier shards; the latter two are one row for each
+    shard and group. Shards are fixed by a checkpoint, as their sampled bounds may differ per read.
+    """
     if not partition:
         raise ValueError("rank_within needs partition columns; rank a bounded frame with top_k instead")
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))
+    keys = [f"_sl_k{i}" for i in range(len(partition))]
+    shards = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    ranged = df.repartitionByRange(shards, *partition, *order).sortWithinPartitions(*partition, *order)
+    # monotonically_increasing_id is the shard's number times 2^33 plus the row's place in it
+    ranged = cut_lineage(ranged.withColumn("_sl_at", F.monotonically_increasing_id()))
+    shard = F.shiftright("_sl_at", 33)
+    starts = ranged.groupBy(shard.alias("_sl_shard"), *[F.col(p).alias(k) for p, k in zip(partition, keys)]).agg(F.min("_sl_at").alias("_sl_start"), F.count(F.lit(1)).alias("_sl_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_sl_shard").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.withColumn("_sl_before", F.coalesce(F.sum("_sl_n").over(earlier), F.lit(0))).drop("_sl_n")
+    few = starts.limit(BROADCAST_STARTS + 1).count() <= BROADCAST_STARTS
+    on = [shard == F.col("_sl_shard")] + [F.col(p).eqNullSafe(F.col(k)) for p, k in zip(partition, keys)]
+    joined = ranged.join(F.broadcast(starts) if few else starts, reduce(lambda a, b: a & b, on))
+    number = F.col("_sl_at") - F.col("_sl_start") + F.col("_sl_before") + 1
+    return joined.select(*df.columns, number.cast("int").alias(name))
