@@ -174,29 +174,18 @@ def count_json_items(c: ColumnOrName, on_invalid: str = "null") -> Column:
     brackets and count non-blank comma-separated pieces (``{Wifi,,TV}`` -> 2).
     """
     text = as_text(c)
-    strict = strict_json(text)
-    arr_len = F.when(strict, F.json_array_length(text))
-    trimmed = F.trim(text)
+    # most text that is no JSON shows it in its first visible character, before any pattern reads it
+    first = F.substring(F.ltrim(text, F.lit(" \t\r\n")), 1, 1)
+    may_be_json = first.isin(list('[{"-0123456789')) | F.btrim(text, F.lit(" \t\r\n")).isin("true", "false", "null")
     # valid JSON that is not an array (an object, a scalar) counts 0 items
-    other_json = strict & arr_len.isNull() & F.get_json_object(text, "$").isNotNull()
+    items = F.when(may_be_json, F.when(strict_json(text), F.coalesce(
+        F.json_array_length(text), F.when(F.get_json_object(text, "$").isNotNull(), F.lit(0)))))
     if on_invalid == "null":
-        return (
-            F.when(text.isNull(), F.lit(None).cast("int"))
-            .when(arr_len.isNotNull(), arr_len)
-            .when(other_json, F.lit(0))
-            .otherwise(F.lit(None).cast("int"))
-        )
+        return items.cast("int")
     if on_invalid == "split":
-        inner = F.btrim(trimmed, F.lit("[]{}"))
-        pieces = F.filter(F.split(inner, ","), lambda item: F.trim(item) != F.lit(""))
-        return (
-            F.when(text.isNull(), F.lit(0))
-            .when(trimmed.isin("", "[]", "{}"), F.lit(0))
-            .when(arr_len.isNotNull(), arr_len)
-            .when(other_json, F.lit(0))
-            .otherwise(F.size(pieces))
-            .cast("int")
-        )
+        inner = F.btrim(F.trim(text), F.lit("[]{}"))
+        # a piece starts at the first character after a comma that is no blank
+        return F.coalesce(items, F.regexp_count(inner, F.lit("[^ ,][^,]*")), F.lit(0)).cast("int")
     raise ValueError("on_invalid must be 'null' or 'split'")
 
 

@@ -10,10 +10,17 @@ without that slot, scaling of the numeric block, then the regressor.
 
 from __future__ import annotations
 
+import ast
+import math
 import random
-from dataclasses import dataclass, field
-from typing import Sequence
-
+import statistics
+import time
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field, replace
+from functools import reduce
+from typing import Any, Sequence
+
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
@@ -51,6 +58,7 @@ class PriceConfig:
     seed: int = 42
     test_percent: int = 20
     n_folds: int = 5
+    parallel_folds: int = 5
 
 
 ROLE_OF = {c: role for role, names in (("numeric", NUMERIC_FEATURES), ("category", CATEGORICAL_FEATURES),
@@ -142,40 +150,63 @@ def cross_validate(df: DataFrame, cfg: PriceConfig, algorithm: str | None = None
                    features: Sequence[str] | None = None, folds: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """K-fold CV on the given (training) rows with preprocessing fitted per fold.
 
-    Returns (per-fold metrics, out-of-fold predictions). A fold whose data
-    cannot be fitted is recorded with status 'failed'; if none can, it raises. Studies that
+    Returns (per-fold metrics with fit and predict seconds, out-of-fold predictions). Folds are fitted by
+    ``cfg.parallel_folds`` driver threads over one cached table, each in its own scheduler pool. A fold whose
+    data cannot be fitted is recorded with status 'failed'; if none can, it raises. Studies that
     run many CVs pass ``folds`` (``kfold_assign`` output, cached once by the
     caller and released when the study ends) so the training rows are held
     once, not once per trial."""
     folds = folds if folds is not None else kfold_assign(df, cfg.key, cfg.n_folds).cache()
-    feats = list(features or cfg.features)
-    metric_parts, preds, failures = [], [], []
-    for k in range(cfg.n_folds):
-        train, valid = folds.where(F.col("fold") != k), folds.where(F.col("fold") == k)
-        try:
-            model = build_pipeline(feats, cfg.target, algorithm or cfg.algorithm, params or cfg.params, cfg.seed).fit(train)
-            p = predict(model, valid, cfg.target)
-            m = regression_metrics(p, cfg.target, "predicted_log_price", 0).select(
-                F.lit(k + 1).alias("fold"), "n", "rmse", "mae", "r2", F.lit("ok").alias("status"))
-            preds.append(p.select(cfg.key, F.lit(k + 1).alias("fold"), cfg.target, "predicted_log_price"))
-        except (IllegalArgumentException, AnalysisException) as e:  # what a fold's data can cause; anything else ends the study
-            failures.append(f"fold {k + 1}: {e}")
-            m = folds.sparkSession.createDataFrame([(k + 1, 0, None, None, None, "failed")],
-                                                   "fold int, n bigint, rmse double, mae double, r2 double, status string")
-        metric_parts.append(m)
-    from functools import reduce
+    results = fit_folds(folds, cfg, range(cfg.n_folds), algorithm, params, features)
+    preds = [p for _, p, _ in results if p is not None]
     if not preds:
-        raise RuntimeError("no fold could be fitted: " + "; ".join(failures))
-    metrics = reduce(lambda a, b: a.unionByName(b), metric_parts)
-    oof = reduce(lambda a, b: a.unionByName(b), preds)
-    return metrics, oof
+        raise RuntimeError("no fold could be fitted: " + "; ".join(why for _, _, why in results))
+    metrics = folds.sparkSession.createDataFrame([row for row, _, _ in results], FOLD_METRICS)
+    return metrics, reduce(lambda a, b: a.unionByName(b), preds)
+
+
+FOLD_METRICS = ("fold int, n bigint, rmse double, mae double, r2 double, adjusted_r2 double, fit_seconds double, "
+                "predict_seconds double, status string")
+
+
+def fit_fold(folds: DataFrame, cfg: PriceConfig, k: int, algorithm: str | None = None, params: dict | None = None,
+             features: Sequence[str] | None = None) -> tuple[tuple, DataFrame | None, str]:
+    """Fit on every fold but ``k``, score fold ``k``: (``FOLD_METRICS`` row, predictions, why it failed)."""
+    spark, algorithm = folds.sparkSession, algorithm or cfg.algorithm
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fold-{k}")
+    train, valid = folds.where(F.col("fold") != k), folds.where(F.col("fold") == k)
+    started = time.perf_counter()
+    try:
+        if algorithm == "median":
+            pred, width = median_baseline(train, valid, cfg.target), 0
+        else:
+            model = build_pipeline(list(features or cfg.features), cfg.target, algorithm, cfg.params if params is None else params,
+                                   cfg.seed).fit(train)
+            pred, width = predict(model, valid, cfg.target), model.stages[-1].numFeatures
+        fitted = time.perf_counter()
+        m = regression_metrics(pred, cfg.target, "predicted_log_price", width).first()
+    except (IllegalArgumentException, AnalysisException) as e:  # what a fold's data can cause; anything else ends the study
+        return (k + 1, 0, None, None, None, None, None, None, "failed"), None, f"fold {k + 1}: {e}"
+    row = (k + 1, m["n"], m["rmse"], m["mae"], m["r2"], m["adjusted_r2"], fitted - started, time.perf_counter() - fitted, "ok")
+    return row, pred.select(cfg.key, F.lit(k + 1).alias("fold"), cfg.target, "predicted_log_price"), ""
+
+
+def fit_folds(folds: DataFrame, cfg: PriceConfig, ks: Sequence[int], algorithm: str | None = None,
+              params: dict | None = None, features: Sequence[str] | None = None) -> list[tuple[tuple, DataFrame | None, str]]:
+    """``fit_fold`` for each fold of ``ks``, several at a time."""
+    inherit = inheritable_thread_target(folds.sparkSession)
+    with ThreadPoolExecutor(max_workers=max(1, min(cfg.parallel_folds, len(ks)))) as pool:
+        waiting = [pool.submit(inherit(lambda k=k: fit_fold(folds, cfg, k, algorithm, params, features))) for k in ks]
+        return [w.result() for w in waiting]
 
 
 def cv_summary(metrics: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
-    """mean / sample std of fold metrics, successful folds only."""
+    """Mean and sample std of the fold metrics that ``metrics`` has, mean seconds; successful folds only, best first."""
     ok = metrics.where(F.col("status") == "ok")
-    return ok.groupBy(*by).agg(*[F.avg(m).alias(f"{m}_mean") for m in ("rmse", "mae", "r2")],
-                               *[F.stddev_samp(m).alias(f"{m}_std") for m in ("rmse", "mae", "r2")],
+    shown = [m for m in ("rmse", "mae", "r2", "adjusted_r2") if m in metrics.columns]
+    return ok.groupBy(*by).agg(*[F.avg(m).alias(f"{m}_mean") for m in shown],
+                               *[F.stddev_samp(m).alias(f"{m}_std") for m in shown],
+                               *[F.avg(m).alias(f"{m}_mean") for m in ("fit_seconds", "predict_seconds") if m in metrics.columns],
                                F.count(F.lit(1)).alias("folds")).orderBy("rmse_mean", "mae_mean")
 
 
@@ -199,7 +230,6 @@ def baselines(df: DataFrame, cfg: PriceConfig, algorithms: Sequence[str] = ("med
             pred = predict(build_pipeline(cfg.features, cfg.target, algo, p, cfg.seed).fit(train), test, cfg.target)
         rows.append(regression_metrics(pred, cfg.target, "predicted_log_price", 0)
                     .select(F.lit(algo).alias("model"), "n", "rmse", "mae", "r2"))
-    from functools import reduce
     table = reduce(lambda a, b: a.unionByName(b), rows)
     # one metric row per family is materialised, then the cached split is released
     out = df.sparkSession.createDataFrame(table.collect(), table.schema)
@@ -207,24 +237,93 @@ def baselines(df: DataFrame, cfg: PriceConfig, algorithms: Sequence[str] = ("med
     return out
 
 
-def random_search(df: DataFrame, cfg: PriceConfig, space: dict[str, Sequence], n_trials: int = 4) -> DataFrame:
-    """Seeded random search scored by train-only CV RMSE; one row per trial."""
+def baselines_cv(df: DataFrame, cfg: PriceConfig, algorithms: Sequence[str] = ("median", "linear", "rf", "gbt"),
+                 params: dict[str, dict] | None = None) -> DataFrame:
+    """Baseline families ranked by k-fold CV on the same cached folds: ``cv_summary`` per model and its rank."""
+    folds = kfold_assign(df, cfg.key, cfg.n_folds).cache()
+    rows, failures = [], []
+    try:
+        for algo in algorithms:
+            results = fit_folds(folds, cfg, range(cfg.n_folds), algo, (params or {}).get(algo, cfg.params if algo == "gbt" else {}))
+            rows += [(algo, *row) for row, _, _ in results]
+            failures += [f"{algo}: {why}" for _, _, why in results if why]
+    finally:
+        folds.unpersist()
+    if all(r[-1] == "failed" for r in rows):
+        raise RuntimeError("no baseline could be fitted: " + "; ".join(failures))
+    ranked = cv_summary(df.sparkSession.createDataFrame(rows, "model string, " + FOLD_METRICS)).collect()  # one row per family
+    return df.sparkSession.createDataFrame([(i + 1, *r) for i, r in enumerate(ranked)], "rank int, model string, " + ", ".join(
+        f"{c} {'bigint' if c == 'folds' else 'double'}" for c in ranked[0].asDict() if c != "model"))
+
+
+# The searched ranges of the boosted trees: (scale, low, high), or a list of choices.
+SEARCH_SPACE: dict[str, Any] = {
+    "stepSize": ("log", 0.01, 0.15), "maxDepth": ("int", 3, 10), "minInstancesPerNode": ("int", 1, 15),
+    "subsamplingRate": ("float", 0.6, 1.0), "minInfoGain": ("float", 0.0, 0.05), "maxIter": [20, 40, 80],
+}
+TRIAL_COLUMNS = "trial int, state string, folds int, params string, cv_rmse double, cv_rmse_std double, last_rmse double"
+
+
+def draw(rng: random.Random, how: Any) -> Any:
+    """One value of a search range."""
+    if not isinstance(how, tuple):
+        return rng.choice(list(how))
+    scale, low, high = how
+    if scale == "int":
+        return rng.randint(low, high)
+    if scale == "float":
+        return rng.uniform(low, high)
+    if scale == "log":
+        return math.exp(rng.uniform(math.log(low), math.log(high)))
+    raise ValueError(f"unknown scale {scale!r}")
+
+
+def random_search(df: DataFrame, cfg: PriceConfig, space: dict[str, Any] = SEARCH_SPACE, n_trials: int = 10,
+                  startup_trials: int = 5, warmup_folds: int = 2) -> DataFrame:
+    """Seeded study scored by train-only CV RMSE, with early stopping; one row per trial.
+
+    A trial reports the mean RMSE of its folds so far after each fold from ``warmup_folds`` on. It is stopped
+    (PRUNED) when that is worse than the median of what the complete trials reported after the same fold, once
+    ``startup_trials`` are complete; startup trials and warm-up folds run their folds side by side. A trial
+    with a failed fold is FAIL. ``cv_rmse`` is NULL unless COMPLETE; ``last_rmse`` is the last report."""
     rng = random.Random(cfg.seed)
-    rows = []
+    rows, reports = [], []  # reports: per complete trial its mean after 1, 2, ... folds
     folds = kfold_assign(df, cfg.key, cfg.n_folds).cache()
     try:
         for t in range(n_trials):
-            params = {k: rng.choice(list(v)) for k, v in space.items()}
-            metrics, _ = cross_validate(df, cfg, params=params, folds=folds)
-            s = metrics.where(F.col("status") == "ok").agg(F.avg("rmse").alias("cv_rmse"),
-                                                           F.stddev_samp("rmse").alias("cv_rmse_std")).first()
-            rows.append((t, str(sorted(params.items())), s["cv_rmse"], s["cv_rmse_std"]))
+            params = {k: draw(rng, v) for k, v in space.items()}
+            at_once = cfg.n_folds if len(reports) < startup_trials else max(1, min(warmup_folds, cfg.n_folds))
+            scores, state, done = [], "COMPLETE", 0
+            while done < cfg.n_folds:
+                batch = fit_folds(folds, cfg, range(done, done + (1 if done else at_once)), params=params)
+                done += len(batch)
+                if any(why for _, _, why in batch):
+                    state = "FAIL"
+                    break
+                scores += [row[2] for row, _, _ in batch]
+                if done < cfg.n_folds and statistics.fmean(scores) > statistics.median(r[done - 1] for r in reports):
+                    state = "PRUNED"
+                    break
+            if state == "COMPLETE":
+                reports.append([statistics.fmean(scores[:i + 1]) for i in range(len(scores))])
+            whole = state == "COMPLETE"
+            rows.append((t, state, done, str(sorted(params.items())), statistics.fmean(scores) if whole else None,
+                         statistics.stdev(scores) if whole and len(scores) > 1 else None,
+                         statistics.fmean(scores) if scores else None))
     finally:
         folds.unpersist()
-    out = df.sparkSession.createDataFrame(rows, "trial int, params string, cv_rmse double, cv_rmse_std double")
+    out = df.sparkSession.createDataFrame(rows, TRIAL_COLUMNS)
     return running_best(out.withColumn("study", F.lit("price")), "study", "trial", "cv_rmse")
 
 
+def best_params(trials: DataFrame) -> dict:
+    """Parameters of the complete trial with the lowest CV RMSE."""
+    best = trials.where((F.col("state") == "COMPLETE") & F.col("cv_rmse").isNotNull()).orderBy("cv_rmse", "trial").first()
+    if best is None:
+        raise RuntimeError("no trial is complete")
+    return dict(ast.literal_eval(best["params"]))
+
+
 def running_best(trials: DataFrame, study: str, order: str | Sequence[str], metric: str) -> DataFrame:
     """Cumulative minimum of a metric per study (one window partition per study)."""
     from pyspark.sql import Window
@@ -253,12 +352,10 @@ def evaluate_model(model: PipelineModel, df: DataFrame, target: str = TARGET) ->
     return regression_metrics(predict(model, df, target), target, "predicted_log_price", model.stages[-1].numFeatures)
 
 
-def refit_best(df: DataFrame, cfg: PriceConfig, trials: DataFrame) -> PipelineModel:
-    """Refit on all given rows with the best trial's parameters (lowest CV RMSE)."""
-    import ast
-    best = trials.orderBy("cv_rmse", "trial").first()
-    params = dict(ast.literal_eval(best["params"]))
-    return build_pipeline(cfg.features, cfg.target, cfg.algorithm, params, cfg.seed).fit(df)
+def refit_best(df: DataFrame, cfg: PriceConfig, trials: DataFrame) -> tuple[PipelineModel, PriceConfig]:
+    """Refit on all given rows with the best trial's parameters: (model, its configuration)."""
+    best = replace(cfg, params=best_params(trials))
+    return build_pipeline(best.features, best.target, best.algorithm, best.params, best.seed).fit(df), best
 
 
 def feature_selection(df: DataFrame, cfg: PriceConfig, ranked_features: Sequence[str],

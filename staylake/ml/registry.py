@@ -12,14 +12,14 @@ import json
 import re
 import uuid
 from datetime import datetime, timezone
-
+from typing import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from staylake.operators.topk import champion_first
+from staylake.operators.topk import bounded_sample, champion_first
 from staylake.session import cut_lineage
 
 # Registry statuses.
@@ -46,6 +46,15 @@ RESULT_TABLES: dict[str, str] = {
                              "dominant_property_base_group string, created_at timestamp",
 }
 
+# Result tables that grow by runs have one partition per run id. Hold-out rows have no run id: their version names them.
+RUN_PARTITIONS = {"gold_price_predictions": "prediction_run_id", "gold_listing_segments": "assignment_run_id"}
+
+# a batch names at most this many runs: their ids become literals of a partition filter
+MAX_RUNS = 100
+
+# rows that a saved model scores again before it is registered
+CHECK_ROWS = 1000
+
 # a table name is one or two plain words; anything that would need quoting is refused
 _PLAIN_WORD = re.compile(r"[A-Za-z_]\w*", re.ASCII)
 
@@ -70,7 +79,8 @@ def ensure_tables(spark: SparkSession, schema: str | None = None, tables: dict[s
     the declared schema has and the table lacks (additive evolution only)."""
     for name, ddl in (tables or RESULT_TABLES).items():
         full = safe_name(f"{schema}.{name}" if schema else name)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({ddl}) USING parquet")
+        by = f" PARTITIONED BY ({RUN_PARTITIONS[name]})" if name in RUN_PARTITIONS else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({ddl}) USING parquet{by}")
         have = {f.name.lower() for f in spark.table(full).schema.fields}
         want = T._parse_datatype_string(ddl)
         missing = [f for f in want.fields if f.name.lower() not in have]
@@ -79,8 +89,10 @@ def ensure_tables(spark: SparkSession, schema: str | None = None, tables: dict[s
             spark.sql(f"ALTER TABLE {full} ADD COLUMNS ({cols})")
 
 
-def guarded_append(df: DataFrame, table: str) -> int:
-    """Append by column name; refuse an empty frame. Returns the appended row count."""
+def guarded_append(df: DataFrame, table: str, replace_partitions: bool = False) -> int:
+    """Append by column name; refuse an empty frame. Returns the appended row count.
+
+    With ``replace_partitions`` the partitions that ``df`` holds are replaced, the others stay."""
     safe_name(table)
     if df.isEmpty():
         raise ValueError(f"{table}: there are no rows to write")
@@ -92,23 +104,57 @@ def guarded_append(df: DataFrame, table: str) -> int:
     types = dict(df.sparkSession.table(table).dtypes)
     aligned = df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(types[c]).alias(c) for c in target])
     obs = Observation("append")
-    aligned.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
+    counted = aligned.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if replace_partitions:
+        spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            counted.write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(mode, before)
+    else:
+        counted.write.insertInto(table)
     return obs.get["rows"]
 
 
-def append_run_once(df: DataFrame, table: str, run_col: str, key: str) -> int:
-    """Idempotent run append: reject duplicate (run, key) rows in the batch and any run id already written.
+def written_runs(table: DataFrame, runs: Sequence[Row]) -> DataFrame:
+    """Rows of the named runs. The ids are literals, so a table partitioned by them lists only their partitions."""
+    named = F.lit(False)
+    for run in runs:
+        same = F.lit(True)
+        for c, v in run.asDict().items():
+            same = same & (F.col(c).isNull() if v is None else F.col(c) == F.lit(v))
+        named = named | same
+    return table.where(named)
+
 
-    The batch is computed once: the checks and the insert read its checkpoint."""
+def append_run_once(df: DataFrame, table: str, run_cols: str | Sequence[str], key: str, on_existing: str = "reject") -> int:
+    """Idempotent run append. A run is named by ``run_cols`` (not all NULL); its rows have distinct keys.
+
+    ``on_existing='reject'``: a run that the table holds already is an error and nothing is written.
+    ``'replace'``: the run's partitions are replaced as a whole, so a retry gives the same table whatever an
+    earlier attempt left; the table must be partitioned by ``run_cols``.
+
+    The batch is computed once: the checks and the insert read its checkpoint. Of the table only the
+    partitions of the batch's runs are read."""
+    run_cols = [run_cols] if isinstance(run_cols, str) else list(run_cols)
+    if on_existing not in ("reject", "replace"):
+        raise ValueError("on_existing must be 'reject' or 'replace'")
+    spark = df.sparkSession
+    safe_name(table)
+    if on_existing == "replace" and {c.name for c in spark.catalog.listColumns(table) if c.isPartition} != set(run_cols):
+        raise ValueError(f"{table} is not partitioned by {run_cols}")
     df = cut_lineage(df)
-    dup = df.groupBy(run_col, key).count().where(F.col("count") > 1).limit(1).count()
+    dup = df.groupBy(*run_cols, key).count().where(F.col("count") > 1).limit(1).count()
     if dup:
-        raise ValueError(f"batch has duplicate ({run_col}, {key}) rows")
-    existing = df.sparkSession.table(table).select(run_col).distinct()
-    already = df.select(run_col).distinct().join(existing, run_col, "left_semi").limit(1).count()
-    if already:
-        raise ValueError(f"{run_col} already written to {table}")
-    return guarded_append(df, table)
+        raise ValueError(f"batch has duplicate ({', '.join(run_cols)}, {key}) rows")
+    runs = df.select(*run_cols).distinct().limit(MAX_RUNS + 1).collect()
+    if len(runs) > MAX_RUNS or any(all(v is None for v in r) for r in runs):
+        raise ValueError(f"a batch names 1 to {MAX_RUNS} runs, none of them NULL")
+    if on_existing == "reject" and runs and not written_runs(spark.table(table), runs).isEmpty():
+        raise ValueError(f"{run_cols} already written to {table}")
+    return guarded_append(df, table, replace_partitions=on_existing == "replace")
 
 
 def metric_records(spark: SparkSession, metrics: dict[str, float], model_version: str, model_task: str,
@@ -129,9 +175,28 @@ def metrics_long(wide: DataFrame, model_version: str, model_task: str, dataset_t
                        F.lit(None).cast("double").alias("metric_std"), F.current_timestamp().alias("evaluated_at"))
 
 
-def save_model(model: PipelineModel, path: str, metadata: dict) -> str:
-    """Persist the fitted pipeline and its metadata; never overwrite an existing version."""
+def scores_checksum(model: PipelineModel, rows: DataFrame, key: str) -> dict:
+    """Rows scored and an order-free checksum over (key, prediction), prediction bits included."""
+    scored = model.transform(rows).select(F.xxhash64(F.col(key), F.col(model.stages[-1].getPredictionCol())).alias("h"))
+    return {k: str(v) for k, v in scored.agg(F.count(F.lit(1)).alias("rows"),
+                                             F.sum(F.col("h").cast("decimal(38,0)")).alias("sum"),
+                                             F.bit_xor("h").alias("xor")).first().asDict().items()}
+
+
+def save_model(model: PipelineModel, path: str, metadata: dict, check_rows: DataFrame | None = None,
+               key: str = "listing_id") -> str:
+    """Persist the fitted pipeline and its metadata; never overwrite an existing version.
+
+    With ``check_rows`` the saved model is read back and has to score the ``CHECK_ROWS`` rows with the smallest
+    key hashes exactly as the fitted one does. Their schema and checksum go into the metadata, which is written
+    last: an artifact that cannot be read back has none, and ``load_model`` refuses it."""
     model.write().save(path)  # fails if the path exists
+    if check_rows is not None:
+        sample = cut_lineage(bounded_sample(check_rows, key, CHECK_ROWS))
+        fitted, saved = (scores_checksum(m, sample, key) for m in (model, PipelineModel.load(path)))
+        if fitted != saved:
+            raise RuntimeError(f"the model saved at {path} scores differently: {saved}, fitted: {fitted}")
+        metadata = {**metadata, "input_schema": json.loads(check_rows.schema.json()), "load_check": fitted}
     spark = SparkSession.getActiveSession()
     spark.createDataFrame([(json.dumps(metadata, sort_keys=True, default=str),)], "metadata string") \
         .coalesce(1).write.mode("errorifexists").json(path.rstrip("/") + "_metadata")

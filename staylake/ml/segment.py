@@ -217,6 +217,13 @@ def fit_segmentation(mart: DataFrame, k: int = DEFAULT_K, n_init: int = DEFAULT_
     return PipelineModel(stages=list(feats.stages) + [best])
 
 
+def feature_names(model, numeric=SEGMENT_NUMERIC) -> list[str]:
+    """Names of the feature vector's slots: ``column=value`` for one-hot slots, then the scaled numeric columns."""
+    indexer = model.stages[0]
+    slots = [f"{c.removesuffix('__idx')}={v}" for c, values in zip(indexer.getOutputCols(), indexer.labelsArray) for v in values]
+    return slots + list(numeric)
+
+
 def segment_assign(model, mart: DataFrame) -> DataFrame:
     """Apply the fitted feature stages then the k-means stage with distances."""
     from pyspark.ml import PipelineModel

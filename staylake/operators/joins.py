@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent (``relationships``)."""
     parent_key = parent_key or child_key
-    p = parent.select(F.col(parent_key).alias("_sl_pk")).distinct() if parent_key else parent
+    p = parent.select(F.col(parent_key).alias("_sl_pk"))
     c = child.where(F.col(child_key).isNotNull())
     return c.join(p, c[child_key] == p["_sl_pk"], "left_anti")
 
@@ -26,8 +26,9 @@ def duplicated_key_count(df: DataFrame, key: str) -> DataFrame:
 
 
 def one_to_one_left_join(left: DataFrame, right: DataFrame, key: str, validate: bool = True,
-                         suffix: str = "_right") -> DataFrame:
-    """Left join that must neither drop nor multiply rows.
+                         suffix: str = "_right", require_match: bool = False) -> DataFrame:
+    """Left join that must neither drop nor multiply rows; with ``require_match`` a left
+    row without a partner (a NULL key has none) is an error too.
 
     With ``validate`` the right side's key uniqueness is checked first (one
     aggregate, only a count reaches the driver) and the join fails loudly
@@ -40,5 +41,9 @@ def one_to_one_left_join(left: DataFrame, right: DataFrame, key: str, validate:
         dup_l = duplicated_key_count(left, key).first()["duplicated_keys"]
         if dup_l:
             raise ValueError(f"left side has {dup_l} duplicated '{key}' values; join is not one-to-one")
+    if require_match:
+        unmatched = left.join(right.select(key), key, "left_anti").count()
+        if unmatched:
+            raise ValueError(f"{unmatched} left rows have no partner on '{key}'")
     renamed = right.select(*[F.col(c).alias(c if c == key or c not in left.columns else c + suffix) for c in right.columns])
     return left.join(renamed, key, "left")

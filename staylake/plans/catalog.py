@@ -198,23 +198,23 @@ def _duplicate_profile(spark, d):
 
 
 @register("duplicate_summary", """
-WITH typed AS (SELECT * FROM lineitem),
-dk AS (
-  SELECT l_orderkey, l_linenumber, count(*) AS duplicate_count,
-    count(DISTINCT l_partkey) AS c1, count(DISTINCT l_quantity) AS c2, count(DISTINCT l_returnflag) AS c3,
-    count(DISTINCT l_linestatus) AS c4, count(DISTINCT l_shipdate) AS c5
-  FROM typed WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1)
-SELECT * FROM (
-  SELECT 'total_rows' AS metric, CAST(count(*) AS VARCHAR) AS value FROM typed
-  UNION ALL SELECT 'rows_with_valid_key', CAST(count(*) AS VARCHAR) FROM typed WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
-  UNION ALL SELECT 'duplicate_keys', CAST(count(*) AS VARCHAR) FROM dk
-  UNION ALL SELECT 'rows_in_duplicate_keys', CAST(coalesce(sum(duplicate_count), 0) AS VARCHAR) FROM dk
-  UNION ALL SELECT 'duplicate_keys_with_part_conflict', CAST(count(*) AS VARCHAR) FROM dk WHERE c1 > 1
-  UNION ALL SELECT 'duplicate_keys_with_quantity_conflict', CAST(count(*) AS VARCHAR) FROM dk WHERE c2 > 1
-  UNION ALL SELECT 'duplicate_keys_with_returnflag_conflict', CAST(count(*) AS VARCHAR) FROM dk WHERE c3 > 1
-  UNION ALL SELECT 'duplicate_keys_with_linestatus_conflict', CAST(count(*) AS VARCHAR) FROM dk WHERE c4 > 1
-  UNION ALL SELECT 'duplicate_keys_with_shipdate_conflict', CAST(count(*) AS VARCHAR) FROM dk WHERE c5 > 1
-) ORDER BY metric""")
+WITH per_key AS (
+  SELECT count(*) AS n, count(DISTINCT l_partkey) AS part, count(DISTINCT l_quantity) AS quantity,
+    count(DISTINCT l_returnflag) AS returnflag, count(DISTINCT l_linestatus) AS linestatus, count(DISTINCT l_shipdate) AS shipdate
+  FROM lineitem WHERE l_orderkey + l_linenumber IS NOT NULL GROUP BY l_orderkey, l_linenumber),
+repeated AS (FROM per_key WHERE n > 1),
+conflicts AS (
+  SELECT 'duplicate_keys_with_' || field || '_conflict' AS metric, count(*) FILTER (variants > 1) AS value
+  FROM (UNPIVOT repeated ON part, quantity, returnflag, linestatus, shipdate INTO NAME field VALUE variants) GROUP BY field),
+totals AS (
+  SELECT (SELECT count(*) FROM lineitem) AS total_rows, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_with_valid_key,
+    count(*) FILTER (n > 1) AS duplicate_keys, CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS rows_in_duplicate_keys
+  FROM per_key)
+SELECT metric, CAST(value AS VARCHAR) AS value FROM (
+  UNPIVOT totals ON COLUMNS(*) INTO NAME metric VALUE value
+  UNION ALL BY NAME FROM conflicts
+  UNION ALL BY NAME SELECT 'duplicate_keys_with_' || unnest(['part', 'quantity', 'returnflag', 'linestatus', 'shipdate'])
+    || '_conflict' AS metric, 0 AS value WHERE NOT EXISTS (FROM repeated))""")
 def _duplicate_summary(spark, d):
     return profile.duplicate_summary(T(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], _DUP_COLS,
                                      ["part", "quantity", "returnflag", "linestatus", "shipdate"])
@@ -467,9 +467,8 @@ def _categorize_sources(spark, d):
         .alias("source_group"))
 
 
-_SPLIT_SQL = ("CASE WHEN {x} IS NULL THEN 0 WHEN trim({x}) IN ('', '[]', '{{}}') THEN 0 "
-              "WHEN json_valid({x}) THEN CAST(json_array_length({x}) AS INTEGER) "
-              "ELSE CAST(len(list_filter(string_split(trim(trim({x}), '[]{{}}'), ','), lambda item: trim(item) <> '')) AS INTEGER) END")
+_SPLIT_SQL = ("CAST(coalesce(try(json_array_length({x})), "
+              "len(regexp_extract_all(trim(trim({x}), '[]{{}}'), '[^ ,][^,]*')), 0) AS INTEGER)")
 _NULLMODE_SQL = "CAST(CASE WHEN {x} IS NULL THEN NULL ELSE try(json_array_length({x})) END AS INTEGER)"
 
 
@@ -1352,7 +1351,16 @@ def _price_baselines(spark, d):
 @register("price_tuning")
 def _price_tuning(spark, d):
     from staylake.ml.price import random_search
-    return random_search(_price_frame(spark, d), _price_cfg(), {"maxDepth": [3, 4, 5], "maxIter": [5, 10]}, 2)
+    # ten trials; trees small enough for a query, the stop rule after three complete trials
+    space = {"stepSize": ("log", 0.01, 0.3), "maxDepth": ("int", 2, 5), "maxIter": [5, 10]}
+    return random_search(_price_frame(spark, d), _price_cfg(), space, 10, startup_trials=3)
+
+
+@register("price_baselines_cv")
+def _price_baselines_cv(spark, d):
+    """Baseline families ranked by 5-fold CV, with fit and predict seconds and adjusted R^2."""
+    from staylake.ml.price import baselines_cv
+    return baselines_cv(_price_frame(spark, d), _price_cfg(), params={"gbt": {"maxIter": 10}, "rf": {"numTrees": 10}})
 
 
 @register("price_importance")
@@ -1400,6 +1408,59 @@ def _model_roundtrip(spark, d):
     return jobs.run_price_inference(spark, mart, "batch_" + version, schema)
 
 
+def _own_schema(spark, name: str) -> str:
+    """A new database in the shared folder, for a query that writes tables."""
+    import uuid as _uuid
+    from staylake.session import ensure_checkpoint_dir
+    schema = f"staylake_{name}_{_uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{ensure_checkpoint_dir(spark).rstrip('/')}/{schema}'")
+    return schema
+
+
+@register("staged_replace", """
+SELECT CAST(o_custkey % 5 AS INTEGER) AS cluster_id, count(*) AS listings, sum(o_orderkey) AS key_sum
+FROM orders GROUP BY 1""")
+def _staged_replace(spark, d):
+    """Publish a group per order, then try to replace it by rows that fail the audit: the first rows stay."""
+    from staylake.sources.sinks import replace_staged
+    orders = T(spark, d, "orders")
+    rows = orders.select("o_orderkey", (F.col("o_custkey") % 5).alias("cluster_id"))
+    table, types = _own_schema(spark, "publish") + ".order_groups", {"o_orderkey": "bigint", "cluster_id": "int"}
+    rules = dict(expected_rows=orders.count(), ranges={"cluster_id": (0, 4)}, source=orders)
+    replace_staged(rows, table, "o_orderkey", types, **rules)
+    try:
+        replace_staged(rows.withColumn("cluster_id", F.col("cluster_id") + 1), table, "o_orderkey", types, **rules)
+    except ValueError:
+        pass
+    return spark.table(table).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("listings"), F.sum("o_orderkey").alias("key_sum"))
+
+
+@register("run_appends", """
+SELECT event_type AS assignment_run_id, count(*) AS listings, sum(event_id) AS key_sum,
+  count(DISTINCT model_version) AS versions, min(model_version) AS model_version
+FROM (SELECT event_id, event_type, CASE WHEN event_type = (SELECT min(event_type) FROM events) THEN 'second' ELSE 'first' END AS model_version
+      FROM events WHERE event_type IS NOT NULL) GROUP BY 1""")
+def _run_appends(spark, d):
+    """One run per event type is appended; a retry is rejected, and one run is replaced by a second attempt."""
+    from staylake.ml import registry as REG
+    schema = _own_schema(spark, "runs")
+    REG.ensure_tables(spark, schema, {"gold_listing_segments": REG.RESULT_TABLES["gold_listing_segments"]})
+    table = f"{schema}.gold_listing_segments"
+    events = T(spark, d, "events").where(F.col("event_type").isNotNull())
+    rows = events.select(F.col("event_id").alias("listing_id"), F.lit("first").alias("model_version"),
+                         F.col("event_type").alias("assignment_run_id"))
+    REG.append_run_once(rows, table, "assignment_run_id", "listing_id")
+    again = rows.where(F.col("assignment_run_id") == events.agg(F.min("event_type")).first()[0])
+    try:
+        REG.append_run_once(again, table, "assignment_run_id", "listing_id")
+    except ValueError:
+        pass
+    REG.append_run_once(again.withColumn("model_version", F.lit("second")), table, "assignment_run_id", "listing_id", "replace")
+    return spark.table(table).groupBy("assignment_run_id").agg(
+        F.count(F.lit(1)).alias("listings"), F.sum("listing_id").alias("key_sum"),
+        F.count_distinct("model_version").alias("versions"), F.min("model_version").alias("model_version"))
+
+
 # =========================================================== derived measures (B17, B18), segment prices
 
 @register("derived_rates", f"""

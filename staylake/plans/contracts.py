@@ -36,6 +36,11 @@ def _fact_common(grain, compare, date_col):
 
 
 CONTRACTS: dict[str, list[E]] = {
+    "bronze_listings": [E("not_null", "id"), E("unique", "id"), E("not_null", "host_id")],
+    "bronze_calendar": [E("unique_combination_of_columns", None, {"columns": ["listing_id", "date"]}),
+                        E("not_null", "listing_id"), E("not_null", "date")],
+    "bronze_reviews": [E("not_null", "id"), E("unique", "id"), E("not_null", "listing_id")],
+    "bronze_neighbourhoods": [E("not_null", "neighbourhood"), E("unique", "neighbourhood")],
     "silver_listings": [
         E("not_null", "listing_id"), E("unique", "listing_id"), E("not_null", "host_id"),
         E("positive_or_null", "price"), _between("host_response_rate", 0, 1), _between("host_acceptance_rate", 0, 1),

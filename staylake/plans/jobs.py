@@ -12,14 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylake.ml import price as P
+from staylake.ml.explain import native_importance
 from staylake.ml import registry as REG
 from staylake.ml import segment as S
-from staylake.operators.errors import error_frame
+from staylake.operators.errors import error_by_group, error_frame
 from staylake.operators.quality import run_suite
 from staylake.plans import features, gold, silver
 from staylake.plans.contracts import CONTRACTS
 from staylake.sources.bronze import load_bronze
-from staylake.sources.sinks import materialize
+from staylake.sources.sinks import export_versioned, materialize, replace_staged
 
 
 def silver_from_bronze(bronze: dict[str, DataFrame], dedup_calendar: bool = True) -> dict[str, DataFrame]:
@@ -69,9 +70,11 @@ def default_buckets(spark: SparkSession) -> int:
 def build_lakehouse(spark: SparkSession, raw_dir: str, city: str = gold.DEFAULT_CITY, dedup_calendar: bool = True,
                     bronze_schema: str = "bronze", silver_schema: str = "silver", gold_schema: str = "gold",
                     buckets: int | None = None) -> DataFrame:
-    """Full refresh. Returns the contract results table (also written to gold.dq_results)."""
+    """Full refresh. Returns the contract results of silver and gold (also written to gold.dq_results). The raw
+    tables' own contracts go to bronze.dq_source_results: a raw drop may repeat rows that silver then removes."""
     load_bronze(spark, raw_dir, bronze_schema)
     bronze = {t: spark.table(f"{bronze_schema}.bronze_{t}") for t in ("listings", "calendar", "reviews", "neighbourhoods")}
+    materialize(run_contracts({f"bronze_{t}": df for t, df in bronze.items()}), bronze_schema, "dq_source_results")
     n_buckets = buckets or default_buckets(spark)
     written: dict[str, DataFrame] = {}
     for name, df in silver_from_bronze(bronze, dedup_calendar).items():
@@ -92,37 +95,54 @@ def build_lakehouse(spark: SparkSession, raw_dir: str, city: str = gold.DEFAULT_
 
 
 def run_price_training(spark: SparkSession, mart: DataFrame, artifact_root: str, schema: str | None = None,
-                       cfg: P.PriceConfig | None = None) -> str:
-    """Prepare -> split -> fit -> evaluate -> persist -> records -> hold-out predictions."""
+                       cfg: P.PriceConfig | None = None, tune_trials: int = 0, space: dict | None = None) -> str:
+    """Prepare -> split -> (tune) -> fit -> evaluate -> persist, load check -> predictions -> exports -> records.
+
+    With ``tune_trials`` a study on the training rows chooses the parameters and the model is refitted with
+    them. Hold-out rows are ``evaluation`` rows without a run id. The trials, feature importances and errors by
+    room type are exported below ``artifact_root/exports/<version>``."""
     cfg = cfg or P.PriceConfig()
     frame = features.modelling_frame(mart)
     split = P.hash_split(frame, cfg.key, cfg.test_percent).cache()
     try:
-        return _price_training_steps(spark, frame, split, artifact_root, schema, cfg)
+        return _price_training_steps(spark, frame, split, artifact_root, schema, cfg, tune_trials, space)
     finally:
         split.unpersist()  # every result below is written before the split is released
 
 
 def _price_training_steps(spark: SparkSession, frame: DataFrame, split: DataFrame, artifact_root: str,
-                          schema: str | None, cfg: P.PriceConfig) -> str:
-    model, metrics, pred = P.train_evaluate(frame, cfg, split=split)
+                          schema: str | None, cfg: P.PriceConfig, tune_trials: int, space: dict | None) -> str:
+    trials = None
+    if tune_trials:
+        train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
+        trials = P.random_search(train, cfg, space or P.SEARCH_SPACE, tune_trials)
+        model, cfg = P.refit_best(train, cfg, trials)
+        metrics, pred = P.evaluate_model(model, test, cfg.target), P.predict(model, test, cfg.target)
+    else:
+        model, metrics, pred = P.train_evaluate(frame, cfg, split=split)
     version = REG.new_version("price")
-    check = P.price_training_check(pred, metrics).first()
-    if not check["passed"]:
-        raise ValueError(f"price training check failed: {check.asDict()}")
     path = f"{artifact_root.rstrip('/')}/{version}"
     REG.save_model(model, path, {"features": list(cfg.features), "target": cfg.target, "algorithm": cfg.algorithm,
-                                 "params": cfg.params})
+                                 "params": cfg.params}, check_rows=frame, key=cfg.key)
     REG.ensure_tables(spark, schema)
     errs = error_frame(pred, cfg.target, "predicted_log_price")
     rows = errs.select(F.lit(version).alias("model_version"), "listing_id", "actual_price", "predicted_price",
                        "actual_log_price", "predicted_log_price", "residual", "absolute_error",
-                       F.current_timestamp().alias("prediction_date"), F.lit(version).alias("prediction_run_id"),
-                       F.lit("holdout").alias("prediction_type"), F.current_timestamp().alias("predicted_at"))
+                       F.current_timestamp().alias("prediction_date"), F.lit(None).cast("string").alias("prediction_run_id"),
+                       F.lit("evaluation").alias("prediction_type"), F.current_timestamp().alias("predicted_at"))
+    check = P.price_training_check(rows, metrics).first()
+    if not check["passed"]:
+        raise ValueError(f"price training check failed: {check.asDict()}")
     pre = f"{schema}." if schema else ""
-    REG.append_run_once(rows, pre + "gold_price_predictions", "prediction_run_id", "listing_id")
+    REG.append_run_once(rows, pre + "gold_price_predictions", ["model_version", "prediction_run_id"], "listing_id")
+    exports = f"{artifact_root.rstrip('/')}/exports"
+    if trials is not None:
+        export_versioned(trials, exports, version, "trials")
+    export_versioned(native_importance(model, frame, list(cfg.features)), exports, version, "importance")
+    if "room_type" in errs.columns:
+        export_versioned(error_by_group(errs, "room_type"), exports, version, "error_by_room_type")
     REG.record_training(spark, schema, version, "price_prediction", f"spark_{cfg.algorithm}", path,
-                        REG.metrics_long(metrics, version, "price_prediction", "test"))
+                        REG.metrics_long(metrics, version, "price_prediction", "test"), "tune" if tune_trials else "retrain")
     return version
 
 
@@ -141,13 +161,16 @@ def run_segmentation(spark: SparkSession, mart: DataFrame, artifact_root: str, s
     names = S.name_segments(S.centroid_signature(model, mart), "accommodates", "minimum_nights_log")
     version = REG.new_version("segment")
     path = f"{artifact_root.rstrip('/')}/{version}"
-    REG.save_model(model, path, {"k": k, "names": {r.cluster_id: r.cluster_name for r in names.collect()}})
+    REG.save_model(model, path, {"k": k, "names": {r.cluster_id: r.cluster_name for r in names.collect()}}, check_rows=mart)
+    export_versioned(S.centroid_table(model.stages[-1], S.feature_names(model)).join(names, "cluster_id", "left"),
+                     f"{artifact_root.rstrip('/')}/exports", version, "centroids")
     assigned = S.attach_names(S.segment_assign(model, mart), names)
     rows = _segment_rows(assigned, version, version)
     check = S.segmentation_check(rows, k).first()
     if not check["passed"]:
         raise ValueError(f"segmentation check failed: {check.asDict()}")
-    quality = S.cluster_quality(assigned, "listing_id", "features", "cluster_id")
+    quality = S.cluster_quality(assigned, "listing_id", "features", "cluster_id") \
+        .withColumn("silhouette", F.lit(S.silhouette(assigned, "features", "cluster_id")))
     REG.ensure_tables(spark, schema)
     pre = f"{schema}." if schema else ""
     REG.append_run_once(rows, pre + "gold_listing_segments", "assignment_run_id", "listing_id")
@@ -210,7 +233,21 @@ def run_segment_inference(spark: SparkSession, mart: DataFrame, run_id: str, sch
         raise ValueError(f"segment assignment check failed: {check.asDict()}")
     pre = f"{schema}." if schema else ""
     REG.append_run_once(rows, pre + "gold_listing_segments", "assignment_run_id", "listing_id")
-    return rows.groupBy("cluster_id", "cluster_name").agg(F.count(F.lit(1)).alias("listings"))
+    written = spark.table(pre + "gold_listing_segments").where(F.col("assignment_run_id") == run_id)
+    publish_segments(written, pre + CURRENT_SEGMENTS, mart, int(meta["k"]))
+    return written.groupBy("cluster_id", "cluster_name").agg(F.count(F.lit(1)).alias("listings"))
+
+
+# The view of the latest assignment, one row per listing of the mart.
+CURRENT_SEGMENTS = "gold_current_listing_segments"
+SEGMENT_TYPES = {"listing_id": "bigint", "cluster_id": "int", "cluster_name": "string", "distance_to_centroid": "double",
+                 "assignment_run_id": "string", "model_version": "string", "assigned_at": "timestamp"}
+
+
+def publish_segments(rows: DataFrame, table: str, mart: DataFrame, k: int) -> dict[str, int]:
+    """Replace the current assignment by one run's rows, if they are one row per listing of the mart with a valid cluster."""
+    return replace_staged(rows, table, "listing_id", SEGMENT_TYPES, expected_rows=mart.count(), not_null=["cluster_id"],
+                          ranges={"cluster_id": (0, k - 1)}, source=mart)
 
 
 # The four model jobs (retrain / infer for each task); the lakehouse refresh runs before retraining.

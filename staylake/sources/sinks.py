@@ -1,8 +1,12 @@
-"""Writers: layer materialisation, versioned exports, audited table replacement."""
+"""Writers: layer materialisation, versioned exports, staged table replacement."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from datetime import datetime, timezone
+from typing import Any, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -42,17 +46,56 @@ def export_versioned(df: DataFrame, root: str, version: str, name: str, fmt: str
     return path
 
 
-def replace_with_audit(df: DataFrame, table: str, key: str, source: DataFrame | None = None,
-                       source_key: str | None = None) -> dict:
-    """Overwrite ``table`` with ``df`` then audit it in one aggregate: rows,
-    distinct keys, NULL keys and (optionally) how many keys join the source."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
-    t = df.sparkSession.table(table)
-    audit = t.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("distinct_keys"),
-                  F.count_if(F.col(key).isNull()).alias("null_keys")).first().asDict()
-    if source is not None:
-        sk = source_key or key
-        audit["joined_keys"] = t.join(source.select(F.col(sk).alias(key)), key, "left_semi").count()
-    if audit["rows"] != audit["distinct_keys"] or audit["null_keys"]:
-        raise ValueError(f"audit failed for {table}: {audit}")
+def _versions(spark: SparkSession, table: str) -> list[str]:
+    """Versions of a published table, oldest first: their names hold the time they were written."""
+    schema, name = table.rsplit(".", 1) if "." in table else (spark.catalog.currentDatabase(), table)
+    return sorted(f"{schema}.{t.name}" for t in spark.catalog.listTables(schema)
+                  if not t.isTemporary and t.name.startswith(f"{name}__v"))
+
+
+def audit_counts(df: DataFrame, key: str, not_null: Sequence[str] = (),
+                 ranges: dict[str, tuple[Any, Any]] | None = None) -> DataFrame:
+    """One row, one pass: rows, distinct keys, NULL keys, NULLs of other columns, values outside closed ranges."""
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("distinct_keys"),
+                  F.count_if(F.col(key).isNull()).alias("null_keys"),
+                  *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in not_null],
+                  *[F.count_if(~F.col(c).between(lo, hi)).alias(f"outside_{c}") for c, (lo, hi) in (ranges or {}).items()])
+
+
+def replace_staged(df: DataFrame, table: str, key: str, types: dict[str, str], expected_rows: int | None = None,
+                   not_null: Sequence[str] = (), ranges: dict[str, tuple[Any, Any]] | None = None,
+                   source: DataFrame | None = None, source_key: str | None = None, keep: int = 1) -> dict[str, int]:
+    """Replace what ``table`` shows by ``df``, but only if the rows pass their audit once written.
+
+    ``df`` has exactly the columns of ``types`` and is cast to them (ANSI: a value that does not fit is an
+    error). It is written as a new version ``table__v...``; the audit reads that version: rows (``expected_rows``
+    if given, at least one), a non-NULL unique key, ``not_null`` columns, closed ``ranges``, and as many rows as
+    ``df`` has must join ``source``. Only then does the view ``table`` point to it, in one catalog change:
+    readers see the old rows or the new ones, and after a failed audit, a failed write or a lost driver still
+    the old ones. ``keep`` earlier versions stay for readers in flight. One writer per table. Returns the audit."""
+    spark = df.sparkSession
+    if len(set(df.columns)) != len(df.columns) or set(df.columns) != set(types):
+        raise ValueError(f"{table}: columns must be {list(types)}, not {df.columns}")
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        raise ValueError(f"{table} is no published view; move its rows to another name first")
+    version = f"{table}__v{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:6]}"
+    try:
+        df.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()]).write.format("parquet").saveAsTable(version)
+        written = spark.table(version)
+        audit = audit_counts(written, key, not_null, ranges).first().asDict()
+        if source is not None:
+            keys = source.select(F.col(source_key or key).alias(key))
+            audit["joined_rows"] = written.select(key).join(keys, key).count()
+        wrong = [c for c, n in audit.items() if (c.startswith("null_") or c.startswith("outside_")) and n]
+        wrong += [c for c in ("distinct_keys", "joined_rows") if audit.get(c, audit["rows"]) != audit["rows"]]
+        if not audit["rows"] or audit["rows"] != (audit["rows"] if expected_rows is None else expected_rows):
+            wrong.append("rows")
+        if wrong:
+            raise ValueError(f"audit failed for {table} ({', '.join(wrong)}; expected rows: {expected_rows}): {audit}")
+        spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {version}")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
+        raise
+    for old in _versions(spark, table)[:-1 - keep]:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
     return audit

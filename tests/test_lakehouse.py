@@ -39,6 +39,14 @@ def test_clean_drop_passes_every_contract(clean_build):
     assert res.count() >= 100
 
 
+def test_source_contracts_see_the_repeated_raw_rows(spark, clean_build):
+    _, sfx = clean_build
+    res = spark.table(f"b_{sfx}.dq_source_results").collect()
+    assert len(res) == 11
+    assert {(r.table_name, r.check_name, r.violations) for r in res if r.status != "pass"} == {
+        ("bronze_listings", "unique", 2), ("bronze_calendar", "unique_combination_of_columns", 1)}
+
+
 def test_silver_semantics(spark, clean_build):
     _, sfx = clean_build
     l = spark.table(f"s_{sfx}.silver_listings")
