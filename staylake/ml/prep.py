@@ -7,12 +7,12 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylake.operators.ranks import quantiles
+from staylake.operators.ranks import quantiles, quantiles_wide
 from staylake.session import cut_lineage
 
 # Hold-out share, folds, seed, rare-category threshold, fill label.
@@ -148,7 +148,7 @@ class InfrequentBucketer(Estimator, HasInputCols, DefaultParamsReadable, Default
         frequent = (stacked.where(F.col("v").isNotNull()).groupBy("c", "v").count()
                     .where(F.col("count") >= self.getOrDefault(self.minFrequency)).select("c", "v"))
         model = InfrequentBucketerModel(inputCols=cols)
-        return self._copyValues(model).with_vocabulary(cut_lineage(frequent))
+        return self._copyValues(model).with_vocabulary(frequent)
 
 
 class InfrequentBucketerModel(Model, HasInputCols, MLReadable, MLWritable):
@@ -160,8 +160,14 @@ class InfrequentBucketerModel(Model, HasInputCols, MLReadable, MLWritable):
         self._set(**self._input_kwargs)
 
     def with_vocabulary(self, vocabulary: DataFrame) -> "InfrequentBucketerModel":
-        self.vocabulary, self.size = vocabulary, vocabulary.count()
-        self.literal = vocabulary.collect() if self.size <= LITERAL_VALUES else None
+        """A vocabulary that fits a literal list takes one job and no table; a larger one is kept as a checkpoint."""
+        head = vocabulary.limit(LITERAL_VALUES + 1).collect()
+        if len(head) <= LITERAL_VALUES:
+            self.literal, self.size = head, len(head)
+            self.vocabulary = vocabulary.sparkSession.createDataFrame(head, vocabulary.schema)
+        else:
+            self.literal, self.vocabulary = None, cut_lineage(vocabulary)
+            self.size = self.vocabulary.count()
         return self
 
     def _transform(self, dataset):
@@ -204,3 +210,71 @@ class _BucketerReader(MLReader):
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
         return model.with_vocabulary(self.sparkSession.read.parquet(path.rstrip("/") + "/vocabulary"))
+
+
+# ---------------------------------------------------------------- in-pipeline exact statistics (M3, M4)
+
+def _double(v: float | None) -> str:
+    """SQL text of a double, read back bit for bit."""
+    return "CAST(NULL AS DOUBLE)" if v is None else f"double('{float(v)!r}')"
+
+
+def most_frequent(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row: the most frequent non-NULL value of each column, ties to the smallest (sklearn's rule); NULL if it has none.
+
+    Counts of (column, value) are shuffled, then the best of each column is a one-row aggregate with map-side combining."""
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "_c", "_v")
+    counts = long.where(F.col("_v").isNotNull()).groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.agg(*[F.min(F.when(F.col("_c") == c, F.struct(-F.col("_n"), F.col("_v")))).getField("_v").alias(c) for c in cols])
+
+
+class FillAndScale(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Exact statistics of the training rows as a pipeline stage, ``{c}__imp`` for each numeric ``c``.
+
+    ``fill``: NULL and NaN become the interpolated median (0 where a column has no value), or stay.
+    ``scale``: minus the mean, over the population standard deviation (1 if that is 0) of the filled column.
+    The fitted stage is a plain ``SQLTransformer`` whose statement holds the numbers, so it is saved and read
+    back with the pipeline, and scoring stays one projection. Two passes over the rows, whatever the columns."""
+
+    fill = Param(Params._dummy(), "fill", "replace NULL and NaN by the median", typeConverter=TypeConverters.toBoolean)
+    scale = Param(Params._dummy(), "scale", "centre and divide by the population std", typeConverter=TypeConverters.toBoolean)
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, fill=True, scale=True):
+        super().__init__()
+        self._setDefault(fill=True, scale=True)
+        self._set(**self._input_kwargs)
+
+    def _fit(self, df: DataFrame) -> SQLTransformer:
+        cols = self.getInputCols()
+        value = {c: f"nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE))" for c in cols}
+        if self.getOrDefault(self.fill):
+            x = df.select(*[F.expr(value[c]).alias(c) for c in cols])
+            row = quantiles_wide(x, cols, [0.5], names=["median"]).first()
+            value = {c: f"coalesce({value[c]}, {_double(_or(row and row[f'{c}_median'], 0.0))})" for c in cols}
+        if self.getOrDefault(self.scale):
+            row = df.agg(*[f(F.expr(value[c])).alias(f"{n}{i}") for i, c in enumerate(cols)
+                           for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+            value = {c: f"({value[c]} - {_double(_or(row[f'm{i}'], 0.0))}) / {_double(row[f's{i}'] or 1.0)}"
+                     for i, c in enumerate(cols)}
+        return SQLTransformer(statement="SELECT *, " + ", ".join(f"{value[c]} AS `{c}__imp`" for c in cols) + " FROM __THIS__")
+
+
+class MostFrequentFill(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """NULL becomes the training rows' most frequent value, as text in ``{c}__filled``; ``UNKNOWN_LABEL`` if there is none."""
+
+    @keyword_only
+    def __init__(self, *, inputCols=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, df: DataFrame) -> SQLTransformer:
+        top = most_frequent(df, self.getInputCols()).first()
+        quoted = {c: "decode(unhex('" + (UNKNOWN_LABEL if top[c] is None else top[c]).encode().hex() + "'), 'UTF-8')"
+                  for c in self.getInputCols()}  # any text, whatever quotes it holds
+        return SQLTransformer(statement="SELECT *, " + ", ".join(
+            f"coalesce(CAST(`{c}` AS STRING), {q}) AS `{c}__filled`" for c, q in quoted.items()) + " FROM __THIS__")
+
+
+def _or(v: float | None, default: float) -> float:
+    return default if v is None else v

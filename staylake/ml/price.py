@@ -23,13 +23,14 @@ from typing import Any, Sequence
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylake.functions.cleaning import is_finite
-from staylake.ml.prep import MIN_FREQUENCY, UNKNOWN_LABEL, InfrequentBucketer, hash_split, kfold_assign
+from staylake.ml.prep import (MIN_FREQUENCY, UNKNOWN_LABEL, FillAndScale, InfrequentBucketer, MostFrequentFill, hash_split,
+                             kfold_assign)
 from staylake.operators.errors import regression_metrics
 from staylake.operators.ranks import quantiles
 
@@ -86,18 +87,24 @@ def regressor(algorithm: str, target: str, params: dict | None = None, seed: int
 
 
 def build_pipeline(features: Sequence[str], target: str = TARGET, algorithm: str = "gbt", params: dict | None = None,
-                   seed: int = 42, min_frequency: int | None = MIN_FREQUENCY) -> Pipeline:
+                   seed: int = 42, min_frequency: int | None = MIN_FREQUENCY, category_fill: str = "unknown") -> Pipeline:
+    """``category_fill``: a missing category is 'Unknown', or (``most_frequent``) the training rows' most frequent one."""
+    if category_fill not in ("unknown", "most_frequent"):
+        raise ValueError("category_fill must be 'unknown' or 'most_frequent'")
     numeric, categorical, native = roles(features)
     stages = []
-    fills = [f"coalesce(CAST({c} AS STRING), '{UNKNOWN_LABEL}') AS {c}__cat" for c in categorical]
+    source = {c: c for c in categorical}
+    if categorical and category_fill == "most_frequent":
+        stages.append(MostFrequentFill(inputCols=categorical))
+        source = {c: f"{c}__filled" for c in categorical}
+    fills = [f"coalesce(CAST({source[c]} AS STRING), '{UNKNOWN_LABEL}') AS {c}__cat" for c in categorical]
     flags = [f"CAST({c} IS NULL AS DOUBLE) AS {c}__missing" for c in native]
     stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(
         [f"CAST({c} AS DOUBLE) AS {c}__num" for c in numeric + native] + fills + flags) + " FROM __THIS__"))
     num_cols = [f"{c}__num" for c in numeric + native]
     if num_cols:
-        stages.append(Imputer(inputCols=num_cols, outputCols=[f"{c}__imp" for c in num_cols], strategy="median"))
-        stages.append(VectorAssembler(inputCols=[f"{c}__imp" for c in num_cols], outputCol="_num_vec"))
-        stages.append(StandardScaler(inputCol="_num_vec", outputCol="_num_scaled", withMean=True, withStd=True))
+        stages.append(FillAndScale(inputCols=num_cols))
+        stages.append(VectorAssembler(inputCols=[f"{c}__imp" for c in num_cols], outputCol="_num_scaled"))
     if categorical and min_frequency:
         stages.append(InfrequentBucketer(inputCols=[f"{c}__cat" for c in categorical], minFrequency=min_frequency))
     if categorical:

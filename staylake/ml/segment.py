@@ -195,14 +195,15 @@ def pca_2d(df: DataFrame, features_col: str = "features", k: int = 2) -> DataFra
 def feature_pipeline(categorical=SEGMENT_CATEGORICAL, numeric=SEGMENT_NUMERIC):
     """One-hot categories (unseen -> zeros) + standardised numerics -> ``features``."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    from staylake.ml.prep import FillAndScale
     stages = [StringIndexer(inputCols=list(categorical), outputCols=[f"{c}__idx" for c in categorical],
                             handleInvalid="keep", stringOrderType="alphabetAsc")]
     stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in categorical],
                                 outputCols=[f"{c}__oh" for c in categorical], dropLast=True))
-    stages.append(VectorAssembler(inputCols=list(numeric), outputCol="_num", handleInvalid="error"))
-    stages.append(StandardScaler(inputCol="_num", outputCol="_num_scaled", withMean=True, withStd=True))
-    stages.append(VectorAssembler(inputCols=[f"{c}__oh" for c in categorical] + ["_num_scaled"], outputCol="features"))
+    stages.append(FillAndScale(inputCols=list(numeric), fill=False))
+    stages.append(VectorAssembler(inputCols=[f"{c}__oh" for c in categorical] + [f"{c}__imp" for c in numeric],
+                                  outputCol="features", handleInvalid="error"))
     return Pipeline(stages=stages)
 
 

@@ -205,3 +205,49 @@ def test_segmentation_jobs_roundtrip(spark, schema):
         jobs.run_segment_inference(spark, mart, "batch_seg", schema)  # candidate only, no opt-in
     counts = jobs.run_segment_inference(spark, mart, "batch_seg", schema, allow_candidate=True)
     assert counts.agg(F.sum("listings")).first()[0] == mart.count()
+
+
+def test_exact_fill_and_scale_as_saved_stage(spark, tmp_path):
+    import numpy as np
+    from pyspark.ml import Pipeline, PipelineModel
+    from staylake.ml.prep import FillAndScale, MostFrequentFill
+    nan = float("nan")
+    a, b, e = [1.0, 2.0, None, 10.0, nan, 4.0], [5.0] * 5 + [None], [None] * 6
+    t = ["x'y", "x'y", None, "\\b", "\\b", "c"]
+    df = spark.createDataFrame(list(zip(a, b, e, t)), "a double, b double, e double, t string")
+    model = Pipeline(stages=[FillAndScale(inputCols=["a", "b", "e"]), MostFrequentFill(inputCols=["t"])]).fit(df)
+    model.write().save(str(tmp_path / "m"))
+    want = np.array([1, 2, 3, 10, 3, 4.0])  # the median of 1, 2, 10, 4 lies between two values
+    want = (want - want.mean()) / want.std()
+    for m in (model, PipelineModel.load(str(tmp_path / "m"))):
+        rows = m.transform(df.repartition(3)).collect()
+        assert np.allclose(sorted(r.a__imp for r in rows), sorted(want), atol=1e-12)
+        assert {r.b__imp for r in rows} == {0.0} == {r.e__imp for r in rows}  # constant and empty columns
+        assert sorted(r.t__filled for r in rows) == sorted(["x'y", "x'y", "\\b", "\\b", "\\b", "c"])  # tie: the smallest
+    unfilled = FillAndScale(inputCols=["a"], fill=False).fit(df).transform(df).collect()
+    assert sum(r.a__imp is None for r in unfilled) == 2
+    again = FillAndScale(inputCols=["a"], scale=False).fit(df).transform(spark.createDataFrame([(None,)], "a double"))
+    assert again.first().a__imp == 3.0
+    empty = Pipeline(stages=[FillAndScale(inputCols=["a"]), MostFrequentFill(inputCols=["t"])]).fit(df.limit(0))
+    row = empty.transform(spark.createDataFrame([(None, None), (2.0, "k")], "a double, t string")).collect()
+    assert [(r.a__imp, r.t__filled) for r in row] == [(0.0, "Unknown"), (2.0, "k")]
+
+
+def test_price_pipeline_fills_like_the_exact_statistics(spark, mart, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+    from staylake.ml.explain import slot_features
+    from staylake.ml.prep import apply_fill, fit_medians, fit_scaler, apply_scaler
+    from staylake.ml.price import build_pipeline
+    frame = features.modelling_frame(mart).withColumn("bedrooms", F.when(F.col("listing_id") % 3 > 0, F.col("bedrooms")).cast("double"))
+    model = build_pipeline(["bedrooms", "minimum_nights", "room_type"], "log_price", "gbt", {"maxIter": 1, "maxDepth": 1},
+                           category_fill="most_frequent").fit(frame)
+    model.write().save(str(tmp_path / "p"))
+    assert slot_features(model)[:2] == ["bedrooms", "minimum_nights"]
+    x = frame.select("listing_id", F.col("bedrooms").cast("double"), F.col("minimum_nights").cast("double"))
+    cols = ["bedrooms", "minimum_nights"]
+    filled = apply_fill(x, fit_medians(x, cols))
+    want = {r.listing_id: (r.bedrooms, r.minimum_nights) for r in apply_scaler(filled, fit_scaler(filled, cols), cols).collect()}
+    for m in (model, PipelineModel.load(str(tmp_path / "p"))):
+        got = m.transform(frame).select("listing_id", vector_to_array("features").alias("f")).collect()
+        assert len(got) == len(want) and all(abs(r.f[i] - want[r.listing_id][i]) < 1e-9 for r in got for i in (0, 1))
