@@ -20,7 +20,8 @@ from staylake.functions.rules import (PY_PROPERTY_DEFAULT, PY_PROPERTY_NULL_LABE
 from staylake.operators import dedup, errors, impute, joins, profile, quality, stats, topk
 from staylake.operators.ranks import quantiles
 from staylake.plans import binding as B
-from staylake.plans import features, gold
+from staylake.plans import features, gold, silver
+from staylake.plans import raw as RAW
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1408,6 +1409,57 @@ def _model_roundtrip(spark, d):
     return jobs.run_price_inference(spark, mart, "batch_" + version, schema)
 
 
+# =========================================================== silver models on raw text
+
+@register("silver_calendar", RAW.SILVER_CALENDAR_SQL)
+def _silver_calendar(spark, d):
+    return rnd(silver.silver_calendar(RAW.raw_calendar(spark, d)))
+
+
+@register("silver_calendar_drops", f"""
+SELECT count(*) AS rows_before, (SELECT count(*) FROM ({RAW.SILVER_CALENDAR_SQL})) AS rows_after,
+  count(*) - (SELECT count(*) FROM ({RAW.SILVER_CALENDAR_SQL})) AS rows_dropped FROM lineitem""")
+def _silver_calendar_drops(spark, d):
+    raw = RAW.raw_calendar(spark, d)
+    return dedup.dropped_by_dedup(raw, silver.silver_calendar(raw))
+
+
+@register("silver_reviews", RAW.SILVER_REVIEWS_SQL)
+def _silver_reviews(spark, d):
+    return silver.silver_reviews(RAW.raw_reviews(spark, d))
+
+
+@register("silver_neighbourhoods", RAW.SILVER_NEIGHBOURHOODS_SQL)
+def _silver_neighbourhoods(spark, d):
+    return silver.silver_neighbourhoods(RAW.raw_neighbourhoods(spark, d))
+
+
+@register("silver_listings", RAW.SILVER_LISTINGS_SQL)
+def _silver_listings(spark, d):
+    return rnd(silver.silver_listings(RAW.raw_listings(spark, d)))
+
+
+@register("most_frequent", """
+SELECT (SELECT p_type FROM part WHERE p_type IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, p_type LIMIT 1) AS p_type,
+  (SELECT CAST(p_size AS VARCHAR) FROM part WHERE p_size <> 7 GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS p_size""")
+def _most_frequent(spark, d):
+    from staylake.ml.prep import most_frequent
+    return most_frequent(T(spark, d, "part").withColumn("p_size", F.nullif(F.col("p_size"), F.lit(7))), ["p_type", "p_size"])
+
+
+@register("read_required_columns", """
+SELECT p_type, count(*) AS parts, sum(p_size) AS sizes FROM part GROUP BY p_type""")
+def _read_required_columns(spark, d):
+    """Format by suffix, required and available optional columns, first existing table, SQL with a bound parameter."""
+    from staylake.sources import io
+    part = io.select_available(io.read_any(spark, f"{d}/part.parquet"), ["p_partkey", "p_type"], ["p_size", "p_colour"])
+    io.validate_frame(part, ["p_partkey", "p_type", "p_size"], key="p_partkey", finite=["p_size"])
+    part.createOrReplaceTempView("staylake_read_part")
+    name = io.first_existing_table(spark, ["staylake_no_such_table", "staylake_read_part"])
+    return io.run_sql(spark, f"SELECT p_type, count(*) AS parts, sum(p_size) AS sizes FROM {name} WHERE p_partkey >= :low GROUP BY p_type",
+                      {"low": 0})
+
+
 def _own_schema(spark, name: str) -> str:
     """A new database in the shared folder, for a query that writes tables."""
     import uuid as _uuid
