@@ -189,10 +189,6 @@ def count_json_items(c: ColumnOrName, on_invalid: str = "null") -> Column:
     raise ValueError("on_invalid must be 'null' or 'split'")
 
 
-def null_if_equal(c: ColumnOrName, value) -> Column:
-    return F.nullif(_col(c), F.lit(value))
-
-
 def columns_exist(df: DataFrame, names: Iterable[str]) -> list[str]:
     """Names from ``names`` missing from ``df`` (driver-side schema check)."""
     have = set(df.columns)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylake.operators.profile import _null_safe_join, top_value
-from staylake.operators.ranks import quantiles
+from staylake.operators.ranks import quantiles, quantiles_wide
 
 # Defaults of the segmentation model and the segment names.
 DEFAULT_K = 3
@@ -265,6 +265,14 @@ def segment_price_summary(df: DataFrame, cluster_col: str, price_col: str, appro
     return _null_safe_join(q, m, [cluster_col])
 
 
+def segment_centre(df: DataFrame, cluster_col: str, coordinates: Sequence[str]) -> DataFrame:
+    """The median of each coordinate per cluster (exact, all coordinates in one pass): a centre that outliers do not
+    move. NULL and NaN coordinates are skipped; a cluster without any has a NULL centre."""
+    centres = quantiles_wide(df, coordinates, [0.5], [cluster_col], ["median"])
+    clusters = df.groupBy(cluster_col).agg(F.count(F.lit(1)).alias("n"))
+    return _null_safe_join(clusters, centres, [cluster_col], "left")
+
+
 def segmentation_check(assignments: DataFrame, k: int, key: str = "listing_id") -> DataFrame:
     """One row: rows, duplicate keys, ids outside 0..k-1, NULL names, versions, passed."""
     r = assignments.agg(

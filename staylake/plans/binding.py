@@ -97,7 +97,8 @@ PART_LISTING_BINDING: list[tuple[str, str]] = [
     ("property_type", "NULLIF(p_name, 'red plate')"),
     ("room_type", "NULLIF(p_type, 'STANDARD')"),
     ("price", "NULLIF(p_retailprice, 900.0)"),
-    ("accommodates", "p_size"),
+    # the one feature with a real, partial relation to the price: a coarse step of it plus noise
+    ("accommodates", "CAST(floor((p_partkey % 1000) / 250.0) AS INTEGER) + p_size % 3"),
     ("bathrooms", "NULLIF(CAST(p_size AS DOUBLE) / 10.0, 1.0)"),
     ("bedrooms", "CASE WHEN p_type = 'LARGE' THEN NULL ELSE NULLIF(CAST(p_size % 4 AS DOUBLE), 0.0) END"),
     ("beds", "NULLIF(CAST(p_size % 3 AS DOUBLE), 1.0)"),

@@ -1393,7 +1393,9 @@ def _price_pdp(spark, d):
     return partial_dependence(model, frame, "accommodates", [1, 5, 10, 20, 40])
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", f"""
+WITH {B.part_listing_cte()}
+SELECT count(*) AS rows, 0 AS non_finite, 0 AS negative, 0 AS null_keys, 0 AS duplicate_keys FROM plistings WHERE price > 0""")
 def _model_roundtrip(spark, d):
     """Train, register, promote, look up the champion, score the whole table, append once."""
     import uuid as _uuid
@@ -1545,6 +1547,35 @@ def _segment_price_summary(spark, d):
     return rnd(segment_price_summary(_emb_flat(spark, d), "label", "e0"))
 
 
+@register("segment_centre", f"""
+SELECT label, count(*) AS n, round(quantile_cont(e1, 0.5), {R}) AS e1_median, round(quantile_cont(e2, 0.5), {R}) AS e2_median
+FROM ({_EMB_FLAT_SQL}) GROUP BY label""")
+def _segment_centre(spark, d):
+    from staylake.ml.segment import segment_centre
+    return rnd(segment_centre(_emb_flat(spark, d), "label", ["e1", "e2"]))
+
+
+@register("first_words", f"""
+WITH words AS (SELECT coalesce(regexp_extract(p_name, '^\s*(\S+)', 1), 'none') AS word, p_retailprice FROM part),
+per_word AS (SELECT word, count(*) AS parts, count(*) FILTER (isfinite(p_retailprice)) AS priced FROM words GROUP BY word)
+SELECT word, parts, priced, round(parts / sum(parts) OVER (), {R}) AS share FROM per_word""")
+def _first_words(spark, d):
+    words = impute.fill_constant(T(spark, d, "part").select(C.first_word("p_name").alias("word"), "p_retailprice"), ["word"], "none")
+    per = words.groupBy("word").agg(F.count(F.lit(1)).alias("parts"), F.count_if(C.is_finite("p_retailprice")).alias("priced"))
+    return rnd(profile.share_of_total(per, "parts"), "share")
+
+
+_RANKED = "rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0"
+
+
+@register("spearman_matrix", "UNION ALL".join(f"""
+SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr(ra, rb), {R}) AS spearman, count(*) AS n
+FROM (SELECT {_RANKED.format(c=a)} AS ra, {_RANKED.format(c=b)} AS rb FROM lineitem WHERE {a} IS NOT NULL AND {b} IS NOT NULL)
+""" for a, b in (("l_quantity", "l_discount"), ("l_quantity", "l_tax"), ("l_discount", "l_tax"))))
+def _spearman_matrix(spark, d):
+    return rnd(stats.spearman_matrix(T(spark, d, "lineitem"), ["l_quantity", "l_discount", "l_tax"]).drop("p_value"), "spearman")
+
+
 @register("price_feature_selection")
 def _price_feature_selection(spark, d):
     """Top-k feature subsets by importance, CV RMSE each, smallest accepted set."""

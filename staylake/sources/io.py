@@ -7,6 +7,8 @@ from typing import Any, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staylake.functions.cleaning import columns_exist
+
 
 def read_any(spark: SparkSession, path: str) -> DataFrame:
     """CSV (header, all text) or Parquet by suffix; anything else is an error."""
@@ -20,7 +22,7 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
 
 def select_available(df: DataFrame, required: Sequence[str], optional: Sequence[str] = ()) -> DataFrame:
     """Required columns plus the optional ones that exist; error listing missing required ones."""
-    missing = [c for c in required if c not in df.columns]
+    missing = columns_exist(df, required)
     if missing:
         raise ValueError(f"missing required columns: {missing}")
     return df.select(*required, *[c for c in optional if c in df.columns and c not in required])
@@ -53,7 +55,7 @@ def validate_frame(df: DataFrame, required: Sequence[str], key: str | None = Non
         raise ValueError("frame has no columns")
     if len(set(df.columns)) != len(df.columns):
         raise ValueError("duplicate column names")
-    missing = [c for c in required if c not in df.columns]
+    missing = columns_exist(df, required)
     if missing:
         raise ValueError(f"missing required columns: {missing}")
     res = validation_counts(df, key, finite).first().asDict()

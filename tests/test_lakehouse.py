@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rawdrop import write_drop
+from staylake.operators.quality import assert_suite_passes
 from staylake.plans import jobs
 from staylake.sources.bronze import missing_required, read_raw_csv, resolve_sources
 
@@ -32,11 +33,14 @@ def test_multiline_quoted_comments(spark, tmp_path):
     assert df.where(F.col("comments").contains('"really"')).count() > 0
 
 
-def test_clean_drop_passes_every_contract(clean_build):
-    res, _ = clean_build
+def test_clean_drop_passes_every_contract(spark, clean_build):
+    res, sfx = clean_build
     failed = res.where(F.col("status") != "pass").collect()
     assert not failed, [(r.table_name, r.check_name, r.column_name, r.violations) for r in failed]
     assert res.count() >= 100
+    assert_suite_passes(res)
+    with pytest.raises(AssertionError, match="bronze_listings.unique"):
+        assert_suite_passes(spark.table(f"b_{sfx}.dq_source_results"))
 
 
 def test_source_contracts_see_the_repeated_raw_rows(spark, clean_build):

@@ -209,3 +209,30 @@ def test_joins_count_unmatched_rows(spark):
         one_to_one_left_join(left, right, "k", require_match=True)
     assert one_to_one_left_join(left.where("k is not null"), right, "k", require_match=True).count() == 2
     assert orphans(left.union(left), right.union(right).where("k = 1"), "k").count() == 2
+
+
+def test_price_binding_can_be_learnt_but_is_no_leak(spark):
+    frame = features.modelling_frame(features.price_model_features(B.bound_part_listings(spark, "/root/testdata/sf0.01")))
+    _, metrics, _ = P.train_evaluate(frame, P.PriceConfig(params={"maxDepth": 4, "maxIter": 10, "stepSize": 0.2}))
+    assert 0.4 < metrics.first().r2 < 0.95
+
+
+def test_sql_file_and_formats(spark, tmp_path):
+    from staylake.sources import io
+    (tmp_path / "q.sql").write_text("SELECT id,\n  :name AS name\nFROM range(:n) WHERE id >= 2")
+    assert [tuple(r) for r in io.run_sql_file(spark, str(tmp_path / "q.sql"), {"n": 4, "name": "o'k; --"}).collect()] == [
+        (2, "o'k; --"), (3, "o'k; --")]
+    (tmp_path / "t.csv").write_text('a,b\n1,"x\ny"\n2,\n')
+    t = io.read_any(spark, str(tmp_path / "t.csv"))
+    assert [tuple(r) for r in t.collect()] == [("1", "x\ny"), ("2", None)]
+    t.write.parquet(str(tmp_path / "t.parquet"))
+    assert io.read_any(spark, str(tmp_path / "t.parquet")).count() == 2
+    with pytest.raises(ValueError, match="unsupported"):
+        io.read_any(spark, str(tmp_path / "t.json"))
+    with pytest.raises(ValueError, match="missing required"):
+        io.select_available(t, ["a", "z"])
+    for bad, kw in (("null_keys", {"key": "b"}), ("at least 3", {"min_rows": 3})):
+        with pytest.raises(ValueError, match=bad):
+            io.validate_frame(t, ["a"], **kw)
+    with pytest.raises(ValueError, match="none of the tables"):
+        io.first_existing_table(spark, ["no_such_table_a", "no_such_table_b"])
