@@ -1556,7 +1556,7 @@ def _segment_centre(spark, d):
 
 
 @register("first_words", f"""
-WITH words AS (SELECT coalesce(regexp_extract(p_name, '^\s*(\S+)', 1), 'none') AS word, p_retailprice FROM part),
+WITH words AS (SELECT coalesce(regexp_extract(p_name, '[^ ]+', 0), 'none') AS word, p_retailprice FROM part),
 per_word AS (SELECT word, count(*) AS parts, count(*) FILTER (isfinite(p_retailprice)) AS priced FROM words GROUP BY word)
 SELECT word, parts, priced, round(parts / sum(parts) OVER (), {R}) AS share FROM per_word""")
 def _first_words(spark, d):
