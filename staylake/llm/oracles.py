@@ -1,5 +1,24 @@
 """DuckDB SQL for the queries that SQL can express, written apart from the Spark side."""
 
+OP3_NGRAM_JOIN = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) END AS grams FROM d),
+c AS (SELECT grams, len(grams) AS n, min(doc_id) AS low, row_number() OVER () AS c FROM s WHERE len(grams) > 0 GROUP BY grams),
+e AS (SELECT c, n, unnest(grams) AS gram FROM c),
+half AS (SELECT a.c AS a, b.c AS b FROM e a JOIN e b ON a.gram = b.gram AND a.c < b.c AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+         GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+link AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+reach AS (SELECT c AS a, c AS b FROM c UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+lowest AS (SELECT reach.a AS c, min(c.low) AS low FROM reach JOIN c ON reach.b = c.c GROUP BY reach.a),
+degree AS (SELECT a AS c, count(*) AS n_links FROM link GROUP BY a)
+SELECT s.doc_id, CAST(len(s.grams) AS BIGINT) AS n_shingles, coalesce(lowest.low, s.doc_id) AS component_id, coalesce(degree.n_links, 0) AS n_links
+FROM s LEFT JOIN c ON s.grams = c.grams LEFT JOIN lowest ON lowest.c = c.c LEFT JOIN degree ON degree.c = c.c
+"""
+
 OP10_MIXING = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,

@@ -106,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_ngram_join": oracles.OP3_NGRAM_JOIN,
     "op10_mixing": oracles.OP10_MIXING,
     "op11_line_dedup": oracles.OP11_LINE_DEDUP,
     "op12_hard_negatives": oracles.OP12_HARD_NEGATIVES,
