@@ -1311,13 +1311,27 @@ def _centroids(spark, d):
     return S.centroid_table(S.fit_kmeans(_emb_vectors(spark, d)))
 
 
-@register("silhouette")
+@register("silhouette", f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda e: CAST(e AS DOUBLE)) AS x FROM embeddings),
+p AS (SELECT 'squaredEuclidean' AS distance, vec_id, label, x FROM v
+      UNION ALL SELECT 'cosine', vec_id, label, list_transform(x, lambda e: e / sqrt(list_dot_product(x, x))) FROM v),
+l AS (SELECT distance, label, unnest(x) AS e, generate_subscripts(x, 1) AS dim FROM p),
+t AS (SELECT distance, label, dim, sum(e) AS total FROM l GROUP BY ALL),
+k AS (SELECT distance, label, list(total ORDER BY dim) AS total FROM t GROUP BY ALL),
+z AS (SELECT distance, label, count(*) AS n, sum(list_dot_product(x, x)) AS squares FROM p GROUP BY ALL),
+m AS (SELECT p.distance, p.vec_id, p.label = k.label AS own, z.n,
+        CASE WHEN p.distance = 'cosine' THEN 1 - list_dot_product(p.x, k.total) / z.n
+        ELSE list_dot_product(p.x, p.x) + (z.squares - 2 * list_dot_product(p.x, k.total)) / z.n END AS mean
+      FROM p JOIN k ON k.distance = p.distance JOIN z ON z.distance = k.distance AND z.label = k.label),
+ab AS (SELECT distance, vec_id, max(n) FILTER (own) AS n, max(mean * n / greatest(n - 1, 1)) FILTER (own) AS a, min(mean) FILTER (NOT own) AS b
+       FROM m GROUP BY ALL)
+SELECT distance, round(avg(CASE WHEN n = 1 OR a = b THEN 0 WHEN a < b THEN 1 - a / b ELSE b / a - 1 END), {R}) AS silhouette FROM ab GROUP BY distance""")
 def _silhouette(spark, d):
     from staylake.ml.segment import silhouette
     v = _emb_vectors(spark, d).withColumn("label", F.col("label").cast("double"))
     s = silhouette(v, "features", "label")
     c = silhouette(v, "features", "label", "cosine")
-    return spark.createDataFrame([("squaredEuclidean", s), ("cosine", c)], "distance string, silhouette double")
+    return rnd(spark.createDataFrame([("squaredEuclidean", s), ("cosine", c)], "distance string, silhouette double"))
 
 
 def _price_frame(spark, d):
@@ -1664,3 +1678,172 @@ def _metrics_long(spark, d):
     from staylake.ml.registry import metrics_long
     wide = errors.regression_metrics(_pred_base(spark, d), "actual_log", "predicted_log", 2)
     return rnd(metrics_long(wide, "group_mean_v1", "price_prediction", "test").drop("evaluated_at"), "metric_value")
+
+
+# =========================================================== fitted models with a closed form
+# The model code of the queries above on settings whose fit SQL can state: medians and least squares with one
+# feature, k-means on groups far apart, two principal components of two columns.
+
+_LINE_ROWS_SQL = f"""{B.part_listing_cte()},
+rows AS (SELECT listing_id, CAST(accommodates AS DOUBLE) AS x, ln(1 + CAST(price AS DOUBLE)) AS y,
+           ({_HASH_SQL.format(k='listing_id')} % 100) < 20 AS is_test, CAST({_HASH_SQL.format(k='listing_id')} % 5 AS INTEGER) + 1 AS fold
+         FROM plistings WHERE price > 0)"""
+
+_HOLDOUT_SQL = f"""{_LINE_ROWS_SQL},
+line AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS base FROM rows WHERE NOT is_test),
+pred AS (SELECT listing_id, x, y, base + slope * x AS p FROM rows CROSS JOIN line WHERE is_test)"""
+
+_FOLDS_SQL = f"""{_LINE_ROWS_SQL},
+fitted AS (SELECT f.fold, median(t.y) AS med, regr_slope(t.y, t.x) AS slope, regr_intercept(t.y, t.x) AS base
+           FROM (SELECT DISTINCT fold FROM rows) f JOIN rows t ON t.fold <> f.fold GROUP BY f.fold),
+pred AS (SELECT 'median' AS model, 0 AS width, fold, y, med AS p FROM rows JOIN fitted USING (fold)
+         UNION ALL SELECT 'linear', 1, fold, y, base + slope * x FROM rows JOIN fitted USING (fold)),
+folds AS (SELECT model, fold, count(*) AS n, sqrt(avg((y - p) ^ 2)) AS rmse, avg(abs(y - p)) AS mae, 1 - avg((y - p) ^ 2) / var_pop(y) AS r2,
+            1 - avg((y - p) ^ 2) / var_pop(y) * (count(*) - 1) / (count(*) - width - 1) AS adjusted_r2
+          FROM pred GROUP BY model, width, fold)"""
+
+
+def _line_cfg():
+    from staylake.ml.price import PriceConfig
+    return PriceConfig(features=("accommodates",), algorithm="linear", params={})
+
+
+@register("price_fold_metrics", f"""
+WITH {_FOLDS_SQL}
+SELECT model, fold, n, round(rmse, {R}) AS rmse, round(mae, {R}) AS mae, round(r2, {R}) AS r2, round(adjusted_r2, {R}) AS adjusted_r2, 'ok' AS status FROM folds""")
+def _price_fold_metrics(spark, d):
+    """Every fold of the 5-fold CV of the median and of least squares on one feature."""
+    from staylake.ml.price import cross_validate
+    from staylake.ml.prep import kfold_assign
+    cfg, found = _line_cfg(), []
+    folds = kfold_assign(_price_frame(spark, d), cfg.key, cfg.n_folds).cache()
+    for algorithm in ("median", "linear"):
+        metrics, _ = cross_validate(folds, cfg, algorithm, folds=folds)
+        found.append(metrics.select(F.lit(algorithm).alias("model"), "fold", "n", "rmse", "mae", "r2", "adjusted_r2", "status"))
+    folds.unpersist()
+    return rnd(found[0].unionByName(found[1]))
+
+
+@register("price_fold_predictions", f"""
+WITH {_LINE_ROWS_SQL},
+fitted AS (SELECT f.fold, regr_slope(t.y, t.x) AS slope, regr_intercept(t.y, t.x) AS base
+           FROM (SELECT DISTINCT fold FROM rows) f JOIN rows t ON t.fold <> f.fold GROUP BY f.fold)
+SELECT listing_id, fold, round(y, {R}) AS log_price, round(base + slope * x, {R}) AS predicted_log_price FROM rows JOIN fitted USING (fold)""")
+def _price_fold_predictions(spark, d):
+    """Out-of-fold predictions: each listing by the model that has not seen its fold."""
+    from staylake.ml.price import cross_validate
+    _, predictions = cross_validate(_price_frame(spark, d), _line_cfg())
+    return rnd(predictions)
+
+
+@register("price_baseline_ranking", f"""
+WITH {_FOLDS_SQL},
+means AS (SELECT model, avg(rmse) AS rmse, avg(mae) AS mae, avg(r2) AS r2, avg(adjusted_r2) AS adjusted_r2,
+            stddev_samp(rmse) AS s_rmse, stddev_samp(mae) AS s_mae, stddev_samp(r2) AS s_r2, stddev_samp(adjusted_r2) AS s_adjusted_r2, count(*) AS folds
+          FROM folds GROUP BY model)
+SELECT model, round(rmse, {R}) AS rmse_mean, round(mae, {R}) AS mae_mean, round(r2, {R}) AS r2_mean, round(adjusted_r2, {R}) AS adjusted_r2_mean,
+  round(s_rmse, {R}) AS rmse_std, round(s_mae, {R}) AS mae_std, round(s_r2, {R}) AS r2_std, round(s_adjusted_r2, {R}) AS adjusted_r2_std, folds,
+  CAST(row_number() OVER (ORDER BY rmse, mae) AS INTEGER) AS rank FROM means""")
+def _price_baseline_ranking(spark, d):
+    """The two baselines ranked by CV, without the seconds."""
+    from staylake.ml.price import baselines_cv
+    ranked = baselines_cv(_price_frame(spark, d), _line_cfg(), ("median", "linear"))
+    return rnd(ranked.drop("fit_seconds_mean", "predict_seconds_mean"))
+
+
+@register("price_line_predictions", f"""
+WITH {_HOLDOUT_SQL}
+SELECT listing_id, round(y, {R}) AS log_price, round(p, {R}) AS predicted_log_price, round(greatest(exp(p) - 1, 0), 4) AS predicted_price FROM pred""")
+def _price_line_predictions(spark, d):
+    from staylake.ml.price import train_evaluate
+    _, _, pred = train_evaluate(_price_frame(spark, d), _line_cfg())
+    return rnd(pred.select("listing_id", "log_price", "predicted_log_price", F.round("predicted_price", 4).alias("predicted_price")))
+
+
+@register("price_line_metrics", f"""
+WITH {_HOLDOUT_SQL}
+SELECT count(*) AS n, round(sqrt(avg((y - p) ^ 2)), {R}) AS rmse, round(avg(abs(y - p)), {R}) AS mae, round(1 - avg((y - p) ^ 2) / var_pop(y), {R}) AS r2,
+  round(1 - avg((y - p) ^ 2) / var_pop(y) * (count(*) - 1) / (count(*) - 2), {R}) AS adjusted_r2 FROM pred""")
+def _price_line_metrics(spark, d):
+    from staylake.ml.price import train_evaluate
+    _, metrics, _ = train_evaluate(_price_frame(spark, d), _line_cfg())
+    return rnd(metrics)
+
+
+@register("price_line_dependence", f"""
+WITH {_HOLDOUT_SQL}
+SELECT CAST(grid_value AS DOUBLE) AS grid_value, round(base + slope * grid_value, {R}) AS avg_predicted_log_price
+FROM line CROSS JOIN (SELECT unnest([0, 1, 2, 3, 5, 8]) AS grid_value)""")
+def _price_line_dependence(spark, d):
+    from staylake.ml.explain import partial_dependence
+    from staylake.ml.price import train_evaluate
+    frame = _price_frame(spark, d)
+    model, _, _ = train_evaluate(frame, _line_cfg())
+    return rnd(partial_dependence(model, frame, "accommodates", [0, 1, 2, 3, 5, 8]))
+
+
+# a point per line item, at its return flag and status, moved by its discount and tax
+_POINT_ITEMS = ["l_returnflag", "l_linestatus",
+                "CASE l_returnflag WHEN 'A' THEN 0.0 WHEN 'N' THEN 10.0 ELSE 20.0 END + CASE l_linestatus WHEN 'F' THEN 0.0 ELSE 4.0 END"
+                " + CAST(l_discount AS DOUBLE) AS x",
+                "CASE l_returnflag WHEN 'A' THEN 0.0 WHEN 'N' THEN 7.0 ELSE 3.0 END + CASE l_linestatus WHEN 'F' THEN 0.0 ELSE 100.0 END"
+                " + CAST(l_tax AS DOUBLE) AS y"]
+_POINTS_SQL = f"points AS (SELECT CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, l_returnflag, l_linestatus FROM (SELECT {', '.join(_POINT_ITEMS)} FROM lineitem))"
+
+
+def _points(spark, d):
+    from staylake.ml.segment import as_vector
+    items = T(spark, d, "lineitem").selectExpr(*_POINT_ITEMS).withColumns({c: F.col(c).cast("double") for c in "xy"})
+    return as_vector(items, ["x", "y"])
+
+
+@register("kmeans_groups", f"""
+WITH {_POINTS_SQL},
+g AS (SELECT l_returnflag, l_linestatus, avg(x) AS cx, avg(y) AS cy FROM points GROUP BY ALL),
+s AS (SELECT g.*, count(*) AS n, avg(sqrt((x - cx) ^ 2 + (y - cy) ^ 2)) AS mean_distance, max(sqrt((x - cx) ^ 2 + (y - cy) ^ 2)) AS max_distance
+      FROM g JOIN points USING (l_returnflag, l_linestatus) GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (ORDER BY cx DESC) AS by_x FROM s),
+named AS (SELECT *, CASE WHEN by_x = 1 THEN 1 WHEN row_number() OVER (PARTITION BY by_x = 1 ORDER BY cy DESC) = 1 THEN 2 ELSE 3 END AS kind FROM o)
+SELECT CASE kind WHEN 1 THEN 'Large short-stay group homes' WHEN 2 THEN 'Long-stay standard apartments' ELSE 'Standard short-stay listings' END AS cluster_name,
+  round(cx, {R}) AS x, round(cy, {R}) AS y, n, round(mean_distance, {R}) AS mean_distance, round(max_distance, {R}) AS max_distance FROM named""")
+def _kmeans_groups(spark, d):
+    """k-means on groups far apart: the centroids are the groups' means; segments named by their centroids."""
+    from staylake.ml import segment as S
+    points = _points(spark, d)
+    k = points.select("l_returnflag", "l_linestatus").distinct().count()
+    model = S.fit_kmeans(points, k)
+    centroids = S.centroid_table(model, ["x", "y"])
+    assigned = S.attach_names(S.assign(model, points).drop("x", "y"), S.name_segments(centroids, "x", "y"))
+    sizes = assigned.groupBy("cluster_id", "cluster_name").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("distance_to_centroid").alias("mean_distance"), F.max("distance_to_centroid").alias("max_distance"))
+    return rnd(sizes.join(F.broadcast(centroids), "cluster_id").select("cluster_name", "x", "y", "n", "mean_distance", "max_distance"))
+
+
+@register("elbow_groups", f"""
+WITH {_POINTS_SQL},
+w AS (SELECT l_linestatus, l_returnflag, count(*) AS n, var_pop(x) + var_pop(y) AS v FROM points GROUP BY GROUPING SETS ((l_linestatus), (l_linestatus, l_returnflag)))
+SELECT CAST(count(*) AS INTEGER) AS k, round(sum(n * v) / sum(n), 4) AS mean_inertia FROM w GROUP BY l_returnflag IS NULL""")
+def _elbow_groups(spark, d):
+    """Inertia per row at two cluster counts whose best split is plain: by status, and by status and flag."""
+    from staylake.ml import segment as S
+    points = _points(spark, d).cache()
+    rows, both = points.count(), points.select("l_returnflag", "l_linestatus").distinct().count()
+    single = points.select("l_linestatus").distinct().count()
+    table = S.elbow(points, [single, both], n_init=S.DEFAULT_N_INIT)
+    points.unpersist()
+    return table.select("k", F.round(F.col("inertia") / rows, 4).alias("mean_inertia"))
+
+
+@register("pca_pair", f"""
+WITH v AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS a, CAST(l_extendedprice AS DOUBLE) / 1000 AS b FROM lineitem),
+m AS (SELECT avg(a) AS ma, avg(b) AS mb, var_samp(a) AS va, var_samp(b) AS vb, covar_samp(a, b) AS c FROM v),
+e AS (SELECT *, (va + vb) / 2 + sqrt(((va - vb) / 2) ^ 2 + c ^ 2) AS top FROM m),
+u AS (SELECT *, c / sqrt(c ^ 2 + (top - va) ^ 2) AS ua, (top - va) / sqrt(c ^ 2 + (top - va) ^ 2) AS ub FROM e)
+SELECT l_orderkey, l_linenumber, round(abs((a - ma) * ua + (b - mb) * ub), 4) AS pc1, round(abs((b - mb) * ua - (a - ma) * ub), 4) AS pc2 FROM v CROSS JOIN u""")
+def _pca_pair(spark, d):
+    """Both principal components of two columns, without their sign."""
+    from staylake.ml.segment import as_vector, pca_2d
+    items = T(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("a"),
+                                           (F.col("l_extendedprice").cast("double") / 1000).alias("b"))
+    pcs = pca_2d(as_vector(items, ["a", "b"]).drop("a", "b"))
+    return pcs.select("l_orderkey", "l_linenumber", *[F.round(F.abs(c), 4).alias(c) for c in ("pc1", "pc2")])
