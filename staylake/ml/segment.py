@@ -7,8 +7,10 @@ rows against the k centroids (k x dim numbers, model-sized, inlined as literals)
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import Sequence
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -109,24 +111,30 @@ def as_vector(df: DataFrame, cols: Sequence[str] | str, out: str = "features") -
 
 
 def fit_kmeans(df: DataFrame, k: int = DEFAULT_K, n_init: int = DEFAULT_N_INIT, seed: int = DEFAULT_SEED,
-               features_col: str = "features", max_iter: int = 50) -> KMeansModel:
-    """Best of ``n_init`` seeded k-means|| runs by training cost (the input is cached once)."""
+               features_col: str = "features", max_iter: int = 50, parallel: int = 5) -> KMeansModel:
+    """Best of ``n_init`` seeded k-means|| runs by training cost (ties: the first seed).
+
+    The input is cached once; ``parallel`` driver threads fit starts at the same time, each in its own scheduler pool."""
+    spark = df.sparkSession
     cached = df.select(features_col).cache()
-    best = None
+
+    def start(i: int) -> tuple[float, KMeansModel]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"start-{i}")
+        model = KMeans(k=k, seed=seed + i, featuresCol=features_col, maxIter=max_iter).fit(cached)
+        return model.summary.trainingCost, model
+
+    inherit = inheritable_thread_target(spark)
     try:
-        for i in range(n_init):
-            model = KMeans(k=k, seed=seed + i, featuresCol=features_col, maxIter=max_iter).fit(cached)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[0]:
-                best = (cost, model)
+        with ThreadPoolExecutor(max_workers=max(1, min(parallel, n_init))) as pool:
+            fits = [w.result() for w in [pool.submit(inherit(lambda i=i: start(i))) for i in range(n_init)]]
     finally:
         cached.unpersist()
-    return best[1]
+    return min(fits, key=lambda fit: fit[0])[1]
 
 
 def elbow(df: DataFrame, ks: Sequence[int], seed: int = DEFAULT_SEED, features_col: str = "features",
           n_init: int = 1) -> DataFrame:
-    """k -> inertia table (one fit per k)."""
+    """k -> inertia table: the best of ``n_init`` starts per k."""
     rows = []
     for k in ks:
         m = fit_kmeans(df, k, n_init, seed, features_col)

@@ -1144,15 +1144,19 @@ def _coverage(spark, d):
 
 # =========================================================== segment profiles and quality
 
+#: Components of an embedding of the driver's table; profiles use all of them.
+EMB_DIMS = 64
+
+
 def _emb_flat(spark, d):
     e = T(spark, d, "embeddings")
     return e.select("vec_id", "label", "embedding",
-                    *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(7)],
+                    *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(EMB_DIMS)],
                     F.when(F.col("embedding")[1] > 0, F.lit("pos")).otherwise(F.lit("neg")).alias("sign1"),
                     F.when(F.col("embedding")[2] > 0, F.lit("pos")).otherwise(F.lit("neg")).alias("sign2"))
 
 
-_EMB_FLAT_SQL = ("SELECT vec_id, label, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(7))
+_EMB_FLAT_SQL = ("SELECT vec_id, label, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(EMB_DIMS))
                  + ", CASE WHEN embedding[2] > 0 THEN 'pos' ELSE 'neg' END AS sign1"
                  + ", CASE WHEN embedding[3] > 0 THEN 'pos' ELSE 'neg' END AS sign2 FROM embeddings")
 
@@ -1165,14 +1169,14 @@ def _dominant_sql(col: str) -> str:
 @register("cluster_profile", f"""
 WITH f AS ({_EMB_FLAT_SQL}),
 b AS (SELECT label, count(*) AS listing_count, round(avg(e0), {R}) AS avg_price,
-        {', '.join(f'round(avg(e{i}), {R}) AS avg_e{i}' for i in range(1, 7))}, round(median(e0), {R}) AS median_price
+        {', '.join(f'round(avg(e{i}), {R}) AS avg_e{i}' for i in range(1, EMB_DIMS))}, round(median(e0), {R}) AS median_price
       FROM f GROUP BY label)
 SELECT b.*, round(listing_count * 1.0 / sum(listing_count) OVER (), {R}) AS listing_share, d1.dominant_sign1, d2.dominant_sign2
 FROM b JOIN {_dominant_sql('sign1')} d1 USING (label) JOIN {_dominant_sql('sign2')} d2 USING (label)""")
 def _cluster_profile(spark, d):
     from staylake.ml.segment import segment_profile
     f = _emb_flat(spark, d)
-    return rnd(segment_profile(f, "label", "e0", [f"e{i}" for i in range(1, 7)], ["sign1", "sign2"]))
+    return rnd(segment_profile(f, "label", "e0", [f"e{i}" for i in range(1, EMB_DIMS)], ["sign1", "sign2"]))
 
 
 @register("cluster_quality", f"""
@@ -1296,7 +1300,7 @@ def _segment_mart_model(spark, d):
 @register("elbow")
 def _elbow(spark, d):
     from staylake.ml.segment import elbow
-    return elbow(_emb_vectors(spark, d), [2, 3, 4, 5, 6])
+    return elbow(_emb_vectors(spark, d), [2, 3, 4, 5, 6], n_init=10)
 
 
 @register("pca")
@@ -1340,7 +1344,7 @@ def _price_frame(spark, d):
 
 def _price_cfg():
     from staylake.ml.price import PriceConfig
-    return PriceConfig(params={"maxDepth": 4, "maxIter": 15, "stepSize": 0.1})
+    return PriceConfig()
 
 
 @register("price_model")
@@ -1360,7 +1364,7 @@ def _price_cv(spark, d):
 @register("price_baselines")
 def _price_baselines(spark, d):
     from staylake.ml.price import baselines
-    return baselines(_price_frame(spark, d), _price_cfg(), params={"gbt": {"maxIter": 10}, "rf": {"numTrees": 10}})
+    return baselines(_price_frame(spark, d), _price_cfg())
 
 
 @register("price_tuning")
