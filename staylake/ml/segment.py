@@ -7,17 +7,20 @@ rows against the k centroids (k x dim numbers, model-sized, inlined as literals)
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from typing import Sequence
 
-from pyspark import inheritable_thread_target
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel, TaskContext
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staylake.llm._ship import ship
 from staylake.operators.profile import _null_safe_join, top_value
 from staylake.operators.ranks import quantiles, quantiles_wide
 
@@ -34,6 +37,8 @@ SEGMENT_NAMES = {
 SEGMENT_CATEGORICAL = ["room_type", "property_base_group"]
 SEGMENT_NUMERIC = ["accommodates", "bedrooms", "bathrooms", "beds", "amenities_count", "minimum_nights_log"]
 UNKNOWN_SEGMENT = "Unknown"
+#: Points compared with all centres at a time, and how far (Euclidean) a start's centres may still move when it ends.
+BLOCK_POINTS, TOLERANCE = 4096, 1e-4
 
 
 def _as_array(df: DataFrame, vec_col: str) -> Column:
@@ -110,35 +115,147 @@ def as_vector(df: DataFrame, cols: Sequence[str] | str, out: str = "features") -
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error").transform(df)
 
 
-def fit_kmeans(df: DataFrame, k: int = DEFAULT_K, n_init: int = DEFAULT_N_INIT, seed: int = DEFAULT_SEED,
-               features_col: str = "features", max_iter: int = 50, parallel: int = 5) -> KMeansModel:
-    """Best of ``n_init`` seeded k-means|| runs by training cost (ties: the first seed).
+def _pack(df: DataFrame, features_col: str) -> DataFrame:
+    """The vectors as rows of packed doubles, at least BLOCK_POINTS in all rows but a task's last: n, points."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([b"".join(held)], pa.binary())], ["n", "points"])
+
+        for batch in batches:
+            held.append(batch.column(0).flatten().to_numpy(zero_copy_only=False).tobytes())
+            n += batch.num_rows
+            if n >= BLOCK_POINTS:
+                yield row()
+                held, n = [], 0
+        if n:
+            yield row()
+
+    ship(df.sparkSession)
+    return df.select(_as_array(df, features_col).alias("v")).mapInArrow(run, "n int, points binary")
+
+
+def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The packed points, a column each, at most BLOCK_POINTS at a time."""
+    for batch in batches:
+        for n, blob in zip(batch.column("n").to_pylist(), batch.column("points"), strict=True):
+            points = np.frombuffer(blob.as_buffer(), dtype=np.float64).reshape(n, -1)
+            for at in range(0, n, BLOCK_POINTS):
+                yield np.ascontiguousarray(points[at:at + BLOCK_POINTS].T)
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per start the nearest of its centres (start, k, dim) to every point, and the squared distance, by differences."""
+    starts, k, dim = centres.shape
+    shift = centres.mean(axis=(0, 1))  # products of small numbers keep their digits
+    x, centres = x - shift[:, None], centres - shift
+    score = (centres ** 2).sum(axis=2)[:, :, None] - 2 * (centres.reshape(-1, dim) @ x).reshape(starts, k, -1)
+    best, low = np.zeros((starts, x.shape[1]), dtype=np.int32), score[:, 0].copy()
+    for j in range(1, k):
+        np.copyto(best, j, where=score[:, j] < low)
+        np.minimum(low, score[:, j], out=low)
+    return best, np.stack([((x - c.T.take(b, axis=1)) ** 2).sum(axis=0) for c, b in zip(centres, best, strict=True)])
+
+
+def _seed_starts(blocks: DataFrame, k: int, seeds: Sequence[int]) -> np.ndarray:
+    """Centres of every start by k-means++: one pass over the points for each centre, for all starts together.
+
+    A point is drawn with a probability in proportion to its squared distance to the start's centres so far: the
+    smallest of exponential variables divided by these. With fewer different points than k there are fewer centres."""
+    spark, centres = blocks.sparkSession, None
+    for step in range(k):
+        chosen = centres
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rngs = [np.random.default_rng([s, step, TaskContext.get().partitionId()]) for s in seeds]
+            keys, picks = [np.inf] * len(seeds), [b""] * len(seeds)
+            for x in _points(batches):
+                weight = np.ones((len(seeds), x.shape[1])) if chosen is None else _nearest(x, chosen)[1]
+                for i, rng in enumerate(rngs):
+                    with np.errstate(divide="ignore"):
+                        key = rng.standard_exponential(x.shape[1]) / weight[i]
+                    at = int(key.argmin())
+                    if key[at] < keys[i]:
+                        keys[i], picks[i] = float(key[at]), x[:, at].tobytes()
+            some = [i for i, v in enumerate(keys) if v < np.inf]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([keys[i] for i in some], pa.float64()),
+                                              pa.array([picks[i] for i in some], pa.binary())], ["start", "key", "point"])
+
+        drawn = blocks.mapInArrow(run, "start int, key double, point binary").groupBy("start").agg(F.min_by("point", F.struct("key", "point")).alias("point"))
+        rows = {r["start"]: np.frombuffer(r["point"]) for r in drawn.collect()}  # one row per start
+        if len(rows) < len(seeds):
+            break  # no point is apart from the centres, for every start alike
+        found = np.stack([rows[i] for i in range(len(seeds))])[:, None, :]
+        centres = found if centres is None else np.concatenate([centres, found], axis=1)
+    if centres is None:
+        raise ValueError("k-means needs at least one point")
+    return centres
+
+
+def _sums(blocks: DataFrame, centres: np.ndarray) -> np.ndarray:
+    """(start, cluster, 2 + dim): points, cost and coordinate sums of every cluster of every start, in one pass."""
+    starts, k, dim = centres.shape
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((starts, k, 2 + dim))
+        for x in _points(batches):
+            best, low = _nearest(x, centres)
+            for i in range(starts):
+                member = (best[i] == np.arange(k)[:, None]).astype(np.float64)
+                total[i] += member @ np.vstack([np.ones(x.shape[1]), low[i], x]).T
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size, dtype=np.int32)), pa.array(total.ravel())], ["place", "total"])
+
+    sums = blocks.mapInArrow(run, "place int, total double").groupBy("place").agg(F.sum("total").alias("total"))
+    out = np.zeros(starts * k * (2 + dim))
+    for r in sums.collect():  # starts x k x (dim + 2) numbers
+        out[r["place"]] = r["total"]
+    return out.reshape(starts, k, 2 + dim)
+
+
+def _fit_starts(blocks: DataFrame, k: int, n_init: int, seed: int, max_iter: int) -> tuple[np.ndarray, float]:
+    """(centres, cost) of the best of ``n_init`` starts. A pass over the points serves all starts that still move."""
+    centres = _seed_starts(blocks, k, [seed + i for i in range(n_init)])
+    moving = np.arange(n_init)
+    for _ in range(max_iter):
+        sums = _sums(blocks, centres[moving])
+        count, old = sums[:, :, :1], centres[moving]
+        new = np.where(count > 0, sums[:, :, 2:] / np.maximum(count, 1), old)  # an empty cluster keeps its centre
+        centres[moving] = new
+        moving = moving[(((new - old) ** 2).sum(axis=2) > TOLERANCE ** 2).any(axis=1)]
+        if not len(moving):
+            break
+    costs = _sums(blocks, centres)[:, :, 1].sum(axis=1)
+    best = int(costs.argmin())  # ties: the first seed
+    return centres[best], float(costs[best])
+
+
+def _with_blocks(df: DataFrame, features_col: str, use):
+    """``use`` of the packed points, which are cached once for all passes and released afterwards."""
+    blocks = _pack(df, features_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return use(blocks)
+    finally:
+        blocks.unpersist()
 
-    The input is cached once; ``parallel`` driver threads fit starts at the same time, each in its own scheduler pool."""
-    spark = df.sparkSession
-    cached = df.select(features_col).cache()
 
-    def start(i: int) -> tuple[float, KMeansModel]:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"start-{i}")
-        model = KMeans(k=k, seed=seed + i, featuresCol=features_col, maxIter=max_iter).fit(cached)
-        return model.summary.trainingCost, model
+def fit_kmeans(df: DataFrame, k: int = DEFAULT_K, n_init: int = DEFAULT_N_INIT, seed: int = DEFAULT_SEED,
+               features_col: str = "features", max_iter: int = 50) -> KMeansModel:
+    """Best of ``n_init`` seeded k-means++ runs by training cost (ties: the first seed).
 
-    inherit = inheritable_thread_target(spark)
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, min(parallel, n_init))) as pool:
-            fits = [w.result() for w in [pool.submit(inherit(lambda i=i: start(i))) for i in range(n_init)]]
-    finally:
-        cached.unpersist()
-    return min(fits, key=lambda fit: fit[0])[1]
+    The points are packed and cached once; every pass over them moves the centres of all starts, so the passes do not
+    grow with ``n_init`` and nothing is kept per start and point. The model is Spark's: its ``KMeans`` is given the
+    centres as its k points, so its summary is of them and not of ``df``."""
+    centres, _ = _with_blocks(df, features_col, lambda blocks: _fit_starts(blocks, k, n_init, seed, max_iter))
+    rows = as_vector(df.sparkSession.createDataFrame([(c.tolist(),) for c in centres], "c array<double>"), "c", features_col)
+    return KMeans(k=k, seed=seed, featuresCol=features_col, initMode="random", maxIter=1).fit(rows)
 
 
 def elbow(df: DataFrame, ks: Sequence[int], seed: int = DEFAULT_SEED, features_col: str = "features",
-          n_init: int = 1) -> DataFrame:
-    """k -> inertia table: the best of ``n_init`` starts per k."""
-    rows = []
-    for k in ks:
-        m = fit_kmeans(df, k, n_init, seed, features_col)
-        rows.append((int(k), float(m.summary.trainingCost)))
+          n_init: int = 1, max_iter: int = 50) -> DataFrame:
+    """k -> inertia table: the best of ``n_init`` starts per k, on points packed and cached once for all k."""
+    rows = _with_blocks(df, features_col, lambda blocks: [(int(k), _fit_starts(blocks, k, n_init, seed, max_iter)[1]) for k in ks])
     return df.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 

@@ -251,3 +251,36 @@ def test_price_pipeline_fills_like_the_exact_statistics(spark, mart, tmp_path):
     for m in (model, PipelineModel.load(str(tmp_path / "p"))):
         got = m.transform(frame).select("listing_id", vector_to_array("features").alias("f")).collect()
         assert len(got) == len(want) and all(abs(r.f[i] - want[r.listing_id][i]) < 1e-9 for r in got for i in (0, 1))
+
+
+def _jobs(spark, work):
+    """The result of ``work`` and the number of jobs it ran."""
+    group = f"jobs-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_kmeans_starts_share_their_passes(spark):
+    """Centres and inertia of far groups are exact (far from zero too), and ten starts take hardly more jobs than one."""
+    import numpy as np
+    rows = [(1e6 + 100.0 * g + (i % 7), -50.0 * (g % 2) + (i % 3)) for g in range(4) for i in range(60)]
+    points = S.as_vector(spark.createDataFrame(rows, "x double, y double").repartition(3), ["x", "y"])
+    groups = np.array(rows).reshape(4, 60, 2)
+    one, few = _jobs(spark, lambda: S.fit_kmeans(points, 4, n_init=1))
+    model, many = _jobs(spark, lambda: S.fit_kmeans(points, 4, n_init=10))
+    assert many <= 1.5 * few
+    assert np.allclose(sorted(c.tolist() for c in model.clusterCenters()), groups.mean(axis=1), atol=1e-6)
+    inertia = ((groups - groups.mean(axis=1, keepdims=True)) ** 2).sum()
+    assert abs(S.elbow(points, [4], n_init=10).first().inertia - inertia) < 1e-6
+    sizes = S.assign(model, points).groupBy("cluster_id").count().collect()
+    assert sorted(r["count"] for r in sizes) == [60] * 4
+
+
+def test_kmeans_with_fewer_points_than_clusters(spark):
+    points = S.as_vector(spark.createDataFrame([(1.0, 2.0)] * 5 + [(3.0, 4.0)] * 5, "x double, y double"), ["x", "y"])
+    model = S.fit_kmeans(points, 4, n_init=3)
+    assert sorted(c.tolist() for c in model.clusterCenters()) == [[1.0, 2.0], [3.0, 4.0]]
+    assert S.elbow(points, [2, 4]).collect()[1].inertia == 0.0
