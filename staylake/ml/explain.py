@@ -10,6 +10,7 @@ from pyspark.ml.feature import OneHotEncoderModel, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from staylake.ml.prep import spread
 from staylake.ml.price import predict
 from staylake.operators.topk import hash_order
 
@@ -71,7 +72,7 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequen
     """Mean / std RMSE increase when one feature is shuffled over all rows; every repeat scores all features in one job."""
     features = list(features)
     needed = list(dict.fromkeys([key, target, *features, *[c for c in df.columns if c in set(slot_features(model))]]))
-    rows = df.select(*needed).cache()
+    rows = spread(df.select(*needed), key).cache()
     base = _rmse(predict(model, rows, target), target)
     n, found = rows.count(), []
     for r in range(n_repeats):
@@ -91,6 +92,6 @@ def partial_dependence(model: PipelineModel, df: DataFrame, feature: str, grid:
                        target: str = "log_price") -> DataFrame:
     """Average predicted log price over all rows with ``feature`` set to each grid value."""
     values = F.explode(F.array(*[F.lit(float(v)) for v in grid]))
-    expanded = df.drop(feature).withColumn("grid_value", values).withColumn(feature, F.col("grid_value"))
+    expanded = spread(df.drop(feature)).withColumn("grid_value", values).withColumn(feature, F.col("grid_value"))
     pred = predict(model, expanded, target)
     return pred.groupBy("grid_value").agg(F.avg("predicted_log_price").alias("avg_predicted_log_price")).orderBy("grid_value")

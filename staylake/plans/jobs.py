@@ -103,7 +103,7 @@ def run_price_training(spark: SparkSession, mart: DataFrame, artifact_root: str,
     room type are exported below ``artifact_root/exports/<version>``."""
     cfg = cfg or P.PriceConfig()
     frame = features.modelling_frame(mart)
-    split = P.hash_split(frame, cfg.key, cfg.test_percent).cache()
+    split = P.hash_split(P.spread(frame, cfg.key), cfg.key, cfg.test_percent).cache()
     try:
         return _price_training_steps(spark, frame, split, artifact_root, schema, cfg, tune_trials, space)
     finally:
@@ -198,7 +198,7 @@ def run_price_inference(spark: SparkSession, mart: DataFrame, run_id: str, schem
     missing = [c for c in meta["features"] if c not in frame.columns]
     if missing:
         raise ValueError(f"missing required features: {missing}")
-    pred = P.predict(model, frame, meta["target"])
+    pred = P.predict(model, P.spread(frame, "listing_id"), meta["target"])
     check = P.check_predictions(pred).first()
     expected = mart.count()
     if not expected or check["rows"] != expected:

@@ -284,3 +284,36 @@ def test_kmeans_with_fewer_points_than_clusters(spark):
     model = S.fit_kmeans(points, 4, n_init=3)
     assert sorted(c.tolist() for c in model.clusterCenters()) == [[1.0, 2.0], [3.0, 4.0]]
     assert S.elbow(points, [2, 4]).collect()[1].inertia == 0.0
+
+
+def test_tables_of_a_fit_are_spread_over_tasks(spark, mart, monkeypatch):
+    """One row group of a file is one task; what a fit caches is not, and holds the same rows."""
+    from staylake.ml import prep
+    from staylake.ml.price import cached_folds
+    from staylake.plans.binding import spread_part_listings
+    monkeypatch.setattr(prep, "TASK_ROWS", 40)
+    frame = features.modelling_frame(mart).coalesce(1)
+    folds = cached_folds(frame, CFG)
+    try:
+        assert folds.rdd.getNumPartitions() >= folds.count() / 40 > 1
+        assert set(folds.columns) == {"fold", CFG.key, CFG.target, *CFG.features}
+        assert sorted(r.listing_id for r in folds.collect()) == sorted(r.listing_id for r in frame.collect())
+    finally:
+        folds.unpersist()
+    listings = spread_part_listings(spark, SF)
+    assert listings.rdd.getNumPartitions() > 1
+    assert sorted(map(str, listings.collect())) == sorted(map(str, B.bound_part_listings(spark, SF).collect()))
+
+
+def test_prepared_folds_fit_as_pipelines_do(spark, mart):
+    from pyspark.ml.functions import vector_to_array
+    from staylake.ml.price import Prepared, build_pipeline
+    frame = features.modelling_frame(mart)
+    prepared, names = Prepared(CFG.features), ["accommodates", "bedrooms", "review_scores_location", "room_type"]
+    for chosen in (names, ["neighbourhood", "host_response_time"], list(CFG.features)):
+        pipeline = build_pipeline(chosen, "log_price", "linear", {})
+        rows = [m.transform(frame).select("listing_id", vector_to_array("features").alias("f"), "prediction").orderBy("listing_id").collect()
+                for m in (pipeline.fit(frame), prepared.fit(pipeline, frame, 0))]
+        assert [(r.listing_id, r.f) for r in rows[0]] == [(r.listing_id, r.f) for r in rows[1]]
+        assert all(abs(a.prediction - b.prediction) < 1e-9 for a, b in zip(*rows, strict=True))
+    assert list(prepared.by_fold) == [0]  # fitted once
