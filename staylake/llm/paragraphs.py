@@ -223,6 +223,51 @@ def passage_table(docs: DataFrame, words: int, across_lines: bool = True) -> Dat
     return known.mapInArrow(run, "doc_id long, line int, first_word int, key long, parts array<struct<line:int,first_word:int,n_words:int>>")
 
 
+def _merge(batch: pa.RecordBatch) -> pa.Table:
+    """The parts of a batch of runs, overlapping and touching ones of a document's line as one (smallest kept, most copies)."""
+    parts = X.column(batch, "parts")
+    row = np.repeat(np.arange(batch.num_rows), parts.value_lengths().to_numpy(zero_copy_only=False))
+    flat = parts.flatten()
+    line, first, n = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("line", "first_word", "n_words"))
+    kept = X.column(batch, "kept")
+    by_place = np.lexsort([kept.field(c).to_numpy(zero_copy_only=False) for c in ("first_word", "line", "doc_id")])
+    place = np.empty(len(by_place), dtype=np.int64)
+    place[by_place] = np.arange(len(by_place))
+    doc = X.column(batch, "doc_id").to_numpy(zero_copy_only=False)[row]
+    removed = X.column(batch, "removed").to_numpy(zero_copy_only=False)[row]
+    copies, place = X.column(batch, "copies").to_numpy(zero_copy_only=False)[row], place[row]
+    order = np.lexsort([first, line, removed, doc])
+    row, line, first, n, doc, removed, copies, place = (a[order] for a in (row, line, first, n, doc, removed, copies, place))
+    other = np.concatenate([[True], (doc[1:] != doc[:-1]) | (removed[1:] != removed[:-1]) | (line[1:] != line[:-1])])
+    end = first + n
+    shift = (np.cumsum(other) - 1) * (end.max() + 1)  # a line's places lie after those of all lines before
+    reach = np.maximum.accumulate(end + shift)
+    start = np.flatnonzero(other | np.concatenate([[True], (first + shift)[1:] > reach[:-1]]))
+    low = pa.array(by_place[np.minimum.reduceat(place, start)])
+    return pa.table({
+        "doc_id": doc[start], "line": line[start].astype(np.int32), "first_word": first[start].astype(np.int32),
+        "n_words": (np.maximum.reduceat(end, start) - first[start]).astype(np.int32), "kept": kept.take(low),
+        "copies": np.maximum.reduceat(copies, start), "removed": removed[start]})
+
+
+def merged_parts(runs: DataFrame) -> DataFrame:
+    """doc_id, line, first_word, n_words, kept, copies, removed of the runs' parts by line.
+
+    Runs overlap, and each has a part in every line that it meets. They are sorted by document and the parts of a batch
+    merged before they become rows, so there are about as many rows as lines and not one for each run and line. A
+    document over two batches may have parts that still overlap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield from _merge(batch).to_batches()
+
+    kept = "struct<doc_id:long,line:int,first_word:int>"
+    by_document = runs.withColumn("kept", F.col("kept").cast(kept)).repartition("doc_id").sortWithinPartitions("doc_id", "line", "first_word")
+    by_document = by_document.select("doc_id", "parts", "kept", F.col("copies").cast("long").alias("copies"), "removed")
+    return by_document.mapInArrow(run, f"doc_id long, line int, first_word int, n_words int, kept {kept}, copies long, removed boolean")
+
+
 def repeated_passages(docs: DataFrame, lines: DataFrame, words: int = PASSAGE_WORDS, across_lines: bool = True) -> DataFrame:
     """Passages that other documents have too, by line: doc_id, line, first_word, n_words, kept_doc_id, kept_line, copies, removed.
 
@@ -256,7 +301,7 @@ def repeated_passages(docs: DataFrame, lines: DataFrame, words: int = PASSAGE_WO
     firsts = firsts.where(F.col("high") > F.col("kept.doc_id")).drop("high")
     # a word goes only for the sake of an earlier place, so one of its places always stays
     runs = hits.join(firsts, "key").where(place >= F.col("kept")).withColumn("removed", place != F.col("kept"))
-    parts = runs.select("doc_id", F.explode("parts").alias("part"), "kept", "copies", "removed").select("doc_id", "part.*", "kept", "copies", "removed")
+    parts = merged_parts(runs.select("doc_id", "line", "first_word", "parts", "kept", "copies", "removed"))
     in_line = Window.partitionBy("doc_id", "line", "removed").orderBy("first_word", "n_words")
     end = F.col("first_word") + F.col("n_words")
     apart = F.col("first_word") > F.max(end).over(in_line.rowsBetween(Window.unboundedPreceding, -1))

@@ -230,3 +230,27 @@ def test_band_tuning():
         bands, rows = paragraphs.tune_bands(threshold)
         assert 1 - (1 - threshold ** rows) ** bands >= paragraphs.RECALL
         assert 1 - (1 - paragraphs.FALSE_AT ** rows) ** bands <= paragraphs.FALSE_RATE
+
+
+def test_parts_are_merged_before_they_are_rows(spark):
+    """Runs over the same short lines give a row for a line, not one for each run and line; results as if each part were a row."""
+    from staylake.llm.paragraphs import merged_parts
+
+    def run(doc, first, kept, copies, removed=True):
+        parts = [(line, max(first - 5 * line, 0), min(first + 25 - 5 * line, 5) - max(first - 5 * line, 0)) for line in range(20) if first < 5 * line + 5 and first + 25 > 5 * line]
+        return doc, first // 5, first % 5, parts, kept, copies, removed
+
+    rows = [run(7, k, (1, 0, k), 2 + k % 3) for k in range(0, 70, 2)] + [run(8, 0, (3, 1, 0), 2), run(8, 3, (2, 9, 9), 5, False), run(8, 60, (1, 1, 1), 4)]
+    schema = ("doc_id long, line int, first_word int, parts array<struct<line:int,first_word:int,n_words:int>>, "
+              "kept struct<doc_id:long,line:int,first_word:int>, copies long, removed boolean")
+    got = merged_parts(spark.createDataFrame(rows, schema).repartition(3)).collect()
+    lines = {}
+    for doc, _, _, parts, kept, copies, removed in rows:
+        for line, first, n in parts:
+            words, places, most = lines.setdefault((doc, removed, line), (set(), [], []))
+            words.update(range(first, first + n)), places.append(kept), most.append(copies)
+    assert len(got) == len(lines) < sum(len(r[3]) for r in rows) / 3
+    for r in got:
+        words, places, most = lines.pop((r.doc_id, r.removed, r.line))
+        assert set(range(r.first_word, r.first_word + r.n_words)) == words
+        assert (tuple(r.kept), r.copies) == (min(places), max(most))
