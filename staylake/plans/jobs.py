@@ -19,6 +19,7 @@ from staylake.operators.errors import error_by_group, error_frame
 from staylake.operators.quality import run_suite
 from staylake.plans import features, gold, silver
 from staylake.plans.contracts import CONTRACTS
+from staylake.session import cut_lineage
 from staylake.sources.bronze import load_bronze
 from staylake.sources.sinks import export_versioned, materialize, replace_staged
 
@@ -165,7 +166,10 @@ def run_segmentation(spark: SparkSession, mart: DataFrame, artifact_root: str, s
     export_versioned(S.centroid_table(model.stages[-1], S.feature_names(model)).join(names, "cluster_id", "left"),
                      f"{artifact_root.rstrip('/')}/exports", version, "centroids")
     assigned = S.attach_names(S.segment_assign(model, mart), names)
-    rows = _segment_rows(assigned, version, version)
+    # the profile joins several aggregates of its rows; in such joins a cached mart is not found again and is computed anew
+    scored = cut_lineage(assigned.select("listing_id", "cluster_id", "cluster_name", "distance_to_centroid", "price",
+                                         *S.SEGMENT_NUMERIC, *PROFILE_CATEGORIES))
+    rows = _segment_rows(scored, version, version)
     check = S.segmentation_check(rows, k).first()
     if not check["passed"]:
         raise ValueError(f"segmentation check failed: {check.asDict()}")
@@ -174,7 +178,7 @@ def run_segmentation(spark: SparkSession, mart: DataFrame, artifact_root: str, s
     REG.ensure_tables(spark, schema)
     pre = f"{schema}." if schema else ""
     REG.append_run_once(rows, pre + "gold_listing_segments", "assignment_run_id", "listing_id")
-    prof = S.segment_profile(assigned, "cluster_id", "price", S.SEGMENT_NUMERIC, PROFILE_CATEGORIES).join(names, "cluster_id", "left")
+    prof = S.segment_profile(scored, "cluster_id", "price", S.SEGMENT_NUMERIC, PROFILE_CATEGORIES).join(names, "cluster_id", "left")
     REG.guarded_append(prof.select(F.lit(version).alias("model_version"), "cluster_id", "cluster_name", "listing_count",
                                    "median_price", "avg_price", "listing_share",
                                    *[F.col(f"avg_{c}").alias(f"{c}_mean") for c in S.SEGMENT_NUMERIC],
