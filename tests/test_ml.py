@@ -317,3 +317,21 @@ def test_prepared_folds_fit_as_pipelines_do(spark, mart):
         assert [(r.listing_id, r.f) for r in rows[0]] == [(r.listing_id, r.f) for r in rows[1]]
         assert all(abs(a.prediction - b.prediction) < 1e-9 for a, b in zip(*rows, strict=True))
     assert list(prepared.by_fold) == [0]  # fitted once
+
+
+def test_a_segment_profile_does_not_compute_the_mart_again(spark, schema, monkeypatch):
+    """Its aggregates are joined with each other, and there Spark does not find a cached mart again."""
+    from staylake.plans.catalog import QUERIES
+    seen, profile = [], S.segment_profile
+
+    def spy(*args, **kwargs):
+        out = profile(*args, **kwargs)
+        seen.append("parquet" not in out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    monkeypatch.setattr(S, "segment_profile", spy)
+    mart = features.cluster_model_features(B.bound_part_listings(spark, SF)).cache()
+    version = jobs.run_segmentation(spark, mart, ensure_checkpoint_dir(spark) + f"/seg_once_{uuid.uuid4().hex[:8]}", schema, k=3, n_init=2)
+    rows = QUERIES["segment_mart_model"](spark, SF).collect()
+    assert seen == [True, True]
+    assert sum(r.listing_count for r in rows) == mart.count() == spark.table(f"{schema}.gold_listing_segments").where(F.col("model_version") == version).count()
