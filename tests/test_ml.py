@@ -335,3 +335,43 @@ def test_a_segment_profile_does_not_compute_the_mart_again(spark, schema, monkey
     rows = QUERIES["segment_mart_model"](spark, SF).collect()
     assert seen == [True, True]
     assert sum(r.listing_count for r in rows) == mart.count() == spark.table(f"{schema}.gold_listing_segments").where(F.col("model_version") == version).count()
+
+
+def test_fits_together_are_the_trees_of_one_fit_each(spark, mart, monkeypatch):
+    """Same folds, features and parameters: the RMSE of Spark's GBTRegressor, fitted fold by fold."""
+    from staylake.ml import boost
+    from staylake.ml.price import Prepared, boosted_cv, cached_folds, cross_validate
+    chosen = ["accommodates", "review_scores_location", "room_type"]
+    beds = F.when(F.col("listing_id") % 7 == 0, None).when(F.col("listing_id") % 11 == 0, float("nan")).otherwise(F.col("accommodates"))
+    frame = features.modelling_frame(mart).withColumn("accommodates", beds.cast("double"))
+    cfg = PriceConfig(features=chosen, params={"maxDepth": 3, "maxIter": 12}, n_folds=3)
+    folds, prepared = cached_folds(frame, cfg), Prepared(chosen)
+    try:
+        sets = [chosen[:1], chosen]
+        found = boosted_cv(folds, cfg, sets, prepared)
+        for names, (mean, std) in zip(sets, found, strict=True):
+            m = cross_validate(frame, cfg, features=names, folds=folds, prepared=prepared)[0].agg(F.avg("rmse"), F.stddev_samp("rmse")).first()
+            assert abs(mean - m[0]) < 1e-9 and abs(std - m[1]) < 1e-9
+        monkeypatch.setattr(boost, "COUNTED_VALUES", 8)  # more values than the driver gets: cut at quantiles on the cluster
+        for (mean, _), (cut, _) in zip(found, boosted_cv(folds, cfg, sets, prepared), strict=True):
+            assert abs(cut / mean - 1) < 0.1
+        with pytest.raises(Exception, match="not finite"):
+            boosted_cv(folds.withColumn(cfg.target, F.lit(float("nan"))), cfg, sets, prepared)
+    finally:
+        folds.unpersist()
+
+
+def test_a_selection_reads_the_rows_as_often_for_many_sets_as_for_one(spark, mart):
+    from staylake.ml.price import feature_selection
+    frame, jobs_of = features.modelling_frame(mart), {}
+    ranked = ["accommodates", "review_scores_location", "room_type", "neighbourhood"]
+    for sizes in ((), (1, 2, 3)):
+        group = f"selection_{uuid.uuid4().hex[:8]}"
+        spark.sparkContext.setJobGroup(group, "feature selection")
+        try:
+            table, chosen = feature_selection(frame, CFG, ranked, sizes)
+            jobs_of[sizes] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert [r.n_features for r in table.orderBy("n_features").collect()] == [*sizes, len(ranked)] and chosen.count() == 1
+    assert jobs_of[(1, 2, 3)] < 1.5 * jobs_of[()]
